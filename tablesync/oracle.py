@@ -68,3 +68,61 @@ def evidence_text(cols: list[str], alias: str) -> str:
     """``k=v;...`` sorted by key, as ``map_as_text(evidence_map(cols))``."""
     parts = [f"'{c}=' || coalesce(cast({alias}.{c} as varchar), 'NULL')" for c in sorted(cols)]
     return "concat_ws(';', " + ", ".join(parts) + ")"
+
+DOC_NAME = """case when doc_id % 10 = 0 then '__materialization_mat_' || lang || '_doc_' || cast(doc_id as varchar)
+     when doc_id % 15 = 0 then 'event_log_' || lang || '_doc_' || cast(doc_id as varchar)
+     else lang || '_doc_' || cast(doc_id as varchar) end"""
+
+DOC_TYPE = "case when doc_id % 6 = 0 then 'VIEW' when doc_id % 4 = 0 then 'EXTERNAL' else 'MANAGED' end"
+
+DOCUMENT_LISTING = f"""
+select source as schema_name, {DOC_NAME} as table_name, {DOC_TYPE} as table_type,
+       case when doc_id % 5 = 0 then 'pl-' || source end as pipeline_id,
+       case when doc_id % 6 = 0 then null
+            when doc_id % 3 = 0 then 's3://lake/' || source || '/tables/' || cast(doc_id as varchar)
+            else 's3://lake/' || source || '/ext/' || cast(doc_id as varchar) end as storage_location,
+       doc_id
+from documents
+"""
+
+PIPELINE_TABLES = f"""
+select 'main' as catalog_name, schema_name, table_name, pipeline_id, doc_id
+from ({DOCUMENT_LISTING}) where pipeline_id is not null
+"""
+
+_PID = "replace('pl-' || source, '-', '_')"
+EXISTING_BACKING = f"""
+select case when doc_id % 3 = 0 then 'main.' || source || '.__materialization_mat_' || {_PID} || '_' || {DOC_NAME} || '_1'
+            when doc_id % 3 = 1 then '__internal.__dlt_materialization_schema_' || {_PID} || '.__materialization_mat_' || {_PID} || '_' || {DOC_NAME} || '_1'
+            when doc_id % 4 = 0 then '__internal.__dlt_materialization_schema_' || {_PID} || '.__materialization_mat_' || {DOC_NAME} || '_1'
+       end as full_name
+from documents where doc_id % 5 = 0 and (doc_id % 3 <> 2 or doc_id % 4 = 0)
+"""
+
+BACKING_CANDIDATES = """
+select catalog_name, schema_name, table_name, 1 as priority,
+       catalog_name || '.' || schema_name || '.__materialization_mat_' || replace(pipeline_id, '-', '_') || '_' || table_name || '_1' as candidate, 'dpm' as label
+from pt
+union all
+select catalog_name, schema_name, table_name, 2,
+       '__internal.__dlt_materialization_schema_' || replace(pipeline_id, '-', '_') || '.' || table_name, 'legacy'
+from pt
+union all
+select catalog_name, schema_name, table_name, 3,
+       '__internal.__dlt_materialization_schema_' || replace(pipeline_id, '-', '_') || '.__materialization_mat_' || replace(pipeline_id, '-', '_') || '_' || table_name || '_1', 'legacy'
+from pt
+union all
+select catalog_name, schema_name, table_name, 4,
+       '__internal.__dlt_materialization_schema_' || replace(pipeline_id, '-', '_') || '.__materialization_mat_' || table_name || '_1', 'legacy'
+from pt
+"""
+
+PICKED_SOURCE = f"""
+with pt as ({PIPELINE_TABLES}),
+     c as ({BACKING_CANDIDATES}),
+     hit as (select * from c where candidate in (select full_name from ({EXISTING_BACKING}))),
+     first as (select * from (select *, row_number() over (partition by catalog_name, schema_name, table_name order by priority) rn from hit) where rn = 1),
+     objs as (select distinct catalog_name, schema_name, table_name from c)
+select o.catalog_name, o.schema_name, o.table_name, f.priority, f.candidate as chosen, f.label
+from objs o left join first f using (catalog_name, schema_name, table_name)
+"""

@@ -248,3 +248,38 @@ def event_results(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("event_id") % 3 + 1).cast("int").alias("attempt_number"),
         F.lit(3).alias("max_attempts"),
     )
+
+
+# --------------------------------------------------------------------- pipeline tables
+INTERNAL_CATALOG = "__internal"
+
+
+def pipeline_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pipeline-owned tables of the listing (catalog ``main``)."""
+    return (
+        document_listing(spark, sf_dir)
+        .where(F.col("pipeline_id").isNotNull())
+        .select(F.lit("main").alias("catalog_name"), "schema_name", "table_name", "pipeline_id")
+    )
+
+
+def existing_backing_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names (``full_name``) of backing tables that exist: the in-schema form
+    for ``doc_id % 3 = 0``, the third internal form for ``% 3 = 1``, the
+    fourth for ``% 3 = 2`` and ``% 4 = 0``; none otherwise."""
+    d = load(spark, sf_dir, "documents").where(F.col("doc_id") % 5 == 0)
+    i = F.col("doc_id")
+    base = F.concat(F.col("lang"), F.lit("_doc_"), i.cast("string"))
+    name = (
+        F.when(i % 10 == 0, F.concat(F.lit("__materialization_mat_"), base))
+        .when(i % 15 == 0, F.concat(F.lit("event_log_"), base))
+        .otherwise(base)
+    )
+    pid = F.regexp_replace(F.concat(F.lit("pl-"), F.col("source")), "-", "_")
+    ischema = F.concat(F.lit("__dlt_materialization_schema_"), pid)
+    full = (
+        F.when(i % 3 == 0, F.concat_ws(".", F.lit("main"), F.col("source"), F.concat(F.lit("__materialization_mat_"), pid, F.lit("_"), name, F.lit("_1"))))
+        .when(i % 3 == 1, F.concat_ws(".", F.lit(INTERNAL_CATALOG), ischema, F.concat(F.lit("__materialization_mat_"), pid, F.lit("_"), name, F.lit("_1"))))
+        .when(i % 4 == 0, F.concat_ws(".", F.lit(INTERNAL_CATALOG), ischema, F.concat(F.lit("__materialization_mat_"), name, F.lit("_1"))))
+    )
+    return d.select(full.alias("full_name")).where(F.col("full_name").isNotNull())
