@@ -190,7 +190,7 @@ def supplier_properties(spark: SparkSession, sf_dir: str, target: bool) -> DataF
         F.lit("name"), name,
         F.lit("nation"), F.col("s_nationkey").cast("string"),
         F.lit("balance"), F.format_number(F.col("s_acctbal"), 2),
-        F.lit("location"), F.concat(F.lit("s3://src-bucket/suppliers/"), F.col("s_suppkey").cast("string")),
+        F.lit("location"), F.concat(F.lit("s3://dst-bucket/suppliers/" if target else "s3://src-bucket/suppliers/"), F.col("s_suppkey").cast("string")),
     )
     return s.select(F.concat(F.lit("supplier_"), F.col("s_suppkey").cast("string")).alias("object"), props.alias("properties"))
 
@@ -283,3 +283,69 @@ def existing_backing_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(i % 4 == 0, F.concat_ws(".", F.lit(INTERNAL_CATALOG), ischema, F.concat(F.lit("__materialization_mat_"), name, F.lit("_1"))))
     )
     return d.select(full.alias("full_name")).where(F.col("full_name").isNotNull())
+
+
+# --------------------------------------------------------------------- principals
+def _uuid_of(k):
+    h = F.md5(k.cast("string"))
+    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4), F.substring(h, 17, 4), F.substring(h, 21, 12))
+
+
+def customer_principal(k):
+    """Principal text of a customer key: service-principal id for k % 4 = 0,
+    e-mail for k % 4 = 1, group name otherwise."""
+    return (
+        F.when(k % 4 == 0, _uuid_of(k))
+        .when(k % 4 == 1, F.concat(F.lit("user"), k.cast("string"), F.lit("@src.example")))
+        .otherwise(F.concat(F.lit("group"), k.cast("string")))
+    )
+
+
+def principal_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Principals in use, explicit mapping, and the two directories.
+
+    mapping: e-mails with k % 8 = 1 -> new domain; ids with k % 12 = 0 ->
+    ``sp-mapped-k``; names ``sp-k`` with k % 16 = 4 -> ``sp-renamed-k``.
+    source directory: ids with k % 3 <> 0 have name ``sp-k``.
+    target directory: ``sp-k`` with k % 5 <> 0, ``sp-mapped-k``,
+    ``sp-renamed-k`` have ids (the id of k + 1000000).
+    """
+    c = load(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    used = c.select(customer_principal(k).alias("principal"))
+    email_map = c.where(k % 8 == 1).select(
+        customer_principal(k).alias("src"), F.concat(F.lit("user"), k.cast("string"), F.lit("@tgt.example")).alias("dst")
+    )
+    id_map = c.where(k % 12 == 0).select(_uuid_of(k).alias("src"), F.concat(F.lit("sp-mapped-"), k.cast("string")).alias("dst"))
+    name_map = c.where(k % 16 == 4).select(F.concat(F.lit("sp-"), k.cast("string")).alias("src"), F.concat(F.lit("sp-renamed-"), k.cast("string")).alias("dst"))
+    src_dir = c.where((k % 4 == 0) & (k % 3 != 0)).select(_uuid_of(k).alias("app_id"), F.concat(F.lit("sp-"), k.cast("string")).alias("display_name"))
+    sps = c.where(k % 4 == 0)
+    tgt_dir = (
+        sps.where(k % 5 != 0).select(F.concat(F.lit("sp-"), k.cast("string")).alias("display_name"), _uuid_of(k + 1000000).alias("app_id"))
+        .unionByName(sps.where(k % 12 == 0).select(F.concat(F.lit("sp-mapped-"), k.cast("string")).alias("display_name"), _uuid_of(k + 1000000).alias("app_id")))
+        .unionByName(sps.where(k % 16 == 4).select(F.concat(F.lit("sp-renamed-"), k.cast("string")).alias("display_name"), _uuid_of(k + 1000000).alias("app_id")))
+    )
+    return {
+        "principals": used,
+        "mapping": email_map.unionByName(id_map).unionByName(name_map),
+        "source_dir": src_dir,
+        "target_dir": tgt_dir,
+    }
+
+
+# --------------------------------------------------------------------- DDL
+def listing_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``SHOW CREATE TABLE``-like text for every listed object."""
+    lst = document_listing(spark, sf_dir)
+    name = F.concat_ws(".", F.lit("main"), F.col("schema_name"), F.col("table_name"))
+    has_cols = F.length(F.col("table_name")) % 2 == 0
+    view = F.concat(
+        F.lit("CREATE VIEW "), name,
+        F.when(has_cols, F.lit(" (doc_id, lang)")).otherwise(F.lit("")),
+        F.lit(" AS SELECT doc_id, lang FROM main."), F.col("schema_name"), F.lit(".docs WHERE length(text) > 10"),
+    )
+    table = F.concat(F.lit("CREATE TABLE "), name, F.lit(" (doc_id BIGINT, lang STRING) USING parquet"))
+    ext = F.concat(table, F.lit(" LOCATION '"), F.col("storage_location"), F.lit("'"))
+    kind = F.col("table_type")
+    ddl = F.when(kind == "VIEW", view).when(kind == "EXTERNAL", ext).otherwise(table)
+    return lst.select("schema_name", "table_name", "table_type", ddl.alias("ddl"))
