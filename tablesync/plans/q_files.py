@@ -1 +1,74 @@
-"""Registered queries."""
+"""Registered file-stream queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tablesync.plans.registry import query
+from tablesync.session import apply_defaults, work_dir
+from tablesync.sources.tables import load
+from tablesync.streaming import file_copy as FC
+
+
+@query("file_copy_stream")
+def file_copy_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Copy every data file of the folder with the checkpointed stream, run
+    it a second time (nothing new), and return the per-file log."""
+    apply_defaults(spark)
+    root = work_dir(spark, "file_copy")
+    cfg = FC.VolumeCopy(source_root=sf, target_root=root + "/target", log_path=root + "/log", checkpoint_root=root + "/checkpoints",
+                        options={"pathGlobFilter": "*.parquet", "maxFilesPerTrigger": 4}, timeout_seconds=600)
+    FC.copy_volume(spark, cfg, run_id="r1")
+    FC.copy_volume(spark, cfg, run_id="r2")
+    log = FC.read_log(spark, cfg.log_path)
+    return log.select(
+        "run_id", F.regexp_extract("source_path", r"([^/]+)$", 1).alias("file_name"), "length", "status",
+    )
+
+
+_LOG_SQL = """
+select 'run_' || cast(event_id % 3 as varchar) as run_id, 'vol_' || cast(user_id % 5 as varchar) as volume,
+       case when event_type = 'error' then 'error' else 'success' end as status
+from events
+"""
+
+
+@query(
+    "copy_stats",
+    oracle=f"""
+select run_id, volume, count(*) as total_files, count(*) filter (where status <> 'success') as error_files,
+       round(coalesce((count(*) - count(*) filter (where status <> 'success')) * 100.0 / count(*), 0.0), 6) as success_rate,
+       case when count(*) filter (where status <> 'success') = 0 then 'success'
+            when count(*) filter (where status <> 'success') < count(*) then 'partial' else 'failed' end as status
+from ({_LOG_SQL}) group by run_id, volume
+""",
+)
+def copy_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Copy statistics over a file log whose rows come from ``events``
+    (one event = one file; ``error`` events failed to copy)."""
+    apply_defaults(spark)
+    e = load(spark, sf, "events")
+    log = e.select(
+        F.concat(F.lit("run_"), (F.col("event_id") % 3).cast("string")).alias("run_id"),
+        F.concat(F.lit("vol_"), (F.col("user_id") % 5).cast("string")).alias("volume"),
+        F.when(F.col("event_type") == "error", F.lit("error")).otherwise(F.lit("success")).alias("status"),
+    )
+    return FC.copy_stats(log)
+
+
+@query("event_stream_append", oracle="select * from events")
+def event_stream_append(spark: SparkSession, sf: str) -> DataFrame:
+    """Stream the events table into a target folder with a checkpointed
+    ``availableNow`` query, run it twice, read the target back."""
+    apply_defaults(spark)
+    root = work_dir(spark, "event_stream")
+    schema = load(spark, sf, "events").schema
+    for _ in range(2):
+        stream = spark.readStream.format("parquet").schema(schema).option("pathGlobFilter", "events.parquet").load(sf)
+        q = (
+            stream.writeStream.format("parquet").option("path", root + "/target").option("checkpointLocation", root + "/checkpoint")
+            .trigger(availableNow=True).start()
+        )
+        FC.drain(q, 600)
+    return spark.read.parquet(root + "/target")

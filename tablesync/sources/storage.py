@@ -70,3 +70,9 @@ def write_version(df: DataFrame, table_dir: str, partition_by: Optional[list[str
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return path
+
+
+def delete(spark: SparkSession, path: str) -> bool:
+    """Recursively delete a folder (reload / rescan controls)."""
+    fs, p, _ = _fs(spark, path)
+    return bool(fs.delete(p, True)) if fs.exists(p) else False
