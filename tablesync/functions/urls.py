@@ -25,7 +25,7 @@ def remap_url(url: Column, mapping: Mapping) -> Column:
     Matching ignores case and only happens on a ``/`` boundary, so
     ``s3://bucketX/y`` does not match ``s3://bucket/``.  The tail after the
     prefix is kept; a URL equal to the prefix without its slash maps to the
-    target root.  No match gives null.
+    target as given.  No match gives null.
     """
     lower = F.lower(url)
     ordered = sorted(mapping, key=lambda kv: len(kv[0].rstrip("/")), reverse=True)
@@ -37,7 +37,7 @@ def remap_url(url: Column, mapping: Mapping) -> Column:
         tail = F.substring(url, len(s) + 1, 1 << 30)
         hit = lower.startswith(s)
         exact = lower == F.lit(bare)
-        mapped = F.when(hit, F.concat(F.lit(_norm(tgt)), tail)).when(exact, F.lit(tgt.rstrip("/") or tgt))
+        mapped = F.when(hit, F.concat(F.lit(_norm(tgt)), tail)).when(exact, F.lit(tgt))
         expr = F.when(hit | exact, mapped).otherwise(expr)
     return expr
 
