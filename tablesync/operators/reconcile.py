@@ -18,7 +18,6 @@ spread over tasks, never inside one task.
 
 from __future__ import annotations
 
-import hashlib
 from dataclasses import dataclass
 from typing import Iterable, Optional, Sequence
 
@@ -174,6 +173,26 @@ def missing_summary(
     )
 
 
+def match_counts(
+    source: DataFrame,
+    target: DataFrame,
+    exclude: Iterable[str] = (),
+    source_filter: Optional[str] = None,
+    target_filter: Optional[str] = None,
+) -> DataFrame:
+    """One row: ``source_count``, ``target_count`` and the missing counts in
+    each direction, all from the single presence aggregate (one scan of each
+    side, one shuffle)."""
+    grouped, _ = presence(source, target, exclude, source_filter, target_filter)
+    sc, tc = F.col("source_count"), F.col("target_count")
+    return grouped.agg(
+        F.coalesce(F.sum(sc), F.lit(0)).cast("bigint").alias("source_count"),
+        F.coalesce(F.sum(tc), F.lit(0)).cast("bigint").alias("target_count"),
+        F.coalesce(F.sum(F.when(tc == 0, sc)), F.lit(0)).cast("bigint").alias("missing_count"),
+        F.coalesce(F.sum(F.when(sc == 0, tc)), F.lit(0)).cast("bigint").alias("missing_in_source_count"),
+    )
+
+
 def summarize_missing(missing: DataFrame, run_id: Optional[str] = None) -> DataFrame:
     """Counts per ``issue_type`` of a stored mismatch table, optionally one run."""
     if run_id is not None and "run_id" in missing.columns:
@@ -304,14 +323,13 @@ def missing_data_rows(missing_with_evidence: DataFrame, run_id: str, source_name
     return stamp_result(missing_with_evidence.select("issue_type", "data"), run_id, source_name, target_name)
 
 
-def write_mismatches(df: DataFrame, path: str, mode: str = "append") -> int:
-    """Persist mismatch rows once and return how many were written.
-
-    The rows are written first, then counted from the written files, so the
-    comparison runs once and the count is what is stored.
-    """
-    df.write.mode(mode).parquet(path)
-    return df.sparkSession.read.parquet(path).count() if mode == "overwrite" else -1
+def write_mismatches(df: DataFrame, path: str, run_id: str) -> int:
+    """Append mismatch rows (already stamped with ``run_id``) and return how
+    many this run wrote, counted from the stored rows: the comparison runs
+    once, and the count is what was stored."""
+    df.write.mode("append").parquet(path)
+    stored = df.sparkSession.read.parquet(path)
+    return stored.where(F.col("run_id") == run_id).count()
 
 
 # --------------------------------------------------------------------------- R10
@@ -346,6 +364,3 @@ def threshold_check(counts: DataFrame, threshold: float = 100.0) -> DataFrame:
     pct = match_rate(F.col("source_count"), F.col("missing_count"))
     return counts.withColumn("match_pct", pct).withColumn("passed", pct >= F.lit(float(threshold)))
 
-
-def stable_seed(text: str) -> int:
-    return int(hashlib.md5(text.encode()).hexdigest()[:8], 16)

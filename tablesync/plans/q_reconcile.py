@@ -251,13 +251,7 @@ def recon_threshold(spark: SparkSession, sf: str) -> DataFrame:
         ("events", X.events_source(spark, sf), X.events_target(spark, sf)),
         ("orders", load(spark, sf, "orders"), X.orders_target(spark, sf)),
     ]
-    parts = []
-    for name, s, t in pairs:
-        miss = R.missing_summary(s, t).where(F.col("issue_type") == R.MISSING_IN_TARGET).agg(
-            F.coalesce(F.sum("row_count"), F.lit(0)).cast("bigint").alias("missing_count")
-        )
-        cnt = s.agg(F.count(F.lit(1)).alias("source_count"))
-        parts.append(cnt.crossJoin(miss).select(F.lit(name).alias("pair"), "source_count", "missing_count"))
+    parts = [R.match_counts(s, t).select(F.lit(name).alias("pair"), "source_count", "missing_count") for name, s, t in pairs]
     counts = parts[0]
     for p in parts[1:]:
         counts = counts.unionByName(p)
