@@ -104,8 +104,10 @@ def table_comment_plan(source: DataFrame, target: DataFrame, overwrite: bool = T
     Inputs: ``table_name, table_type, comment``.  Output: table_name,
     table_type, action (set / clear / skip), comment.
     """
-    s = source.select("table_name", "table_type", F.col("comment").alias("_sc"))
-    t = target.select("table_name", F.col("comment").alias("_tc"))
+    # one row per table on each side (max folds stray duplicates map-side,
+    # so a repeated key can never pair up rows in the join)
+    s = source.groupBy("table_name").agg(F.max("table_type").alias("table_type"), F.max("comment").alias("_sc"))
+    t = target.groupBy("table_name").agg(F.max("comment").alias("_tc"))
     j = s.join(t, "table_name", "inner")
     se, te = F.coalesce(F.col("_sc"), F.lit("")), F.coalesce(F.col("_tc"), F.lit(""))
     changed = ~(((se == "") & (te == "")) | F.col("_sc").eqNullSafe(F.col("_tc")))
@@ -134,8 +136,8 @@ def column_comment_plan(source: DataFrame, target: DataFrame, keys: Sequence[str
     """
     k = list(keys) + ["column_name"]
     norm = lambda c: F.trim(F.coalesce(F.col(c), F.lit("")))
-    s = source.select(*k, norm("comment").alias("_sc"))
-    t = target.select(*k, norm("comment").alias("_tc"))
+    s = source.groupBy(*k).agg(F.max(norm("comment")).alias("_sc"))
+    t = target.groupBy(*k).agg(F.max(norm("comment")).alias("_tc"))
     j = s.join(t, on=k, how="full_outer").where(~F.col("_sc").eqNullSafe(F.col("_tc")))
     if overwrite:
         j = j.where(F.col("_sc").isNotNull())
@@ -231,6 +233,10 @@ def map_principals(principals: DataFrame, mapping: DataFrame, source_dir: DataFr
     broadcast by AQE from their measured size.
     """
     p = principals.select(F.col(col).alias("_p")).where(F.col("_p").isNotNull()).distinct()
+    # one target per source name and one id per directory name
+    mapping = mapping.groupBy("src").agg(F.min("dst").alias("dst"))
+    source_dir = source_dir.groupBy("app_id").agg(F.min("display_name").alias("display_name"))
+    target_dir = target_dir.groupBy("display_name").agg(F.min("app_id").alias("app_id"))
     m1 = mapping.select(F.col("src").alias("_p"), F.col("dst").alias("_m1"))
     sd = source_dir.select(F.col("app_id").alias("_p"), F.col("display_name").alias("_sname"))
     m2 = mapping.select(F.col("src").alias("_sname"), F.col("dst").alias("_m2"))
@@ -288,7 +294,7 @@ def remap_url_table(df: DataFrame, key: Sequence[str], url_col: str, mapping: Da
     m = mapping.select(
         F.lower(F.when(F.col("src").endswith("/"), F.col("src")).otherwise(F.concat(F.col("src"), F.lit("/")))).alias("_pre"),
         F.col("dst").alias("_dst"),
-    )
+    ).groupBy("_pre").agg(F.min("_dst").alias("_dst"))
     parts = F.split(F.col(url_col), "/")
     prefixes = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.concat(F.array_join(F.slice(parts, 1, i), "/"), F.lit("/")))
     cand = df.select(*key, F.col(url_col).alias("_u"), F.explode(prefixes).alias("_cp")).withColumn("_pre", F.lower("_cp"))
