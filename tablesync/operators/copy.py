@@ -103,15 +103,23 @@ def snapshot_changes(source: DataFrame, target: DataFrame, keys: Sequence[str],
     vals = [c for c in source.columns if c not in keys]
     s = source.select(*keys, F.struct(*vals).alias("_row"), F.lit(1).alias("_s"), F.lit(0).alias("_t"))
     t = target.select(*keys, F.struct(*vals).alias("_row"), F.lit(0).alias("_s"), F.lit(1).alias("_t"))
+    # first(ignorenulls) needs no ordering, so MAP columns are fine; with a
+    # unique key each side contributes at most one row
     g = s.unionByName(t).groupBy(*keys).agg(
         F.sum("_s").alias("_ns"),
         F.sum("_t").alias("_nt"),
-        F.max(F.when(F.col("_s") == 1, F.col("_row"))).alias("_srow"),
-        F.max(F.when(F.col("_t") == 1, F.col("_row"))).alias("_trow"),
+        F.first(F.when(F.col("_s") == 1, F.col("_row")), ignorenulls=True).alias("_srow"),
+        F.first(F.when(F.col("_t") == 1, F.col("_row")), ignorenulls=True).alias("_trow"),
     )
+    types = dict((f.name, f.dataType) for f in source.schema.fields)
+
+    def cmp(side: str, name: str) -> Column:
+        c = F.col(side)[name]
+        return F.array_sort(F.map_entries(c)) if isinstance(types[name], T.MapType) else c
+
     same_vals = F.lit(True)
     for v in vals:
-        same_vals = same_vals & F.col("_srow")[v].eqNullSafe(F.col("_trow")[v])
+        same_vals = same_vals & cmp("_srow", v).eqNullSafe(cmp("_trow", v))
     change = (
         F.when((F.col("_ns") > 1) | (F.col("_nt") > 1), F.lit(DUPLICATE))
         .when(F.col("_nt") == 0, F.lit(INSERT))

@@ -93,3 +93,9 @@ def test_strategy_and_backing_tables(spark):
     }
     plan = {r["table_name"]: (r["action"], r["backup_table"]) for r in C.backup_plan(picked, "bk", "x_").collect()}
     assert plan == {"t1": ("share", None), "t2": ("backup", "bk.x_s.t2"), "t3": ("error", None)}
+
+
+def test_changes_with_map_columns(spark):
+    s = spark.createDataFrame([(1, {"a": "1", "b": "2"}), (2, {"x": "1"})], "k int, m map<string,string>")
+    t = spark.createDataFrame([(1, {"b": "2", "a": "1"}), (2, {"x": "2"})], "k int, m map<string,string>")
+    assert rows(C.snapshot_changes(s, t, ["k"]), "k", "change_type") == [(2, "update")]
