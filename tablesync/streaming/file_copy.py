@@ -97,12 +97,16 @@ def _copy_partition(src_root: str, dst_root: str):
                     tfs, tp = fs_path(target)
                     parent = tp.rsplit("/", 1)[0]
                     tfs.create_dir(parent, recursive=True)
-                    with sfs.open_input_stream(sp) as r, tfs.open_output_stream(tp) as w:
+                    # write under a temporary name, then move: a task killed
+                    # midway (lost executor) never leaves a partial target
+                    tmp = f"{parent}/.tablesync-{uuid.uuid4().hex}.tmp"
+                    with sfs.open_input_stream(sp) as r, tfs.open_output_stream(tmp) as w:
                         while True:
                             chunk = r.read(1 << 22)
                             if not chunk:
                                 break
                             w.write(chunk)
+                    tfs.move(tmp, tp)
                     out.append((path, target, int(length), mtime, "success", None))
                 except Exception as e:  # noqa: BLE001 - one bad file must not fail the batch
                     out.append((path, target, int(length), mtime, "error", str(e)[:1000]))

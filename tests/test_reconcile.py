@@ -172,3 +172,16 @@ def test_hash32_sees_nulls_alike(spark):
     t = spark.createDataFrame([(None, 1)], "a int, b int")
     assert R.missing_rows_hash32(s, t).count() == 0  # the reference's blind spot
     assert R.missing_rows(s, t).count() == 2
+
+
+def test_write_mismatches_counts_this_run(spark):
+    from tablesync.session import work_dir
+
+    path = work_dir(spark, "mismatch") + "/missing"
+    s = spark.createDataFrame([(1,), (2,)], "k int")
+    t = spark.createDataFrame([(2,), (3,)], "k int")
+    rows_ = R.missing_data_rows(R.missing_rows(s, t, with_evidence=True), "run-a", "c.s.t", "c2.s.t")
+    assert R.write_mismatches(rows_, path, "run-a") == 2
+    rows_b = R.missing_data_rows(R.missing_rows(s, s, with_evidence=True), "run-b", "c.s.t", "c2.s.t")
+    assert R.write_mismatches(rows_b, path, "run-b") == 0
+    assert R.summarize_missing(spark.read.parquet(path), "run-a").count() == 2
