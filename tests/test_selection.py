@@ -65,3 +65,11 @@ def test_listing_fixture_types(spark):
     lst = S.classify_type(X.document_listing(spark, SF001))
     kinds = {r["effective_type"] for r in lst.collect()}
     assert kinds == {"VIEW", "EXTERNAL", "MANAGED", "STREAMING_TABLE"}
+
+
+def test_catalog_listing(spark):
+    spark.range(3).createOrReplaceTempView("tablesync_tmp_view")
+    tables = S.list_tables(spark, "default")
+    assert tables.columns == ["schema_name", "table_name"]
+    assert "tablesync_tmp_view" not in [r["table_name"] for r in tables.collect()]  # temporary views hidden
+    assert "default" in [r["schema_name"] for r in S.list_schemas(spark).collect()]
