@@ -115,8 +115,19 @@ def _copy_partition(src_root: str, dst_root: str):
     return run
 
 
+def _ship_by_value() -> None:
+    """Send this module's functions to the Python workers by value, so the
+    executors need no installed copy of the package."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def copy_batch(files: DataFrame, src_root: str, dst_root: str) -> DataFrame:
     """Copy the files of a (batch) DataFrame on the executors."""
+    _ship_by_value()
     return files.select("path", "modificationTime", "length").mapInPandas(_copy_partition(src_root, dst_root), COPY_RESULT_SCHEMA)
 
 
