@@ -7,7 +7,10 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import load, work_dir
+from .decontaminate import contamination
+from .licenses import license_report
 from .pieces import round_trip
+from .shards import shard_documents
 from .tokenfiles import read_tokens, write_tokens
 from .topk import top_products
 from .unigram import token_counts
@@ -36,6 +39,40 @@ def query(name: str, oracle: str | None = None):
     return wrap
 
 
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query(
+    "op2_decontaminate",
+    f"""
+with d as (select row_number() over () as rid, doc_id, {_WORDS} as w from documents),
+b as (select coalesce(cast(item_id as varchar), '') as item, {_WORDS} as w from benchmark),
+win as (
+  select item, least(10, len(w)) as n, array_to_string(w[i : i + least(10, len(w)) - 1], ' ') as s
+  from (select *, unnest(range(1, len(w) - least(10, len(w)) + 2)) as i from b where len(w) > 0)
+),
+lens as (select distinct n from win),
+spots as (
+  select rid, n, i, array_to_string(w[i : i + n - 1], ' ') as s
+  from (select rid, w, n, unnest(range(1, len(w) - n + 2)) as i from d, lens where len(w) >= n)
+),
+hits as (select rid, spots.n, i, item from spots join (select distinct * from win) as win on spots.n = win.n and spots.s = win.s),
+words as (select rid, count(*) as n_hit from (select distinct rid, unnest(range(i, i + n)) as k from hits) group by 1),
+items as (select rid, count(*) as n_items, string_agg(item, ',' order by item) as names from (select distinct rid, item from hits) group by 1)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
+       cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join words using (rid) left join items using (rid)
+""",
+)
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    return contamination(load(spark, sf, "documents"), load(spark, sf, "benchmark"))
+
+
+@query("op3_licenses")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    return license_report(load(spark, sf, "documents"))
+
+
 @query("op4_sentencepiece")
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return round_trip(load(spark, sf, "documents"), vocabulary("piece_bpe_32k.model"))
@@ -73,3 +110,8 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
 @query("op8_token_counts")
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts(load(spark, sf, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+@query("op9_shards")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    return shard_documents(load(spark, sf, "documents"), 40)
