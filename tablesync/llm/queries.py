@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import load, work_dir
 from .decontaminate import contamination
 from .licenses import license_report
+from .linededup import line_report
 from .pieces import round_trip
 from .shards import shard_documents
 from .tokenfiles import read_tokens, write_tokens
@@ -78,6 +79,11 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
     return round_trip(load(spark, sf, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+@query("op5_line_dedup")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return line_report(load(spark, sf, "documents"))
+
+
 @query(
     "op6_top_products",
     """
