@@ -11,6 +11,7 @@ from .decontaminate import contamination
 from .licenses import license_report
 from .linededup import line_report
 from .pieces import round_trip
+from .quality import quality_report
 from .shards import shard_documents
 from .tokenfiles import read_tokens, write_tokens
 from .topk import top_products
@@ -121,3 +122,8 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
 @query("op9_shards")
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     return shard_documents(load(spark, sf, "documents"), 40)
+
+
+@query("op10_quality")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_report(load(spark, sf, "documents"), load(spark, sf, "labels"))
