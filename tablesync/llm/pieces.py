@@ -267,3 +267,25 @@ def round_trip(docs: DataFrame, model_path: str, key: str = "doc_id", text: str
 
     df = docs.select(key, F.col(text).cast("string").alias("text"))
     return df.mapInArrow(work, f"`{key}` {df.schema[0].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def with_pieces(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
+    """``docs`` with ``ids``, ``n_tokens`` and ``decoded`` (the text that the ids
+    give) of every whole text; columns of these names are replaced."""
+    proto = model_bytes(docs, model_path)
+    docs = docs.drop("ids", "n_tokens", "decoded").withColumn(text, F.col(text).cast("string"))
+    at = docs.columns.index(text)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = _worker(proto)
+        for b in batches:
+            for lo in range(0, b.num_rows, 512):
+                part = b.slice(lo, 512)
+                ids = [m.encode(t or "") for t in part.column(at).to_pylist()]
+                decoded = pa.array([m.decode(x) for x in ids], pa.string())
+                off = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+                flat = np.fromiter((i for x in ids for i in x), np.int32, int(off[-1]))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(off, flat), pa.array(np.diff(off).astype(np.int64)), decoded], names=[*part.schema.names, "ids", "n_tokens", "decoded"])
+
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields] + ["ids array<int>", "n_tokens long", "decoded string"])
+    return docs.mapInArrow(work, schema)

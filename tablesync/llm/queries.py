@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import load, work_dir
 from .decontaminate import contamination
+from .jaccard import jaccard_report
 from .licenses import license_report
 from .linededup import line_report
 from .pieces import round_trip
@@ -41,6 +42,11 @@ def query(name: str, oracle: str | None = None):
     return wrap
 
 
+@query("op1_ngram_jaccard")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_report(load(spark, sf, "documents"))
+
+
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 
