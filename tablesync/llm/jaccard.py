@@ -67,7 +67,7 @@ def _set_key(s: np.ndarray) -> tuple[int, int]:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """Of every row (``doc_id``, ``text``): ``ih`` (hash of the id), key of its set, size, sampled tokens."""
+    """Of every row (``doc_id``, ``text``): ``ih`` and ``th`` (hashes of id and text), key of its set, size, sampled tokens."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,7 +77,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 part = b.slice(start, 1024)
                 k1, k2, size, tokens = [], [], [], np.zeros((part.num_rows, TOKENS), np.uint64)
                 with np.errstate(over="ignore"):
-                    for r, s in _sets(part.column(2)):
+                    for r, s in _sets(part.column(3)):
                         a, z = _set_key(s)
                         k1.append(a)
                         k2.append(z)
@@ -86,10 +86,10 @@ def signatures(docs: DataFrame) -> DataFrame:
                             low = ((s[lo : lo + 4096] ^ seed[:, None]) * odd[:, None]).min(axis=1)
                             tokens[r] = np.minimum(tokens[r], low) if lo else low
                 lists = pa.ListArray.from_arrays(np.arange(0, part.num_rows * TOKENS + 1, TOKENS, dtype=np.int32), pa.array(tokens.ravel().view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(size, pa.int32()), lists], names=["doc_id", "ih", "k1", "k2", "size", "tokens"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(size, pa.int32()), lists], names=["doc_id", "ih", "th", "k1", "k2", "size", "tokens"])
 
-    rows = docs.select("doc_id", F.xxhash64("doc_id").alias("ih"), "text")
-    return rows.mapInArrow(work, f"doc_id {kind}, ih long, k1 long, k2 long, size int, tokens array<long>")
+    rows = docs.select("doc_id", F.xxhash64("doc_id").alias("ih"), F.xxhash64("text").alias("th"), "text")
+    return rows.mapInArrow(work, f"doc_id {kind}, ih long, th long, k1 long, k2 long, size int, tokens array<long>")
 
 
 def _leaves(classes: DataFrame) -> DataFrame:
@@ -216,7 +216,7 @@ def _compare_texts(rows: pa.Table) -> list[tuple[int, int, int]]:
 
 
 def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: ``doc_id``, ``ih``, ``size`` (shingles), ``class_id`` (smallest id of
+    """Per row: ``doc_id``, ``ih``, ``th``, ``size`` (shingles), ``class_id`` (smallest id of
     its class), ``class_key`` (the same for all rows of a class) and ``n_links``
     (other rows at or above the threshold)."""
     docs = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
@@ -245,9 +245,9 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     known = known.select("k1", "k2", "first_id", F.coalesce("root", "class").alias("class_key"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     named = known.groupBy("class_key").agg(F.min("first_id").alias("class_id"))
     known = known.drop("first_id").join(named, "class_key")
-    out = rows.filter("size > 0").join(known, ["k1", "k2"]).select("doc_id", "ih", "size", "class_id", "class_key", "n_links")
+    out = rows.filter("size > 0").join(known, ["k1", "k2"]).select("doc_id", "ih", "th", "size", "class_id", "class_key", "n_links")
     # without shingles: each a class of its own, by a key that no class has
-    alone = rows.filter("size = 0").select("doc_id", "ih", "size", F.col("doc_id").alias("class_id"), (-1 - F.monotonically_increasing_id()).alias("class_key"), F.lit(0).cast("long").alias("n_links"))
+    alone = rows.filter("size = 0").select("doc_id", "ih", "th", "size", F.col("doc_id").alias("class_id"), (-1 - F.monotonically_increasing_id()).alias("class_key"), F.lit(0).cast("long").alias("n_links"))
     return out.unionByName(alone)
 
 
