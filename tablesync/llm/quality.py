@@ -106,8 +106,8 @@ def train(texts: DataFrame) -> DataFrame:
         grams = grams.unionByName(other)
     counts = [F.sum(F.when(F.col("n") == i, 1).otherwise(0)).cast("double").alias(f"n{i}") for i in (1, 2, 3, 4)]
     y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
-    # where counts of counts are missing (tiny corpora), 0.5, 1 and 1.5
-    cuts = [F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(float(i)), i - (i + 1) * y * F.col(f"n{i + 1}") / F.nullif(F.col(f"n{i}"), F.lit(0.0)))), F.lit(i / 2)) for i in (1, 2, 3)]
+    # where counts of counts are missing (tiny corpora), 0.5, 1 and 1.5; 0.1 at least, so that every text has a chance
+    cuts = [F.coalesce(F.greatest(F.lit(0.1), F.least(F.lit(float(i)), i - (i + 1) * y * F.col(f"n{i + 1}") / F.nullif(F.col(f"n{i}"), F.lit(0.0)))), F.lit(i / 2)) for i in (1, 2, 3)]
     discounts = grams.groupBy("lang", "len").agg(*counts).select("lang", "len", *[c.alias(f"d{i}") for i, c in enumerate(cuts, 1)])
     cut = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
     # a row a language and order
