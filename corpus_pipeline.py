@@ -50,12 +50,11 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each class, with the smallest id (of several texts of that id
     the one with the least hash); rows without words all stay."""
     classes = jaccard_classes(docs).filter("size > 0").filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    one = classes.groupBy("class_key").agg(F.min(F.struct("ih", "th")).alias("one")).select("one.*").distinct()
+    one = classes.groupBy("class_key").agg(F.min(F.struct("ih", "th")).alias("one")).distinct().select(F.col("one.ih").alias("kept id"), F.col("one.th").alias("kept text"))
     wordless = ~F.coalesce(F.col("text").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"), F.lit(False))
-    held = docs.withColumns({"__ih": F.xxhash64("doc_id"), "__th": F.xxhash64("text"), "__empty": wordless})
-    one = one.select(F.col("ih").alias("__ih"), F.col("th").alias("__th"))
-    chosen = held.filter("not __empty").join(one, ["__ih", "__th"], "left_semi").dropDuplicates(["__ih", "__th"])
-    return chosen.select(*docs.columns).unionByName(held.filter("__empty").select(*docs.columns))
+    is_kept = (F.xxhash64("doc_id") == F.col("kept id")) & (F.xxhash64("text") == F.col("kept text"))
+    chosen = docs.filter(~wordless).join(one, is_kept, "left_semi").dropDuplicates(["doc_id", "text"])
+    return chosen.unionByName(docs.filter(wordless))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -32,10 +32,11 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 def partitions_for(df: DataFrame, part_bytes: int) -> int:
     """A number of partitions of about ``part_bytes`` each by the optimizer's
-    estimate, at least the session's shuffle partitions.  Results never depend on it."""
+    estimate, at least the session's shuffle partitions, and just these where the
+    optimizer can't tell (tables from memory).  Results never depend on it."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, min(100_000, -(-size // part_bytes)))
+    return max(least, min(100_000, -(-size // part_bytes))) if size < 1 << 60 else least
 
 
 def worker_cache(name: str, make: Callable[[], object]) -> object:

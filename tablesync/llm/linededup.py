@@ -94,9 +94,13 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """``docs`` with its text less the repeated chunks, and the columns
     ``n_lines``, ``n_chunks`` and ``n_removed`` (lines) in ``line_dedup``, a struct
     (a column of that name is replaced)."""
-    said = F.col(text).cast("string")
     docs = docs.drop("line_dedup")
-    held = docs.withColumns({"__id": F.col(key), "__text": said, "__th": F.xxhash64(said)})
+    names = docs.columns
+    said, ident = f"_{names.index(text)}", f"_{names.index(key)}"
+    # by number, so that no name of the input clashes with one used here
+    held = docs.toDF(*[f"_{i}" for i in range(len(names))]).withColumn(said, F.col(said).cast("string"))
+    columns = held.columns
+    held = held.withColumns({"__id": F.col(ident), "__text": F.col(said), "__th": F.xxhash64(said)})
     groups = _chunk_rows(held, True).groupBy("h1", "h2", "chunk").agg(
         F.count("*").alias("n"), F.min("doc_id").alias("keeper"), F.count("doc_id").alias("named")
     )
@@ -107,15 +111,15 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     # rows of one id and text are alike, so their lists are too; the id goes by its hash as it may be null
     gone = gone.groupBy(F.xxhash64("doc_id").alias("__ih"), F.col("th").alias("__th")).agg(F.collect_set(F.struct("h1", "h2")).alias("__gone"))
     held = held.withColumn("__ih", F.xxhash64("__id")).join(gone, ["__ih", "__th"], "left")
-    at, out = held.columns.index("__text"), held.columns.index("__gone")
+    held = held.select(*columns, "__gone")
+    at, out = columns.index(said), len(columns)
     kind = "struct<n_lines:int,n_chunks:int,n_removed:int>"
-    columns = [c for c in docs.columns if c != text]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, counts = [], []
-            for said, gone in zip(b.column(at).to_pylist(), b.column(out).to_pylist()):
-                chunks = chunks_of(said) if said is not None else []
+            for whole, gone in zip(b.column(at).to_pylist(), b.column(out).to_pylist()):
+                chunks = chunks_of(whole) if whole is not None else []
                 drop, kept, removed = {(g["h1"], g["h2"]) for g in gone or ()}, [], 0
                 for c in chunks:
                     h = _key("\n".join(c)) if _counted(c) else None
@@ -125,12 +129,15 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
                         kept += c
                         if h is not None:
                             drop.add(h)  # here once is enough
-                texts.append("\n".join(kept) if said is not None else None)
+                texts.append("\n".join(kept) if whole is not None else None)
                 counts.append({"n_lines": sum(map(len, chunks)), "n_chunks": len(chunks), "n_removed": removed})
-            yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index(c)) for c in columns] + [pa.array(texts, pa.string()), pa.array(counts, pa.struct([(n, pa.int32()) for n in ("n_lines", "n_chunks", "n_removed")]))], names=[*columns, text, "line_dedup"])
+            made = b.columns[:out]
+            made[at] = pa.array(texts, pa.string())
+            counted = pa.array(counts, pa.struct([(n, pa.int32()) for n in ("n_lines", "n_chunks", "n_removed")]))
+            yield pa.RecordBatch.from_arrays([*made, counted], names=[*columns, "line_dedup"])
 
-    schema = ", ".join([f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns] + [f"`{text}` string", f"line_dedup {kind}"])
-    return held.mapInArrow(work, schema).select(*docs.columns, "line_dedup")
+    schema = ", ".join([f"{c} {held.schema[c].dataType.simpleString()}" for c in columns] + [f"line_dedup {kind}"])
+    return held.mapInArrow(work, schema).toDF(*names, "line_dedup")
 
 
 def line_report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

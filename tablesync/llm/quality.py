@@ -214,8 +214,8 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
 def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """``docs`` without the rows that the classifier rejects."""
-    bad = score(docs, labels, key, text, lang).filter("not keep").select(F.col("doc_id").alias("__id"), F.col("th").alias("__th")).distinct()
-    same = F.col(key).eqNullSafe(F.col("__id")) & F.xxhash64(F.col(text).cast("string")).eqNullSafe(F.col("__th"))
+    bad = score(docs, labels, key, text, lang).filter("not keep").select(F.col("doc_id").alias("rejected id"), F.col("th").alias("rejected text")).distinct()
+    same = F.col(key).eqNullSafe(F.col("rejected id")) & F.xxhash64(F.col(text).cast("string")).eqNullSafe(F.col("rejected text"))
     return docs.join(bad, same, "left_anti")
 
 

@@ -17,7 +17,8 @@ scores come from the longest vectors.  Tasks return at most k rows a query.
 Defined cases: rows with a null id, a null vector, or a null or non-finite
 component take no part; vectors of other dimensions than the query's are no
 candidates; rows with the query's own id are not its candidates; other
-repeated rows are candidates of their own; scores must fit in 64 bits; other
+repeated rows are candidates of their own; a repeated query (id and vector) is
+asked once; scores must fit in 64 bits; other
 columns are ignored.
 """
 
@@ -82,7 +83,7 @@ class Best:
 def _search(ids: np.ndarray, v: np.ndarray, norm: np.ndarray, qid: np.ndarray, q: np.ndarray, qnorm: np.ndarray, floor: np.ndarray, best: Best) -> None:
     """Hold rows sorted by falling length against all queries of a block."""
     lo = 0
-    strongest = np.abs(q).argmax(axis=1)
+    strongest = np.abs(q).argmax(axis=1) if q.shape[1] else np.zeros(len(q), np.int64)
     while lo < len(ids):
         m = norm[lo]
         hi = len(ids) if m == 0 else lo + int(np.searchsorted(-norm[lo:], -m * RATIO, "right"))
