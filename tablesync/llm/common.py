@@ -30,13 +30,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def partitions_for(df: DataFrame, part_bytes: int) -> int:
+def partitions_for(df: DataFrame, part_bytes: int, least: int | None = None) -> int:
     """A number of partitions of about ``part_bytes`` each by the optimizer's
-    estimate, at least the session's shuffle partitions, and just these where the
-    optimizer can't tell (tables from memory).  Results never depend on it."""
+    estimate, at least ``least`` (by default the session's shuffle partitions), and
+    these partitions where the optimizer can't tell (tables from memory).  Results never depend on it."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, min(100_000, -(-size // part_bytes))) if size < 1 << 60 else least
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least or usual, min(100_000, -(-size // part_bytes))) if size < 1 << 60 else usual
 
 
 def worker_cache(name: str, make: Callable[[], object]) -> object:

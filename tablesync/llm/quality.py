@@ -142,8 +142,7 @@ def _requests(docs: DataFrame) -> DataFrame:
             keys = np.concatenate(parts)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), number, np.int32)), pa.array([lang] * len(keys), pa.string()), pa.array(keys)], names=["block", "lang", "key"])
 
-    found = docs.mapInArrow(work, "block int, lang string, key long")
-    return found.distinct()
+    return docs.mapInArrow(work, "block int, lang string, key long")  # a block is in one task, so no row comes twice
 
 
 def _score_block(docs: pa.Table, model: pa.Table) -> pa.Table:
@@ -198,7 +197,7 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     held = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"), F.coalesce(said, F.lit("")).alias("text"), F.xxhash64(said).alias("th"))
     held = held.join(good, "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
     model = train(held.filter("trusted and text != ''"))
-    blocks = partitions_for(docs, BLOCK_BYTES)
+    blocks = partitions_for(docs, BLOCK_BYTES, 8)
     dealt = held.withColumn("block", F.pmod(F.xxhash64("doc_id", "th"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
     found = _requests(dealt).join(model, ["lang", "key"]).select("block", "lang", "key", "alpha", "gamma")
     scored = dealt.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_score_block, f"doc_id {kind}, th long, lang string, trusted boolean, loss double, least_loss double")
