@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from typing import Iterable, Sequence
+from typing import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,28 +19,36 @@ def _has_map(dt: T.DataType) -> bool:
     return False
 
 
-def comparable(df: DataFrame, name: str) -> Column:
-    """A version of column ``name`` usable as a grouping / join key.
+def _canonical(c: Column, dt: T.DataType) -> Column:
+    """Maps at any depth as sorted entry arrays: equal exactly when the values are."""
+    if not _has_map(dt):
+        return c
+    if isinstance(dt, T.MapType):
+        return F.array_sort(F.transform(F.map_entries(c), lambda e: F.struct(_canonical(e["key"], dt.keyType).alias("key"), _canonical(e["value"], dt.valueType).alias("value"))))
+    if isinstance(dt, T.ArrayType):
+        return F.transform(c, lambda e: _canonical(e, dt.elementType))
+    return F.when(c.isNotNull(), F.struct(*[_canonical(c[f.name], f.dataType).alias(f.name) for f in dt.fields]))
 
-    Spark cannot group or hash on MAP values; a map is compared as its sorted
-    entry array, which is equal exactly when the maps are equal.  Other types
-    are used as they are (Spark normalises -0.0 / NaN in keys).
-    """
-    dt = df.schema[name].dataType
-    c = F.col(f"`{name}`")
+
+def original(c: Column, dt: T.DataType) -> Column:
+    """A value of :func:`comparable` in its own type again."""
+    if not _has_map(dt):
+        return c
     if isinstance(dt, T.MapType):
-        return F.array_sort(F.map_entries(c)).alias(name)
-    if _has_map(dt):
-        # nested maps: compare through their JSON text, which is canonical
-        # for a given value up to key order inside maps; sort-free but exact
-        # for maps built in the same order.
-        return F.to_json(c).alias(name)
-    return c.alias(name)
+        return F.map_from_entries(F.transform(c, lambda e: F.struct(original(e["key"], dt.keyType).alias("key"), original(e["value"], dt.valueType).alias("value"))))
+    if isinstance(dt, T.ArrayType):
+        return F.transform(c, lambda e: original(e, dt.elementType))
+    return F.when(c.isNotNull(), F.struct(*[original(c[f.name], f.dataType).alias(f.name) for f in dt.fields]))
+
 
+def comparable(df: DataFrame, name: str) -> Column:
+    """A version of column ``name`` usable as a grouping / join key.
 
-def null_safe_equal(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    """AND of ``left.c <=> right.c``; Catalyst turns this into equi-join keys."""
-    return reduce(lambda a, b: a & b, [left[f"`{c}`"].eqNullSafe(right[f"`{c}`"]) for c in cols])
+    Spark cannot group or hash on MAP values; maps at any depth are compared as
+    their sorted entries.  Other types are used as they are (Spark normalises
+    -0.0 / NaN in keys).
+    """
+    return _canonical(F.col(f"`{name}`"), df.schema[name].dataType).alias(name)
 
 
 def evidence_map(cols: Iterable[str]) -> Column:
@@ -59,15 +66,3 @@ def map_as_text(m: Column, sep: str = ";") -> Column:
         lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit("NULL"))),
     )
     return F.array_join(F.array_sort(entries), sep)
-
-
-def row_digest(cols: Sequence[str]) -> Column:
-    """64-bit digest of a row that tells ``(1, null)`` from ``(null, 1)``.
-
-    Spark hashes skip nulls, so each value is paired with its null flag.
-    Used only as a partitioning aid; equality is always decided on values.
-    """
-    args = []
-    for c in cols:
-        args += [F.col(f"`{c}`"), F.col(f"`{c}`").isNull()]
-    return F.xxhash64(*args)

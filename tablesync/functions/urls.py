@@ -7,7 +7,7 @@ mapping tables go through :func:`tablesync.operators.metadata.remap_url_table`.
 
 from __future__ import annotations
 
-from typing import Sequence, Tuple
+from typing import Optional, Sequence, Tuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -34,7 +34,7 @@ def remap_url(url: Column, mapping: Mapping) -> Column:
     for src, tgt in reversed(ordered):
         s = _norm(src).lower()
         bare = s.rstrip("/")
-        tail = F.substring(url, len(s) + 1, 1 << 30)
+        tail = F.substr(url, F.lit(len(s) + 1))
         hit = lower.startswith(s)
         exact = lower == F.lit(bare)
         mapped = F.when(hit, F.concat(F.lit(_norm(tgt)), tail)).when(exact, F.lit(tgt))
@@ -42,6 +42,17 @@ def remap_url(url: Column, mapping: Mapping) -> Column:
     return expr
 
 
+def remapped(url: str, mapping: Mapping) -> Optional[str]:
+    """:func:`remap_url` of one known URL, without a Spark job."""
+    for src, tgt in sorted(mapping, key=lambda kv: len(kv[0].rstrip("/")), reverse=True):
+        s = _norm(src)
+        if url.lower().startswith(s.lower()):
+            return _norm(tgt) + url[len(s):]
+        if url.lower() == s.rstrip("/").lower():
+            return tgt
+    return None
+
+
 def replace_url(text: Column, mapping: Mapping, first_only: bool = True) -> Column:
     """Replace source URLs inside free text by their targets, ignoring case.
 

@@ -48,20 +48,21 @@ def tag_plan(source: DataFrame, target: DataFrame, keys: Sequence[str], overwrit
     overwrite: final tags = source tags (set differing / new, unset
     target-only, keep equal).  keep mode: source adds only names the target
     lacks; the target value wins on a shared name, nothing is unset.
-    Values are compared trimmed; null values count as absent.
+    Values are compared trimmed.  A source tag without value counts as absent;
+    a target tag without value is there, and is unset like others.
     Output: keys, tag_name, action, tag_value (the value after the change).
     """
     k = list(keys) + ["tag_name"]
     s = source.where(F.col("tag_value").isNotNull()).select(*k, F.trim("tag_value").alias("_sv")).groupBy(*k).agg(F.max("_sv").alias("_sv"))
-    t = target.where(F.col("tag_value").isNotNull()).select(*k, F.trim("tag_value").alias("_tv")).groupBy(*k).agg(F.max("_tv").alias("_tv"))
+    t = target.select(*k, F.trim("tag_value").alias("_tv")).groupBy(*k).agg(F.max("_tv").alias("_tv"), F.lit(True).alias("_there"))
     j = s.join(t, on=k, how="full_outer")
-    in_s, in_t = F.col("_sv").isNotNull(), F.col("_tv").isNotNull()
+    in_s, in_t = F.col("_sv").isNotNull(), F.col("_there").isNotNull()
     if overwrite:
-        action = F.when(in_s & in_t & (F.col("_sv") == F.col("_tv")), F.lit(KEEP)).when(in_s, F.lit(SET)).otherwise(F.lit(UNSET))
+        action = F.when(in_s & F.coalesce(F.col("_sv") == F.col("_tv"), F.lit(False)), F.lit(KEEP)).when(in_s, F.lit(SET)).otherwise(F.lit(UNSET))
         value = F.when(in_s, F.col("_sv"))
     else:
         action = F.when(in_t, F.lit(KEEP)).otherwise(F.lit(SET))
-        value = F.coalesce(F.col("_tv"), F.col("_sv"))
+        value = F.when(in_t, F.col("_tv")).otherwise(F.col("_sv"))
     return j.select(*k, action.alias("action"), value.alias("tag_value"))
 
 
@@ -209,9 +210,18 @@ def grant_plan(source: DataFrame, target: DataFrame, hard_sync: bool = False) ->
 UUID_RE = r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 
 
-def looks_like_sp_uuid(c: Column) -> Column:
-    """36-char lower-case UUID without ``@`` (service principal id)."""
-    return F.coalesce((F.length(c) == 36) & ~c.contains("@") & c.rlike(UUID_RE), F.lit(False))
+def is_application_id(c: Column) -> Column:
+    """Whether a principal is a service principal's id: a lower-case UUID."""
+    return F.coalesce(c.rlike(UUID_RE), F.lit(False))
+
+
+def _left_by(rows: DataFrame, names: DataFrame, key: str) -> DataFrame:
+    """Left join on a key that most rows lack.  A null key is replaced by the
+    row's own principal under a mark no name starts with, so that rows
+    without key are spread over all tasks instead of meeting in one."""
+    spread = F.coalesce(F.col(key), F.concat(F.lit("\u0000"), F.col("_p")))
+    joined = rows.withColumn("_at", spread).join(names.withColumnRenamed(key, "_at"), "_at", "left")
+    return joined.drop("_at")
 
 
 def map_principals(principals: DataFrame, mapping: DataFrame, source_dir: DataFrame, target_dir: DataFrame, col: str = "principal") -> DataFrame:
@@ -236,17 +246,17 @@ def map_principals(principals: DataFrame, mapping: DataFrame, source_dir: DataFr
     m1 = mapping.select(F.col("src").alias("_p"), F.col("dst").alias("_m1"))
     sd = source_dir.select(F.col("app_id").alias("_p"), F.col("display_name").alias("_sname"))
     m2 = mapping.select(F.col("src").alias("_sname"), F.col("dst").alias("_m2"))
-    r = p.join(m1, "_p", "left").join(sd, "_p", "left").join(m2, "_sname", "left")
+    r = _left_by(p.join(m1, "_p", "left").join(sd, "_p", "left"), m2, "_sname")
     td = target_dir.select(F.col("display_name").alias("_n"), F.col("app_id").alias("_id"))
 
     def resolve(r: DataFrame, value: str, out: str) -> DataFrame:
-        r = r.join(td.withColumnRenamed("_n", value).withColumnRenamed("_id", out + "_id"), value, "left")
-        return r.withColumn(out, F.when(F.col(value).isNull() | looks_like_sp_uuid(F.col(value)), F.col(value)).otherwise(F.coalesce(F.col(out + "_id"), F.col(value))))
+        r = _left_by(r, td.withColumnRenamed("_n", value).withColumnRenamed("_id", out + "_id"), value)
+        return r.withColumn(out, F.when(F.col(value).isNull() | is_application_id(F.col(value)), F.col(value)).otherwise(F.coalesce(F.col(out + "_id"), F.col(value))))
 
     r = resolve(r, "_m1", "_r1")
     r = resolve(r, "_m2", "_r2")
-    r = r.join(td.withColumnRenamed("_n", "_sname").withColumnRenamed("_id", "_same"), "_sname", "left")
-    is_sp = looks_like_sp_uuid(F.col("_p"))
+    r = _left_by(r, td.withColumnRenamed("_n", "_sname").withColumnRenamed("_id", "_same"), "_sname")
+    is_sp = is_application_id(F.col("_p"))
     mapped = (
         F.when(F.col("_m1").isNotNull(), F.col("_r1"))
         .when(is_sp & F.col("_sname").isNotNull() & F.col("_m2").isNotNull(), F.col("_r2"))
@@ -257,9 +267,8 @@ def map_principals(principals: DataFrame, mapping: DataFrame, source_dir: DataFr
     reason = F.when(
         skipped,
         F.concat(
-            F.lit("source SP "), F.col("_p"),
-            F.when(F.col("_sname").isNotNull(), F.concat(F.lit(" (display_name="), F.col("_sname"), F.lit(")"))).otherwise(F.lit(" (source display_name unresolved)")),
-            F.lit(" has no matching principal on target"),
+            F.lit("no target principal for application "), F.col("_p"),
+            F.when(F.col("_sname").isNotNull(), F.concat(F.lit(", named "), F.col("_sname"))).otherwise(F.lit(", whose name is unknown")),
         ),
     )
     resolved = r.select(F.col("_p").alias(col), mapped.alias("target_principal"), skipped.alias("skipped"), reason.alias("skip_reason"))
@@ -292,10 +301,12 @@ def remap_url_table(df: DataFrame, key: Sequence[str], url_col: str, mapping: Da
         F.col("dst").alias("_dst"),
     ).groupBy("_pre").agg(F.min("_dst").alias("_dst"))
     parts = F.split(F.col(url_col), "/")
-    prefixes = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.concat(F.array_join(F.slice(parts, 1, i), "/"), F.lit("/")))
+    # from the host on: every URL shares its scheme with most others
+    host = F.when(F.element_at(parts, 1).endswith(":") & (F.size(parts) > 2), 3).otherwise(1)
+    prefixes = F.transform(F.sequence(host, F.size(parts)), lambda i: F.concat(F.array_join(F.slice(parts, 1, i), "/"), F.lit("/")))
     cand = df.select(*key, F.col(url_col).alias("_u"), F.explode(prefixes).alias("_cp")).withColumn("_pre", F.lower("_cp"))
     hits = cand.join(m, "_pre", "inner")
-    tail = F.substring(F.col("_u"), F.length("_pre") + 1, 1 << 30)
+    tail = F.substr(F.col("_u"), F.length("_pre") + 1)
     mapped = F.when(tail == "", F.col("_dst")).otherwise(F.concat(F.regexp_replace("_dst", "/+$", ""), F.lit("/"), F.regexp_replace(tail, "^/+", "")))
     best = hits.groupBy(*key).agg(F.max_by(mapped, F.length("_pre")).alias(out_col))
     return df.join(best, on=list(key), how="left")
@@ -319,45 +330,46 @@ def property_plan(source: DataFrame, target: DataFrame, whitelist: Sequence[str]
             "_sp",
             F.when(F.col("_sp")["location"].isNotNull(), F.map_concat(F.map_filter("_sp", lambda k, v: k != "location"), F.create_map(F.lit("location"), F.coalesce(remap_url(F.col("_sp")["location"], location_map), F.col("_sp")["location"])))).otherwise(F.col("_sp")),
         )
-    t = target.select(key, F.map_filter("properties", lambda k, v: F.array_contains(wl, k)).alias("_tp"))
+    t = target.select(key, F.map_filter("properties", lambda k, v: F.array_contains(wl, k)).alias("_tp"), F.lit(True).alias("_there"))
     j = s.join(t, key, "left")
     canon = lambda c: F.array_sort(F.map_entries(F.col(c)))
-    action = F.when(F.col("_tp").isNull(), F.lit("create")).when(canon("_sp") == canon("_tp"), F.lit("noop")).otherwise(F.lit("update"))
+    action = F.when(F.col("_there").isNull(), F.lit("create")).when(canon("_sp").eqNullSafe(canon("_tp")), F.lit("noop")).otherwise(F.lit("update"))
     return j.select(key, action.alias("action"), F.col("_sp").alias("properties"))
 
 
 # ------------------------------------------------------------------ M13
-# Pattern of the LOCATION clause removed from external DDL
+# the clause removed from external DDL
 LOCATION_CLAUSE = r"""(?i)\bLOCATION\s*('[^']*'|"[^"]*")"""
 
 
+# one part of a name, quoted or not, and the header up to the end of the name
+_NAME_PART = r"(?:`(?:[^`]|``)+`|[^\s.(`]+)"
+DDL_HEADER = rf"(?i)^\s*CREATE\s+(?:OR\s+(?:REPLACE|REFRESH)\s+)?(?:EXTERNAL\s+|MATERIALIZED\s+|STREAMING\s+)?(?:TABLE|VIEW)\s+(?:IF\s+NOT\s+EXISTS\s+)?{_NAME_PART}(?:\.{_NAME_PART})*"
+
+
 def rewrite_ddl(df: DataFrame, ddl_col: str, kind_col: str, target_col: str, replace: bool = True,
                 as_managed: Optional[Column] = None, url_map: Optional[Sequence[tuple[str, str]]] = None) -> DataFrame:
     """Re-point ``SHOW CREATE TABLE`` text at a target name.
 
-    The header (for tables: everything before the first ``(``; for views:
-    before the first ``(`` or `` AS ``, whichever is first) becomes
-    ``CREATE [OR REPLACE] <KIND> <target> `` or ``CREATE <KIND> IF NOT
-    EXISTS <target> ``.  External tables lose their ``LOCATION`` clause when
+    The header (``CREATE``, kind and name, over any white space) becomes
+    ``CREATE [OR REPLACE] <KIND> <target>`` or ``CREATE <KIND> IF NOT EXISTS
+    <target>``; all that follows the name stays as it is, whatever it says.
+    Text that doesn't start so is left alone.  External tables lose their ``LOCATION`` clause when
     copied as managed, else their URLs are remapped.  Output column
     ``target_ddl``.
     """
     from tablesync.functions.urls import replace_url
 
     ddl, kind = F.col(ddl_col), F.upper(F.col(kind_col))
-    paren = F.instr(ddl, "(")
-    as_pos = F.instr(F.upper(ddl), " AS ")
     is_view = kind == "VIEW"
-    cut_view = F.when((paren == 0) | ((as_pos > 0) & (as_pos < paren)), as_pos + 1).otherwise(paren)
-    cut = F.when(is_view, cut_view).otherwise(paren)
+    old = F.regexp_substr(ddl, F.lit(DDL_HEADER))
     word = F.when(is_view, F.lit("VIEW")).when(kind == "MATERIALIZED_VIEW", F.lit("MATERIALIZED VIEW")).when(kind == "STREAMING_TABLE", F.lit("STREAMING TABLE")).otherwise(F.lit("TABLE"))
     header = (
-        F.concat(F.lit("CREATE OR REPLACE "), word, F.lit(" "), F.col(target_col), F.lit(" "))
+        F.concat(F.lit("CREATE OR REPLACE "), word, F.lit(" "), F.col(target_col))
         if replace
-        else F.concat(F.lit("CREATE "), word, F.lit(" IF NOT EXISTS "), F.col(target_col), F.lit(" "))
+        else F.concat(F.lit("CREATE "), word, F.lit(" IF NOT EXISTS "), F.col(target_col))
     )
-    body = F.substring(ddl, cut, 1 << 30)
-    out = F.when(cut > 0, F.concat(header, body)).otherwise(ddl)
+    out = F.when(old.isNotNull(), F.concat(header, F.substr(ddl, F.length(old) + 1))).otherwise(ddl)
     ext = kind == "EXTERNAL"
     if as_managed is not None:
         stripped = F.regexp_replace(out, LOCATION_CLAUSE, "")
@@ -374,6 +386,9 @@ def apply_facts(target: DataFrame, plan: DataFrame, keys: Sequence[str], value_c
     value, unset rows disappear, untouched target facts stay."""
     k = list(keys)
     touched = plan.select(*k).distinct()
-    untouched = target.join(touched, on=k, how="left_anti").select(*k, value_col)
+    same = F.lit(True)
+    for c in k:
+        same = same & target[c].eqNullSafe(touched[c])
+    untouched = target.join(touched, same, "left_anti").select(*k, value_col)
     final = plan.where(F.col("action").isin(KEEP, SET, CLEAR)).select(*k, F.col(value_col))
     return untouched.unionByName(final)

@@ -21,11 +21,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Iterable, Optional, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesync.functions.columns import comparable, evidence_map
+from tablesync.functions.columns import comparable, evidence_map, original
 
 MISSING_IN_TARGET = "missing_in_target"
 MISSING_IN_SOURCE = "missing_in_source"
@@ -88,23 +88,18 @@ def presence(
 def expand_counts(df: DataFrame, count_col: str, chunk: int = EXPAND_CHUNK) -> DataFrame:
     """Repeat each row ``count_col`` times, keeping every task bounded.
 
-    Rows with a small count are expanded in place.  Rows with a large count
-    are first cut into chunks of at most ``chunk`` copies; the chunk rows are
-    spread round-robin over the shuffle partitions and expanded there, so a
-    value repeated a billion times is produced by many tasks.
+    A row becomes one piece for each ``chunk`` copies (nearly always one
+    piece), the pieces are spread over the tasks by AQE's rebalance, and each
+    piece is repeated where it lands, so a value repeated a billion times is
+    produced by many tasks.
     """
     n = F.col(count_col)
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    small = df.where(n <= chunk).withColumn("_rep", F.explode(F.array_repeat(F.lit(True), n.cast("int")))).drop("_rep")
-    big = (
-        df.where(n > chunk)
-        .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), ((n - 1) / chunk).cast("bigint"))))
-        .withColumn("_k", F.least(F.lit(chunk).cast("bigint"), n - F.col("_chunk") * chunk))
-        .repartition(parts)  # round-robin: the chunks of one hot value go to many tasks
-        .withColumn("_rep", F.explode(F.array_repeat(F.lit(True), F.col("_k").cast("int"))))
-        .drop("_rep", "_chunk", "_k")
+    pieces = (
+        df.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), ((n - 1) / chunk).cast("bigint"))))
+        .withColumn("_k", F.least(F.lit(chunk).cast("bigint"), n - F.col("_chunk") * chunk).cast("int"))
+        .hint("rebalance")
     )
-    return small.unionByName(big)
+    return pieces.withColumn("_rep", F.explode(F.array_repeat(F.lit(True), F.col("_k")))).drop("_rep", "_chunk", "_k")
 
 
 def missing_rows(
@@ -129,6 +124,8 @@ def missing_rows(
         F.greatest("source_count", "target_count").alias("_n"),
     )
     out = expand_counts(one_sided, "_n").drop("_n")
+    types = {c: source.schema[c].dataType for c in cols}
+    out = out.select("issue_type", *[original(F.col(f"`{c}`"), types[c]).alias(c) for c in cols])
     if with_evidence:
         out = out.withColumn("data", evidence_map(cols))
     return out
@@ -228,21 +225,29 @@ def match_counts(
     )
 
 
-def summarize_missing(missing: DataFrame, run_id: Optional[str] = None) -> DataFrame:
-    """Counts per ``issue_type`` of a stored mismatch table, optionally one run."""
+def summarize_missing(missing: DataFrame, run_id: Optional[str] = None, target_name: Optional[str] = None) -> DataFrame:
+    """Counts per ``issue_type`` of a stored mismatch table, optionally of one
+    run and one target table."""
     if run_id is not None and "run_id" in missing.columns:
         missing = missing.where(F.col("run_id") == run_id)
+    if target_name is not None:
+        for column, part in zip(("target_catalog", "target_schema", "target_table"), split_name(target_name)):
+            missing = missing.where(F.col(column) == part)
     return missing.groupBy("issue_type").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 # --------------------------------------------------------------------------- R2
 @dataclass(frozen=True)
 class TablePair:
+    """Two tables to compare; ``None`` for one that doesn't exist."""
+
     name: str
-    source: DataFrame
-    target: DataFrame
+    source: Optional[DataFrame]
+    target: Optional[DataFrame]
     source_filter: Optional[str] = None
     target_filter: Optional[str] = None
+    source_name: Optional[str] = None  # catalog.schema.table, for evidence
+    target_name: Optional[str] = None
 
 
 def row_count_check(pairs: Sequence[TablePair]) -> DataFrame:
@@ -318,16 +323,6 @@ def schema_diff_tables(spark: SparkSession, pairs: Sequence[TablePair], exclude:
 
 
 # --------------------------------------------------------------------------- R9
-RESULT_NAME_COLUMNS = (
-    "target_catalog",
-    "target_schema",
-    "target_table",
-    "source_catalog",
-    "source_schema",
-    "source_table",
-)
-
-
 def split_name(full_name: str) -> tuple[str, str, str]:
     parts = full_name.split(".")
     if len(parts) != 3:
@@ -358,13 +353,15 @@ def missing_data_rows(missing_with_evidence: DataFrame, run_id: str, source_name
     return stamp_result(missing_with_evidence.select("issue_type", "data"), run_id, source_name, target_name)
 
 
-def write_mismatches(df: DataFrame, path: str, run_id: str) -> int:
-    """Append mismatch rows (already stamped with ``run_id``) and return how
-    many this run wrote, counted from the stored rows: the comparison runs
-    once, and the count is what was stored."""
-    df.write.mode("append").parquet(path)
-    stored = df.sparkSession.read.parquet(path)
-    return stored.where(F.col("run_id") == run_id).count()
+def write_mismatches(df: DataFrame, path: str, run_id: Optional[str] = None) -> int:
+    """Append mismatch rows (already stamped with run and names; with ``run_id``
+    only rows of that run) and return how many rows this call wrote.  The number is observed while they are written:
+    nothing is read again, however large the result table has grown."""
+    if run_id is not None:
+        df = df.where(F.col("run_id") == run_id)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
+    return int(seen.get["n"])
 
 
 # --------------------------------------------------------------------------- R10

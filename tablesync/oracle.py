@@ -20,7 +20,7 @@ select l_orderkey, l_partkey, l_suppkey, l_linenumber,
        l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate
 from lineitem where l_orderkey % 97 <> 0
 union all
-select l_orderkey + 10000000 as l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
+select -l_orderkey - 1 as l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
        l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate
 from lineitem where l_orderkey % 89 = 0
 """
@@ -43,7 +43,7 @@ select o_orderkey, o_custkey, o_orderstatus,
        o_orderdate, o_orderpriority
 from orders where o_orderkey % 97 <> 0
 union all
-select o_orderkey + 10000000 as o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+select -o_orderkey - 1 as o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
 from orders where o_orderkey % 89 = 0
 """
 

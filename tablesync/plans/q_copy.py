@@ -101,13 +101,30 @@ def snapshot_changes(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("apply_changes", oracle="select * from orders")
 def apply_changes(spark: SparkSession, sf: str) -> DataFrame:
-    """Write the P3 target as version 1, sync it incrementally from the
-    source (version 2), read the current version back."""
+    """Write the P3 target in key buckets, sync it incrementally from the
+    source, read it back."""
     apply_defaults(spark)
     target = work_dir(spark, "apply_changes") + "/orders"
-    C.copy_table(X.orders_target(spark, sf), target)
-    C.sync_incremental(spark, load(spark, sf, "orders"), target, ["o_orderkey"])
-    return storage.read_table(spark, target)
+    C.copy_bucketed(X.orders_target(spark, sf), target, ["o_orderkey"])
+    source = load(spark, sf, "orders")
+    C.sync_buckets(spark, source, target, ["o_orderkey"])
+    return C.read_bucketed(spark, target, source.schema)
+
+
+_NULLS_DUPS = """
+select case when o_orderkey % 50 = 0 then null else o_custkey end as k, o_orderkey, o_totalprice, o_orderpriority
+from orders
+"""
+
+
+@query("apply_changes_nulls_dups", oracle=_NULLS_DUPS)
+def apply_changes_nulls_dups(spark: SparkSession, sf: str) -> DataFrame:
+    """The change set itself applied: customer as key, so keys repeat, and some are null."""
+    apply_defaults(spark)
+    k = F.when(F.col("o_orderkey") % 50 != 0, F.col("o_custkey")).alias("k")
+    pick = lambda df: df.select(k, "o_orderkey", "o_totalprice", "o_orderpriority")
+    source, target = pick(load(spark, sf, "orders")), pick(X.orders_target(spark, sf))
+    return C.apply_changes(target, C.snapshot_changes(source, target, ["k"]), ["k"], source)
 
 
 # ----------------------------------------------------------------- T6

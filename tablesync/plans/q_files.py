@@ -11,20 +11,50 @@ from tablesync.sources.tables import load
 from tablesync.streaming import file_copy as FC
 
 
-@query("file_copy_stream")
-def file_copy_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Copy every data file of the folder with the checkpointed stream, run
-    it a second time (nothing new), and return the per-file log."""
-    apply_defaults(spark)
+#: Tables whose copies are read back, with a key to sum.
+_COPIED = {
+    "region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey",
+    "orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id", "pages": "page_id",
+}
+
+
+def _copied(spark: SparkSession, sf: str) -> FC.VolumeCopy:
+    """Copy every data file of the folder with the checkpointed stream, and run
+    it a second time (nothing new)."""
     root = work_dir(spark, "file_copy")
     cfg = FC.VolumeCopy(source_root=sf, target_root=root + "/target", log_path=root + "/log", checkpoint_root=root + "/checkpoints",
-                        options={"pathGlobFilter": "*.parquet", "maxFilesPerTrigger": 4}, timeout_seconds=600)
+                        options={"pathGlobFilter": "*.parquet", "maxFilesPerTrigger": 4}, timeout_seconds=600, volume="tables")
     FC.copy_volume(spark, cfg, run_id="r1")
     FC.copy_volume(spark, cfg, run_id="r2")
-    log = FC.read_log(spark, cfg.log_path)
-    return log.select(
-        "run_id", F.regexp_extract("source_path", r"([^/]+)$", 1).alias("file_name"), "length", "status",
-    )
+    return cfg
+
+
+@query("file_copy_stream", oracle=" union all ".join(f"select '{t}' as table_name, count(*) as n, cast(sum({k}) as bigint) as key_sum from {t}" for t, k in _COPIED.items()))
+def file_copy_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows and key sums of the copied tables, read back from the target."""
+    apply_defaults(spark)
+    cfg = _copied(spark, sf)
+    out = None
+    for table, key in _COPIED.items():
+        one = spark.read.parquet(f"{cfg.target_root}/{table}.parquet").agg(F.count(F.lit(1)).alias("n"), F.sum(key).cast("long").alias("key_sum"))
+        one = one.select(F.lit(table).alias("table_name"), "n", "key_sum")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("file_copy_log")
+def file_copy_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The per-file log of the stream."""
+    apply_defaults(spark)
+    log = FC.read_log(spark, _copied(spark, sf).log_path)
+    return log.select("run_id", "volume", F.regexp_extract("source_path", r"([^/]+)$", 1).alias("file_name"), "length", "status")
+
+
+@query("copy_stats_stream")
+def copy_stats_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Copy statistics of the log that the stream wrote."""
+    apply_defaults(spark)
+    return FC.copy_stats(FC.read_log(spark, _copied(spark, sf).log_path))
 
 
 _LOG_SQL = """

@@ -203,9 +203,9 @@ mapping as (
 ),
 sdir as (select {_uuid_sql('c_custkey')} as app_id, 'sp-' || cast(c_custkey as varchar) as display_name from customer where c_custkey % 4 = 0 and c_custkey % 3 <> 0),
 tdir as (
-  select 'sp-' || cast(c_custkey as varchar) as display_name, {_uuid_sql('c_custkey + 1000000')} as app_id from customer where c_custkey % 4 = 0 and c_custkey % 5 <> 0
-  union all select 'sp-mapped-' || cast(c_custkey as varchar), {_uuid_sql('c_custkey + 1000000')} from customer where c_custkey % 4 = 0 and c_custkey % 12 = 0
-  union all select 'sp-renamed-' || cast(c_custkey as varchar), {_uuid_sql('c_custkey + 1000000')} from customer where c_custkey % 4 = 0 and c_custkey % 16 = 4
+  select 'sp-' || cast(c_custkey as varchar) as display_name, {_uuid_sql('-c_custkey - 1')} as app_id from customer where c_custkey % 4 = 0 and c_custkey % 5 <> 0
+  union all select 'sp-mapped-' || cast(c_custkey as varchar), {_uuid_sql('-c_custkey - 1')} from customer where c_custkey % 4 = 0 and c_custkey % 12 = 0
+  union all select 'sp-renamed-' || cast(c_custkey as varchar), {_uuid_sql('-c_custkey - 1')} from customer where c_custkey % 4 = 0 and c_custkey % 16 = 4
 ),
 r as (
   select p.principal,
@@ -234,8 +234,7 @@ f as (
 select u.principal, f.target_principal,
        f.is_sp and f.target_principal = f.principal and f.m1 is null as skipped,
        case when f.is_sp and f.target_principal = f.principal and f.m1 is null then
-         'source SP ' || f.principal || case when f.sname is not null then ' (display_name=' || f.sname || ')' else ' (source display_name unresolved)' end
-         || ' has no matching principal on target' end as skip_reason
+         'no target principal for application ' || f.principal || case when f.sname is not null then ', named ' || f.sname else ', whose name is unknown' end end as skip_reason
 from used u join f on u.principal = f.principal
 """
 
@@ -362,36 +361,29 @@ def property_plan(spark: SparkSession, sf: str) -> DataFrame:
 # ----------------------------------------------------------------- M13 DDL rewrite
 _DDL_SQL = f"""
 with l as ({O.DOCUMENT_LISTING}),
-d as (
-  select schema_name, table_name, table_type, storage_location,
-         'main.' || schema_name || '.' || table_name as name,
-         length(table_name) % 2 = 0 as has_cols
+p as (
+  select *, length(table_name) as n,
+         case when schema_name in ('src2', 'src5') then '`main`.`' || schema_name || '`.`' || table_name || '`'
+              else 'main.' || schema_name || '.' || table_name end as name,
+         'tgt.' || schema_name || '.' || table_name as target_name, schema_name in ('src1', 'src3') as as_managed
   from l
 ),
-x as (
-  select schema_name, table_name, table_type,
-         case when table_type = 'VIEW' then 'CREATE VIEW ' || name || case when has_cols then ' (doc_id, lang)' else '' end
-                   || ' AS SELECT doc_id, lang FROM main.' || schema_name || '.docs WHERE length(text) > 10'
-              when table_type = 'EXTERNAL' then 'CREATE TABLE ' || name || ' (doc_id BIGINT, lang STRING) USING parquet LOCATION ''' || storage_location || ''''
-              else 'CREATE TABLE ' || name || ' (doc_id BIGINT, lang STRING) USING parquet' end as ddl,
-         'tgt.' || schema_name || '.' || table_name as target_name,
-         schema_name in ('src1', 'src3') as as_managed
-  from d
-),
-c as (
-  select *, case when table_type = 'VIEW' then (case when has_cols then strpos(ddl, '(') else strpos(upper(ddl), ' AS ') + 1 end)
-                 else strpos(ddl, '(') end as cut
-  from (select *, strpos(ddl, '(') < strpos(upper(ddl), ' AS ') as has_cols from x)
-),
-h as (
-  select *, 'CREATE OR REPLACE ' || case when table_type = 'VIEW' then 'VIEW' else 'TABLE' end || ' ' || target_name || ' ' || substr(ddl, cut) as out
-  from c
+b as (
+  select *, case when table_type = 'VIEW' then 'VIEW' else 'TABLE' end as word,
+         case when table_type = 'VIEW' then
+                case when n % 2 = 0 then ' (doc_id, lang)' else '' end
+                || case when n % 3 = 0 then chr(10) || 'COMMENT ''rows as text (short)''' else '' end
+                || case when n % 3 = 1 then chr(10) || 'AS ' else ' AS ' end
+                || 'SELECT doc_id, count(*) AS n FROM main.' || schema_name || '.docs WHERE length(text) > 10 GROUP BY ALL'
+              else case when n % 3 = 0 then '' else ' (' || chr(10) || '  doc_id BIGINT,' || chr(10) || '  lang STRING)' end || chr(10) || 'USING parquet' end as rest
+  from p
 )
-select schema_name, table_name, table_type, ddl,
-       case when table_type = 'EXTERNAL' and as_managed then regexp_replace(out, '(?i)\\bLOCATION\\s*(''[^'']*''|"[^"]*")', '')
-            when table_type = 'EXTERNAL' and contains(lower(out), 's3://lake') then regexp_replace(out, '(?i)\\Qs3://lake\\E', 's3://mirror-lake', 'g')
-            else out end as target_ddl
-from h
+select schema_name, table_name, table_type,
+       'CREATE ' || word || ' ' || name || rest || case when table_type = 'EXTERNAL' then chr(10) || 'LOCATION ''' || storage_location || '''' else '' end as ddl,
+       'CREATE OR REPLACE ' || word || ' ' || target_name || rest
+         || case when table_type <> 'EXTERNAL' then '' when as_managed then chr(10)
+                 else chr(10) || 'LOCATION ''' || replace(storage_location, 's3://lake', 's3://mirror-lake') || '''' end as target_ddl
+from b
 """
 
 

@@ -144,8 +144,8 @@ def shared_objects(spark: SparkSession, sf: str) -> DataFrame:
     "with_exists",
     oracle=f"""
 with req as (
-  select source as schema_name, lang || '_doc_' || cast(doc_id + case when doc_id % 9 = 0 then 100000 else 0 end as varchar) as table_name
-  from documents where doc_id % 2 = 1
+  select source as schema_name, lang || '_doc_' || case when doc_id % 9 = 0 then 'gone_' else '' end || cast(doc_id as varchar) as table_name
+  from documents
 ),
 lst as (select distinct schema_name, table_name from ({O.DOCUMENT_LISTING}))
 select r.schema_name, r.table_name, exists (select 1 from lst l where l.schema_name = r.schema_name and l.table_name = r.table_name) as "exists"
@@ -154,10 +154,10 @@ from req r
 )
 def with_exists(spark: SparkSession, sf: str) -> DataFrame:
     apply_defaults(spark)
-    d = load(spark, sf, "documents").where(F.col("doc_id") % 2 == 1)
+    d = load(spark, sf, "documents")
     i = F.col("doc_id")
     req = d.select(
         F.col("source").alias("schema_name"),
-        F.concat(F.col("lang"), F.lit("_doc_"), (i + F.when(i % 9 == 0, F.lit(100000)).otherwise(F.lit(0))).cast("string")).alias("table_name"),
+        F.concat(F.col("lang"), F.lit("_doc_"), F.when(i % 9 == 0, F.lit("gone_")).otherwise(F.lit("")), i.cast("string")).alias("table_name"),
     )
     return S.with_exists(req, X.document_listing(spark, sf), ["schema_name", "table_name"])

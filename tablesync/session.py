@@ -49,14 +49,17 @@ def apply_defaults(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder of the cluster (``spark.checkpoint.dir``).
 
-    When the session has none (local tests), a fresh temp folder is created
-    and registered, so lineage cuts and written tables still work.
+    When a session on one machine has none (tests), a fresh temp folder is
+    created and registered; on a cluster that is an error.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = sc.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tablesync-")
         spark.conf.set("spark.checkpoint.dir", root)
     if sc.getCheckpointDir() is None:

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from tablesync.sources.tables import load
 
-SHIFT = 10_000_000
+def _added_key(key: str):
+    """A key that no table holds: the negative of an own one."""
+    return -F.col(key) - 1
 
 
 # --------------------------------------------------------------------- P1 lineitem
@@ -24,7 +26,7 @@ def lineitem_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = li.where(F.col("l_orderkey") % 97 != 0).withColumn(
         "l_quantity", F.when(F.col("l_partkey") % 101 == 0, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
     )
-    added = li.where(F.col("l_orderkey") % 89 == 0).withColumn("l_orderkey", F.col("l_orderkey") + SHIFT)
+    added = li.where(F.col("l_orderkey") % 89 == 0).withColumn("l_orderkey", _added_key("l_orderkey"))
     return kept.unionByName(added)
 
 
@@ -46,7 +48,7 @@ def orders_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = o.where(F.col("o_orderkey") % 97 != 0).withColumn(
         "o_totalprice", F.when(F.col("o_orderkey") % 101 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
     )
-    added = o.where(F.col("o_orderkey") % 89 == 0).withColumn("o_orderkey", F.col("o_orderkey") + SHIFT)
+    added = o.where(F.col("o_orderkey") % 89 == 0).withColumn("o_orderkey", _added_key("o_orderkey"))
     return kept.unionByName(added)
 
 
@@ -308,7 +310,7 @@ def principal_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     ``sp-mapped-k``; names ``sp-k`` with k % 16 = 4 -> ``sp-renamed-k``.
     source directory: ids with k % 3 <> 0 have name ``sp-k``.
     target directory: ``sp-k`` with k % 5 <> 0, ``sp-mapped-k``,
-    ``sp-renamed-k`` have ids (the id of k + 1000000).
+    ``sp-renamed-k`` have ids (the id of -k - 1).
     """
     c = load(spark, sf_dir, "customer")
     k = F.col("c_custkey")
@@ -321,9 +323,9 @@ def principal_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     src_dir = c.where((k % 4 == 0) & (k % 3 != 0)).select(_uuid_of(k).alias("app_id"), F.concat(F.lit("sp-"), k.cast("string")).alias("display_name"))
     sps = c.where(k % 4 == 0)
     tgt_dir = (
-        sps.where(k % 5 != 0).select(F.concat(F.lit("sp-"), k.cast("string")).alias("display_name"), _uuid_of(k + 1000000).alias("app_id"))
-        .unionByName(sps.where(k % 12 == 0).select(F.concat(F.lit("sp-mapped-"), k.cast("string")).alias("display_name"), _uuid_of(k + 1000000).alias("app_id")))
-        .unionByName(sps.where(k % 16 == 4).select(F.concat(F.lit("sp-renamed-"), k.cast("string")).alias("display_name"), _uuid_of(k + 1000000).alias("app_id")))
+        sps.where(k % 5 != 0).select(F.concat(F.lit("sp-"), k.cast("string")).alias("display_name"), _uuid_of(-k - 1).alias("app_id"))
+        .unionByName(sps.where(k % 12 == 0).select(F.concat(F.lit("sp-mapped-"), k.cast("string")).alias("display_name"), _uuid_of(-k - 1).alias("app_id")))
+        .unionByName(sps.where(k % 16 == 4).select(F.concat(F.lit("sp-renamed-"), k.cast("string")).alias("display_name"), _uuid_of(-k - 1).alias("app_id")))
     )
     return {
         "principals": used,
@@ -335,17 +337,24 @@ def principal_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 # --------------------------------------------------------------------- DDL
 def listing_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``SHOW CREATE TABLE``-like text for every listed object."""
+    """``SHOW CREATE TABLE``-like text for every listed object: views with and
+    without columns, over several lines, with `` as `` in a comment; tables
+    with and without a column list; quoted names."""
     lst = document_listing(spark, sf_dir)
-    name = F.concat_ws(".", F.lit("main"), F.col("schema_name"), F.col("table_name"))
-    has_cols = F.length(F.col("table_name")) % 2 == 0
+    length = F.length(F.col("table_name"))
+    plain = F.concat_ws(".", F.lit("main"), F.col("schema_name"), F.col("table_name"))
+    quoted = F.concat(F.lit("`main`.`"), F.col("schema_name"), F.lit("`.`"), F.col("table_name"), F.lit("`"))
+    name = F.when(F.col("schema_name").isin("src2", "src5"), quoted).otherwise(plain)
     view = F.concat(
-        F.lit("CREATE VIEW "), name,
-        F.when(has_cols, F.lit(" (doc_id, lang)")).otherwise(F.lit("")),
-        F.lit(" AS SELECT doc_id, lang FROM main."), F.col("schema_name"), F.lit(".docs WHERE length(text) > 10"),
+        F.when(length % 2 == 0, F.lit(" (doc_id, lang)")).otherwise(F.lit("")),
+        F.when(length % 3 == 0, F.lit("\nCOMMENT 'rows as text (short)'")).otherwise(F.lit("")),
+        F.when(length % 3 == 1, F.lit("\nAS ")).otherwise(F.lit(" AS ")),
+        F.lit("SELECT doc_id, count(*) AS n FROM main."), F.col("schema_name"), F.lit(".docs WHERE length(text) > 10 GROUP BY ALL"),
     )
-    table = F.concat(F.lit("CREATE TABLE "), name, F.lit(" (doc_id BIGINT, lang STRING) USING parquet"))
-    ext = F.concat(table, F.lit(" LOCATION '"), F.col("storage_location"), F.lit("'"))
+    columns = F.when(length % 3 == 0, F.lit("")).otherwise(F.lit(" (\n  doc_id BIGINT,\n  lang STRING)"))
+    table = F.concat(columns, F.lit("\nUSING parquet"))
+    ext = F.concat(table, F.lit("\nLOCATION '"), F.col("storage_location"), F.lit("'"))
     kind = F.col("table_type")
-    ddl = F.when(kind == "VIEW", view).when(kind == "EXTERNAL", ext).otherwise(table)
-    return lst.select("schema_name", "table_name", "table_type", ddl.alias("ddl"))
+    body = F.when(kind == "VIEW", view).when(kind == "EXTERNAL", ext).otherwise(table)
+    head = F.when(kind == "VIEW", F.lit("CREATE VIEW ")).otherwise(F.lit("CREATE TABLE "))
+    return lst.select("schema_name", "table_name", "table_type", F.concat(head, name, body).alias("ddl"))

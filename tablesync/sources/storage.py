@@ -15,7 +15,7 @@ from typing import Optional
 
 from pyspark.sql import DataFrame, SparkSession
 
-_VERSION = re.compile(r"^_v(\d{6})$")
+_VERSION = re.compile(r"^_v(\d+)$")
 
 
 def _fs(spark: SparkSession, path: str):
@@ -30,6 +30,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def committed_versions(spark: SparkSession, table_dir: str) -> list[int]:
+    """Numbers of the committed versions, least first (six digits or more)."""
     fs, p, jvm = _fs(spark, table_dir)
     if not fs.exists(p):
         return []

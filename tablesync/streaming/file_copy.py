@@ -50,7 +50,10 @@ COPY_RESULT_SCHEMA = T.StructType(
     ]
 )
 
-LOG_COLUMNS = ["run_id", "source_path", "target_path", "ingestion_time", "length", "file_modification_time", "status", "error_msg", "batch_id"]
+#: Schemes of Hadoop's file systems whose name differs in Arrow.
+ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
+
+LOG_COLUMNS = ["run_id", "volume", "source_path", "target_path", "ingestion_time", "length", "file_modification_time", "status", "error_msg", "batch_id"]
 
 
 # ------------------------------------------------------------------ F1 / F7
@@ -83,7 +86,8 @@ def _copy_partition(src_root: str, dst_root: str):
                 u = u[len("file://"):]
             if u.startswith("/"):
                 return pafs.LocalFileSystem(), u
-            return pafs.FileSystem.from_uri(u)
+            scheme, rest = u.split("://", 1)
+            return pafs.FileSystem.from_uri(f"{ARROW_SCHEMES.get(scheme, scheme)}://{rest}")
 
         for pdf in batches:
             out = []
@@ -109,7 +113,7 @@ def _copy_partition(src_root: str, dst_root: str):
                     tfs.move(tmp, tp)
                     out.append((path, target, int(length), mtime, "success", None))
                 except Exception as e:  # noqa: BLE001 - one bad file must not fail the batch
-                    out.append((path, target, int(length), mtime, "error", str(e)[:1000]))
+                    out.append((path, target, int(length), mtime, "error", str(e)))
             yield pd.DataFrame(out, columns=[f.name for f in COPY_RESULT_SCHEMA.fields])
 
     return run
@@ -132,18 +136,31 @@ def copy_batch(files: DataFrame, src_root: str, dst_root: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ F3
-def log_rows(results: DataFrame, run_id: str, batch_id: int) -> DataFrame:
+LOG_SCHEMA = T.StructType(
+    [
+        T.StructField(c, {"ingestion_time": T.TimestampType(), "file_modification_time": T.TimestampType(), "length": T.LongType()}.get(c, T.StringType()))
+        for c in LOG_COLUMNS
+    ]
+)
+
+
+def log_rows(results: DataFrame, run_id: str, batch_id: int, volume: str) -> DataFrame:
     return results.select(
-        F.lit(run_id).alias("run_id"), "source_path", "target_path", F.current_timestamp().alias("ingestion_time"),
+        F.lit(run_id).alias("run_id"), F.lit(volume).alias("volume"), "source_path", "target_path", F.current_timestamp().alias("ingestion_time"),
         "length", "file_modification_time", "status", "error_msg", F.lit(str(batch_id)).alias("batch_id"),
     )
 
 
 def read_log(spark: SparkSession, log_path: str) -> DataFrame:
-    """The file log, with replayed batches counted once."""
+    """The file log (``LOG_SCHEMA``), with replayed batches counted once."""
     if not storage.exists(spark, log_path):
-        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in LOG_COLUMNS]))
-    return spark.read.parquet(log_path).dropDuplicates(["run_id", "batch_id", "source_path"])
+        return spark.createDataFrame([], LOG_SCHEMA)
+    log = spark.read.schema(LOG_SCHEMA).parquet(log_path)
+    keys = ["run_id", "volume", "batch_id", "source_path"]
+    rest = [c for c in LOG_COLUMNS if c not in keys]
+    # a batch that ran again: the last outcome counts
+    last = log.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col("ingestion_time")).alias("_last"))
+    return last.select(*keys, "_last.*").select(*LOG_COLUMNS)
 
 
 # ------------------------------------------------------------------ F4 / F5
@@ -158,10 +175,15 @@ class VolumeCopy:
     options: Optional[dict] = None
     modified_after: Optional[str] = None
     timeout_seconds: float = 43200.0
+    volume: Optional[str] = None  # name in the log; by default the last part of the source root
+
+    @property
+    def volume_name(self) -> str:
+        return self.volume or self.source_root.rstrip("/").rsplit("/", 1)[-1]
 
 
 def _checkpoint_for(cfg: VolumeCopy) -> str:
-    scope = hashlib.md5((cfg.folder or "").encode()).hexdigest()[:12]
+    scope = hashlib.sha256((cfg.folder or "").encode()).hexdigest()
     return f"{cfg.checkpoint_root.rstrip('/')}/{scope}"
 
 
@@ -190,7 +212,7 @@ def start_copy(spark: SparkSession, cfg: VolumeCopy, run_id: str) -> StreamingQu
     stream = file_stream(spark, src, cfg.options, cfg.modified_after)
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        log_rows(copy_batch(batch, src, dst), run_id, batch_id).write.mode("append").parquet(cfg.log_path)
+        log_rows(copy_batch(batch, src, dst), run_id, batch_id, cfg.volume_name).write.mode("append").parquet(cfg.log_path)
 
     return stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
 

@@ -2,6 +2,7 @@ import duckdb
 
 import __spark_entry__ as E
 from conftest import SF001
+from tablesync.plans.registry import all_oracles, all_queries
 from tablesync.sources.tables import TEST_TABLES
 
 
@@ -11,10 +12,11 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_an_oracle_but_the_file_stream():
-    q, o = E.queries(), E.oracle_sql()
-    assert set(o) <= set(q)
-    assert set(q) - set(o) == {"file_copy_stream"}
+def test_every_query_of_the_library_has_an_oracle_but_the_file_log():
+    q, o = all_queries(), all_oracles()
+    assert set(o) <= set(q) <= set(E.queries())
+    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(q) - set(o) == {"file_copy_log", "copy_stats_stream"}
 
 
 def test_oracles_agree_on_smallest_data(spark):
