@@ -89,6 +89,16 @@ def run_summary(audit: DataFrame) -> DataFrame:
     )
 
 
+def run_periods(audit: DataFrame) -> DataFrame:
+    """One row per run: first start, last end, seconds between, and the summary text."""
+    g = audit.groupBy("run_id").agg(
+        F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"), F.count(F.lit(1)).alias("_n"),
+        F.count_if(F.col("status") == "success").alias("_ok"), F.count_if(F.col("status") == "failed").alias("_failed"), F.count_if(F.col("status") == "skipped").alias("_skipped"),
+    )
+    text = F.format_string("%d operations: %d succeeded, %d failed, %d skipped", "_n", "_ok", "_failed", "_skipped")
+    return g.select("run_id", "start_time", "end_time", seconds_between(F.col("start_time"), F.col("end_time")).alias("duration_seconds"), text.alias("summary"))
+
+
 def rollup_status(audit: DataFrame, keys: Sequence[str], rollup: bool = False) -> DataFrame:
     """Success / failed / skipped counts per key level (with subtotals when
     ``rollup``)."""

@@ -97,6 +97,12 @@ def column_tag_plan(spark: SparkSession, sf: str) -> DataFrame:
     return M.tag_plan(X.column_tags(spark, sf, False), X.column_tags(spark, sf, True), ["table_name", "column_name"], overwrite=True)
 
 
+@query("column_tag_plan_keep", oracle=_tag_plan_sql(_col_tags_sql(False), _col_tags_sql(True), ["table_name", "column_name"], False))
+def column_tag_plan_keep(spark: SparkSession, sf: str) -> DataFrame:
+    apply_defaults(spark)
+    return M.tag_plan(X.column_tags(spark, sf, False), X.column_tags(spark, sf, True), ["table_name", "column_name"], overwrite=False)
+
+
 # ----------------------------------------------------------------- M6 column comments
 _DOC_COMMENTS_SRC = "select cast(doc_id as varchar) as table_name, 'lang' as column_name, source as comment from documents"
 _DOC_COMMENTS_TGT = """select cast(doc_id as varchar) as table_name, 'lang' as column_name,
@@ -119,6 +125,59 @@ def comment_plan(spark: SparkSession, sf: str) -> DataFrame:
     return M.column_comment_plan(X.document_comments(spark, sf, False), X.document_comments(spark, sf, True), ["table_name"], overwrite=True)
 
 
+_CUT_TGT = f"select * from ({_DOC_COMMENTS_TGT}) where cast(table_name as bigint) % 4 <> 0"
+_CLEARED_SRC = f"select table_name, column_name, case when cast(table_name as bigint) % 6 = 0 then ' ' else comment end as comment from ({_DOC_COMMENTS_SRC})"
+
+
+def _cleared(spark: SparkSession, sf: str) -> DataFrame:
+    """Source comments, blank for every sixth table."""
+    d = X.document_comments(spark, sf, False)
+    return d.withColumn("comment", F.when(F.col("table_name").cast("bigint") % 6 == 0, F.lit(" ")).otherwise(F.col("comment")))
+
+
+@query(
+    "comment_plan_keep",
+    oracle=f"""
+select table_name, column_name, if(trim(comment) = '', 'clear', 'set') as action, trim(comment) as comment
+from ({_CLEARED_SRC}) where table_name not in (select table_name from ({_CUT_TGT}))
+""",
+)
+def comment_plan_keep(spark: SparkSession, sf: str) -> DataFrame:
+    apply_defaults(spark)
+    there = X.document_comments(spark, sf, True).where(F.col("table_name").cast("bigint") % 4 != 0)
+    return M.column_comment_plan(_cleared(spark, sf), there, ["table_name"], overwrite=False)
+
+
+@query(
+    "comment_statements",
+    oracle=f"""
+with t as (select table_name, cast(table_name as bigint) % 5 as k, trim(comment) as c from ({_CLEARED_SRC}) s
+           where trim(comment) is distinct from (select trim(x.comment) from ({_DOC_COMMENTS_TGT}) x where x.table_name = s.table_name))
+select distinct table_name, case k when 0 then 'skipped' when 1 then 'column' when 2 then 'column' else 'table' end as kind,
+       case k when 0 then null when 1 then 'COMMENT ON COLUMN tgt.' || table_name || '.`lang` IS ' || chr(39) || c || chr(39)
+              when 2 then 'ALTER STREAMING TABLE tgt.' || table_name || ' ALTER COLUMN `lang` COMMENT ' || chr(39) || c || chr(39)
+              else 'ALTER TABLE tgt.' || table_name || ' ALTER COLUMN `lang` COMMENT ' || chr(39) || c || chr(39) end as statement
+from t
+""",
+)
+def comment_statements(spark: SparkSession, sf: str) -> DataFrame:
+    """Statements of an overwrite plan with comments to clear, for tables of five types."""
+    apply_defaults(spark)
+    source = _cleared(spark, sf)
+    plan = M.column_comment_plan(source, X.document_comments(spark, sf, True), ["table_name"], overwrite=True)
+    kinds = F.array(*[F.lit(t) for t in ("volume", "view", "streaming_table", "managed", "external")])
+    types = source.select("table_name", F.element_at(kinds, (F.col("table_name").cast("bigint") % 5 + 1).cast("int")).alias("table_type"))
+    return M.comment_statements(plan, types, "tgt.")
+
+
+@query("column_comments", oracle=f"select table_name, 'lang' as column_name, trim(coalesce(comment, '')) as comment from ({_CLEARED_SRC})")
+def column_comments(spark: SparkSession, sf: str) -> DataFrame:
+    """Collected comment maps, spread out again."""
+    apply_defaults(spark)
+    collected = M.column_comments(_cleared(spark, sf), ["table_name"])
+    return collected.select("table_name", F.explode("comment_maps").alias("m")).select("table_name", F.explode("m").alias("column_name", "comment"))
+
+
 # ----------------------------------------------------------------- M4 table comments
 _TTYPE = "case when doc_id % 11 = 0 then 'volume' when doc_id % 9 = 0 then 'view' else 'managed' end"
 _TC_SRC = f"select 'doc_' || cast(doc_id as varchar) as table_name, {_TTYPE} as table_type, source || ' ' || lang as comment from documents"
@@ -246,6 +305,48 @@ def map_principals(spark: SparkSession, sf: str) -> DataFrame:
     return M.map_principals(t["principals"], t["mapping"], t["source_dir"], t["target_dir"])
 
 
+_ORDER_PRINCIPAL = _PRINCIPAL.replace("c_custkey", "o_custkey")
+
+
+@query(
+    "grant_sync",
+    oracle=f"""
+with map as (select distinct principal, target_principal, skipped from ({_MAP_PRINCIPALS_SQL})),
+src as (select distinct o_orderstatus as securable, {_ORDER_PRINCIPAL} as principal, o_orderpriority as privilege from orders),
+tgt as (
+  select distinct o_orderstatus as securable, target_principal as principal, o_orderpriority as privilege
+  from orders join map on map.principal = {_ORDER_PRINCIPAL} where o_orderkey % 3 <> 0
+),
+want as (select distinct securable, target_principal as principal, privilege from src join map using (principal) where not skipped),
+ch as (
+  select securable, 'applied' as st from (select * from want except select * from tgt)
+  union all
+  select t.securable, 'applied' from (select * from tgt except select * from want) t
+  where exists (select 1 from want w where w.securable = t.securable and w.principal = t.principal)
+  union all
+  select securable, 'skipped' from src join map using (principal) where skipped
+)
+select securable, count(*) filter (where st = 'applied') as applied, cast(0 as bigint) as failed,
+       count(*) filter (where st = 'skipped') as skipped,
+       case when count(*) filter (where st = 'skipped') > 0 then 'failed' else 'success' end as status
+from ch group by securable
+""",
+)
+def grant_sync(spark: SparkSession, sf: str) -> DataFrame:
+    """All orders as source grants of customers' principals; the target has
+    two thirds of them under target names.  Mapped, diffed, and the outcome per securable."""
+    apply_defaults(spark)
+    o = load(spark, sf, "orders")
+    grants = o.select("o_orderkey", F.col("o_orderstatus").alias("securable"), X.customer_principal(F.col("o_custkey")).alias("principal"), F.col("o_orderpriority").alias("privilege"))
+    t = X.principal_tables(spark, sf)
+    source = grants.drop("o_orderkey").distinct()
+    there = M.map_principals(source.select("principal").distinct(), t["mapping"], t["source_dir"], t["target_dir"])
+    target = grants.where(F.col("o_orderkey") % 3 != 0).join(there, "principal").select("securable", F.col("target_principal").alias("principal"), "privilege").distinct()
+    changes = M.grant_changes(source, target, t["mapping"], t["source_dir"], t["target_dir"])
+    status = F.when(F.col("skip_reason").isNotNull(), F.lit("skipped")).otherwise(F.lit("applied"))
+    return M.apply_outcome(changes.withColumn("status", status), ["securable"])
+
+
 # ----------------------------------------------------------------- M9 outcome
 _OUTCOME_STATUS = """case when cast(principal as bigint) % 11 = 0 then 'skipped'
   when op = 'remove' and privilege = '1-URGENT' and cast(principal as bigint) % 7 = 0 then 'failed'

@@ -9,7 +9,7 @@ from tablesync import oracle as O
 from tablesync.operators import bookkeeping as A
 from tablesync.operators import settings as C
 from tablesync.plans.registry import query
-from tablesync.session import apply_defaults
+from tablesync.session import apply_defaults, work_dir
 from tablesync.sources import fixtures as X
 from tablesync.sources.tables import load
 
@@ -47,6 +47,32 @@ def audit_rows(spark: SparkSession, sf: str) -> DataFrame:
     return A.audit_rows(res, config_details=cfg, user="tablesync").drop("logging_time", "execution_user")
 
 
+@query("audit_append", oracle=f"select run_id, status, count(*) as n from ({_RESULTS_SQL}) group by all")
+def audit_append(spark: SparkSession, sf: str) -> DataFrame:
+    """Audit rows appended run by run, read back."""
+    apply_defaults(spark)
+    path = work_dir(spark, "audit") + "/rows"
+    rows = A.audit_rows(X.event_results(spark, sf), user="tablesync")
+    for run in ("run_0", "run_1", "run_2"):
+        A.append_audit(rows.where(F.col("run_id") == run), path)
+    return spark.read.parquet(path).groupBy("run_id", "status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "run_periods",
+    oracle=f"""
+select run_id, min(start_time) as start_time, max(end_time) as end_time,
+       (epoch_us(max(end_time)) - epoch_us(min(start_time))) / 1000000.0 as duration_seconds,
+       count(*) || ' operations: ' || count(*) filter (where status = 'success') || ' succeeded, '
+         || count(*) filter (where status = 'failed') || ' failed, ' || count(*) filter (where status = 'skipped') || ' skipped' as summary
+from ({_RESULTS_SQL}) group by run_id
+""",
+)
+def run_periods(spark: SparkSession, sf: str) -> DataFrame:
+    apply_defaults(spark)
+    return A.run_periods(A.audit_rows(X.event_results(spark, sf), user="tablesync"))
+
+
 # ----------------------------------------------------------------- A2
 @query(
     "run_summary",
