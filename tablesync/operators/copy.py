@@ -236,6 +236,32 @@ def sync_strategy(listing: DataFrame, replicate_as_managed: bool = False, stagin
     return listing.withColumn("strategy", strat)
 
 
+def sync_table(
+    spark: SparkSession,
+    source: DataFrame,
+    table_type: str,
+    target_dir: str,
+    table_name: Optional[str] = None,
+    source_location: Optional[str] = None,
+    url_map: Sequence[tuple[str, str]] = (),
+    staging_dir: Optional[str] = None,
+    replicate_as_managed: bool = False,
+) -> tuple[str, Optional[str]]:
+    """Choose the copy of one table by :func:`sync_strategy` and run it.
+    Returns the strategy and where the data is now (views: nowhere)."""
+    listing = spark.createDataFrame([(table_type,)], "table_type string")
+    strategy = sync_strategy(listing, replicate_as_managed, staging_dir).first()["strategy"]
+    if strategy == "skip":
+        return strategy, None
+    if strategy == "remapped":
+        if not (table_name and source_location):
+            raise ValueError("an external table needs its name and location")
+        return strategy, copy_external(spark, source, source_location, url_map, table_name)
+    if strategy == "two_hop":
+        return strategy, copy_via(source, staging_dir, target_dir)
+    return strategy, copy_table(source, target_dir)
+
+
 # ------------------------------------------------------------------ T7 / T8
 def pick_source(candidates: DataFrame, existing: DataFrame, object_cols: Sequence[str], name_col: str = "candidate") -> DataFrame:
     """First existing candidate per object, by ``priority``.

@@ -18,24 +18,33 @@ from tablesync.functions.text import substitute
 
 # Setting levels, least to most specific.
 LEVELS = ("group", "catalog", "schema", "table")
+#: Setting rows above the table level up to which they are broadcast.
+UPPER_BROADCAST = 100_000
 
 
 def effective_settings(settings: DataFrame, objects: DataFrame, cols: Sequence[str] = ("catalog_name", "schema_name", "table_name")) -> DataFrame:
     """Per object and key, the value of the most specific level.
 
-    Each object expands to its four ancestors (a fixed fan-out of 4), which
-    are equi-joined with the settings; ``max_by`` on the level rank picks
-    the winner.  No object ever meets more than 4 setting rows per key.
+    Settings of tables are joined by their name; those of the three levels
+    above, whose keys all objects of a group, catalog or schema share, are few
+    (one row per schema and key at most) and broadcast up to
+    ``UPPER_BROADCAST`` rows by count.  ``max_by`` on the level rank picks the
+    winner.  No object ever meets more than 4 setting rows per key.
     """
     c, s, t = (F.col(x) for x in cols)
     anc = F.array(
         F.struct(F.lit(0).alias("rank"), F.lit("group").alias("level"), F.lit("*").alias("object")),
         F.struct(F.lit(1).alias("rank"), F.lit("catalog").alias("level"), c.alias("object")),
         F.struct(F.lit(2).alias("rank"), F.lit("schema").alias("level"), F.concat_ws(".", c, s).alias("object")),
-        F.struct(F.lit(3).alias("rank"), F.lit("table").alias("level"), F.concat_ws(".", c, s, t).alias("object")),
     )
-    expanded = objects.select(*cols, F.inline(anc))
-    joined = expanded.join(settings.select("level", "object", "key", "value"), on=["level", "object"], how="inner")
+    rows = settings.select("level", "object", "key", "value")
+    upper = rows.where(F.col("level") != "table")
+    if upper.count() <= UPPER_BROADCAST:
+        upper = F.broadcast(upper)  # else a shuffle join, whose hot keys AQE splits
+    own = objects.select(*cols, F.lit(3).alias("rank"), F.lit("table").alias("level"), F.concat_ws(".", c, s, t).alias("object"))
+    joined = objects.select(*cols, F.inline(anc)).join(upper, on=["level", "object"], how="inner").unionByName(
+        own.join(rows.where(F.col("level") == "table"), on=["level", "object"], how="inner")
+    )
     return joined.groupBy(*cols, "key").agg(
         F.max_by("value", "rank").alias("value"),
         F.max_by("level", "rank").alias("level"),

@@ -144,6 +144,35 @@ def sync_strategy(spark: SparkSession, sf: str) -> DataFrame:
     return C.sync_strategy(listing, replicate_as_managed=False, staging_catalog=None)
 
 
+@query(
+    "sync_table",
+    oracle="""
+select 'supplier' as table_name, 'snapshot' as strategy, count(*) as n, cast(sum(s_suppkey) as bigint) as key_sum from supplier
+union all select 'orders', 'two_hop', count(*), cast(sum(o_orderkey) as bigint) from orders
+union all select 'part', 'remapped', count(*), cast(sum(p_partkey) as bigint) from part
+""",
+)
+def sync_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Three tables copied by the strategy that their type and the settings choose, read back."""
+    apply_defaults(spark)
+    root = work_dir(spark, "sync_table")
+    src_root = sf.rstrip("/") + "/"
+    if ":" not in src_root.split("/")[0]:
+        src_root = "file:" + src_root
+    name = f"tablesync_sync_{uuid.uuid4().hex}"
+    out = None
+    for table, key, kind, extra in (
+        ("supplier", "s_suppkey", "managed", {}),
+        ("orders", "o_orderkey", "managed", {"staging_dir": root + "/staging"}),
+        ("part", "p_partkey", "external", {"table_name": name, "source_location": src_root + "part.parquet", "url_map": [(src_root, root + "/mapped/")]}),
+    ):
+        strategy, path = C.sync_table(spark, load(spark, sf, table), kind, f"{root}/{table}", **extra)
+        one = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n"), F.sum(key).cast("long").alias("key_sum"))
+        one = one.select(F.lit(table).alias("table_name"), F.lit(strategy).alias("strategy"), "n", "key_sum")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 # ----------------------------------------------------------------- T7 / T8
 def _picked(spark: SparkSession, sf: str) -> DataFrame:
     cands = C.backing_candidates(X.pipeline_tables(spark, sf), X.INTERNAL_CATALOG)
@@ -169,3 +198,12 @@ from ({O.PICKED_SOURCE})
 def backup_select(spark: SparkSession, sf: str) -> DataFrame:
     apply_defaults(spark)
     return C.backup_plan(_picked(spark, sf), backup_catalog="backup", prefix="bk_")
+
+
+@query("backup_table", oracle="select * from customer")
+def backup_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A backing table copied to its backup location and registered, read by its name."""
+    apply_defaults(spark)
+    name = f"tablesync_backup_{uuid.uuid4().hex}"
+    C.backup_table(spark, load(spark, sf, "customer"), work_dir(spark, "backup_table") + "/customer", name)
+    return spark.table(name)

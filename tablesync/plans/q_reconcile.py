@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from tablesync import oracle as O
 from tablesync.functions.columns import map_as_text
 from tablesync.operators import reconcile as R
-from tablesync.plans.cascade import reconcile_pairs
+from tablesync.plans.cascade import ReconcileConfig, reconcile_pairs
 from tablesync.plans.registry import query
-from tablesync.session import apply_defaults
+from tablesync.session import apply_defaults, work_dir
 from tablesync.sources import fixtures as X
 from tablesync.sources.tables import load
 
@@ -315,3 +315,38 @@ def recon_cascade(spark: SparkSession, sf: str) -> DataFrame:
         R.TablePair("events", X.events_source(spark, sf), X.events_target(spark, sf)),
     ]
     return reconcile_pairs(spark, pairs).select("pair", "check_name", "status", "mismatch_count")
+
+
+# ----------------------------------------------------------------- R8 -> R9 -> R4: what a cascade leaves behind
+def _evidence(spark: SparkSession, sf: str) -> DataFrame:
+    """Missing rows that a cascade over three pairs stores; the first pair has none."""
+    path = work_dir(spark, "evidence")
+    pairs = [
+        R.TablePair("customer", load(spark, sf, "customer"), load(spark, sf, "customer")),
+        R.TablePair("events", X.events_source(spark, sf), X.events_target(spark, sf)),
+        R.TablePair("events_back", X.events_target(spark, sf), X.events_source(spark, sf)),
+    ]
+    reconcile_pairs(spark, pairs, ReconcileConfig(evidence_path=path, run_id="r1"))
+    return spark.read.parquet(path + "/missing_data")
+
+
+_EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+_STORED_SQL = f"""
+select 'r1' as run_id, 'events' as target_table, * from ({O.missing_sql(O.EVENTS_SOURCE, O.EVENTS_TARGET, _EVENT_COLS)})
+union all
+select 'r1', 'events_back', * from ({O.missing_sql(O.EVENTS_TARGET, O.EVENTS_SOURCE, _EVENT_COLS)})
+"""
+
+
+@query("recon_mismatch_rows", oracle=f"select run_id, target_table, issue_type, cast(event_id as varchar) as event_id, event_type, cast(user_id as varchar) as user_id from ({_STORED_SQL})")
+def recon_mismatch_rows(spark: SparkSession, sf: str) -> DataFrame:
+    apply_defaults(spark)
+    d = F.col("data")
+    return _evidence(spark, sf).select("run_id", "target_table", "issue_type", d["event_id"].alias("event_id"), d["event_type"].alias("event_type"), d["user_id"].alias("user_id"))
+
+
+@query("recon_stored_summary", oracle=f"select issue_type, count(*) as row_count from ({_STORED_SQL}) where target_table = 'events' group by all")
+def recon_stored_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts of one run and pair from the stored rows."""
+    apply_defaults(spark)
+    return R.summarize_missing(_evidence(spark, sf), "r1", "target.default.events")

@@ -139,6 +139,25 @@ def shared_objects(spark: SparkSession, sf: str) -> DataFrame:
     return S.not_shared(listing, share, F.concat_ws(".", F.lit("main"), F.col("schema_name"), F.col("table_name")))
 
 
+@query(
+    "shared_members",
+    oracle=f"""
+select schema_name, table_name, 'main.' || schema_name || '.' || table_name as full_name
+from ({O.DOCUMENT_LISTING}) l where 'main.' || schema_name || '.' || table_name in ({_SHARE_SQL}) and {_HIDE}
+""",
+)
+def shared_members(spark: SparkSession, sf: str) -> DataFrame:
+    """Listed objects that are in a share already: every seventh document."""
+    apply_defaults(spark)
+    docs = load(spark, sf, "documents")
+    i = F.col("doc_id")
+    base = F.concat(F.col("lang"), F.lit("_doc_"), i.cast("string"))
+    name = F.when(i % 10 == 0, F.concat(F.lit("__materialization_mat_"), base)).when(i % 15 == 0, F.concat(F.lit("event_log_"), base)).otherwise(base)
+    share = docs.where(i % 7 == 0).select(F.concat_ws(".", F.lit("main"), F.col("source"), name).alias("full_name"))
+    listing = S.hide_internal(X.document_listing(spark, sf)).select("schema_name", "table_name")
+    return S.shared(listing, share, F.concat_ws(".", F.lit("main"), F.col("schema_name"), F.col("table_name"))).select("schema_name", "table_name", "full_name")
+
+
 # ----------------------------------------------------------------- S9
 @query(
     "with_exists",
