@@ -297,9 +297,9 @@ def row_count_check(pairs: Sequence[TablePair]) -> DataFrame:
                     F.lit(p.name).alias("pair"), F.lit(side).alias("side"), "n"
                 )
             )
+    while len(parts) > 1:  # by twos, so that planning grows with the number of pairs and not with its square
+        parts = [a.union(b) for a, b in zip(parts[::2], parts[1::2])] + parts[len(parts) // 2 * 2 :]
     counts = parts[0]
-    for p in parts[1:]:
-        counts = counts.unionByName(p)
     agg = counts.groupBy("pair").agg(
         F.sum(F.when(F.col("side") == "s", F.col("n"))).cast("bigint").alias("source_row_count"),
         F.sum(F.when(F.col("side") == "t", F.col("n"))).cast("bigint").alias("target_row_count"),

@@ -274,34 +274,28 @@ orders reshaped (schema fails); events with nulls (missing rows fail)."""
 
 
 def _cascade_sql() -> str:
-    li_copies_counts = _count_sql("x", O.LINEITEM_WITH_COPIES, "select * from lineitem")
-    ev_missing = O.missing_sql(O.EVENTS_SOURCE, O.EVENTS_TARGET, O.EVENTS_COLS)
-    cust_missing = O.missing_sql("select * from customer", "select * from customer",
-                                 ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"])
-    orders_schema = f"select count(*) from ({_schema_pair_sql('orders', _facts_sql('orders'), _ORDERS_RESHAPED_FACTS)}) where comparison_result <> 'match'"
+    """Differences of every pair first, then which check they let through."""
+    schema = lambda s, t: f"(select count(*) from ({_schema_pair_sql('x', s, t)}) where comparison_result <> 'match')"
+    counts = lambda s, t: f"(select row_count_diff from ({_count_sql('x', s, t)}))"
+    missing = lambda s, t, c: f"(select count(*) from ({O.missing_sql(s, t, c)}))"
+    customer, lineitem, orders = "select * from customer", "select * from lineitem", "select * from orders"
+    facts = {
+        "customer": (schema(_facts_sql("customer"), _facts_sql("customer")), counts(customer, customer),
+                     missing(customer, customer, ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"])),
+        "lineitem_copies": (schema(_facts_sql("lineitem"), _facts_sql("lineitem")), counts(O.LINEITEM_WITH_COPIES, lineitem),
+                            missing(O.LINEITEM_WITH_COPIES, lineitem, O.LINEITEM_COLS)),
+        "orders_reshaped": (schema(_facts_sql("orders"), _ORDERS_RESHAPED_FACTS), counts(orders, orders), "0"),
+        "events": (schema(_facts_sql("events"), _facts_sql("events")), counts(O.EVENTS_SOURCE, O.EVENTS_TARGET),
+                   missing(O.EVENTS_SOURCE, O.EVENTS_TARGET, O.EVENTS_COLS)),
+    }
+    rows = " union all ".join(f"select '{p}' as pair, {s} as s, {d} as d, {m} as m" for p, (s, d, m) in facts.items())
     return f"""
-select * from (values
-  ('customer', 'schema_check', 'passed', 0::bigint),
-  ('customer', 'row_count_check', 'passed', 0::bigint),
-  ('lineitem_copies', 'schema_check', 'passed', 0::bigint),
-  ('orders_reshaped', 'row_count_check', 'skipped', null::bigint),
-  ('orders_reshaped', 'missing_data_check', 'skipped', null::bigint),
-  ('lineitem_copies', 'missing_data_check', 'skipped', null::bigint),
-  ('events', 'schema_check', 'passed', 0::bigint),
-  ('events', 'row_count_check', 'passed', 0::bigint)
-) v(pair, check_name, status, mismatch_count)
+with f as ({rows})
+select pair, 'schema_check' as check_name, if(s = 0, 'passed', 'failed') as status, cast(s as bigint) as mismatch_count from f
 union all
-select 'customer', 'missing_data_check', case when n = 0 then 'passed' else 'failed' end, n
-from (select count(*) as n from ({cust_missing}))
+select pair, 'row_count_check', if(s > 0, 'skipped', if(d = 0, 'passed', 'failed')), if(s > 0, null, cast(abs(d) as bigint)) from f
 union all
-select 'lineitem_copies', 'row_count_check', case when d = 0 then 'passed' else 'failed' end, abs(d)
-from (select row_count_diff as d from ({li_copies_counts}))
-union all
-select 'orders_reshaped', 'schema_check', case when n = 0 then 'passed' else 'failed' end, n
-from ({orders_schema}) x(n)
-union all
-select 'events', 'missing_data_check', case when n = 0 then 'passed' else 'failed' end, n
-from (select count(*) as n from ({ev_missing}))
+select pair, 'missing_data_check', if(s > 0 or d <> 0, 'skipped', if(m = 0, 'passed', 'failed')), if(s > 0 or d <> 0, null, cast(m as bigint)) from f
 """
 
 

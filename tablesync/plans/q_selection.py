@@ -115,6 +115,33 @@ def pending_objects(spark: SparkSession, sf: str) -> DataFrame:
     return S.pending(objects, S.succeeded(audit, _RUN, _OP), keys)
 
 
+_TRIED = """
+select 'obj_' || cast(user_id % 500 as varchar) as object_name, 'run_' || cast(event_id % 3 as varchar) as run_id,
+       event_type as operation_type, case when event_id % 4 = 0 then 'failed' else 'success' end as status
+from events
+"""
+
+
+@query(
+    "pending_after_failures",
+    oracle=f"""
+select distinct object_name from ({_TRIED})
+except select object_name from ({_TRIED}) where run_id = '{_RUN}' and operation_type = '{_OP}' and status = 'success'
+""",
+)
+def pending_after_failures(spark: SparkSession, sf: str) -> DataFrame:
+    """Objects to try again: a quarter of all attempts failed."""
+    apply_defaults(spark)
+    e = load(spark, sf, "events")
+    tried = e.select(
+        F.concat(F.lit("obj_"), (F.col("user_id") % 500).cast("string")).alias("object_name"),
+        F.concat(F.lit("run_"), (F.col("event_id") % 3).cast("string")).alias("run_id"),
+        F.col("event_type").alias("operation_type"),
+        F.when(F.col("event_id") % 4 == 0, F.lit("failed")).otherwise(F.lit("success")).alias("status"),
+    )
+    return S.pending(tried.select("object_name").distinct(), S.succeeded(tried, _RUN, _OP), ["object_name"])
+
+
 # ----------------------------------------------------------------- S8 shares
 _SHARE_SQL = f"""select 'main.' || source || '.' || {O.DOC_NAME} as full_name from documents where doc_id % 7 = 0"""
 
