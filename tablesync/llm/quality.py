@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from .common import materialise, partitions_for, text_pieces
 
 ORDER = 4
-QUANTILE, SLACK = 0.99, 1.25
+QUANTILE, SLACK = 0.99, 1.75
 #: Trusted ids (16 bytes each) up to which they are broadcast; beyond, the join shuffles.
 TRUSTED_BROADCAST = 2_000_000
 #: Bytes of stored input that make a block.
