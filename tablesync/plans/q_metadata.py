@@ -204,8 +204,12 @@ def table_comment_plan(spark: SparkSession, sf: str) -> DataFrame:
 
 # ----------------------------------------------------------------- M7 grants
 def _grants_sql(target: bool, securable: str = "'orders'") -> str:
-    keep = "o_orderkey % 3 <> 0" if target else "o_orderkey % 5 <> 0"
-    return f"select distinct {securable} as securable, cast(o_custkey as varchar) as principal, o_orderpriority as privilege from orders where {keep}"
+    if not target:
+        return f"select distinct {securable} as securable, cast(o_custkey as varchar) as principal, o_orderpriority as privilege from orders"
+    return f"""
+select distinct {securable} as securable, cast(if(o_orderkey % 11 = 0, -o_custkey, o_custkey) as varchar) as principal,
+       if(o_orderkey % 7 = 0, '1-URGENT', o_orderpriority) as privilege
+from orders where o_orderkey % 3 <> 0"""
 
 
 def _grant_plan_sql(hard: bool, securable: str = "'orders'") -> str:
@@ -372,12 +376,8 @@ from (select *, {_OUTCOME_STATUS} as st from ch) group by securable
 )
 def apply_outcome(spark: SparkSession, sf: str) -> DataFrame:
     apply_defaults(spark)
-    o = load(spark, sf, "orders")
-
-    def grants(keep):
-        return o.where(keep).select(F.col("o_orderstatus").alias("securable"), F.col("o_custkey").cast("string").alias("principal"), F.col("o_orderpriority").alias("privilege")).distinct()
-
-    plan = M.grant_plan(grants(F.col("o_orderkey") % 5 != 0), grants(F.col("o_orderkey") % 3 != 0))
+    securable = F.col("o_orderstatus")
+    plan = M.grant_plan(X.order_grants(spark, sf, False, securable), X.order_grants(spark, sf, True, securable))
     changes = plan.select("securable", "principal", F.lit("add").alias("op"), F.explode("add").alias("privilege")).unionByName(
         plan.select("securable", "principal", F.lit("remove").alias("op"), F.explode("remove").alias("privilege"))
     )

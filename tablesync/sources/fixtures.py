@@ -134,19 +134,18 @@ def column_tags(spark: SparkSession, sf_dir: str, target: bool) -> DataFrame:
 
 
 # --------------------------------------------------------------------- grants
-def order_grants(spark: SparkSession, sf_dir: str, target: bool) -> DataFrame:
-    """Grant facts ``(securable, principal, privilege)`` from orders."""
+def order_grants(spark: SparkSession, sf_dir: str, target: bool, securable=None) -> DataFrame:
+    """Grant facts ``(securable, principal, privilege)``: all orders on the
+    source; on the target two thirds, some under another privilege and some
+    under principals that the source doesn't know."""
     o = load(spark, sf_dir, "orders")
-    keep = (F.col("o_orderkey") % 3 != 0) if target else (F.col("o_orderkey") % 5 != 0)
-    return (
-        o.where(keep)
-        .select(
-            F.lit("orders").alias("securable"),
-            F.col("o_custkey").cast("string").alias("principal"),
-            F.col("o_orderpriority").alias("privilege"),
-        )
-        .distinct()
-    )
+    k, who, what = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderpriority")
+    if target:
+        o = o.where(k % 3 != 0)
+        who = F.when(k % 11 == 0, -who).otherwise(who)
+        what = F.when(k % 7 == 0, F.lit("1-URGENT")).otherwise(what)
+    name = F.lit("orders") if securable is None else securable
+    return o.select(name.alias("securable"), who.cast("string").alias("principal"), what.alias("privilege")).distinct()
 
 
 # --------------------------------------------------------------------- comments
