@@ -54,13 +54,22 @@ def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri) if "://" in uri else (pafs.LocalFileSystem(), uri)
 
 
+def publish(fs: pafs.FileSystem, aside: str, final: str) -> None:
+    """Move a finished file into place, over what an earlier attempt left there."""
+    try:
+        fs.move(aside, final)
+    except OSError:  # stores whose move doesn't replace
+        fs.delete_file(final)
+        fs.move(aside, final)
+
+
 def put(folder: str, name: str, data: bytes) -> None:
     fs, base = open_fs(folder)
     fs.create_dir(base, recursive=True)
     aside = f"{base}/.{name}.{TaskContext.get().taskAttemptId()}"
     with fs.open_output_stream(aside) as out:
         out.write(data)
-    fs.move(aside, f"{base}/{name}")
+    publish(fs, aside, f"{base}/{name}")
 
 
 def flat(folder: str, name: str, kind: str) -> np.ndarray:
@@ -142,7 +151,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int,
         if tokens is None:
             return
         tokens.close()
-        fs.move(aside, f"{base}/part-{part:06d}.tokens")
+        publish(fs, aside, f"{base}/part-{part:06d}.tokens")
         keys = pa.chunked_array(ids).combine_chunks()
         null = np.asarray(keys.is_null().to_numpy(zero_copy_only=False), np.uint8)
         put(folder, f"part-{part:06d}.docs", np.asarray(keys.fill_null(0).to_numpy(zero_copy_only=False), "<i8").tobytes() + null.tobytes())

@@ -298,6 +298,15 @@ def test_shards(spark):
     assert sum(len(s) > 1 for s in where.values()) <= 9
     again = {(g["doc_id"], g["text_crc32"]): (g["shard"], g["slot"]) for g in shard_documents(df.repartition(5), 10).collect() if g["doc_id"] != 1}
     assert all(again[g["doc_id"], g["text_crc32"]] == (g["shard"], g["slot"]) for g in got if g["doc_id"] != 1)
+    # one row a thousand times over half of the table
+    many = [(5, "the same row")] * 2000 + [(10 + i, f"other {i} " * 3) for i in range(1000)]
+    sizes = defaultdict(int)
+    slots = defaultdict(list)
+    for g in shard_documents(spark.createDataFrame(many, "doc_id long, text string").repartition(4), 8).collect():
+        sizes[g["shard"]] += g["size"]
+        slots[g["shard"]].append(g["slot"])
+    assert len(sizes) == 8 and max(sizes.values()) - min(sizes.values()) <= 0.05 * sum(sizes.values()) / 8 + 100
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
     assert shard_documents(empty(spark), 40).count() == 0
     assert len(shard_documents(df.limit(3), 40).collect()) == 3
 
