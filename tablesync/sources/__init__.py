@@ -1 +1 @@
-from tablesync.sources.tables import column_facts, load, load_all  # noqa: F401
+from tablesync.sources.tables import column_facts, load  # noqa: F401

@@ -28,10 +28,6 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def load_all(spark: SparkSession, sf_dir: str, names: Iterable[str] = TEST_TABLES) -> dict[str, DataFrame]:
-    return {n: load(spark, sf_dir, n) for n in names}
-
-
 def column_facts(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per column of each table, like ``information_schema.columns``.
 

@@ -14,7 +14,7 @@ from tablesync.functions.urls import remap_url, remapped
 from tablesync.operators import copy as C
 from tablesync.operators import metadata as M
 from tablesync.operators import reconcile as R
-from tablesync.plans.cascade import ReconcileConfig, reconcile_pairs
+from tablesync.plans.cascade import CHECK_RESULT_SCHEMA, ReconcileConfig, reconcile_pairs, verdict
 from tablesync.session import work_dir
 from tablesync.sources import storage
 from tablesync.streaming import file_copy as FC
@@ -174,3 +174,35 @@ def test_a_replayed_batch_counts_with_its_last_outcome(spark):
         row = dict(run_id="r", volume="v", source_path="p", target_path="q", ingestion_time=at, length=1, file_modification_time=when, status=status, error_msg=None, batch_id="0")
         spark.createDataFrame([tuple(row[c] for c in FC.LOG_COLUMNS)], FC.LOG_SCHEMA).write.mode("append").parquet(path)
     assert rows(FC.read_log(spark, path), "status") == [("success",)]
+
+
+def test_verdict_per_pair(spark):
+    results = spark.createDataFrame([("a", "schema_check", "passed", True, 0, None), ("a", "row_count_check", "failed", False, 2, None), ("a", "missing_data_check", "skipped", None, None, None), ("b", "schema_check", "passed", True, 0, None)], CHECK_RESULT_SCHEMA)
+    assert rows(verdict(results), "pair", "passed", "failed_checks", "skipped_checks") == [("a", False, 1, 1), ("b", True, 0, 0)]
+
+
+def test_tag_plan_counts_and_objects_to_touch(spark):
+    s = spark.createDataFrame([("o", "a", "1"), ("o", "b", "2"), ("p", "a", "1")], "object string, tag_name string, tag_value string")
+    t = spark.createDataFrame([("o", "a", "1"), ("p", "a", "1")], s.schema)
+    plan = M.tag_plan(s, t, ["object"], True)
+    assert rows(M.plan_counts(plan), "action", "n") == [("keep", 2), ("set", 1)]
+    assert rows(M.objects_to_touch(plan, ["object"]), "object") == [("o",)]
+
+
+def test_counts_by_digest_equal_exact_counts(spark):
+    s = spark.createDataFrame([(1, None, {"x": 1}), (None, 1, None), (2, 2, {"y": 2, "z": 3}), (2, 2, {"y": 2, "z": 3})], "a int, b int, m map<string,int>")
+    t = spark.createDataFrame([(1, None, {"x": 1}), (2, 2, {"z": 3, "y": 2}), (None, None, {})], s.schema)
+    exact, digest = (rows(R.missing_summary(s, t, method=m), "issue_type", "row_count") for m in ("exact", "digest"))
+    assert exact == digest == [("missing_in_source", 1), ("missing_in_target", 1)]
+    plan = R.missing_summary(s, t, method="digest")._jdf.queryExecution().toString()
+    exchange = [line for line in plan.split("\n") if "Exchange hashpartitioning(_a" in line]
+    assert len(exchange) == 1
+
+
+def test_many_pairs_are_planned_fast(spark):
+    import time
+
+    df = spark.range(3)
+    began = time.time()
+    out = R.row_count_check([R.TablePair(f"p{i}", df, df) for i in range(150)])
+    assert time.time() - began < 60 and len(out.columns) == 5
