@@ -43,6 +43,8 @@ QUANTILE, SLACK = 0.99, 1.75
 TRUSTED_BROADCAST = 2_000_000
 #: Bytes of stored input that make a block.
 BLOCK_BYTES = 8 << 20
+#: Bytes of text whose n-grams are worked on at once.
+PIECE_BYTES = 1 << 19
 BEGIN, END = 0xFF, 0xFE  # bytes that UTF-8 never holds
 SYMBOLS = 257
 
@@ -84,7 +86,7 @@ def count_grams(texts: DataFrame) -> DataFrame:
         for b in batches:
             for lang, rows in _by_language(b.column(0)):
                 gram, n = np.zeros(0, np.uint32), np.zeros(0, np.int64)
-                for _, _, data, off in text_pieces(b.column(1).take(rows)):
+                for _, _, data, off in text_pieces(b.column(1).take(rows), PIECE_BYTES):
                     g, c = np.unique(_grams(data, off)[0], return_counts=True)
                     gram, inverse = np.unique(np.concatenate([gram, g]), return_inverse=True)
                     n = np.bincount(inverse, np.concatenate([n, c])).astype(np.int64)
@@ -131,7 +133,7 @@ def _requests(docs: DataFrame) -> DataFrame:
                 rows = pa.array(np.flatnonzero(block == number))
                 for lang, some in _by_language(b.column(at[1]).take(rows)):
                     key = (int(number), lang)
-                    for _, _, data, off in text_pieces(b.column(at[2]).take(rows).take(some)):
+                    for _, _, data, off in text_pieces(b.column(at[2]).take(rows.take(some)), PIECE_BYTES):
                         held[key] = np.union1d(held.get(key, np.zeros(0, np.uint32)), _grams(data, off)[0])
             yield from ()
         for (number, lang), gram in held.items():
@@ -165,7 +167,7 @@ def _score_block(docs: pa.Table, model: pa.Table) -> pa.Table:
 
         rows = rows.to_numpy()
         texts = docs.column("text").combine_chunks().take(pa.array(rows))
-        for lo, hi, data, off in text_pieces(texts):
+        for lo, hi, data, off in text_pieces(texts, PIECE_BYTES):
             gram, start = _grams(data, off)
             kinds, which = np.unique(gram, return_inverse=True)
             kinds = kinds.astype(np.int64)
