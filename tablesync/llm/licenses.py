@@ -12,8 +12,7 @@ priority stays.  The base phrases are rules too, and their labels always stay.
 
 Defined cases: null is the empty text; word numbers start from 0; repeated
 rows give repeated results; other columns are ignored.  Only DataFrame
-functions run on the executors; a row's work is linear in its words but for
-sorting its detections.
+functions run on the executors; a row's work is linear in its words.
 """
 
 from __future__ import annotations
@@ -30,6 +29,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Phrases and labels of the base.
 BASE = [("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit")]
 
+#: Words from a keyword on that its rules see; no rule is longer.
+WINDOW = 24
+
 #: License names as patterns over words (label: patterns), then identifiers and addresses where they differ from the label.
 NAMES = {
     "apache-2.0": ["apache( software)? license( version)? 2( 0)?", "apache 2( 0)?( license)?"],
@@ -154,7 +156,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     df = docs.select(F.col(key).alias("doc_id"), said.alias("said"), F.lower(said).alias("low"))
     df = df.select("doc_id", F.regexp_count("said", F.lit(ANY_WORD)).cast("long").alias("n_words"), F.when(_gate(F.col("low")), F.regexp_extract_all(F.translate("said", UPPER, LOWER), F.lit(ANY_WORD), F.lit(0))).alias("words"))
     spots = F.filter(F.transform("words", lambda w, i: F.when(w.isin(keywords), F.struct(i.alias("at"), w.alias("word")))), lambda s: s.isNotNull())
-    df = df.select("doc_id", "n_words", F.transform(spots, lambda s: F.struct(s["at"].alias("at"), s["word"].alias("word"), F.array_join(F.slice(F.col("words"), s["at"] + 1, F.lit(24)), " ").alias("said"))).alias("spots"))
+    df = df.select("doc_id", "n_words", F.transform(spots, lambda s: F.struct(s["at"].alias("at"), s["word"].alias("word"), F.array_join(F.slice(F.col("words"), s["at"] + 1, F.lit(WINDOW)), " ").alias("said"))).alias("spots"))
 
     def tried(s: Column) -> Column:
         own = F.filter(table, lambda r: r["keyword"] == s["word"])
@@ -167,17 +169,22 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
             ),
         )
 
-    df = df.select("doc_id", "n_words", F.array_sort(F.flatten(F.transform("spots", tried))).alias("found"))
-    start = F.struct(F.lit(-1).alias("reach"), F.array().cast("array<struct<first:int,last:int,label:string,priority:int,confidence:double>>").alias("kept"))
+    df = df.select("doc_id", "n_words", F.filter(F.transform("spots", tried), lambda d: F.size(d) > 0).alias("found"))
+    # of one start only the longest can stay, of equal ones that of the highest priority
+    df = df.withColumn("best", F.transform("found", lambda d: F.array_min(d)))
 
-    def keep(acc: Column, d: Column) -> Column:
-        last = -d["minus_last"]
-        row = F.struct(d["first"].alias("first"), last.alias("last"), d["label"].alias("label"), (-d["minus_priority"]).alias("priority"), d["confidence"].alias("confidence"))
-        return F.when(last > acc["reach"], F.struct(last.alias("reach"), F.concat(acc["kept"], F.array(row)).alias("kept"))).otherwise(acc)
+    def stays(d: Column, i: Column) -> Column:
+        """No detection that starts earlier ends where this one does or later;
+        none is longer than the window, so the spots before it suffice."""
+        before = F.slice(F.col("best"), F.greatest(i - (WINDOW - 2), F.lit(1)), F.least(i, F.lit(WINDOW - 1)))
+        return -d["minus_last"] > F.coalesce(F.array_max(F.transform(before, lambda b: -b["minus_last"])), F.lit(-1))
 
-    kept = F.aggregate("found", start, keep, lambda acc: acc["kept"])
+    kept = F.transform(
+        F.filter("best", stays),
+        lambda d: F.struct(d["first"].alias("first"), (-d["minus_last"]).alias("last"), d["label"].alias("label"), (-d["minus_priority"]).alias("priority"), d["confidence"].alias("confidence")),
+    )
     none = F.array().cast("array<struct<first:int,last:int,label:string,priority:int,confidence:double>>")
-    base = F.transform(F.filter("found", lambda d: d["base"]), lambda d: F.struct(d["first"].alias("first"), (-d["minus_last"]).alias("last"), d["label"].alias("label")))
+    base = F.transform(F.filter(F.flatten("found"), lambda d: d["base"]), lambda d: F.struct(d["first"].alias("first"), (-d["minus_last"]).alias("last"), d["label"].alias("label")))
     return df.select("doc_id", "n_words", F.coalesce(kept, none).alias("detections"), F.coalesce(base, F.array().cast("array<struct<first:int,last:int,label:string>>")).alias("base"))
 
 
