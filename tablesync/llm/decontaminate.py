@@ -191,7 +191,11 @@ def _one_block(held: DataFrame, items: list[tuple[str, str]], width: int, text:
     at, out = held.columns.index(text), held.columns.index("__hit")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bench = worker_cache(f"benchmark {token}", lambda: Benchmark(sent.value, width))
+        held_benchmark = worker_cache("benchmark", dict)
+        if token not in held_benchmark:  # a worker keeps the last one only
+            held_benchmark.clear()
+            held_benchmark[token] = Benchmark(sent.value, width)
+        bench = held_benchmark[token]
         for b in batches:
             made = []
             earlier = b.column(out).to_pylist() if b.column(out).null_count < b.num_rows else [None] * b.num_rows
