@@ -77,6 +77,18 @@ def tag_rollup(spark: SparkSession, sf: str) -> DataFrame:
     return r.select("object", F.array_join("tag_names", ",").alias("tag_names"), F.size("tag_maps").cast("bigint").alias("n_tags"))
 
 
+@query(
+    "tag_rollup_values",
+    oracle=f"select distinct object, tag_name, trim(tag_value) as tag_value from ({PART_TAGS_TARGET}) where object in (select p_partkey from part)",
+)
+def tag_rollup_values(spark: SparkSession, sf: str) -> DataFrame:
+    """The maps of the roll-up, spread out again."""
+    apply_defaults(spark)
+    objects = load(spark, sf, "part").select(F.col("p_partkey").alias("object"))
+    r = M.tag_rollup(objects, X.part_tags_target(spark, sf), ["object"])
+    return r.select("object", F.explode("tag_maps").alias("m")).select("object", F.explode("m").alias("tag_name", "tag_value"))
+
+
 # ----------------------------------------------------------------- M2
 @query("tag_plan_overwrite", oracle=_tag_plan_sql(PART_TAGS, PART_TAGS_TARGET, ["object"], True))
 def tag_plan_overwrite(spark: SparkSession, sf: str) -> DataFrame:
