@@ -187,6 +187,8 @@ def _compare_texts(rows: pa.Table) -> list[tuple[int, int, int]]:
         # of rows that share the id, the one whose set it is
         if int(ids[r]) not in sets and _set_key(s) == (k1[r], k2[r]):
             sets[int(ids[r])], place[int(ids[r])] = s, r
+    if not place:
+        return []
     keep = np.array([place[i] for i in sorted(place)])
     ids, copies, side = ids[keep], copies[keep], side[keep]
     size = np.array([len(sets[i]) for i in ids.tolist()])
@@ -221,8 +223,9 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     (other rows at or above the threshold)."""
     docs = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = materialise(signatures(docs), "jaccard-rows")
-    classes = rows.filter("size > 0").groupBy("k1", "k2").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_id"), F.min("ih").alias("ih"), F.first("tokens").alias("tokens"))
-    classes = materialise(classes.withColumn("class", F.monotonically_increasing_id()), "jaccard-classes")
+    classes = rows.filter("size > 0").groupBy("k1", "k2").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_id"), F.min(F.struct("ih", "th")).alias("row"), F.first("tokens").alias("tokens"))
+    classes = classes.select("k1", "k2", "copies", "first_id", "row.ih", "row.th", "tokens", F.monotonically_increasing_id().alias("class"))
+    classes = materialise(classes, "jaccard-classes")
 
     sketch = F.unhex(F.array_join(F.transform("tokens", lambda t: F.substring(F.hex(F.shiftright(t, 8).bitwiseAND(0xFF) + 0x100), 2, 2)), ""))
     leaves = _leaves(classes).join(classes.select("class", sketch.alias("sketch")), "class")
@@ -232,8 +235,9 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     members = clusters.select(F.col("node").alias("class"), F.col("root").alias("cluster")).unionByName(clusters.select(F.col("root").alias("class"), F.col("root").alias("cluster")).distinct())
     sizes = clusters.groupBy(F.col("root").alias("cluster")).agg((F.count("*") + 1).alias("n"))
-    members = members.join(sizes, "cluster").join(classes.select("class", "copies", "ih", "k1", "k2"), "class")
-    texts = docs.withColumn("ih", F.xxhash64("doc_id")).join(members, "ih")
+    members = members.join(sizes, "cluster").join(classes.select("class", "copies", "ih", "th", "k1", "k2"), "class")
+    # one row stands for a class; rows that repeat id and text fold before the shuffle
+    texts = docs.select(F.xxhash64("doc_id").alias("ih"), F.xxhash64("text").alias("th"), "text").dropDuplicates(["ih", "th"]).join(members, ["ih", "th"])
     tasks = _tasks(texts, "cluster", TEXT_PART).select("task", "side", "class", "copies", "k1", "k2", "text")
     linked = tasks.repartition("task").sortWithinPartitions("task").mapInArrow(_by_task(_compare_texts), "class long, root long, links long")
     linked = materialise(linked, "jaccard-links")

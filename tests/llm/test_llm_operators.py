@@ -48,7 +48,7 @@ def test_jaccard_join_of_a_large_group_in_parts(spark, monkeypatch):
         for _ in range(r.randint(0, 4)):
             w[r.randrange(len(w))] = f"n{r.randrange(10**6)}"
         rows.append((i, " ".join(w)))
-    rows += [(100 + i, rows[0][1]) for i in range(20)]
+    rows += [(100 + i, rows[0][1]) for i in range(20)] + [rows[1]] * 30
     df = spark.createDataFrame(rows, "doc_id long, text string")
     same(J.jaccard_report(df), jaccard(rows))
 
