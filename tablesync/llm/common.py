@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from tablesync.session import work_dir
 from tablesync.sources.tables import load
 
-__all__ = ["load", "work_dir", "materialise", "worker_cache", "text_pieces", "word_hashes", "mix", "shingle_hashes", "partitions_for"]
+__all__ = ["load", "work_dir", "materialise", "worker_cache", "free_worker", "text_pieces", "word_hashes", "mix", "shingle_hashes", "partitions_for"]
 
 #: Bytes of text that a kernel works on at once; a longer document is one piece of its own.
 PIECE_BYTES = 1 << 21
@@ -47,6 +47,14 @@ def worker_cache(name: str, make: Callable[[], object]) -> object:
     return held[name]
 
 
+def free_worker() -> None:
+    """Drop what earlier tasks of other operators keep in this Python worker:
+    word tables of tokenizers are large, and workers live on."""
+    held = sys.__dict__.setdefault("_tablesync_llm", {})
+    for name in [n for n in held if n.startswith(("pieces ", "unigram ", "words "))]:
+        del held[name]
+
+
 # ------------------------------------------------------------------ Arrow
 def string_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column and the offsets of its rows (null: empty)."""

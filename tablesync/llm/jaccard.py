@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, shingle_hashes, text_pieces, word_hashes, worker_cache
+from .common import free_worker, materialise, shingle_hashes, text_pieces, word_hashes, worker_cache
 from .components import components
 
 SHINGLE, LEVELS, RECALL = 5, 3, 0.999
@@ -71,6 +71,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_worker()
         seed, odd = worker_cache("jaccard sampling", _sampling)
         for b in batches:
             for start in range(0, b.num_rows, 1024):

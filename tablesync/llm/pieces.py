@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import worker_cache
 
 #: Units kept by a Python worker; the table starts anew beyond it (results don't depend on it).
-CACHE_UNITS = 400_000
+CACHE_UNITS = 200_000
 SPACE = "▁"
 
 

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, partitions_for, text_pieces
+from .common import free_worker, materialise, partitions_for, text_pieces
 
 ORDER = 4
 QUANTILE, SLACK = 0.99, 1.75
@@ -83,6 +83,7 @@ def count_grams(texts: DataFrame) -> DataFrame:
     """``lang``, ``gram``, ``n``: the 4-grams of all texts (columns ``lang``, ``text``)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_worker()
         for b in batches:
             for lang, rows in _by_language(b.column(0)):
                 gram, n = np.zeros(0, np.uint32), np.zeros(0, np.int64)
@@ -126,6 +127,7 @@ def _requests(docs: DataFrame) -> DataFrame:
     at = [docs.columns.index(c) for c in ("block", "lang", "text")]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_worker()
         held: dict[tuple[int, str], np.ndarray] = {}
         for b in batches:
             block = b.column(at[0]).to_numpy(zero_copy_only=False)
@@ -148,6 +150,7 @@ def _requests(docs: DataFrame) -> DataFrame:
 
 
 def _score_block(docs: pa.Table, model: pa.Table) -> pa.Table:
+    free_worker()
     n = docs.num_rows
     mean, low = np.full(n, np.nan), np.full(n, np.nan)
     langs = model.column("lang").combine_chunks() if model.num_rows else pa.array([], pa.string())
