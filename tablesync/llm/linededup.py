@@ -2,8 +2,9 @@
 
 A text is cut into lines, lines are hashed, and a rolling hash over the last
 ``WINDOW`` line hashes chooses where a chunk ends (about every ``SPREAD`` lines,
-after two lines at least).  So boundaries depend on nearby lines only, and an
-inserted or lost line moves no boundary further on.
+after two lines at least; a single last line joins the chunk before it).  So
+boundaries depend on nearby lines only, and an inserted or lost line moves no
+boundary further on.
 
 Chunks of two lines or more that hold more than white space are counted over
 all documents, grouped by their hash and by their bytes: equal groups are
@@ -57,6 +58,8 @@ def chunks_of(text: str) -> list[list[str]]:
             start = i + 1
     if start < len(lines):
         out.append(lines[start:])
+    if len(out) > 1 and len(out[-1]) == 1:
+        out[-2:] = [out[-2] + out[-1]]
     return out
 
 

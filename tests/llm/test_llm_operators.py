@@ -200,6 +200,18 @@ def test_line_dedup(spark, docs):
     assert dedup_lines(empty(spark)).count() == 0
 
 
+def test_exact_copies_lose_their_last_line_too(spark):
+    from tablesync.llm.linededup import chunks_of, dedup_lines
+
+    texts = ["\n".join(f"line {n} of text {i}" for n in range(2 + i % 9)) for i in range(60)]
+    assert all(len(c) > 1 for t in texts for c in chunks_of(t)) and chunks_of("one") == [["one"]]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, t) for i, t in enumerate(texts)]
+    got = {r["doc_id"]: r for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, t in enumerate(texts):
+        assert got[i]["text"] == t
+        assert got[100 + i]["text"] == "" and got[100 + i]["line_dedup"]["n_removed"] == got[100 + i]["line_dedup"]["n_lines"]
+
+
 # ------------------------------------------------------------------ 6
 def top(rows, k):
     vecs = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
