@@ -10,7 +10,7 @@ from .common import load, work_dir
 from .decontaminate import contamination
 from .jaccard import jaccard_report
 from .licenses import license_report
-from .linededup import line_report
+from .linededup import PASSAGE_WORDS, line_report
 from .pieces import round_trip
 from .quality import quality_report
 from .shards import shard_documents
@@ -88,7 +88,7 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("op5_line_dedup")
 def op5(spark: SparkSession, sf: str) -> DataFrame:
-    return line_report(load(spark, sf, "documents"))
+    return line_report(load(spark, sf, "documents"), passage_words=PASSAGE_WORDS)
 
 
 @query(

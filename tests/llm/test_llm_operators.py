@@ -212,6 +212,37 @@ def test_exact_copies_lose_their_last_line_too(spark):
         assert got[100 + i]["text"] == "" and got[100 + i]["line_dedup"]["n_removed"] == got[100 + i]["line_dedup"]["n_lines"]
 
 
+def test_passages_of_few_lines_between_other_neighbours(spark):
+    from tablesync.llm.linededup import PASSAGE_WORDS, dedup_lines
+
+    r = random.Random(3)
+
+    def line(n):
+        return " ".join(f"w{r.randrange(10**6)}" for _ in range(n))
+
+    rows, planted, doc = [], {}, 0
+    for size in (2, 3, 4, 5):
+        for _ in range(10):
+            passage = [line(PASSAGE_WORDS // size + 1) for _ in range(size)]
+            for at in range(4):
+                own = [line(9) for _ in range(6)]
+                rows.append((doc, "\n".join(own[:at] + passage + own[at:])))
+                planted[doc] = (passage, own, at)
+                doc += 1
+    # as long, but short of the words; and one line, which no chunk is
+    few, lone = [line(5) for _ in range(4)], line(80)
+    for at in (1, 2, 3):
+        own = [line(9) for _ in range(6)]
+        rows.append((doc + at, "\n".join([*own[:at], *few, *own[at:at + 1], lone, *own[at + 1:]])))
+    got = {r["doc_id"]: r["text"].split("\n") for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), passage_words=PASSAGE_WORDS).collect()}
+    for d, (passage, own, at) in planted.items():
+        assert got[d] == (own if d % 4 else own[:at] + passage + own[at:])
+    assert all(lone in got[doc + at] for at in (1, 2, 3))
+    # whatever goes from a document stays in one of a smaller id
+    for d, t in rows:
+        assert all(line in got[d] or any(line in got[e] for e in got if e < d) for line in t.split("\n"))
+
+
 # ------------------------------------------------------------------ 6
 def top(rows, k):
     vecs = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
