@@ -392,6 +392,23 @@ def test_quality_keeps_good_and_rejects_most_bad_texts(spark):
     assert kept[0, False] / (kept[0, True] + kept[0, False]) > 0.6
 
 
+def test_quality_by_kind_of_bad_text(spark):
+    """Held out, each half of the labels in turn.  Most texts of one repeated word stay: see the README."""
+    from tablesync.llm.quality import score
+
+    df = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    half, count = F.pmod(F.xxhash64("doc_id"), F.lit(2)), defaultdict(int)
+    text = {r["doc_id"]: (r["text"] or "").split() for r in df.select("doc_id", "text").collect()}
+    for one in (0, 1):
+        for r in score(df, labels.filter(half == one)).join(labels.filter(half != one), "doc_id").select("doc_id", "quality", "keep").collect():
+            w = text[r["doc_id"]]
+            kind = "good" if r["quality"] else "repeated" if len(w) > 3 and len(set(w)) <= max(2, len(w) // 20) else "other"
+            count[kind, r["keep"]] += 1
+    rejected = {kind: count[kind, False] / (count[kind, False] + count[kind, True]) for kind in ("good", "repeated", "other")}
+    assert rejected["good"] < 0.005 and rejected["repeated"] > 0.15 and rejected["other"] > 0.87, dict(count)
+
+
 def test_quality_edges(spark):
     from tablesync.llm.quality import keep_good, score
 
