@@ -34,7 +34,7 @@ WINDOW = 24
 
 #: License names as patterns over words (label: patterns), then identifiers and addresses where they differ from the label.
 NAMES = {
-    "apache-2.0": ["apache( software)? license( version)? 2( 0)?", "apache 2( 0)?( license)?"],
+    "apache-2.0": ["apache( software)? license( version)? 2( 0)?", "apache 2( 0)?( license)?", "apache2( 0)?( license)?", "apachev2( 0)?( license)?"],
     "apache-1.1": ["apache( software)? license( version)? 1 1"],
     "mit": ["mit( x11)? license", "expat license"],
     "mit-0": ["mit no attribution( license)?"],
@@ -42,19 +42,19 @@ NAMES = {
     "bsd-3-clause": ["bsd 3 clause( license)?", "new bsd license", "modified bsd license", "revised bsd license"],
     "bsd-4-clause": ["bsd 4 clause( license)?", "original bsd license"],
     "0bsd": ["zero clause bsd( license)?", "bsd zero clause( license)?"],
-    "gpl-1.0": ["gnu general public license( v| version )1( 0)?", "gpl v?1( 0)?"],
-    "gpl-2.0": ["gnu general public license( as published by the free software foundation)?( either)?( v| version )2( 0)?", "gpl v?2( 0)?"],
-    "gpl-3.0": ["gnu general public license( as published by the free software foundation)?( either)?( v| version )3( 0)?", "gpl v?3( 0)?"],
-    "lgpl-2.0": ["gnu library general public license( version 2( 0)?)?", "lgpl v?2( 0)?"],
-    "lgpl-2.1": ["gnu lesser general public license( v| version )2 1", "lgpl v?2 1"],
-    "lgpl-3.0": ["gnu lesser general public license( v| version )3( 0)?", "lgpl v?3( 0)?"],
+    "gpl-1.0": ["gnu general public license( v| version )1( 0)?", "gpl v?1( 0)?", "gplv1( 0)?"],
+    "gpl-2.0": ["gnu general public license( as published by the free software foundation)?( either)?( v| version )2( 0)?", "gpl v?2( 0)?", "gplv2( 0)?", "gpl2( 0)?"],
+    "gpl-3.0": ["gnu general public license( as published by the free software foundation)?( either)?( v| version )3( 0)?", "gpl v?3( 0)?", "gplv3( 0)?", "gpl3( 0)?"],
+    "lgpl-2.0": ["gnu library general public license( version 2( 0)?)?", "lgpl v?2( 0)?", "lgplv2( 0)?", "lgpl2( 0)?"],
+    "lgpl-2.1": ["gnu lesser general public license( v| version )2 1", "lgpl v?2 1", "lgplv2 1", "lgpl2 1"],
+    "lgpl-3.0": ["gnu lesser general public license( v| version )3( 0)?", "lgpl v?3( 0)?", "lgplv3( 0)?", "lgpl3( 0)?"],
     "lgpl": ["gnu lesser general public license", "lesser gpl"],
-    "agpl-3.0": ["gnu affero general public license( v| version )3( 0)?", "agpl v?3( 0)?"],
+    "agpl-3.0": ["gnu affero general public license( v| version )3( 0)?", "agpl v?3( 0)?", "agplv3( 0)?", "agpl3( 0)?"],
     "agpl": ["gnu affero general public license", "affero gpl"],
-    "mpl-1.1": ["mozilla public license( v| version )1 1", "mpl 1 1"],
-    "mpl-2.0": ["mozilla public license( v| version )2( 0)?", "mpl 2( 0)?"],
-    "epl-1.0": ["eclipse public license( v| version )1( 0)?", "epl v?1( 0)?"],
-    "epl-2.0": ["eclipse public license( v| version )2( 0)?", "epl v?2( 0)?"],
+    "mpl-1.1": ["mozilla public license( v| version )1 1", "mpl 1 1", "mplv1 1"],
+    "mpl-2.0": ["mozilla public license( v| version )2( 0)?", "mpl 2( 0)?", "mplv2( 0)?", "mpl2( 0)?"],
+    "epl-1.0": ["eclipse public license( v| version )1( 0)?", "epl v?1( 0)?", "eplv1( 0)?"],
+    "epl-2.0": ["eclipse public license( v| version )2( 0)?", "epl v?2( 0)?", "eplv2( 0)?"],
     "cddl-1.0": ["common development and distribution license( version 1( 0)?)?", "cddl( 1 0)?"],
     "cc-by-3.0": ["creative commons attribution 3 0( unported)?( license)?", "cc by 3 0"],
     "cc-by-4.0": ["creative commons attribution 4 0( international)?( public)?( license)?", "cc by 4 0"],
@@ -101,6 +101,39 @@ ADDRESSES = {
     "cc-by-nc-4.0": ["creativecommons org licenses by nc 4 0"], "cc0-1.0": ["creativecommons org publicdomain zero 1 0"],
     "unlicense": ["unlicense org"], "bsl-1.0": ["boost org license 1 0"], "ofl-1.1": ["scripts sil org ofl"],
 }
+#: Sentences of the licenses' own texts (grants, conditions, warranties) that tell the label without its name.
+#: "bsd" is what all texts of that family begin with; the grant of "mit" also begins those of mit-0 and ncsa.
+BODIES = {
+    "mit": ["permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", "furnished to do so subject to the following conditions the above copyright notice and this permission notice"],
+    "mit-0": ["furnished to do so the software is provided as is without warranty of any kind"],
+    "bsd": ["redistribution and use in source and binary forms with or without modification are permitted"],
+    "bsd-2-clause": ["materials provided with the distribution this software is provided by"],
+    "bsd-3-clause": ["names of (its|the|their) contributors may be used to endorse or promote products derived from this software"],
+    "bsd-4-clause": ["all advertising materials mentioning features or use of this software must display the following acknowledge?ment"],
+    "isc": ["permission to use copy modify and( or)? distribute this software for any purpose with or without fee is hereby granted provided that"],
+    "0bsd": ["permission to use copy modify and( or)? distribute this software for any purpose with or without fee is hereby granted the software"],
+    "postgresql": ["permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement"],
+    "ncsa": ["deal with the software without restriction including without limitation the rights to use"],
+    "zlib": ["this software is provided as is without any express or implied warranty", "altered source versions must be plainly marked as such"],
+    "bsl-1.0": ["permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation"],
+    "ofl-1.1": ["permission is hereby granted free of charge to any person obtaining a copy of the font software"],
+    "apache-2.0": ["each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"],
+    "gpl": ["everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed"],
+    "gpl-2.0": ["copy and distribute verbatim copies of the program s source code as you receive it in any medium"],
+    "gpl-3.0": ["convey verbatim copies of the program s source code as you receive it in any medium"],
+    "lgpl-2.1": ["copy and distribute verbatim copies of the library s complete source code as you receive it in any medium"],
+    "agpl-3.0": ["modified version must prominently offer all users interacting with it remotely through a computer network"],
+    "mpl-2.0": ["covered software is provided under this license on an as is basis without warranty of any kind either expressed implied or statutory"],
+    "mpl-1.1": ["covered code is provided under this license on an as is basis without warranty of any kind"],
+    "cddl-1.0": ["covered software is provided under this license on an as is basis without warranty of any kind either expressed or implied"],
+    "epl-1.0": ["except as expressly set forth in this agreement the program is provided on an as is basis"],
+    "epl-2.0": ["except as expressly set forth in this agreement and to the extent permitted by applicable law the program is provided"],
+    "cc0-1.0": ["affirmer hereby overtly fully permanently irrevocably and unconditionally waives abandons and surrenders"],
+    "unlicense": ["anyone is free to copy modify publish use compile sell or distribute this software"],
+    "wtfpl": ["just do what the fuck you want to"],
+    "openssl": ["product includes software developed by the openssl project for use in the openssl toolkit"],
+    "php-3.01": ["product includes php software freely available from"],
+}
 #: Words before a name that make it a notice.
 NOTICES = ["licensed under( the)?( terms of the)?", "released under( the)?( terms of the)?", "distributed under( the)?( terms of the)?", "available under( the)?( terms of the)?"]
 
@@ -120,7 +153,7 @@ def _rule(label: str, pattern: str, priority: int, confidence: float, base: bool
 
 
 def rules() -> list[Rule]:
-    """All rules: identifiers, notices, addresses, names, and last the base phrases."""
+    """All rules: identifiers, notices, addresses, names, sentences, and last the base phrases."""
     out = []
     for label, names in NAMES.items():
         if label not in ("proprietary", "copyright-notice", "public-domain", "gpl"):
@@ -132,11 +165,12 @@ def rules() -> list[Rule]:
         out += [_rule(label, address, 70, 0.9) for address in ADDRESSES.get(label, [])]
         weak = label in ("proprietary", "copyright-notice")
         out += [_rule(label, name, 20 if weak else 60, 0.3 if weak else 0.8) for name in names]
+    out += [_rule(label, sentence, 65, 0.85) for label, sentences in BODIES.items() for sentence in sentences]
     return out + [_rule(label, phrase, 50, 0.7, True) for phrase, label in BASE]
 
 
 #: Every rule's detections contain one of these strings once a text is lower-cased and its marks become spaces or nothing.
-GATES = ["licen", "spdx", "gpl", "gnu", "apache", "cc", "bsd", "mpl", "epl", "cddl", "creative", "commons", "wtfpl", "ofl", "odbl", "eupl", "domain", "rights", "proprietary", "copyright", "opensource"]
+GATES = ["licen", "spdx", "gpl", "gnu", "apache", "cc", "bsd", "mpl", "epl", "cddl", "creative", "commons", "wtfpl", "ofl", "odbl", "eupl", "domain", "rights", "proprietary", "copyright", "opensource", "permission", "permitted", "hereby", "provided", "distribut", "verbatim", "furnished", "contributors", "advertising", "altered", "remotely", "covered", "affirmer", "fuck", "openssl", "freely"]
 
 
 def _gate(low: Column) -> Column:

@@ -127,6 +127,61 @@ def test_license_scan(spark, docs):
     assert license_report(empty(spark)).count() == 0
 
 
+FUSED = {"GPLv3": "gpl-3.0", "GPLv2+": "gpl-2.0", "gpl3": "gpl-3.0", "LGPLv2.1": "lgpl-2.1", "LGPLv2": "lgpl-2.0", "lgpl3": "lgpl-3.0", "AGPLv3": "agpl-3.0", "Apache2": "apache-2.0", "MPLv2.0": "mpl-2.0", "EPLv2": "epl-2.0"}
+UNNAMED = [
+    ('Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software', "mit"),
+    ("furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.", "mit"),
+    ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:", "bsd"),
+    ("in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE AUTHORS", "bsd-2-clause"),
+    ("Neither the name of the firm nor the names of its contributors may be used to endorse or promote products derived from this software without", "bsd-3-clause"),
+    ("3. All advertising materials mentioning features or use of this software must display the following acknowledgement:", "bsd-4-clause"),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above", "isc"),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. THE SOFTWARE IS PROVIDED", "0bsd"),
+    ("This software is provided 'as-is', without any express or implied warranty. In no event", "zlib"),
+    ('Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT', "apache-2.0"),
+    ("You may convey verbatim copies of the Program's source code as you receive it, in any medium", "gpl-3.0"),
+    ("Covered Software is provided under this License on an 'as is' basis, without warranty of any kind, either expressed, implied, or statutory", "mpl-2.0"),
+]
+
+
+def least_matches(pattern):
+    """Texts that a rule's pattern finds with all its optional parts left out, one for each alternative."""
+    import itertools
+    from re import _parser
+
+    def made(parts):
+        return ["".join(c) for c in itertools.product(*[one(op, arg) for op, arg in parts])]
+
+    def one(op, arg):
+        match str(op):
+            case "LITERAL":
+                return [chr(arg)]
+            case "IN":
+                return [chr(arg[0][1][0])] if str(arg[0][0]) == "RANGE" else [chr(c) for _, c in arg]
+            case "MAX_REPEAT":
+                return [t * arg[0] for t in made(arg[2])]
+            case "SUBPATTERN":
+                return made(arg[3])
+            case "BRANCH":
+                return [t for parts in arg[1] for t in made(parts)]
+        raise AssertionError(op)
+
+    return made(_parser.parse(pattern))
+
+
+def test_licenses_by_their_texts_and_fused_names(spark):
+    from tablesync.llm.licenses import BODIES, WINDOW, license_report, rules
+
+    told = [(f"the code is {t} here", label) for t, label in FUSED.items()] + UNNAMED + [(t, label) for label, sentences in BODIES.items() for s in sentences for t in least_matches(s)]
+    rows = [(i, t) for i, (t, _) in enumerate(told)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in license_report(df).collect()}
+    for i, (t, label) in enumerate(told):
+        assert label in got[i]["labels"].split(",") and got[i]["score"] >= 0.8, (t, label)
+    same(license_report(df), licenses(rows))
+    assert all(max(len(t.split()) for t in least_matches(r.pattern)) <= WINDOW for r in rules())
+
+
 def test_license_scan_runs_no_python(docs):
     from tablesync.llm.licenses import license_report
 
