@@ -170,7 +170,7 @@ def rules() -> list[Rule]:
 
 
 #: Every rule's detections contain one of these strings once a text is lower-cased and its marks become spaces or nothing.
-GATES = ["licen", "spdx", "gpl", "gnu", "apache", "cc", "bsd", "mpl", "epl", "cddl", "creative", "commons", "wtfpl", "ofl", "odbl", "eupl", "domain", "rights", "proprietary", "copyright", "opensource", "permission", "permitted", "hereby", "provided", "distribut", "verbatim", "furnished", "contributors", "advertising", "altered", "remotely", "covered", "affirmer", "fuck", "openssl", "freely"]
+GATES = ["licen", "spdx", "gpl", "gnu", "apache", "cc", "bsd", "mpl", "epl", "cddl", "creative", "commons", "wtfpl", "ofl", "odbl", "eupl", "domain", "rights", "proprietary", "copyright", "opensource", "attribution", "permission", "permitted", "hereby", "provided", "distribut", "verbatim", "furnished", "contributors", "advertising", "altered", "remotely", "covered", "affirmer", "fuck", "openssl", "freely"]
 
 
 def _gate(low: Column) -> Column:
