@@ -11,6 +11,7 @@ from .decontaminate import contamination
 from .jaccard import jaccard_report
 from .licenses import license_report
 from .linededup import PASSAGE_WORDS, line_report
+from .merkle import manifest_report
 from .pieces import round_trip
 from .quality import quality_report
 from .shards import shard_documents
@@ -133,3 +134,8 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_quality")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return quality_report(load(spark, sf, "documents"), load(spark, sf, "labels"))
+
+
+@query("op11_manifest")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return manifest_report(load(spark, sf, "documents"))
