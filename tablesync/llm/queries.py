@@ -14,6 +14,7 @@ from .linededup import PASSAGE_WORDS, line_report
 from .merkle import manifest_report
 from .pieces import round_trip
 from .quality import quality_report
+from .rules import rule_report
 from .shards import shard_documents
 from .tokenfiles import read_tokens, write_tokens
 from .topk import top_products
@@ -139,3 +140,8 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
 @query("op11_manifest")
 def op11(spark: SparkSession, sf: str) -> DataFrame:
     return manifest_report(load(spark, sf, "documents"))
+
+
+@query("op12_quality_rules")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return rule_report(load(spark, sf, "documents"))
