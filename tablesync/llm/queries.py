@@ -19,6 +19,7 @@ from .shards import shard_documents
 from .tokenfiles import read_tokens, write_tokens
 from .topk import top_products
 from .unigram import token_counts
+from .whitening import whitened_rows
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -145,3 +146,8 @@ def op11(spark: SparkSession, sf: str) -> DataFrame:
 @query("op12_quality_rules")
 def op12(spark: SparkSession, sf: str) -> DataFrame:
     return rule_report(load(spark, sf, "documents"))
+
+
+@query("op13_whitening")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return whitened_rows(load(spark, sf, "embeddings"))
