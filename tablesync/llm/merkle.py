@@ -233,7 +233,7 @@ def resumed(digests: np.ndarray, slot: np.ndarray, size: np.ndarray, states: np.
     return finish(now, size)
 
 
-def _hand_down(nodes: pa.Table, family: pa.Table) -> pa.Table:
+def _hand_down(nodes: pa.Table, family: pa.Table, subroots_here: bool) -> pa.Table:
     """The chain of each node of a block: its own parents, then the block's."""
     f = _Family(family)
     g, idx = nodes.column("g").to_pylist(), nodes.column("idx").to_numpy()
@@ -245,10 +245,18 @@ def _hand_down(nodes: pa.Table, family: pa.Table) -> pa.Table:
             i = at - first
             entries.append(bytes([slot, int(size[i])]) + states[i, slot].tobytes() + kids[i].tobytes())
         chains.append(b"".join(entries) + f.chain)
-    subroots = [f.subroot] * len(idx) if f.subroot else nodes.column("digest").to_pylist()
+    subroots = nodes.column("digest").to_pylist() if subroots_here else [f.subroot] * len(idx)
     return pa.table([pa.array(g, pa.int64()), pa.array(idx, pa.int64()), pa.array(subroots, pa.binary()), pa.array([f.root] * len(idx), pa.binary()), pa.array(chains, pa.binary())], names=[c.split()[0] for c in _CHAIN.split(", ")])
 
 
+def _chains_down(nodes: pa.Table, family: pa.Table) -> pa.Table:
+    return _hand_down(nodes, family, False)
+
+
+def _subroots_down(nodes: pa.Table, family: pa.Table) -> pa.Table:
+    return _hand_down(nodes, family, True)
+
+
 def _fold(rows: pa.Table, family: pa.Table) -> pa.Table:
     """Every row of a block folded to the root, and the hash of its siblings."""
     f = _Family(family)
@@ -290,11 +298,13 @@ def _family(step: Pass, chains: DataFrame) -> DataFrame:
     return _by_block(inside.unionByName(above), step.parts)
 
 
-def descend(passes: list[Pass], chains: DataFrame) -> DataFrame:
-    """Chains of the first pass's nodes, or with one pass of its blocks' nodes, from those of the last pass's result."""
-    for step in reversed(passes):
+def descend(passes: list[Pass], chains: DataFrame, subroots_below: bool = False) -> DataFrame:
+    """Chains of the first of ``passes``' nodes from that of the last one's result.
+    With ``subroots_below`` the first pass's nodes are subroots."""
+    for at in reversed(range(len(passes))):
+        step, work = passes[at], _subroots_down if subroots_below and at == 0 else _chains_down
         nodes = _by_block(step.nodes, step.parts)
-        chains = nodes.groupBy("g", "block").cogroup(_family(step, chains).groupBy("g", "block")).applyInArrow(_hand_down, _CHAIN)
+        chains = nodes.groupBy("g", "block").cogroup(_family(step, chains).groupBy("g", "block")).applyInArrow(work, _CHAIN)
     return chains
 
 
@@ -340,7 +350,7 @@ def fold_rows(m: Manifest) -> DataFrame:
     spark = m.leaves.sparkSession
     start = spark.createDataFrame([(0, 0, b"", bytearray(m.root), b"")], _CHAIN)
     # the top tree's nodes are the groups' subroots, and those the blocks of the last pass
-    chains = descend(m.top, start).select(F.col("idx").alias("g"), F.lit(0).cast("long").alias("idx"), "subroot", "root", "chain")
+    chains = descend(m.top, start, subroots_below=True).select(F.col("idx").alias("g"), F.lit(0).cast("long").alias("idx"), "subroot", "root", "chain")
     chains = descend(m.groups[1:], chains)
     first = m.groups[0]
     leaves = _by_block(m.leaves, first.parts).groupBy("g", "block")

@@ -41,8 +41,11 @@ ROWS = 4096
 PASSES = 12
 #: Entries of the Gram matrix of orthonormal rows differ from the identity by less.
 ORTHONORMAL = 1e-11
-#: Share of the largest eigenvalue below which a direction counts as not spanned.
+#: Share of a Gram matrix's largest eigenvalue below which a direction counts as not
+#: spanned.  A shifted pass raises what is spanned far above that, however small it was.
 SPANNED = 1e-12
+#: Share of the largest eigenvalue of the covariance below which one counts as zero.
+RANK = 1e-22
 UNIT = float(np.finfo(float).eps) / 2
 
 
@@ -154,9 +157,10 @@ def orthogonalise(fit: DataFrame, spaces: dict[int, Space]) -> None:
         for one in s.factors:
             r = one @ r
         w, u = np.linalg.eigh(gram[d])
-        _, sigma, vt = np.linalg.svd((u * np.sqrt(np.maximum(w, 0))) @ u.T @ r)
+        root = np.sqrt(np.where(w > SPANNED * w[-1], w, 0.0).clip(0))
+        _, sigma, vt = np.linalg.svd((u * root) @ u.T @ r)
         values = sigma**2 / s.n
-        keep = values > max(SPANNED * (values[0] if len(values) else 0), 0)
+        keep = values > RANK * values[0]
         s.values, s.components = values[keep], vt[keep]
         # one sign for all rows: the strongest entry is positive
         for v in s.components:
