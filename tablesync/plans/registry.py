@@ -40,6 +40,7 @@ def _load() -> None:
     from tablesync.plans import (  # noqa: F401
         q_copy,
         q_files,
+        q_locate,
         q_metadata,
         q_reconcile,
         q_runs,

@@ -15,6 +15,8 @@ from typing import Optional
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablesync.session import work_dir
+
 _VERSION = re.compile(r"^_v(\d+)$")
 
 
@@ -77,3 +79,11 @@ def delete(spark: SparkSession, path: str) -> bool:
     """Recursively delete a folder (reload / rescan controls)."""
     fs, p, _ = _fs(spark, path)
     return bool(fs.delete(p, True)) if fs.exists(p) else False
+
+
+def held(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written below the cluster's shared folder and read back: an
+    iteration's lineage ends here, and a lost executor costs its own tasks only."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
