@@ -14,8 +14,10 @@ the parts' totals (one row a part), and a second small job writes offsets.
 Files are written under another name and moved into place, so a task that is
 run again replaces its own output.
 
-Texts are encoded word by word: the tokenizer neither merges nor normalises
-across a space or line feed, and a worker keeps the ids of words it has seen.
+A tokenizer that leaves spaces out of its tokens gives a text the ids of the
+parts between spaces and line feeds, so a worker keeps the ids of words it has
+seen; :func:`drops_spaces` reads that from the tokenizer's own file, and other
+tokenizers encode whole texts.
 
 Defined cases: null is the empty text, which has the end id only; a null id
 sorts first; equal ids are ordered by the text's hash; repeated rows are
@@ -25,6 +27,7 @@ documents of their own; other columns are ignored; an empty table makes no files
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 import zlib
@@ -33,18 +36,21 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import partitions_for, worker_cache
+from .common import partitions_for, text_pieces, worker_cache
 from .pieces import model_bytes
 
 #: Bytes of input that one part is made of, by the optimizer's estimate.
 PART_BYTES = 32 << 20
 #: Words kept by a Python worker (results don't depend on it).
 CACHE_WORDS = 600_000
+#: Bytes of text whose words are told apart at once.
+WORD_PIECE = 4 << 20
 
 
 def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -82,33 +88,119 @@ def flat(folder: str, name: str, kind: str) -> np.ndarray:
         return np.frombuffer(f.read(), kind)
 
 
+def _parts(step: dict | None, inner: str) -> list[dict]:
+    return [] if step is None else [p for one in step[inner] for p in _parts(one, inner)] if step.get("type") == "Sequence" else [step]
+
+
+def drops_spaces(raw: bytes) -> bool:
+    """Whether a tokenizer's ids are those of the parts between spaces and line feeds:
+    known steps of normalisation that look at no neighbour across a space, and a
+    first step of splitting that leaves spaces out of every token."""
+    model = json.loads(raw)
+    for step in _parts(model.get("normalizer"), "normalizers"):
+        spaces = step["type"] == "Replace" and step["pattern"] == {"Regex": r"\s+"} and step["content"] == " "
+        if step["type"] not in ("NFC", "Lowercase") and not spaces:
+            return False
+    if any(set(t["content"]) & set(" \n") or t["lstrip"] or t["rstrip"] or t["single_word"] for t in model.get("added_tokens") or ()):
+        return False
+    first = (_parts(model.get("pre_tokenizer"), "pretokenizers") or [{"type": None}])[0]
+    if first["type"] == "Split" and first["behavior"] == "Removed" and first["invert"]:
+        pattern = re.sub(r"\[\^\\s(?:\\p\{\w+\}|\w)*\]", "", first["pattern"].get("Regex", " "))
+        # what is left of the pattern, negated classes without white space aside, has nothing that matches a space
+        return not re.search(r" |\.|\[\^|\\[sWDPnNXRvh]|\\x", pattern)
+    return first["type"] in ("Whitespace", "WhitespaceSplit", "BertPreTokenizer")
+
+
+#: Fixed value: a usual pattern of tokens, in which runs of letters and of marks are apart.
+LETTERS_AND_MARKS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_CODE = np.arange(256)
+_UPPER = (_CODE >= 65) & (_CODE <= 90)
+_LETTER = _UPPER | ((_CODE >= 97) & (_CODE <= 122))
+_MARK = (_CODE > 32) & (_CODE < 127) & ~_LETTER & ~((_CODE >= 48) & (_CODE <= 57)) & (_CODE != 39)
+
+
+def more_alike(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Texts with fewer distinct words and the same ids under ``LETTERS_AND_MARKS``
+    and a lower-casing tokenizer: A-Z before an ASCII character (which nothing
+    composes with) in lower case, and a space between ASCII letters and marks but the apostrophe."""
+    plain = np.append(data[1:] < 128, True)
+    data = np.where(_UPPER[data] & plain, data + 32, data).astype(np.uint8)
+    letter, mark = _LETTER[data], _MARK[data]
+    cut = np.flatnonzero((letter[:-1] & mark[1:]) | (mark[:-1] & letter[1:])) + 1
+    # between two texts a space stands after the first's end
+    return np.insert(data, cut, 32), off + np.searchsorted(cut, off, "right")
+
+
 class WordEncoder:
+    """Ids of texts.  Where the tokenizer drops spaces, each distinct word of a
+    piece is looked up once, and ids are gathered from the table of words seen."""
+
     def __init__(self, raw: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_buffer(raw)
         self.kind = id_kind(self.tokenizer)
-        self.words, self.words_before = {"": b""}, {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text in the file's format."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.words) > CACHE_WORDS // 2:
-            self.words, self.words_before = {"": b""}, self.words
-        known, before = self.words, self.words_before
-        new = []
-        for w in {w for ws in split for w in ws if w not in known}:
-            made = before.get(w)
-            if made is None:
-                new.append(w)
-            else:
-                known[w] = made
-        for lo in range(0, len(new), 4096):
-            some = new[lo : lo + 4096]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                known[w] = np.array(e.ids, self.kind).tobytes()
-        return [b"".join([known[w] for w in ws]) for ws in split]
+        self.by_word = drops_spaces(raw)
+        model = json.loads(raw)
+        first = (_parts(model.get("pre_tokenizer"), "pretokenizers") or [{}])[0]
+        lowered = any(step["type"] == "Lowercase" for step in _parts(model.get("normalizer"), "normalizers"))
+        self.alike = self.by_word and lowered and first.get("pattern") == {"Regex": LETTERS_AND_MARKS}
+        self.added = [t["content"].lower().encode() for t in model.get("added_tokens") or ()]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.rows: dict[str, int] = {}
+        self.ids, self.used = np.zeros(1 << 16, self.kind), 0
+        self.start, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+
+    def _add(self, words: list[str]) -> None:
+        """Encode words on end, as one text is far cheaper than its words, and tell their ids apart by where they begin."""
+        lines = [words[lo : lo + 256] for lo in range(0, len(words), 256)]
+        for lo in range(0, len(lines), 16):
+            some = lines[lo : lo + 16]
+            for line, e in zip(some, self.tokenizer.encode_batch([" ".join(w) for w in some], add_special_tokens=False)):
+                long = np.fromiter(map(len, line), np.int64, len(line)) + 1
+                begin = np.fromiter((o[0] for o in e.offsets), np.int64)
+                owner = np.searchsorted(np.cumsum(long), begin, "right")
+                flat, size = np.array(e.ids, self.kind), np.bincount(owner, minlength=len(line))
+                row, n = len(self.rows), len(self.rows) + len(line)
+                while n > len(self.start):
+                    self.start, self.size = np.resize(self.start, 2 * len(self.start)), np.resize(self.size, 2 * len(self.size))
+                while self.used + len(flat) > len(self.ids):
+                    self.ids = np.resize(self.ids, 2 * len(self.ids))
+                self.start[row:n], self.size[row:n] = self.used + np.cumsum(size) - size, size
+                self.ids[self.used : self.used + len(flat)] = flat
+                self.used += len(flat)
+                self.rows.update(zip(line, range(row, n)))
+
+    def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids of some texts on end, and how many each has, piece by piece."""
+        if not self.by_word:
+            for lo in range(0, len(texts), 256):
+                some = [t or "" for t in texts.slice(lo, 256).to_pylist()]
+                made = [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+                yield np.concatenate(made), np.array([len(m) for m in made], np.int64)
+            return
+        for _, _, data, off in text_pieces(texts, WORD_PIECE):
+            low = data.tobytes().lower() if self.alike else b""
+            # an added token, or what looks like one, is not to be cut or changed
+            if self.alike and not any(t in low for t in self.added):
+                data, off = more_alike(data, off)
+            data = np.where(data == 10, 32, data).astype(np.uint8)
+            # offsets of 64 bits: a single text may be longer than 2 GB
+            said = pa.LargeStringArray.from_buffers(len(off) - 1, pa.py_buffer(off.astype(np.int64)), pa.py_buffer(data))
+            words = pc.split_pattern(said, " ")
+            coded = words.flatten().dictionary_encode()
+            distinct = coded.dictionary.to_pylist()
+            if len(self.rows) + len(distinct) > CACHE_WORDS:
+                self._forget()
+            self._add([w for w in distinct if w not in self.rows])
+            row = np.fromiter(map(self.rows.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+            size = self.size[row]
+            upto = np.concatenate([[0], np.cumsum(size)])
+            at = np.repeat(self.start[row] - upto[:-1], size) + np.arange(upto[-1])
+            yield self.ids[at], np.diff(upto[words.offsets.to_numpy()])
 
 
 def id_kind(tokenizer) -> str:
@@ -131,23 +223,21 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int,
     spark = docs.sparkSession
     raw = model_bytes(docs, tokenizer_path)
     kind = id_kind(Tokenizer.from_file(tokenizer_path))
-    end = np.array([end_id], kind).tobytes()
-    width = np.dtype(kind).itemsize
+    end = np.array(end_id, kind)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = worker_cache("words " + hashlib.sha256(raw.value).hexdigest(), lambda: WordEncoder(raw.value))
         part = TaskContext.get().partitionId()
-        ids, tokens, counts, total = [], None, [], 0
+        ids, tokens, counts = [], None, []
         fs, base = open_fs(folder)
         fs.create_dir(base, recursive=True)
         aside = f"{base}/.part-{part:06d}.tokens.{TaskContext.get().taskAttemptId()}"
         for b in batches:
             tokens = tokens or fs.open_output_stream(aside)
             ids.append(b.column(0))
-            for lo in range(0, b.num_rows, 256):
-                made = [m + end for m in enc.encode([t or "" for t in b.column(1).slice(lo, 256).to_pylist()])]
-                tokens.write(b"".join(made))
-                counts += [len(m) // width for m in made]
+            for made, size in enc.encode(b.column(1)):
+                tokens.write(np.insert(made, np.cumsum(size), end).tobytes())
+                counts.append(size + 1)
         if tokens is None:
             return
         tokens.close()
@@ -155,9 +245,9 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int,
         keys = pa.chunked_array(ids).combine_chunks()
         null = np.asarray(keys.is_null().to_numpy(zero_copy_only=False), np.uint8)
         put(folder, f"part-{part:06d}.docs", np.asarray(keys.fill_null(0).to_numpy(zero_copy_only=False), "<i8").tobytes() + null.tobytes())
-        total = sum(counts)
-        put(folder, f"part-{part:06d}.counts", np.array(counts, "<u8").tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([len(counts)], pa.int64()), pa.array([total], pa.int64())], names=["part", "docs", "ids"])
+        sizes = np.concatenate(counts)
+        put(folder, f"part-{part:06d}.counts", sizes.astype("<u8").tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([len(sizes)], pa.int64()), pa.array([int(sizes.sum())], pa.int64())], names=["part", "docs", "ids"])
 
     df = docs.select(F.col(key).cast("long").alias("k"), F.col(text).cast("string").alias("t")).withColumn("h", F.xxhash64("t"))
     n = partitions_for(docs, PART_BYTES)

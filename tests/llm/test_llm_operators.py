@@ -364,6 +364,35 @@ def test_token_files(spark, docs, tmp_path):
     assert read_tokens(spark, write_tokens(empty(spark), WORDS, str(tmp_path / "c"), 2)).count() == 0
 
 
+def test_ids_by_word_are_those_of_whole_texts(monkeypatch):
+    import json
+
+    import pyarrow as pa
+    import tablesync.llm.tokenfiles as T
+    from tokenizers import Tokenizer
+
+    with open(WORDS, "rb") as f:
+        raw = f.read()
+    r = random.Random(7)
+    odd = ["H\u0331 T\u0308. Y\u030a A\u0301B", "don't.It's 'S we'LL'd", "<|ENDOFTEXT|>a <|startoftext|>.", "I\u0307.İ\u212a", None, "", "\n \n", "x" * 70000 + "." + "y"]
+    signs = [32, 32, 10, 9, 0xA0, 0x2028, 39, 46, 95, 124, 60, 62, 65, 72, 90, 97, 115, 116, 48, 0x130, 0x17F, 0x301, 0x308, 0x331, 0xE9, 0xDF, 0x1100, 0x1161, 0x1F600]
+    odd += ["".join(chr(r.choice(signs)) for _ in range(r.randrange(40))) for _ in range(5000)]
+    model = json.loads(raw)
+    model["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] += "| "
+    spaced = json.dumps(model).encode()
+    assert T.drops_spaces(raw) and not T.drops_spaces(spaced)
+    for words, piece, one in ((600_000, 4 << 20, raw), (50, 3000, raw), (600_000, 4 << 20, spaced)):
+        monkeypatch.setattr(T, "CACHE_WORDS", words)
+        monkeypatch.setattr(T, "WORD_PIECE", piece)
+        texts = odd if one is raw else odd[:50]
+        made = list(T.WordEncoder(one).encode(pa.array(texts)))
+        ids, size = np.concatenate([i for i, _ in made]), np.concatenate([n for _, n in made])
+        upto = np.concatenate([[0], np.cumsum(size)])
+        whole = Tokenizer.from_buffer(one)
+        for t, a, z in zip(texts, upto, upto[1:]):
+            assert ids[a:z].tolist() == whole.encode(t or "", add_special_tokens=False).ids, t
+
+
 # ------------------------------------------------------------------ 8
 def test_token_counts(spark):
     from tokenizers import Tokenizer, models, pre_tokenizers
