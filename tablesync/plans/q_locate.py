@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tablesync import oracle as O
-from tablesync.operators import sketch_diff
+from tablesync.operators import digest_tree, sketch_diff
 from tablesync.plans.registry import query
-from tablesync.session import apply_defaults
+from tablesync.session import apply_defaults, work_dir
 from tablesync.sources import fixtures as X
 from tablesync.sources.tables import load
 
@@ -18,3 +18,27 @@ def recon_missing_by_sketch(spark: SparkSession, sf: str) -> DataFrame:
     """The rows that differ, found through cells in number of the difference."""
     apply_defaults(spark)
     return sketch_diff.missing_rows_by_sketch(load(spark, sf, "lineitem"), X.lineitem_target(spark, sf))
+
+
+# ----------------------------------------------------------------- T2 / R3 by a digest tree
+#: Rows of a leaf in these queries: the test tables get trees of several levels.
+_LEAF_ROWS = 512
+
+
+@query("sync_first_run", oracle="select * from orders")
+def sync_first_run(spark: SparkSession, sf: str) -> DataFrame:
+    """A target that isn't there is created and read back."""
+    apply_defaults(spark)
+    target = work_dir(spark, "sync_first_run") + "/orders"
+    digest_tree.sync_tree(spark, load(spark, sf, "orders"), target, ["o_orderkey"], _LEAF_ROWS)
+    return digest_tree.read_table(spark, target)
+
+
+@query("recon_missing_by_tree", oracle=O.missing_sql("select * from orders", O.ORDERS_TARGET, O.ORDERS_COLS))
+def recon_missing_by_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """Two stored tables compared from the roots of their trees, differing leaves read."""
+    apply_defaults(spark)
+    root = work_dir(spark, "recon_missing_by_tree")
+    digest_tree.sync_tree(spark, load(spark, sf, "orders"), root + "/source", ["o_orderkey"], _LEAF_ROWS)
+    digest_tree.sync_tree(spark, X.orders_target(spark, sf), root + "/target", ["o_orderkey"], 2 * _LEAF_ROWS)
+    return digest_tree.missing_rows_by_tree(spark, root + "/source", root + "/target")

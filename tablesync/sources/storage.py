@@ -31,6 +31,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder."""
+    fs, p, _ = _fs(spark, path)
+    return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()) if fs.exists(p) else []
+
+
 def committed_versions(spark: SparkSession, table_dir: str) -> list[int]:
     """Numbers of the committed versions, least first (six digits or more)."""
     fs, p, jvm = _fs(spark, table_dir)

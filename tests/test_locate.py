@@ -1,11 +1,15 @@
 """Differences located by sketches and digest trees; keys and changed cells found."""
 
+import pytest
 from conftest import SF001, rows
 from pyspark.sql import functions as F
 
+from tablesync.operators import digest_tree as D
 from tablesync.operators import sketch_diff as S
 from tablesync.operators.reconcile import missing_rows
+from tablesync.session import work_dir
 from tablesync.sources import fixtures as X
+from tablesync.sources import storage
 from tablesync.sources.tables import load
 
 
@@ -48,3 +52,88 @@ def test_sketch_traffic_follows_the_difference(spark):
     assert n == s.count() + t.count() and 0.7 * exact < size < 1.3 * exact
     assert S.difference_size(S.signed_digests(s, s, s.columns))[0] == 0
     assert S.cells_of(S.signed_digests(s, t, s.columns), 300).count() <= 300
+
+
+# ------------------------------------------------------------------ digest trees
+def test_tree_sync_rewrites_differing_leaves_only(spark):
+    d = work_dir(spark, "t") + "/orders"
+    source = load(spark, SF001, "orders")
+    first = D.sync_tree(spark, source, d, ["o_orderkey"], leaf_rows=20)
+    assert first.created and first.bits == 7 and rows(D.read_table(spark, d)) == rows(source)
+    files = set(D.read_table(spark, d).inputFiles())
+    assert D.sync_tree(spark, source, d, ["o_orderkey"], leaf_rows=20) == D.Synced(False, [], 7)
+    # two changed keys, one deleted, one new: at most four leaves
+    edited = source.where("o_orderkey <> 5").withColumn("o_totalprice", F.when(F.col("o_orderkey").isin(1, 2), 0.0).otherwise(F.col("o_totalprice")))
+    edited = edited.unionByName(source.where("o_orderkey = 3").withColumn("o_orderkey", F.lit(-3).cast("long")))
+    done = D.sync_tree(spark, edited, d, ["o_orderkey"], leaf_rows=20)
+    assert not done.created and 1 <= len(done.leaves) <= 4
+    assert rows(D.read_table(spark, d)) == rows(edited)
+    now = set(D.read_table(spark, d).inputFiles())
+    touched = {f.split("_leaf=")[1].split("/")[0] for f in now - files}
+    assert touched <= {str(i) for i in done.leaves} and len(files & now) >= len(files) - 4
+    # reading some leaves opens no other folder
+    some = D.read_table(spark, d, done.leaves[:1])
+    assert {f.split("_leaf=")[1].split("/")[0] for f in some.inputFiles()} <= {str(done.leaves[0])}
+
+
+def test_tree_comparison_reads_differing_leaves_only(spark, monkeypatch):
+    root = work_dir(spark, "t")
+    source, target = load(spark, SF001, "orders"), X.orders_target(spark, SF001)
+    D.sync_tree(spark, source, root + "/s", ["o_orderkey"], leaf_rows=10)
+    D.sync_tree(spark, source.where("o_orderkey <> 7"), root + "/t", ["o_orderkey"], leaf_rows=40)
+    read = []
+    whole = D.read_table
+    monkeypatch.setattr(D, "read_table", lambda *a: read.append(whole(*a)) or read[-1])
+    got = D.missing_rows_by_tree(spark, root + "/s", root + "/t")
+    assert [tuple(r)[:2] for r in got.collect()] == [("missing_in_target", 7)]
+    assert all(len({f.split("_leaf=")[1].split("/")[0] for f in df.inputFiles()}) <= 8 for df in read)
+    D.sync_tree(spark, target, root + "/t", ["o_orderkey"], leaf_rows=40)
+    assert rows(D.missing_rows_by_tree(spark, root + "/s", root + "/t")) == rows(missing_rows(source, target))
+    assert D.missing_rows_by_tree(spark, root + "/s", root + "/s").count() == 0
+
+
+def test_tree_of_null_and_repeated_keys_and_growth(spark):
+    d = work_dir(spark, "t") + "/x"
+    schema = "k long, v string, m map<string,int>"
+    text = lambda df: sorted(map(repr, df.withColumn("m", F.to_json("m")).collect()))
+    one = spark.createDataFrame([(None, "a", None), (None, "b", {"x": 1}), (1, None, {}), (1, None, {})] + [(2, f"hot {i % 3}", None) for i in range(300)], schema)
+    D.sync_tree(spark, one, d, ["k"], leaf_rows=50)
+    assert text(D.read_table(spark, d)) == text(one)
+    two = spark.createDataFrame([(None, "a", None), (1, None, {}), (3, "c", None)] + [(2, f"hot {i % 3}", None) for i in range(299)], schema)
+    D.sync_tree(spark, two, d, ["k"], leaf_rows=50)
+    assert text(D.read_table(spark, d)) == text(two)
+    empty = two.limit(0)
+    D.sync_tree(spark, empty, d, ["k"], leaf_rows=50)
+    assert D.read_table(spark, d).count() == 0
+    many = spark.range(6000).select(F.col("id").alias("k"), F.lit("v").alias("v"), F.lit(None).cast("map<string,int>").alias("m"))
+    grown = D.sync_tree(spark, many, d, ["k"], leaf_rows=50)
+    assert grown.bits == 7 and not grown.created and D.read_table(spark, d).count() == 6000
+    # other columns: written anew
+    D.sync_tree(spark, many.drop("m"), d, ["k"], leaf_rows=50)
+    assert D.read_table(spark, d).columns == ["k", "v"]
+    assert len(D.vacuum(spark, d)) >= 3 and D.vacuum(spark, d) == [] and D.read_table(spark, d).count() == 6000
+    e = work_dir(spark, "t") + "/e"
+    assert D.sync_tree(spark, empty, e, ["k"]).created and D.read_table(spark, e).columns == ["k", "v", "m"]
+
+
+def test_a_dead_sync_leaves_the_old_state(spark, monkeypatch):
+    d = work_dir(spark, "t") + "/orders"
+    source = load(spark, SF001, "orders")
+    D.sync_tree(spark, source, d, ["o_orderkey"], leaf_rows=50)
+
+    def dies(*a, **k):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(storage, "write_version", dies)
+    with pytest.raises(RuntimeError):
+        D.sync_tree(spark, X.orders_target(spark, SF001), d, ["o_orderkey"], leaf_rows=50)
+    monkeypatch.undo()
+    assert rows(D.read_table(spark, d)) == rows(source)
+    D.sync_tree(spark, X.orders_target(spark, SF001), d, ["o_orderkey"], leaf_rows=50)
+    assert rows(D.read_table(spark, d)) == rows(X.orders_target(spark, SF001))
+
+
+def test_a_leaf_is_written_by_as_many_tasks_as_it_needs(spark):
+    df = spark.range(1000).withColumn(D.LEAF, F.lit(0)).hint("rebalance", F.col(D.LEAF))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
