@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tablesync import oracle as O
-from tablesync.operators import digest_tree, sketch_diff
+from tablesync.operators import digest_tree, keys, sketch_diff
 from tablesync.plans.registry import query
 from tablesync.session import apply_defaults, work_dir
 from tablesync.sources import fixtures as X
@@ -42,3 +44,28 @@ def recon_missing_by_tree(spark: SparkSession, sf: str) -> DataFrame:
     digest_tree.sync_tree(spark, load(spark, sf, "orders"), root + "/source", ["o_orderkey"], _LEAF_ROWS)
     digest_tree.sync_tree(spark, X.orders_target(spark, sf), root + "/target", ["o_orderkey"], 2 * _LEAF_ROWS)
     return digest_tree.missing_rows_by_tree(spark, root + "/source", root + "/target")
+
+
+# ----------------------------------------------------------------- T2 key discovery
+def _keys_sql(tables: dict[str, tuple[list[str], int]]) -> str:
+    """Every set of columns counted, those kept that are keys and hold no smaller one."""
+    sets = []
+    for table, (columns, most) in tables.items():
+        for size in range(1, most + 1):
+            for some in combinations(columns, size):
+                listed = ", ".join(some)
+                quoted = ", ".join(f"'{c}'" for c in some)
+                sets.append(f"select '{table}' as table_name, [{quoted}] as cols, (select count(*) from (select distinct {listed} from {table})) = (select count(*) from {table}) as is_key")
+    return f"""
+with u as materialized ({' union all '.join(sets)})
+select table_name, array_to_string(cols, ',') as key_columns, cast(len(cols) as integer) as key_size
+from u a where is_key and not exists (
+  select 1 from u b where b.table_name = a.table_name and b.is_key and len(b.cols) < len(a.cols) and list_has_all(a.cols, b.cols))
+"""
+
+
+@query("table_keys", oracle=_keys_sql({"orders": (O.ORDERS_COLS, 6), "events": (O.EVENTS_COLS, 6), "lineitem": (O.LINEITEM_COLS, 2)}))
+def table_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Minimal keys of three tables (of lineitem up to two columns)."""
+    apply_defaults(spark)
+    return keys.keys_table({t: load(spark, sf, t) for t in ("orders", "events")}).unionByName(keys.keys_table({"lineitem": load(spark, sf, "lineitem")}, most=2))

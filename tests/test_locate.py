@@ -1,10 +1,13 @@
 """Differences located by sketches and digest trees; keys and changed cells found."""
 
+from itertools import combinations
+
 import pytest
 from conftest import SF001, rows
 from pyspark.sql import functions as F
 
 from tablesync.operators import digest_tree as D
+from tablesync.operators import keys as K
 from tablesync.operators import sketch_diff as S
 from tablesync.operators.reconcile import missing_rows
 from tablesync.session import work_dir
@@ -137,3 +140,31 @@ def test_a_leaf_is_written_by_as_many_tasks_as_it_needs(spark):
     df = spark.range(1000).withColumn(D.LEAF, F.lit(0)).hint("rebalance", F.col(D.LEAF))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "REBALANCE_PARTITIONS_BY_COL" in plan
+
+
+# ------------------------------------------------------------------ keys
+def all_keys(names, data, most=None):
+    """Minimal keys by trying every set of columns."""
+    found = []
+    for size in range(1, (most or len(names)) + 1):
+        for some in combinations(range(len(names)), size):
+            if not any(set(k) <= set(some) for k in found) and len({tuple(r[i] for i in some) for r in data}) == len(data):
+                found.append(some)
+    return [tuple(names[i] for i in k) for k in found]
+
+
+@pytest.mark.parametrize("table,most", [("orders", None), ("events", None), ("lineitem", 3)])
+def test_minimal_keys_are_those_of_brute_force(spark, table, most):
+    df = load(spark, SF001, table)
+    assert K.minimal_keys(df, most=most) == all_keys(df.columns, [tuple(r) for r in df.collect()], most)
+
+
+def test_keys_with_nulls_maps_and_repeated_rows(spark):
+    schema = "a int, b int, m map<string,int>"
+    data = [(1, None, {"x": 1}), (None, 1, {"x": 1}), (1, 1, {"x": 2}), (None, None, None), (1, 2, {"y": 1, "z": 2}), (2, 2, {"z": 2, "y": 1})]
+    df = spark.createDataFrame(data, schema)
+    assert K.minimal_keys(df) == [("a", "b"), ("a", "m")]
+    assert K.minimal_keys(df, most=1) == []
+    assert K.minimal_keys(df, columns=["a", "m"]) == [("a", "m")]
+    assert K.minimal_keys(df.unionByName(df.limit(1))) == []
+    assert K.minimal_keys(df.limit(1)) == [()] == K.minimal_keys(df.limit(0))
