@@ -79,17 +79,18 @@ def schema_gate(source_facts: DataFrame, target_facts: DataFrame, enforce: bool
     """
 
     def ordered(facts: DataFrame, alias: str) -> DataFrame:
-        item = F.concat_ws(":", "column_name", "data_type") if types else F.col("column_name")
+        item = F.struct("column_name", "data_type") if types else F.struct("column_name")
         return facts.groupBy(key).agg(
-            F.array_join(
-                F.transform(F.array_sort(F.collect_list(F.struct("ordinal_position", item.alias("n")))), lambda x: x["n"]), ","
-            ).alias(alias)
+            F.transform(F.array_sort(F.collect_list(F.struct("ordinal_position", item.alias("n")))), lambda x: x["n"]).alias(alias)
         )
 
+    def text(c: str) -> Column:
+        return F.array_join(F.transform(c, lambda x: F.concat_ws(":", *[x[f] for f in (("column_name", "data_type") if types else ("column_name",))])), ",").alias(c)
+
     j = ordered(source_facts, "source_columns").join(ordered(target_facts, "target_columns"), key, "full_outer")
     passed = F.coalesce(F.col("source_columns") == F.col("target_columns"), F.lit(False))
     return j.select(
-        key, "source_columns", "target_columns", passed.alias("passed"),
+        key, text("source_columns"), text("target_columns"), passed.alias("passed"),
         F.when(passed, F.lit("ok")).otherwise(F.lit("fail" if enforce else "warn")).alias("action"),
     )
 
@@ -336,6 +337,7 @@ def backup_table(spark: SparkSession, source: DataFrame, backup_dir: str, table_
     the property that ties it to its pipeline."""
     path = copy_table(source, backup_dir)
     spark.sql(f"DROP TABLE IF EXISTS {table_name}")
-    spark.sql(f"CREATE TABLE {table_name} USING parquet LOCATION '{path}'")
+    quoted = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {table_name} USING parquet LOCATION '{quoted}'")
     spark.sql(f"ALTER TABLE {table_name} UNSET TBLPROPERTIES IF EXISTS ('{drop_property}')")
     return path

@@ -305,27 +305,29 @@ def apply_outcome(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 # ------------------------------------------------------------------ M10 table form
-def remap_url_table(df: DataFrame, key: Sequence[str], url_col: str, mapping: DataFrame, out_col: str = "mapped_url") -> DataFrame:
+def remap_url_table(df: DataFrame, url_col: str, mapping: DataFrame, out_col: str = "mapped_url") -> DataFrame:
     """Longest-prefix URL remap against a mapping *table* (``src, dst``).
 
-    Each URL yields its prefixes at ``/`` boundaries (a handful per URL);
-    they are equi-joined with the normalised mapping keys, and the longest
-    hit per row wins.  Matching ignores case.  Rows without a hit get null.
+    Each distinct URL yields its prefixes at ``/`` boundaries (a handful per
+    URL); they are equi-joined with the normalised mapping keys, and the longest
+    hit per URL wins.  Rows get what their own URL maps to, whatever keys they
+    have.  Matching ignores case.  Rows without a hit, or without a URL, get null.
     """
     m = mapping.select(
         F.lower(F.when(F.col("src").endswith("/"), F.col("src")).otherwise(F.concat(F.col("src"), F.lit("/")))).alias("_pre"),
         F.col("dst").alias("_dst"),
     ).groupBy("_pre").agg(F.min("_dst").alias("_dst"))
-    parts = F.split(F.col(url_col), "/")
+    urls = df.select(F.col(url_col).alias("_u")).where("_u is not null").distinct()
+    parts = F.split("_u", "/")
     # from the host on: every URL shares its scheme with most others
     host = F.when(F.element_at(parts, 1).endswith(":") & (F.size(parts) > 2), 3).otherwise(1)
     prefixes = F.transform(F.sequence(host, F.size(parts)), lambda i: F.concat(F.array_join(F.slice(parts, 1, i), "/"), F.lit("/")))
-    cand = df.select(*key, F.col(url_col).alias("_u"), F.explode(prefixes).alias("_cp")).withColumn("_pre", F.lower("_cp"))
+    cand = urls.select("_u", F.explode(prefixes).alias("_cp")).withColumn("_pre", F.lower("_cp"))
     hits = cand.join(m, "_pre", "inner")
     tail = F.substr(F.col("_u"), F.length("_pre") + 1)
     mapped = F.when(tail == "", F.col("_dst")).otherwise(F.concat(F.regexp_replace("_dst", "/+$", ""), F.lit("/"), F.regexp_replace(tail, "^/+", "")))
-    best = hits.groupBy(*key).agg(F.max_by(mapped, F.length("_pre")).alias(out_col))
-    return df.join(best, on=list(key), how="left")
+    best = hits.groupBy("_u").agg(F.max_by(mapped, F.length("_pre")).alias(out_col))
+    return df.join(best, F.col(url_col) == F.col("_u"), "left").drop("_u")
 
 
 # ------------------------------------------------------------------ M12

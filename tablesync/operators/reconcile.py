@@ -18,6 +18,8 @@ spread over tasks, never inside one task.
 
 from __future__ import annotations
 
+import hashlib
+import json
 from dataclasses import dataclass
 from typing import Iterable, Optional, Sequence
 
@@ -397,6 +399,23 @@ def write_mismatches(df: DataFrame, path: str, run_id: Optional[str] = None) ->
     return int(seen.get["n"])
 
 
+def write_evidence(df: DataFrame, path: str, run_id: str, pair: str) -> dict[str, int]:
+    """Store the stamped rows of one run and pair in a folder of their own, in
+    place of what an earlier try of that run and pair left there, and return
+    how many there are of each ``issue_type``, observed while they are written."""
+    seen = Observation()
+    of = lambda kind: F.count_if(F.col("issue_type") == kind).alias(kind)
+    counts = [of(MISSING_IN_SOURCE), of(MISSING_IN_TARGET)] if "issue_type" in df.columns else []
+    rows = df.observe(seen, F.count(F.lit(1)).alias("n"), *counts)
+    rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{hashlib.sha256(json.dumps([run_id, pair]).encode()).hexdigest()[:32]}")
+    return {k: int(v) for k, v in seen.get.items()}
+
+
+def read_evidence(spark: SparkSession, path: str) -> DataFrame:
+    """All rows that :func:`write_evidence` stored below ``path``."""
+    return spark.read.option("recursiveFileLookup", True).parquet(path)
+
+
 # --------------------------------------------------------------------------- R10
 def sample_objects(listing: DataFrame, n: int, seed: str | int, name_cols: Sequence[str]) -> DataFrame:
     """A deterministic pseudo-random sample of ``n`` objects.

@@ -50,11 +50,13 @@ def _say(e: Exception) -> str:
 def _missing_check(p: R.TablePair, cfg: ReconcileConfig) -> tuple:
     excl = list(cfg.exclude_columns)
     try:
-        c = R.match_counts(p.source, p.target, excl, p.source_filter, p.target_filter).first()
-        m_t, m_s = int(c["missing_count"]), int(c["missing_in_source_count"])
-        if m_t + m_s and cfg.evidence_path:
+        if cfg.evidence_path:  # one pass: rows are counted while they are stored
             rows = R.missing_rows(p.source, p.target, excl, p.source_filter, p.target_filter, with_evidence=True)
-            R.write_mismatches(R.missing_data_rows(rows, cfg.run_id, *_full_names(p)), f"{cfg.evidence_path}/missing_data")
+            n = R.write_evidence(R.missing_data_rows(rows, cfg.run_id, *_full_names(p)), f"{cfg.evidence_path}/missing_data", cfg.run_id, p.name)
+            m_t, m_s = n[R.MISSING_IN_TARGET], n[R.MISSING_IN_SOURCE]
+        else:  # numbers alone: digests cross the shuffle
+            c = R.match_counts(p.source, p.target, excl, p.source_filter, p.target_filter, method="digest").first()
+            m_t, m_s = int(c["missing_count"]), int(c["missing_in_source_count"])
     except Exception as e:  # noqa: BLE001 - one pair's failure is its own result
         return (p.name, "missing_data_check", "failed", False, None, _say(e))
     total = m_t + m_s
@@ -93,7 +95,8 @@ def reconcile_pairs(
     """One row per pair and check.  A pair one of whose tables is missing, or
     whose check raises, fails by itself with the reason in ``details``; the
     others go on.  With ``evidence_path`` schema differences and missing rows
-    are appended below it, stamped with run and names."""
+    are stored below it, stamped with run and names; the same run of the same
+    pair again takes the place of what it stored before."""
     cfg = config or ReconcileConfig()
     rows: list[tuple] = []
     excl = list(cfg.exclude_columns)
@@ -125,7 +128,7 @@ def reconcile_pairs(
                 fail(p, "schema_check", len(done[p.name]), None)
                 if cfg.evidence_path:
                     diff = R.schema_diff_tables(spark, [p], excl).drop("pair")
-                    R.write_mismatches(R.stamp_result(diff, cfg.run_id, *_full_names(p)), f"{cfg.evidence_path}/schema")
+                    R.write_evidence(R.stamp_result(diff, cfg.run_id, *_full_names(p)), f"{cfg.evidence_path}/schema", cfg.run_id, p.name)
             else:
                 rows.append((p.name, "schema_check", "passed", True, 0, None))
                 going.append(p)

@@ -65,6 +65,7 @@ with v(pair, source_columns, target_columns) as (values
 select pair, source_columns, target_columns, source_columns = target_columns as passed,
        case when source_columns = target_columns then 'ok' else 'fail' end as action
 from v
+union all select 'commas', 'n,name', 'n,name', false, 'fail'
 """,
 )
 def schema_gate(spark: SparkSession, sf: str) -> DataFrame:
@@ -75,6 +76,7 @@ def schema_gate(spark: SparkSession, sf: str) -> DataFrame:
         "orders": (load(spark, sf, "orders"), X.orders_reshaped(spark, sf)),
         "customer": (cust, cust.select(*reversed(cust.columns))),
         "events": (X.events_source(spark, sf), X.events_target(spark, sf)),
+        "commas": (load(spark, sf, "nation").select(F.col("n_name").alias("n,name")), load(spark, sf, "nation").select(F.col("n_nationkey").alias("n"), F.col("n_name").alias("name"))),
     }
     sf_ = column_facts(spark, {k: v[0] for k, v in pairs.items()}).withColumnRenamed("table_name", "pair")
     tf_ = column_facts(spark, {k: v[1] for k, v in pairs.items()}).withColumnRenamed("table_name", "pair")

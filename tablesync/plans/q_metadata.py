@@ -409,19 +409,23 @@ with m as (
   select distinct regexp_extract(url, '^[a-z]+://[^/]+/', 0) as src from pages
   where regexp_extract(url, '^[a-z]+://[^/]+/', 0) like '%.org/'
 )
-select p.page_id, p.url,
+select p.site, p.url,
        case when m.src is null then null
             when substr(p.url, length(m.src) + 1) = '' then '{_MIRROR}'
             else rtrim('{_MIRROR}', '/') || '/' || ltrim(substr(p.url, length(m.src) + 1), '/') end as mapped_url
-from pages p left join m on starts_with(lower(p.url), lower(m.src))
+from (select case when page_id % 10 <> 0 then page_id % 20 end as site, case when page_id % 25 <> 0 then url end as url from pages) p
+left join m on starts_with(lower(p.url), lower(m.src))
 """,
 )
 def remap_url(spark: SparkSession, sf: str) -> DataFrame:
     apply_defaults(spark)
-    pages = load(spark, sf, "pages").select("page_id", "url")
+    """Rows whose key repeats or is null, and rows without a URL, each by their own URL."""
+    pages = load(spark, sf, "pages")
     host = F.regexp_extract("url", r"^[a-z]+://[^/]+/", 0)
     mapping = pages.select(host.alias("src")).where(F.col("src").endswith(".org/")).distinct().select("src", F.lit(_MIRROR).alias("dst"))
-    return M.remap_url_table(pages, ["page_id"], "url", mapping)
+    k = F.col("page_id")
+    rows = pages.select(F.when(k % 10 != 0, k % 20).alias("site"), F.when(k % 25 != 0, F.col("url")).alias("url"))
+    return M.remap_url_table(rows, "url", mapping)
 
 
 # ----------------------------------------------------------------- M11 URL replace in text

@@ -125,6 +125,9 @@ union all select 'table', r_name || '.' || n_name || '.customer_' || cast(c_cust
           from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey where c_custkey % 5 = 0
 union all select 'table', r_name || '.' || n_name || '.customer_' || cast(c_custkey as varchar), 'max_attempts', '9'
           from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey where c_custkey % 7 = 0
+union all select 'table', r_name || '.' || n_name || '.customer_' || cast(c_custkey as varchar), 'enforce_schema', null
+          from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey where c_custkey % 11 = 0
+union all select 'schema', r_name || '.' || n_name, 'only_null', null from nation join region on n_regionkey = r_regionkey
 """
 _OBJECTS_SQL = """
 select r_name as catalog_name, n_name as schema_name, 'customer_' || cast(c_custkey as varchar) as table_name
@@ -147,6 +150,8 @@ def _settings_spark(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]
         .unionByName(rn.where(F.col("n_nationkey") % 3 == 0).select(F.lit("schema").alias("level"), F.concat_ws(".", "r_name", "n_name").alias("object"), F.lit("enforce_schema").alias("key"), F.lit("false").alias("value")))
         .unionByName(crn.where(F.col("c_custkey") % 5 == 0).select(F.lit("table").alias("level"), tname.alias("object"), F.lit("overwrite_tags").alias("key"), F.lit("true").alias("value")))
         .unionByName(crn.where(F.col("c_custkey") % 7 == 0).select(F.lit("table").alias("level"), tname.alias("object"), F.lit("max_attempts").alias("key"), F.lit("9").alias("value")))
+        .unionByName(crn.where(F.col("c_custkey") % 11 == 0).select(F.lit("table").alias("level"), tname.alias("object"), F.lit("enforce_schema").alias("key"), F.lit(None).cast("string").alias("value")))
+        .unionByName(rn.select(F.lit("schema").alias("level"), F.concat_ws(".", "r_name", "n_name").alias("object"), F.lit("only_null").alias("key"), F.lit(None).cast("string").alias("value")))
     )
     objects = crn.select(F.col("r_name").alias("catalog_name"), F.col("n_name").alias("schema_name"), cname.alias("table_name"))
     return settings, objects
@@ -164,6 +169,7 @@ anc as (
 )
 select catalog_name, schema_name, table_name, key, arg_max(value, rank) as value, arg_max(anc.level, rank) as level
 from anc join s on anc.level = s.level and anc.object = s.object
+where value is not null
 group by catalog_name, schema_name, table_name, key
 """,
 )

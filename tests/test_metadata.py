@@ -82,7 +82,7 @@ def test_url_remap_literal_cases(spark):
     assert got == ["gs://t/a/b", "gs://t/x", None, "gs://d/z", "gs://t/", None]
     keyed = df.where("u is not null").withColumn("k", F.col("u"))
     mt = spark.createDataFrame(mapping, "src string, dst string")
-    tab = {r["k"]: r["mapped_url"] for r in M.remap_url_table(keyed, ["k"], "u", mt).collect()}
+    tab = {r["k"]: r["mapped_url"] for r in M.remap_url_table(keyed, "u", mt).collect()}
     assert tab == {"s3://bucket/a/b": "gs://t/a/b", "S3://Bucket/x": "gs://t/x", "s3://bucketX/y": None, "s3://bucket/deep/z": "gs://d/z", "s3://bucket": "gs://t/"}
 
 

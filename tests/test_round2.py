@@ -115,7 +115,7 @@ def test_remapped_equals_the_column_form(spark):
 def test_prefixes_start_at_the_host(spark):
     df = spark.createDataFrame([(1, "https://h/a/b"), (2, "https://h"), (3, "x/y")], "id int, u string")
     m = spark.createDataFrame([("https://h/a", "t://1"), ("https://h", "t://2"), ("x", "z")], "src string, dst string")
-    got = {r["id"]: r["mapped_url"] for r in M.remap_url_table(df, ["id"], "u", m).collect()}
+    got = {r["id"]: r["mapped_url"] for r in M.remap_url_table(df, "u", m).collect()}
     assert got == {1: "t://1/b", 2: "t://2", 3: "z/y"}
 
 
@@ -130,10 +130,11 @@ def test_a_failing_pair_leaves_the_others(spark):
     assert got["gone", "schema_check"] == ("failed", None, "target table not found") and got["gone", "missing_data_check"][0] == "skipped"
     assert got["differ", "missing_data_check"][:2] == ("failed", 2)
     assert got["schema", "schema_check"][:2] == ("failed", 2)
-    stored = spark.read.parquet(path + "/missing_data")
+    reconcile_pairs(spark, [pairs[3]], ReconcileConfig(evidence_path=path, run_id="r1"))  # again: nothing doubles
+    stored = R.read_evidence(spark, path + "/missing_data")
     assert rows(R.summarize_missing(stored, "r1", "target.default.differ"), "issue_type", "row_count") == [("missing_in_source", 1), ("missing_in_target", 1)]
     assert R.summarize_missing(stored, "r1", "target.default.ok").count() == 0
-    assert spark.read.parquet(path + "/schema").where("target_table = 'schema'").count() == 2
+    assert R.read_evidence(spark, path + "/schema").where("target_table = 'schema'").count() == 2
 
 
 def test_mismatch_counts_are_of_one_call(spark):
