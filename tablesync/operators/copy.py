@@ -22,8 +22,6 @@ from tablesync.functions.urls import remapped
 from tablesync.sources import storage
 
 INSERT, UPDATE, DELETE, SAME, DUPLICATE = "insert", "update", "delete", "same", "duplicate_key"
-#: Folder column of a bucketed target, and how many buckets it has by default.
-BUCKET, BUCKETS = "_key_bucket", 64
 
 
 # ------------------------------------------------------------------ T1
@@ -165,63 +163,13 @@ def sync_incremental(spark: SparkSession, source: DataFrame, target_dir: str, ke
     """Bring a versioned target in step with ``source``: compute changes
     against the current version, write the applied result as the next
     version.  Returns the new version path and the change set.  Where a new
-    version of the whole table is too much, see :func:`sync_buckets`."""
+    version of the whole table is too much, see
+    :func:`tablesync.operators.digest_tree.sync_tree`."""
     current = storage.read_table(spark, target_dir)
     changes = snapshot_changes(source, current, keys)
     return storage.write_version(apply_changes(current, changes, keys, source), target_dir), changes
 
 
-def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
-    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-
-
-def copy_bucketed(source: DataFrame, target_dir: str, keys: Sequence[str], buckets: int = BUCKETS) -> None:
-    """Snapshot copy into folders of key buckets, which :func:`sync_buckets`
-    can replace one by one."""
-    rows = with_bucket(source, keys, buckets)
-    rows.repartition(F.col(BUCKET)).write.mode("overwrite").partitionBy(BUCKET).parquet(target_dir)
-
-
-def read_bucketed(spark: SparkSession, target_dir: str, schema: T.StructType) -> DataFrame:
-    """The table without its bucket column (``schema`` is the table's)."""
-    full = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
-    return spark.read.schema(full).parquet(target_dir).drop(BUCKET)
-
-
-def bucket_digests(df: DataFrame, columns: Sequence[str], digest: str) -> DataFrame:
-    """Rows per bucket and two sums of 64-bit row hashes.  Nulls are told from
-    their neighbours by flags; maps are hashed by their sorted entries."""
-    values = [comparable(df, c) for c in columns] + [F.col(f"`{c}`").isNull() for c in columns]
-    total = lambda seed: F.sum(F.xxhash64(F.lit(seed), *values).cast("decimal(38,0)"))
-    return df.groupBy(BUCKET).agg(F.struct(F.count(F.lit(1)).alias("n"), total(1).alias("a"), total(2).alias("b")).alias(digest))
-
-
-def sync_buckets(spark: SparkSession, source: DataFrame, target_dir: str, keys: Sequence[str], buckets: int = BUCKETS) -> list[int]:
-    """Bring a bucketed target in step with ``source``; returns the buckets that
-    were rewritten.
-
-    Both sides are read once and reduced to a digest per bucket (the only
-    shuffle: one row per bucket and task).  Buckets whose digests differ are
-    written anew from the source alone, so null keys, duplicate keys and any
-    number of copies come out as the source has them; all other files stay.
-    """
-    wanted = with_bucket(source, keys, buckets)
-    columns = source.columns
-    full = T.StructType([*source.schema.fields, T.StructField(BUCKET, T.IntegerType())])
-    held = spark.read.schema(full).parquet(target_dir)
-    both = bucket_digests(wanted, columns, "s").join(bucket_digests(held, columns, "t"), BUCKET, "full_outer")
-    differ = both.where(~F.col("s").eqNullSafe(F.col("t"))).select(BUCKET, F.col("s").isNull().alias("gone")).collect()  # a row a bucket at most
-    changed = sorted(r[BUCKET] for r in differ)
-    rewrite = sorted(r[BUCKET] for r in differ if not r["gone"])
-    if rewrite:
-        rows = wanted.where(F.col(BUCKET).isin(rewrite)).repartition(F.col(BUCKET))
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(target_dir)
-    for r in differ:
-        if r["gone"]:
-            storage.delete(spark, f"{target_dir.rstrip('/')}/{BUCKET}={r[BUCKET]}")
-    return changed
-
-
 # ------------------------------------------------------------------ T6
 def sync_strategy(listing: DataFrame, replicate_as_managed: bool = False, staging_catalog: Optional[str] = None) -> DataFrame:
     """Copy strategy per object: external tables not forced to managed are

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tablesync import oracle as O
 from tablesync.operators import copy as C
+from tablesync.operators import digest_tree as D
 from tablesync.plans.registry import query
 from tablesync.session import apply_defaults, work_dir
 from tablesync.sources import fixtures as X
@@ -103,14 +104,13 @@ def snapshot_changes(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("apply_changes", oracle="select * from orders")
 def apply_changes(spark: SparkSession, sf: str) -> DataFrame:
-    """Write the P3 target in key buckets, sync it incrementally from the
+    """Write the P3 target under a digest tree, sync it incrementally from the
     source, read it back."""
     apply_defaults(spark)
     target = work_dir(spark, "apply_changes") + "/orders"
-    C.copy_bucketed(X.orders_target(spark, sf), target, ["o_orderkey"])
-    source = load(spark, sf, "orders")
-    C.sync_buckets(spark, source, target, ["o_orderkey"])
-    return C.read_bucketed(spark, target, source.schema)
+    D.sync_tree(spark, X.orders_target(spark, sf), target, ["o_orderkey"], leaf_rows=8192)
+    D.sync_tree(spark, load(spark, sf, "orders"), target, ["o_orderkey"], leaf_rows=8192)
+    return D.read_table(spark, target)
 
 
 _NULLS_DUPS = """

@@ -12,6 +12,7 @@ from conftest import SF001, rows
 from tablesync import session
 from tablesync.functions.urls import remap_url, remapped
 from tablesync.operators import copy as C
+from tablesync.operators import digest_tree as D
 from tablesync.operators import metadata as M
 from tablesync.operators import reconcile as R
 from tablesync.plans.cascade import CHECK_RESULT_SCHEMA, ReconcileConfig, reconcile_pairs, verdict
@@ -27,23 +28,22 @@ def test_changes_with_null_and_repeated_keys(spark):
     assert sorted(map(str, out.collect())) == sorted(map(str, s.collect()))
 
 
-def test_bucket_sync_rewrites_only_what_differs(spark):
+def test_tree_sync_rewrites_only_what_differs(spark):
     target = work_dir(spark, "t") + "/b"
     t = spark.createDataFrame([(i, "v", {"a": i}) for i in range(200)] + [(None, "old", None)], "k int, v string, m map<string,int>")
-    C.copy_bucketed(t, target, ["k"], 16)
-    assert C.sync_buckets(spark, t, target, ["k"], 16) == []
+    assert D.sync_tree(spark, t, target, ["k"], 13).bits == 4
+    assert D.sync_tree(spark, t, target, ["k"], 13).leaves == []
     s = t.where("k is not null and k <> 7").unionByName(spark.createDataFrame([(None, "new", None), (None, "new", None), (5, "twice", {"b": 1})], t.schema))
-    changed = C.sync_buckets(spark, s, target, ["k"], 16)
-    assert 1 <= len(changed) <= 3
-    got = C.read_bucketed(spark, target, s.schema)
+    assert 1 <= len(D.sync_tree(spark, s, target, ["k"], 13).leaves) <= 3
+    got = D.read_table(spark, target)
     assert sorted(map(str, got.collect())) == sorted(map(str, s.collect()))
-    assert len(C.sync_buckets(spark, s.limit(0), target, ["k"], 16)) == 16
-    assert C.sync_buckets(spark, s, target, ["k"], 16) and C.read_bucketed(spark, target, s.schema).count() == s.count()
+    assert len(D.sync_tree(spark, s.limit(0), target, ["k"], 13).leaves) == 16
+    assert D.sync_tree(spark, s, target, ["k"], 13).leaves and D.read_table(spark, target).count() == s.count()
 
 
-def test_bucket_digests_shuffle_no_rows(spark):
-    df = C.with_bucket(spark.read.parquet(f"{SF001}/orders.parquet"), ["o_orderkey"], 16)
-    plan = C.bucket_digests(df, ["o_orderkey", "o_comment"] if "o_comment" in df.columns else ["o_orderkey"], "d")._jdf.queryExecution().toString()
+def test_leaf_digests_shuffle_no_rows(spark):
+    df = spark.read.parquet(f"{SF001}/orders.parquet")
+    plan = D.leaf_digests(df, ["o_orderkey"], 4)._jdf.queryExecution().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "partial_sum" in plan
 
 
