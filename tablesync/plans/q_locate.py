@@ -5,9 +5,10 @@ from __future__ import annotations
 from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablesync import oracle as O
-from tablesync.operators import digest_tree, keys, sketch_diff
+from tablesync.operators import cell_changes, digest_tree, keys, sketch_diff
 from tablesync.plans.registry import query
 from tablesync.session import apply_defaults, work_dir
 from tablesync.sources import fixtures as X
@@ -69,3 +70,34 @@ def table_keys(spark: SparkSession, sf: str) -> DataFrame:
     """Minimal keys of three tables (of lineitem up to two columns)."""
     apply_defaults(spark)
     return keys.keys_table({t: load(spark, sf, t) for t in ("orders", "events")}).unionByName(keys.keys_table({"lineitem": load(spark, sf, "lineitem")}, most=2))
+
+
+# ----------------------------------------------------------------- R7 changed cells
+def _equal_but(column: str) -> str:
+    return " and ".join(f"s.{c} is not distinct from t.{c}" for c in O.LINEITEM_COLS if c != column)
+
+
+@query(
+    "recon_changed_cells",
+    oracle=f"""
+with m as ({O.missing_sql("select * from lineitem", O.LINEITEM_TARGET, O.LINEITEM_COLS)}),
+s as (select * from m where issue_type = 'missing_in_target'),
+t as (select * from m where issue_type = 'missing_in_source'),
+-- the same line with another quantity, by all that else is known of it
+q as (select s.*, t.l_quantity as new from s join t on {_equal_but('l_quantity')}),
+-- a line that is gone, and its copy under another order
+k as (
+  select s.*, t.l_orderkey as new from s join t on {_equal_but('l_orderkey')}
+  where not exists (select 1 from q where {' and '.join(f'q.{c} is not distinct from s.{c}' for c in O.LINEITEM_COLS)})
+)
+select l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate, 'l_quantity' as column_name, cast(l_quantity as varchar) as source_value, cast(new as varchar) as target_value from q
+union all
+select l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate, 'l_orderkey', cast(l_orderkey as varchar), cast(new as varchar) from k
+""",
+)
+def recon_changed_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that changed in one cell, paired without a key."""
+    apply_defaults(spark)
+    cells = cell_changes.changed_cells(load(spark, sf, "lineitem"), X.lineitem_target(spark, sf), most_changed=1)
+    own = [F.col("source")[c].alias(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate")]
+    return cells.select(*own, "column_name", "source_value", "target_value")

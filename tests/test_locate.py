@@ -1,11 +1,13 @@
 """Differences located by sketches and digest trees; keys and changed cells found."""
 
+import random
 from itertools import combinations
 
 import pytest
 from conftest import SF001, rows
 from pyspark.sql import functions as F
 
+from tablesync.operators import cell_changes as Z
 from tablesync.operators import digest_tree as D
 from tablesync.operators import keys as K
 from tablesync.operators import sketch_diff as S
@@ -168,3 +170,56 @@ def test_keys_with_nulls_maps_and_repeated_rows(spark):
     assert K.minimal_keys(df, columns=["a", "m"]) == [("a", "m")]
     assert K.minimal_keys(df.unionByName(df.limit(1))) == []
     assert K.minimal_keys(df.limit(1)) == [()] == K.minimal_keys(df.limit(0))
+
+
+# ------------------------------------------------------------------ changed cells
+def cells(df, key):
+    return sorted((r["source"][key], r["column_name"], r["source_value"], r["target_value"]) for r in df.collect())
+
+
+def test_changed_cells_name_the_changed_column(spark):
+    # without the copies under other orders only quantities change
+    s, t = pair(spark)
+    got = Z.changed_cells(s, t.where("l_orderkey >= 0")).collect()
+    by_key = [(a, b) for a in s.collect() for b in ([] if a["l_partkey"] % 101 or a["l_orderkey"] % 97 == 0 else [a["l_quantity"] + 1])]
+    assert {r["column_name"] for r in got} == {"l_quantity"} and len(got) == len(by_key)
+    assert sorted((r["source"]["l_orderkey"], r["source"]["l_linenumber"], float(r["target_value"])) for r in got) == sorted((a["l_orderkey"], a["l_linenumber"], b) for a, b in by_key)
+
+
+@pytest.mark.parametrize("most_pairs", [10_000, 20, 1])
+def test_rows_of_few_values_are_paired(spark, monkeypatch, most_pairs):
+    monkeypatch.setattr(Z, "MOST_PAIRS", most_pairs)
+    monkeypatch.setattr(Z, "ORDERED", 7)
+    r = random.Random(9)
+    schema = "id int, a string, b string, c int, m map<string,int>"
+    data = [(i, f"a{r.randrange(3)}", f"b{r.randrange(4)}", r.randrange(5), {"x": i % 2} if i % 3 else None) for i in range(120)]
+    after, expected = [], []
+    for i, row in enumerate(data):
+        row = list(row)
+        if i % 2 == 0:
+            col = 1 + i // 2 % 4
+            row[col] = {1: "new", 2: None, 3: 99, 4: {"y": 7}}[col]
+            expected.append((i, schema.split(", ")[col].split(" ")[0]))
+        after.append(tuple(row))
+    s, t = spark.createDataFrame(data, schema), spark.createDataFrame(after, schema)
+    got = Z.changed_cells(s, t, most_changed=1)
+    assert sorted((r["source"]["id"], r["column_name"]) for r in got.collect()) == sorted(expected)
+    # the id is nothing special: without it rows of equal values are interchangeable, and each is paired once
+    alike = Z.paired_rows(missing_rows(s, t, ["id"]), ["a", "b", "c", "m"], 1).collect()
+    assert all(len(p["changed"]) == 1 for p in alike)
+
+
+def test_a_hot_token_makes_no_pairs_of_all_its_rows(spark, monkeypatch):
+    monkeypatch.setattr(Z, "MOST_PAIRS", 100)
+    s = spark.range(400).select(F.lit("s").alias("side"), F.col("id").alias("rid"), F.array(F.lit(1), F.lit(2), F.lit(3), F.col("id") + 1000).cast("array<bigint>").alias("tokens"))
+    t = s.select(F.lit("t").alias("side"), (F.col("rid") + 10**6).alias("rid"), F.array(F.lit(1), F.lit(2), F.lit(3), F.col("rid") + 5000).cast("array<bigint>").alias("tokens"))
+    got = Z.candidates(s.unionByName(t), 4, 1)
+    # all rows share three of four cells: each is paired once, not with each other
+    assert 0 < got.count() <= 2 * 400 and got.groupBy("s").count().agg(F.max("count")).first()[0] <= 3
+
+
+def test_changed_cells_of_nothing_and_unpaired_rows(spark):
+    s = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "k int, v string, w string")
+    assert Z.changed_cells(s, s).count() == 0 and Z.changed_cells(s.limit(0), s.limit(0)).count() == 0
+    t = spark.createDataFrame([(1, "a", "z"), (3, "c", "q")], s.schema)
+    assert cells(Z.changed_cells(s, t, most_changed=1), "k") == [(1, "w", "x", "z")]
