@@ -103,6 +103,50 @@ def cut_lines(rows):
     return out
 
 
+def cut_passages(rows, least=50):
+    """(doc_id, text) after line dedup that also removes repeated passages of more
+    than ``least`` words: by the texts themselves, without hashes."""
+    from tablesync.llm.linededup import chunks_of
+
+    def places(t):
+        lines, spans, a = t.split("\n"), [], 0
+        for c in chunks_of(t):
+            spans.append((a, a + len(c)))
+            a += len(c)
+        if spans[-1][1] - spans[-1][0] > 2:
+            spans.append((spans[-1][0], spans[-1][1] - 1))
+        said = lambda s: "\n".join(lines[s[0] : s[1]])
+        counted = lambda s: s[1] - s[0] > 1 and said(s).strip() != ""
+        return lines, [(s, said(s)) for s in spans if counted(s)], [((i, i + 2), said((i, i + 2))) for i in range(len(lines) - 1) if counted((i, i + 2))]
+
+    keeper = {}
+    for d, t in rows:
+        rank = (d is not None, d)
+        for _, said in [x for part in places(t)[1:] for x in part] if t and "\n" in t else []:
+            if said not in keeper or rank < keeper[said]:
+                keeper[said] = rank
+    out = []
+    for d, t in rows:
+        if not t or "\n" not in t:
+            out.append((d, t))
+            continue
+        lines, chunks, pairs = places(t)
+        gone, marked = set(), set()
+        for found, marks in ((chunks, gone), (pairs, marked)):
+            seen = set()
+            for s, said in found:
+                if said in seen or keeper[said] != (d is not None, d):
+                    marks.update(range(*s))
+                seen.add(said)
+        for i in range(len(lines)):
+            if i in marked and i - 1 not in marked:
+                end = next(j for j in range(i, len(lines) + 1) if j not in marked)
+                if sum(len(line.split()) for line in lines[i:end]) > least:
+                    gone.update(range(i, end))
+        out.append((d, "\n".join(line for i, line in enumerate(lines) if i not in gone)))
+    return out
+
+
 def windows_hit(rows, items, width=10):
     """(doc_id, n_words, n_hit, item names) by looking at every place."""
     wins = {}

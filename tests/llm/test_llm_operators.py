@@ -10,7 +10,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
-from llm_helpers import EDGE, EDGE_SCHEMA, SF001, cut_lines, documents, edge_docs, jaccard, mean_losses, same, windows_hit, words
+from llm_helpers import EDGE, EDGE_SCHEMA, SF001, cut_lines, cut_passages, documents, edge_docs, jaccard, mean_losses, same, windows_hit, words
 from pyspark.sql import functions as F
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -264,6 +264,11 @@ def test_line_dedup(spark, docs):
     # most of the passage goes from all documents but one, whatever stands before it
     assert sum("shared line 6" in (t or "") for _, t in cut_lines(rows)) == 1
     assert dedup_lines(empty(spark)).count() == 0
+    # as registered, with passages of any boundaries
+    same(line_report(docs, passage_words=50).select("doc_id", "text"), cut_passages(documents()))
+    for words in (5, 50):
+        some = rows + [(400 + i, "\n".join([f"p {r.random()}"] * (i % 2) + [f"passage {n} " + "w " * 20 for n in range(2 + i % 4)] + [f"q {r.random()}"])) for i in range(20)]
+        same(dedup_lines(edge_docs(spark, some), passage_words=words).select("doc_id", "text"), cut_passages(some, words))
 
 
 def test_exact_copies_lose_their_last_line_too(spark):
