@@ -12,7 +12,8 @@ de-duplicated by a map-side aggregate before it is collected.
 
 from __future__ import annotations
 
-from typing import Optional, Sequence
+import re
+from typing import Callable, Optional, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -356,46 +357,97 @@ def property_plan(source: DataFrame, target: DataFrame, whitelist: Sequence[str]
 
 
 # ------------------------------------------------------------------ M13
-# the clause removed from external DDL
-LOCATION_CLAUSE = r"""(?i)\bLOCATION\s*('[^']*'|"[^"]*")"""
+# parts of a statement: text in quotes (doubled or escaped ones inside), names in
+# back-ticks, comments to the end of the line or in slashes, and code between them
+_TEXT = r"""'[^'\\]*+(?:(?:\\.|'')[^'\\]*+)*+'|"[^"\\]*+(?:(?:\\.|"")[^"\\]*+)*+\""""
+_COMMENT = r"--[^\n]*+|/\*.*?\*/"
+DDL_PART = rf"(?s){_TEXT}|`[^`]*+(?:``[^`]*+)*+`|{_COMMENT}|[^'\"`/\-]++|."
 
 
 # one part of a name, quoted or not, and the header up to the end of the name
 _NAME_PART = r"(?:`(?:[^`]|``)+`|[^\s.(`]+)"
-DDL_HEADER = rf"(?i)^\s*CREATE\s+(?:OR\s+(?:REPLACE|REFRESH)\s+)?(?:EXTERNAL\s+|MATERIALIZED\s+|STREAMING\s+)?(?:TABLE|VIEW)\s+(?:IF\s+NOT\s+EXISTS\s+)?{_NAME_PART}(?:\.{_NAME_PART})*"
+# white space and comments before it
+DDL_LEAD = rf"(?s)^(?:\s|{_COMMENT})*+"
+DDL_HEADER = rf"(?is)^CREATE\s+(?:OR\s+(?:REPLACE|REFRESH)\s+)?(?:EXTERNAL\s+|MATERIALIZED\s+|STREAMING\s+|(?:GLOBAL\s+)?TEMP(?:ORARY)?\s+)?(?:TABLE|VIEW)\s+(?:IF\s+NOT\s+EXISTS\s+)?{_NAME_PART}(?:\.{_NAME_PART})*"
+
+
+def ddl_parts(ddl: Column) -> Column:
+    """The parts of a statement, in order; together they are the statement."""
+    return F.regexp_extract_all(ddl, F.lit(DDL_PART), F.lit(0))
+
+
+def _is_code(part: Column) -> Column:
+    first = F.substr(part, F.lit(1), F.lit(1))
+    return part.isNotNull() & ~first.isin("'", '"', "`") & ~part.startswith("--") & ~part.startswith("/*")
+
+
+def rewrite_locations(ddl: Column, new: Optional[Callable[[Column], Column]]) -> Column:
+    """The literal of each ``LOCATION`` clause replaced by what ``new`` makes of it,
+    or, without ``new``, the clause taken out.  The word inside text, names or comments is no clause."""
+    parts = ddl_parts(ddl)
+
+    def rewritten(held: Column) -> Column:
+        word = r"(?is)\bLOCATION\s*$"
+        literal = lambda i: (F.substr(F.get(held, i), F.lit(1), F.lit(1)).isin("'", '"')) & _is_code(F.get(held, i - 1)) & F.get(held, i - 1).rlike(word)
+        here, follows = (lambda i: F.coalesce(literal(i), F.lit(False))), (lambda i: F.coalesce(literal(i + 1), F.lit(False)))
+        if new is None:
+            return F.array_join(F.transform(held, lambda p, i: F.when(here(i), F.lit("")).when(follows(i), F.regexp_replace(p, word, "")).otherwise(p)), "")
+        return F.array_join(F.transform(held, lambda p, i: F.when(here(i), new(p)).otherwise(p)), "")
+
+    # bound to a variable, so that the statement is cut up once
+    return F.get(F.transform(F.array(parts), rewritten), 0)
+
+
+def rename_catalog(ddl: Column, source: str, target: str) -> Column:
+    """Names ``source.x`` and `` `source`.x`` in the code of a statement under ``target``; text and comments stay."""
+    name = rf"(?i)(?<![\w.`]){re.escape(source)}(?=\s*\.)"
+
+    def renamed(held: Column) -> Column:
+        after, before = (lambda i: F.coalesce(F.get(held, i + 1), F.lit(""))), (lambda i: F.coalesce(F.get(held, i - 1), F.lit("")))
+        quoted = lambda p, i: (F.lower(p) == f"`{source.lower()}`") & after(i).rlike(r"^\s*\.") & ~before(i).rlike(r"\.\s*$")
+        plain = lambda p, i: _is_code(p) & ~before(i).rlike(r"`$")
+        return F.array_join(F.transform(held, lambda p, i: F.when(quoted(p, i), F.lit(f"`{target}`")).when(plain(p, i), F.regexp_replace(p, name, target.replace("\\", "\\\\").replace("$", "\\$"))).otherwise(p)), "")
+
+    return F.get(F.transform(F.array(ddl_parts(ddl)), renamed), 0)
 
 
 def rewrite_ddl(df: DataFrame, ddl_col: str, kind_col: str, target_col: str, replace: bool = True,
-                as_managed: Optional[Column] = None, url_map: Optional[Sequence[tuple[str, str]]] = None) -> DataFrame:
+                as_managed: Optional[Column] = None, url_map: Optional[Sequence[tuple[str, str]]] = None,
+                catalog: Optional[tuple[str, str]] = None) -> DataFrame:
     """Re-point ``SHOW CREATE TABLE`` text at a target name.
 
-    The header (``CREATE``, kind and name, over any white space) becomes
-    ``CREATE [OR REPLACE] <KIND> <target>`` or ``CREATE <KIND> IF NOT EXISTS
-    <target>``; all that follows the name stays as it is, whatever it says.
+    The header (``CREATE``, kind and name, over any white space and behind any
+    comments) becomes ``CREATE [OR REPLACE] <KIND> <target>`` or ``CREATE <KIND>
+    IF NOT EXISTS <target>``; all that follows the name stays as it is, whatever it says.
     Text that doesn't start so is left alone.  External tables lose their ``LOCATION`` clause when
-    copied as managed, else their URLs are remapped.  Output column
-    ``target_ddl``.
+    copied as managed, else its URL is remapped.  With ``catalog`` (source,
+    target) names of the source catalog in the bodies of views follow.  Only
+    code is rewritten, never text in quotes or comments.  Output column ``target_ddl``.
     """
     from tablesync.functions.urls import replace_url
 
     ddl, kind = F.col(ddl_col), F.upper(F.col(kind_col))
     is_view = kind == "VIEW"
-    old = F.regexp_substr(ddl, F.lit(DDL_HEADER))
+    lead = F.coalesce(F.regexp_substr(ddl, F.lit(DDL_LEAD)), F.lit(""))
+    statement = F.substr(ddl, F.length(lead) + 1)
+    old = F.regexp_substr(statement, F.lit(DDL_HEADER))
     word = F.when(is_view, F.lit("VIEW")).when(kind == "MATERIALIZED_VIEW", F.lit("MATERIALIZED VIEW")).when(kind == "STREAMING_TABLE", F.lit("STREAMING TABLE")).otherwise(F.lit("TABLE"))
     header = (
         F.concat(F.lit("CREATE OR REPLACE "), word, F.lit(" "), F.col(target_col))
         if replace
         else F.concat(F.lit("CREATE "), word, F.lit(" IF NOT EXISTS "), F.col(target_col))
     )
-    out = F.when(old.isNotNull(), F.concat(header, F.substr(ddl, F.length(old) + 1))).otherwise(ddl)
+    rest = F.substr(statement, F.length(old) + 1)
     ext = kind == "EXTERNAL"
+    body = rest
     if as_managed is not None:
-        stripped = F.regexp_replace(out, LOCATION_CLAUSE, "")
-        mapped = replace_url(out, url_map, first_only=True) if url_map else out
-        out = F.when(ext & as_managed, stripped).when(ext, mapped).otherwise(out)
-    elif url_map:
-        out = F.when(ext, replace_url(out, url_map, first_only=True)).otherwise(out)
-    return df.withColumn("target_ddl", out)
+        body = F.when(ext & as_managed, rewrite_locations(rest, None)).otherwise(body)
+    if url_map:
+        keep = ext if as_managed is None else ext & ~as_managed
+        body = F.when(keep, rewrite_locations(rest, lambda p: replace_url(p, url_map, first_only=True))).otherwise(body)
+    if catalog:
+        body = F.when(kind.isin("VIEW", "MATERIALIZED_VIEW"), rename_catalog(rest, *catalog)).otherwise(body)
+    return df.withColumn("target_ddl", F.when(old.isNotNull(), F.concat(lead, header, body)).otherwise(ddl))
 
 
 # ------------------------------------------------------------------ M14

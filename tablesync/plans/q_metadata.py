@@ -487,17 +487,22 @@ p as (
 ),
 b as (
   select *, case when table_type = 'VIEW' then 'VIEW' else 'TABLE' end as word,
+         case when n % 5 = 0 then '-- once: CREATE TABLE main.x' || chr(10) else '' end as lead,
          case when table_type = 'VIEW' then
                 case when n % 2 = 0 then ' (doc_id, lang)' else '' end
-                || case when n % 3 = 0 then chr(10) || 'COMMENT ''rows as text (short)''' else '' end
-                || case when n % 3 = 1 then chr(10) || 'AS ' else ' AS ' end
-                || 'SELECT doc_id, count(*) AS n FROM main.' || schema_name || '.docs WHERE length(text) > 10 GROUP BY ALL'
-              else case when n % 3 = 0 then '' else ' (' || chr(10) || '  doc_id BIGINT,' || chr(10) || '  lang STRING)' end || chr(10) || 'USING parquet' end as rest
+                || case when n % 3 = 0 then chr(10) || 'COMMENT ''rows of main.docs as text (short)''' else '' end
+                || case when n % 3 = 1 then chr(10) || 'AS ' else ' AS ' end || 'SELECT doc_id, count(*) AS n FROM '
+              else case when n % 3 = 0 then ''
+                        else ' (' || chr(10) || '  doc_id BIGINT,' || chr(10) || '  lang STRING COMMENT ''see LOCATION ''''x'''' of main.t'')' end
+                || chr(10) || 'USING parquet' end as rest,
+         case when table_type = 'VIEW' then '.' || schema_name || '.docs WHERE length(text) > 10 GROUP BY ALL' else '' end as query_end,
+         case when table_type = 'VIEW' then 'main' else '' end as from_catalog, case when table_type = 'VIEW' then 'tgt' else '' end as to_catalog
   from p
 )
 select schema_name, table_name, table_type,
-       'CREATE ' || word || ' ' || name || rest || case when table_type = 'EXTERNAL' then chr(10) || 'LOCATION ''' || storage_location || '''' else '' end as ddl,
-       'CREATE OR REPLACE ' || word || ' ' || target_name || rest
+       lead || 'CREATE ' || word || ' ' || name || rest || from_catalog || query_end
+         || case when table_type = 'EXTERNAL' then chr(10) || 'LOCATION ''' || storage_location || '''' else '' end as ddl,
+       lead || 'CREATE OR REPLACE ' || word || ' ' || target_name || rest || to_catalog || query_end
          || case when table_type <> 'EXTERNAL' then '' when as_managed then chr(10)
                  else chr(10) || 'LOCATION ''' || replace(storage_location, 's3://lake', 's3://mirror-lake') || '''' end as target_ddl
 from b
@@ -511,6 +516,7 @@ def rewrite_ddl(spark: SparkSession, sf: str) -> DataFrame:
     out = M.rewrite_ddl(
         d, "ddl", "table_type", "target_name", replace=True,
         as_managed=F.col("schema_name").isin("src1", "src3"), url_map=[("s3://lake/", "s3://mirror-lake/")],
+        catalog=("main", "tgt"),
     )
     return out.select("schema_name", "table_name", "table_type", "ddl", "target_ddl")
 

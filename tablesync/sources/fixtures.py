@@ -337,8 +337,9 @@ def principal_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 # --------------------------------------------------------------------- DDL
 def listing_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``SHOW CREATE TABLE``-like text for every listed object: views with and
-    without columns, over several lines, with `` as `` in a comment; tables
-    with and without a column list; quoted names."""
+    without columns, over several lines, with `` as `` and a source name in a
+    comment; tables with and without a column list and with a clause's word in a
+    column's comment; quoted names; a comment before the statement."""
     lst = document_listing(spark, sf_dir)
     length = F.length(F.col("table_name"))
     plain = F.concat_ws(".", F.lit("main"), F.col("schema_name"), F.col("table_name"))
@@ -346,14 +347,15 @@ def listing_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.when(F.col("schema_name").isin("src2", "src5"), quoted).otherwise(plain)
     view = F.concat(
         F.when(length % 2 == 0, F.lit(" (doc_id, lang)")).otherwise(F.lit("")),
-        F.when(length % 3 == 0, F.lit("\nCOMMENT 'rows as text (short)'")).otherwise(F.lit("")),
+        F.when(length % 3 == 0, F.lit("\nCOMMENT 'rows of main.docs as text (short)'")).otherwise(F.lit("")),
         F.when(length % 3 == 1, F.lit("\nAS ")).otherwise(F.lit(" AS ")),
         F.lit("SELECT doc_id, count(*) AS n FROM main."), F.col("schema_name"), F.lit(".docs WHERE length(text) > 10 GROUP BY ALL"),
     )
-    columns = F.when(length % 3 == 0, F.lit("")).otherwise(F.lit(" (\n  doc_id BIGINT,\n  lang STRING)"))
+    columns = F.when(length % 3 == 0, F.lit("")).otherwise(F.lit(" (\n  doc_id BIGINT,\n  lang STRING COMMENT 'see LOCATION ''x'' of main.t')"))
     table = F.concat(columns, F.lit("\nUSING parquet"))
     ext = F.concat(table, F.lit("\nLOCATION '"), F.col("storage_location"), F.lit("'"))
     kind = F.col("table_type")
     body = F.when(kind == "VIEW", view).when(kind == "EXTERNAL", ext).otherwise(table)
     head = F.when(kind == "VIEW", F.lit("CREATE VIEW ")).otherwise(F.lit("CREATE TABLE "))
-    return lst.select("schema_name", "table_name", "table_type", F.concat(head, name, body).alias("ddl"))
+    lead = F.when(length % 5 == 0, F.lit("-- once: CREATE TABLE main.x\n")).otherwise(F.lit(""))
+    return lst.select("schema_name", "table_name", "table_type", F.concat(lead, head, name, body).alias("ddl"))

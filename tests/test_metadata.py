@@ -130,3 +130,23 @@ def test_tag_rollup(spark):
     tags = spark.createDataFrame([(1, "b", " v "), (1, "a", "w"), (1, "a", "w"), (2, "a", "u"), (9, "z", "z")], "object int, tag_name string, tag_value string")
     got = {r["object"]: (r["tag_names"], sorted(tuple(m.items())[0] for m in r["tag_maps"])) for r in M.tag_rollup(objs, tags, ["object"]).collect()}
     assert got == {1: (["a", "b"], [("a", "w"), ("b", "v")]), 2: (["a"], [("a", "u")])}
+
+
+def test_ddl_text_is_never_rewritten(spark):
+    text = "CREATE VIEW v AS SELECT '" + "long '' text " * 20000 + "'"
+    cases = [
+        ("CREATE TABLE a.t (x INT COMMENT 'see location ''z''') LOCATION 's3://b'", "EXTERNAL", True, "CREATE OR REPLACE TABLE tgt (x INT COMMENT 'see location ''z''') "),
+        ("CREATE TABLE a.t (x INT) comment 'LOCATION ''x''' -- LOCATION 'q'\nLOCATION \"s3://b/c\"", "EXTERNAL", False, "CREATE OR REPLACE TABLE tgt (x INT) comment 'LOCATION ''x''' -- LOCATION 'q'\nLOCATION \"gs://n/c\""),
+        ("CREATE TABLE a.t (`LOCATION` STRING COMMENT 'it\\'s s3://b' /* LOCATION 's3://b' */) location\n 's3://b/d'", "EXTERNAL", False, "CREATE OR REPLACE TABLE tgt (`LOCATION` STRING COMMENT 'it\\'s s3://b' /* LOCATION 's3://b' */) location\n 'gs://n/d'"),
+        ("CREATE OR REPLACE TEMP VIEW v AS SELECT 1", "VIEW", False, "CREATE OR REPLACE VIEW tgt AS SELECT 1"),
+        ("/* by\nhand */ -- CREATE VIEW x\n create global temporary view v as select 1 - 2 / 3", "VIEW", False, "/* by\nhand */ -- CREATE VIEW x\n CREATE OR REPLACE VIEW tgt as select 1 - 2 / 3"),
+        ("CREATE VIEW a.s.v AS SELECT 'a.s.t', a.s.t.c, `A`.s.t, x.a.y, `x`.`a`.y, \"a.b\" FROM a.s.t -- a.s.t", "VIEW", False, "CREATE OR REPLACE VIEW tgt AS SELECT 'a.s.t', n.s.t.c, `n`.s.t, x.a.y, `x`.`a`.y, \"a.b\" FROM n.s.t -- a.s.t"),
+        ("CREATE VIEW v AS SELECT 'open", "VIEW", False, "CREATE OR REPLACE VIEW tgt AS SELECT 'open"),
+        (text, "VIEW", False, text.replace("CREATE VIEW v", "CREATE OR REPLACE VIEW tgt")),
+        ("", "VIEW", False, ""),
+        (None, "VIEW", False, None),
+    ]
+    df = spark.createDataFrame([(d, k, m) for d, k, m, _ in cases], "ddl string, kind string, managed boolean").withColumn("tgt", F.lit("tgt"))
+    out = M.rewrite_ddl(df, "ddl", "kind", "tgt", True, F.col("managed"), [("s3://b", "gs://n")], catalog=("a", "n"))
+    for got, (_, _, _, wanted) in zip(out.collect(), cases):
+        assert got["target_ddl"] == wanted
