@@ -14,7 +14,8 @@ from tablesync.streaming import file_copy as FC
 #: Tables whose copies are read back, with a key to sum.
 _COPIED = {
     "region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey",
-    "orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id", "pages": "page_id",
+    "orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id", "pages": "page_id", "documents": "doc_id",
+    "embeddings": "vec_id", "benchmark": "item_id", "labels": "doc_id", "conversations": "conv_id",
 }
 
 
@@ -23,7 +24,7 @@ def _copied(spark: SparkSession, sf: str) -> FC.VolumeCopy:
     it a second time (nothing new)."""
     root = work_dir(spark, "file_copy")
     cfg = FC.VolumeCopy(source_root=sf, target_root=root + "/target", log_path=root + "/log", checkpoint_root=root + "/checkpoints",
-                        options={"pathGlobFilter": "*.parquet", "maxFilesPerTrigger": 4}, timeout_seconds=600, volume="tables")
+                        options={"pathGlobFilter": "*.parquet", "maxFilesPerTrigger": 4}, timeout_seconds=600, volume="tables", part_bytes=1 << 20)
     FC.copy_volume(spark, cfg, run_id="r1")
     FC.copy_volume(spark, cfg, run_id="r2")
     return cfg
@@ -42,15 +43,18 @@ def file_copy_stream(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
-@query("file_copy_log")
+@query("file_copy_log", oracle=" union all ".join(f"select 'r1' as run_id, 'tables' as volume, '{t}.parquet' as file_name, 'success' as status, true as has_checksum" for t in _COPIED))
 def file_copy_log(spark: SparkSession, sf: str) -> DataFrame:
-    """The per-file log of the stream."""
+    """The per-file log of the stream; the second run found nothing new."""
     apply_defaults(spark)
     log = FC.read_log(spark, _copied(spark, sf).log_path)
-    return log.select("run_id", "volume", F.regexp_extract("source_path", r"([^/]+)$", 1).alias("file_name"), "length", "status")
+    return log.select("run_id", "volume", F.regexp_extract("source_path", r"([^/]+)$", 1).alias("file_name"), "status", F.col("crc32").isNotNull().alias("has_checksum"))
 
 
-@query("copy_stats_stream")
+@query(
+    "copy_stats_stream",
+    oracle=f"select 'r1' as run_id, 'tables' as volume, cast({len(_COPIED)} as bigint) as total_files, cast(0 as bigint) as error_files, cast(100.0 as double) as success_rate, 'success' as status",
+)
 def copy_stats_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Copy statistics of the log that the stream wrote."""
     apply_defaults(spark)

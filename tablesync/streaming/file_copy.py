@@ -3,10 +3,10 @@
 * F1 ``file_stream``: a ``binaryFile`` stream that keeps path, length and
   modification time; the ``content`` column is pruned, so no file bytes
   flow through Spark rows.
-* F2 ``copy_batch``: ``mapInPandas`` on the executors copies each new file
-  with ``pyarrow.fs`` (local, HDFS, S3, GCS...) keeping its path relative to
-  the source root; one ok / error row per file.  Nothing is collected to
-  the driver.
+* F2 ``copy_batch``: the executors copy each new file in byte ranges
+  (:mod:`tablesync.streaming.split_copy`) with ``pyarrow.fs`` (local, HDFS, S3,
+  GCS...), keeping its path relative to the source root; one ok / error row per
+  file, with the file's CRC-32.  Nothing is collected to the driver.
 * F3 the per-file log is appended once per micro-batch; a replayed batch is
   idempotent because readers de-duplicate on ``(run_id, batch_id,
   source_path)``.
@@ -20,15 +20,15 @@ from __future__ import annotations
 import hashlib
 import uuid
 from dataclasses import dataclass
-from typing import Iterator, Optional
+from typing import Optional
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tablesync.sources import storage
+from tablesync.streaming.split_copy import PART_BYTES, copy_files
 
 BINARY_FILE_SCHEMA = T.StructType(
     [
@@ -39,21 +39,7 @@ BINARY_FILE_SCHEMA = T.StructType(
     ]
 )
 
-COPY_RESULT_SCHEMA = T.StructType(
-    [
-        T.StructField("source_path", T.StringType()),
-        T.StructField("target_path", T.StringType()),
-        T.StructField("length", T.LongType()),
-        T.StructField("file_modification_time", T.TimestampType()),
-        T.StructField("status", T.StringType()),
-        T.StructField("error_msg", T.StringType()),
-    ]
-)
-
-#: Schemes of Hadoop's file systems whose name differs in Arrow.
-ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
-
-LOG_COLUMNS = ["run_id", "volume", "source_path", "target_path", "ingestion_time", "length", "file_modification_time", "status", "error_msg", "batch_id"]
+LOG_COLUMNS = ["run_id", "volume", "source_path", "target_path", "ingestion_time", "length", "file_modification_time", "status", "error_msg", "batch_id", "crc32"]
 
 
 # ------------------------------------------------------------------ F1 / F7
@@ -69,76 +55,15 @@ def file_stream(spark: SparkSession, path: str, options: Optional[dict] = None,
 
 
 # ------------------------------------------------------------------ F2
-def _strip_scheme(p: str) -> str:
-    return p[5:] if p.startswith("file:") and not p.startswith("file://") else p
-
-
-def _copy_partition(src_root: str, dst_root: str):
-    src_root = src_root.rstrip("/") + "/"
-    dst_root = dst_root.rstrip("/") + "/"
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import pyarrow.fs as pafs
-
-        def fs_path(uri: str):
-            u = _strip_scheme(uri)
-            if u.startswith("file://"):
-                u = u[len("file://"):]
-            if u.startswith("/"):
-                return pafs.LocalFileSystem(), u
-            scheme, rest = u.split("://", 1)
-            return pafs.FileSystem.from_uri(f"{ARROW_SCHEMES.get(scheme, scheme)}://{rest}")
-
-        for pdf in batches:
-            out = []
-            for path, mtime, length in zip(pdf["path"], pdf["modificationTime"], pdf["length"]):
-                norm_src = _strip_scheme(path).replace("file://", "")
-                norm_root = _strip_scheme(src_root).replace("file://", "")
-                rel = norm_src[len(norm_root):] if norm_src.startswith(norm_root) else norm_src.rsplit("/", 1)[-1]
-                target = dst_root + rel
-                try:
-                    sfs, sp = fs_path(path)
-                    tfs, tp = fs_path(target)
-                    parent = tp.rsplit("/", 1)[0]
-                    tfs.create_dir(parent, recursive=True)
-                    # write under a temporary name, then move: a task killed
-                    # midway (lost executor) never leaves a partial target
-                    tmp = f"{parent}/.tablesync-{uuid.uuid4().hex}.tmp"
-                    with sfs.open_input_stream(sp) as r, tfs.open_output_stream(tmp) as w:
-                        while True:
-                            chunk = r.read(1 << 22)
-                            if not chunk:
-                                break
-                            w.write(chunk)
-                    tfs.move(tmp, tp)
-                    out.append((path, target, int(length), mtime, "success", None))
-                except Exception as e:  # noqa: BLE001 - one bad file must not fail the batch
-                    out.append((path, target, int(length), mtime, "error", str(e)))
-            yield pd.DataFrame(out, columns=[f.name for f in COPY_RESULT_SCHEMA.fields])
-
-    return run
-
-
-def _ship_by_value() -> None:
-    """Send this module's functions to the Python workers by value, so the
-    executors need no installed copy of the package."""
-    import sys
-
-    from pyspark import cloudpickle
-
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-def copy_batch(files: DataFrame, src_root: str, dst_root: str) -> DataFrame:
-    """Copy the files of a (batch) DataFrame on the executors."""
-    _ship_by_value()
-    return files.select("path", "modificationTime", "length").mapInPandas(_copy_partition(src_root, dst_root), COPY_RESULT_SCHEMA)
+def copy_batch(files: DataFrame, src_root: str, dst_root: str, part_bytes: int = PART_BYTES) -> DataFrame:
+    """Copy the files of a (batch) DataFrame on the executors, large ones in parts."""
+    return copy_files(files.select("path", "modificationTime", "length"), src_root, dst_root, part_bytes)
 
 
 # ------------------------------------------------------------------ F3
 LOG_SCHEMA = T.StructType(
     [
-        T.StructField(c, {"ingestion_time": T.TimestampType(), "file_modification_time": T.TimestampType(), "length": T.LongType()}.get(c, T.StringType()))
+        T.StructField(c, {"ingestion_time": T.TimestampType(), "file_modification_time": T.TimestampType(), "length": T.LongType(), "crc32": T.LongType()}.get(c, T.StringType()))
         for c in LOG_COLUMNS
     ]
 )
@@ -147,7 +72,7 @@ LOG_SCHEMA = T.StructType(
 def log_rows(results: DataFrame, run_id: str, batch_id: int, volume: str) -> DataFrame:
     return results.select(
         F.lit(run_id).alias("run_id"), F.lit(volume).alias("volume"), "source_path", "target_path", F.current_timestamp().alias("ingestion_time"),
-        "length", "file_modification_time", "status", "error_msg", F.lit(str(batch_id)).alias("batch_id"),
+        "length", "file_modification_time", "status", "error_msg", F.lit(str(batch_id)).alias("batch_id"), "crc32",
     )
 
 
@@ -176,6 +101,7 @@ class VolumeCopy:
     modified_after: Optional[str] = None
     timeout_seconds: float = 43200.0
     volume: Optional[str] = None  # name in the log; by default the last part of the source root
+    part_bytes: int = PART_BYTES  # larger files are copied by several tasks
 
     @property
     def volume_name(self) -> str:
@@ -212,7 +138,7 @@ def start_copy(spark: SparkSession, cfg: VolumeCopy, run_id: str) -> StreamingQu
     stream = file_stream(spark, src, cfg.options, cfg.modified_after)
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        log_rows(copy_batch(batch, src, dst), run_id, batch_id, cfg.volume_name).write.mode("append").parquet(cfg.log_path)
+        log_rows(copy_batch(batch, src, dst, cfg.part_bytes), run_id, batch_id, cfg.volume_name).write.mode("append").parquet(cfg.log_path)
 
     return stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
 

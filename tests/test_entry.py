@@ -12,11 +12,11 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-def test_every_query_of_the_library_has_an_oracle_but_the_file_log():
+def test_every_query_of_the_library_has_an_oracle():
     q, o = all_queries(), all_oracles()
     assert set(o) <= set(q) <= set(E.queries())
     assert set(E.oracle_sql()) <= set(E.queries())
-    assert set(q) - set(o) == {"file_copy_log", "copy_stats_stream"}
+    assert set(q) == set(o)
 
 
 def test_oracles_agree_on_smallest_data(spark):
