@@ -138,7 +138,61 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     return quality_report(load(spark, sf, "documents"), load(spark, sf, "labels"))
 
 
-@query("op11_manifest")
+_FIELD = "case when {0} is null then '-' else strlen(cast({0} as varchar)) || ':' || cast({0} as varchar) end"
+_HEAD = " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+# CRC-32 bit by bit: a byte is added, then eight steps (-1) follow
+_CRC = """xor(list_reduce([4294967295] || flatten(list_transform(string_split(cast(doc_id as varchar), ''), lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda a, x: case when x >= 0 then xor(a, x) when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end), 4294967295)"""
+
+
+def _climb_sql(name: str, leaves: str) -> str:
+    """All levels of the trees over ``g, idx, n, h``."""
+    return f"""{name} as (
+  select 0 as level, g, idx, n, h from {leaves}
+  union all
+  select level + 1, g, idx // 8, (n + 7) // 8, sha256(string_agg(h, '' order by idx)) from {name} where n > 1 group by level, g, idx // 8, n
+)"""
+
+
+def _fold_sql(name: str, rows: str, nodes: str) -> str:
+    """``rid, g, idx, n, cur, proof`` of ``rows`` folded up through the trees in ``nodes``."""
+    return f"""{name} as (
+  select 0 as level, rid, g, idx, n, cur, proof from {rows}
+  union all
+  select f.level + 1, f.rid, f.g, f.idx // 8, (f.n + 7) // 8, sha256(string_agg(case when s.idx = f.idx then f.cur else s.h end, '' order by s.idx)),
+         f.proof || coalesce(string_agg(case when s.idx <> f.idx then s.h end, '' order by s.idx), '')
+  from {name} f join {nodes} s on s.level = f.level and s.g = f.g and s.idx // 8 = f.idx // 8
+  where f.n > 1 group by f.level, f.rid, f.g, f.idx, f.n, f.proof
+)"""
+
+
+@query(
+    "op11_manifest",
+    f"""
+with recursive d as (
+  select row_number() over () as rid, doc_id, lang, sha256({_HEAD} || {_FIELD.format('text')}) as leaf,
+         case when doc_id is not null and {_CRC} % 3 = 0 then sha256({_HEAD} || {_FIELD.format(_LOWER)}) end as altered
+  from documents
+),
+langs as (select lang, row_number() over (order by lang nulls first) - 1 as g, count(*) over () as n from (select distinct lang from documents)),
+placed as (
+  select d.*, langs.g, row_number() over (partition by langs.g order by doc_id nulls first, leaf) - 1 as idx, count(*) over (partition by langs.g) as n
+  from d join langs on d.lang is not distinct from langs.lang
+),
+leaves as (select g, idx, n, leaf as h from placed),
+{_climb_sql('nodes', 'leaves')},
+subroots as (select g, h from nodes where n = 1),
+tops as (select 0 as g, subroots.g as idx, langs.n, h from subroots join langs on langs.g = subroots.g),
+{_climb_sql('above', 'tops')},
+changed as (select rid, g, idx, n, coalesce(altered, leaf) as cur, '' as proof from placed),
+{_fold_sql('low', 'changed', 'nodes')},
+risen as (select rid, 0 as g, low.g as idx, langs.n, cur, proof from low join langs on langs.g = low.g where low.n = 1),
+{_fold_sql('high', 'risen', 'above')}
+select doc_id, leaf, subroots.h as subroot, root.h as root, sha256(high.proof) as proof_sha256, high.cur as folded_root, high.cur = root.h as verified
+from placed join subroots on placed.g = subroots.g join high on placed.rid = high.rid and high.n = 1, (select h from above where n = 1) as root
+""",
+)
 def op11(spark: SparkSession, sf: str) -> DataFrame:
     return manifest_report(load(spark, sf, "documents"))
 
