@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tablesync import oracle as O
 from tablesync.functions.columns import map_as_text
 from tablesync.functions.urls import replace_url as replace_url_col
+from tablesync.operators import merge
 from tablesync.operators import metadata as M
 from tablesync.plans.registry import query
 from tablesync.session import apply_defaults
@@ -521,6 +522,47 @@ def rewrite_ddl(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("schema_name", "table_name", "table_type", "ddl", "target_ddl")
 
 
+# ----------------------------------------------------------------- M2 three-way merge
+_TAG_EDITS = f"""
+select object, tag_name, case when tag_name = 'brand' and object % 5 = 0 then 'src' else tag_value end as tag_value
+from ({PART_TAGS}) where not (tag_name = 'size' and object % 6 = 0)
+"""
+_SOURCE_TAGS = f"{_TAG_EDITS} union all select p_partkey, 'legacy', case when p_partkey % 2 = 0 then 'y' else 'n' end from part where p_partkey % 26 < 2"
+
+
+def _source_edits(spark: SparkSession, sf: str) -> DataFrame:
+    """part's tags after edits at the source: brands, sizes taken away, a tag that the target added too."""
+    tags, o = X.part_tags(spark, sf), F.col("object")
+    edited = tags.where(~((F.col("tag_name") == "size") & (o % 6 == 0))).withColumn("tag_value", F.when((F.col("tag_name") == "brand") & (o % 5 == 0), F.lit("src")).otherwise(F.col("tag_value")))
+    k = F.col("p_partkey")
+    added = load(spark, sf, "part").where(k % 26 < 2).select(k.alias("object"), F.lit("legacy").alias("tag_name"), F.when(k % 2 == 0, F.lit("y")).otherwise(F.lit("n")).alias("tag_value"))
+    return edited.unionByName(added)
+
+
+@query(
+    "tag_merge_three_way",
+    oracle=f"""
+with b as (select object, tag_name, tag_value as v, true as h from ({PART_TAGS})),
+s as (select object, tag_name, tag_value as v, true as h from ({_SOURCE_TAGS})),
+t as (select object, tag_name, tag_value as v, true as h from ({PART_TAGS_TARGET})),
+j as (
+  select object, tag_name, b.v as bv, s.v as sv, t.v as tv, coalesce(b.h, false) as bh, coalesce(s.h, false) as sh, coalesce(t.h, false) as th
+  from b full join s using (object, tag_name) full join t using (object, tag_name)
+),
+e as (select *, bh <> sh or bv is distinct from sv as es, bh <> th or bv is distinct from tv as et, sh = th and sv is not distinct from tv as st from j),
+w as (select *, case when es and et then case when st then 'both' else 'conflict' end when es then 'source' when et then 'target' else 'unchanged' end as origin from e)
+select object, tag_name, origin, case when origin <> 'source' then 'keep' when sh then 'set' else 'unset' end as action,
+       case when origin = 'source' then sv else tv end as tag_value, case when origin = 'source' then sh else th end as remains
+from w
+""",
+)
+def tag_merge_three_way(spark: SparkSession, sf: str) -> DataFrame:
+    """Tags of part, edited on both sides since the last sync, conflicts settled for the target."""
+    apply_defaults(spark)
+    plan = merge.three_way_plan(_source_edits(spark, sf), X.part_tags_target(spark, sf), X.part_tags(spark, sf), ["object", "tag_name"], "tag_value")
+    return plan.select("object", "tag_name", "origin", "action", "tag_value", "remains")
+
+
 # ----------------------------------------------------------------- M14 apply
 @query("apply_facts", oracle=f"select object, tag_name, trim(tag_value) as tag_value from ({PART_TAGS})")
 def apply_facts(spark: SparkSession, sf: str) -> DataFrame:

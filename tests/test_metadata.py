@@ -150,3 +150,40 @@ def test_ddl_text_is_never_rewritten(spark):
     out = M.rewrite_ddl(df, "ddl", "kind", "tgt", True, F.col("managed"), [("s3://b", "gs://n")], catalog=("a", "n"))
     for got, (_, _, _, wanted) in zip(out.collect(), cases):
         assert got["target_ddl"] == wanted
+
+
+def test_three_way_merge_tells_who_edited(spark):
+    from tablesync.operators.merge import merged_facts, three_way_plan
+
+    schema = "o string, k string, v string"
+    none = object()
+    # base, source, target -> origin, action, value (preferring the target), value preferring the source
+    cases = {
+        "same": ("1", "1", "1", "unchanged", "keep", "1", "1"),
+        "source set": ("1", "2", "1", "source", "set", "2", "2"),
+        "target set": ("1", "1", "2", "target", "keep", "2", "2"),
+        "source gone": ("1", none, "1", "source", "unset", none, none),
+        "target gone": ("1", "1", none, "target", "keep", none, none),
+        "both alike": ("1", "2", "2", "both", "keep", "2", "2"),
+        "both gone": ("1", none, none, "both", "keep", none, none),
+        "apart": ("1", "2", "3", "conflict", "keep", "3", "2"),
+        "set and gone": ("1", "2", none, "conflict", "keep", none, "2"),
+        "gone and set": ("1", none, "3", "conflict", "keep", "3", none),
+        "new at source": (none, "2", none, "source", "set", "2", "2"),
+        "new at target": (none, none, "3", "target", "keep", "3", "3"),
+        "new alike": (none, "2", "2", "both", "keep", "2", "2"),
+        "new apart": (none, "2", "3", "conflict", "keep", "3", "2"),
+        "null is a value": (None, None, "2", "target", "keep", "2", "2"),
+        "null and gone": (None, none, None, "source", "unset", none, none),
+        None: ("1", "2", "1", "source", "set", "2", "2"),
+    }
+    sides = [spark.createDataFrame([("o", k, c[i]) for k, c in cases.items() if c[i] is not none] * (1 + i), schema) for i in range(3)]
+    plan = three_way_plan(sides[1], sides[2], sides[0], ["o", "k"], "v")
+    got = {r["k"]: (r["origin"], r["action"], r["v"] if r["remains"] else none) for r in plan.collect()}
+    assert got == {k: c[3:6] for k, c in cases.items()}
+    for at, prefer in ((5, "target"), (6, "source")):
+        merged = merged_facts(three_way_plan(sides[1], sides[2], sides[0], ["o", "k"], "v", prefer), ["o", "k"], "v")
+        assert {r["k"]: r["v"] for r in merged.collect()} == {k: c[at] for k, c in cases.items() if c[at] is not none}
+    # merged, the target is in step: nothing is left to do
+    again = three_way_plan(merged, merged, merged, ["o", "k"], "v")
+    assert {(r["origin"], r["action"]) for r in again.collect()} == {("unchanged", "keep")}
