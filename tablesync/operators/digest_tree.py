@@ -106,6 +106,7 @@ def differing_leaves(one: DataFrame, other: DataFrame, bits: int) -> list[int]:
     are read only below nodes that differ in the level above."""
     levels = -(-bits // FAN)
     frontier: Optional[DataFrame] = None
+    differ: list[int] = []
     for level in range(levels + 1):
         shift = min(bits, FAN * level) - FAN * (level - 1)
         sides = []
@@ -115,10 +116,12 @@ def differing_leaves(one: DataFrame, other: DataFrame, bits: int) -> list[int]:
                 own = own.join(frontier, F.shiftright(own["node"], shift) == frontier["parent"], "left_semi")
             sides.append(own.select("node", F.struct("n", "a", "b").alias(name)))
         both = sides[0].join(sides[1], "node", "full_outer")
-        frontier = storage.held(both.where(~F.col("x").eqNullSafe(F.col("y"))).select(F.col("node").alias("parent")), "tree-frontier")
-        if frontier.isEmpty():
-            return []
-    return sorted(r["parent"] for r in frontier.collect())  # numbers of folders
+        # numbers of nodes: a table's leaves at most, whose folders its readers' drivers list as well
+        differ = sorted(r["node"] for r in both.where(~F.col("x").eqNullSafe(F.col("y"))).select("node").collect())
+        if not differ:
+            break
+        frontier = one.sparkSession.createDataFrame([(i,) for i in differ], "parent long")
+    return differ
 
 
 # ------------------------------------------------------------------ storage

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tablesync import oracle as O
 from tablesync.operators import bookkeeping as A
+from tablesync.operators import nested_settings as N
 from tablesync.operators import settings as C
 from tablesync.plans.registry import query
 from tablesync.session import apply_defaults, work_dir
@@ -179,6 +180,59 @@ def effective_settings(spark: SparkSession, sf: str) -> DataFrame:
     return C.effective_settings(settings, objects)
 
 
+# ----------------------------------------------------------------- C1 nested
+_NESTED_SQL = """
+select 'group' as level, 0 as rank, '*' as object, unnest(['copy.mode', 'copy.options.parallel', 'copy.options.include', 'retry.max', 'retry.delay']) as path,
+       unnest(['"full"', '4', '["a","b"]', '3', '5']) as value
+union all select 'catalog', 1, r_name, 'copy.options.parallel', cast(r_regionkey + 8 as varchar) from region where r_regionkey % 2 = 0
+union all select 'schema', 2, r_name || '.' || n_name, unnest(['copy.options.include', 'retry']), unnest(['["c"]', '7'])
+          from nation join region on n_regionkey = r_regionkey where n_nationkey % 3 = 0
+union all select 'table', 3, r_name || '.' || n_name || '.customer_' || cast(c_custkey as varchar), 'copy.options', '"none"'
+          from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey where c_custkey % 5 = 0
+union all select 'table', 3, r_name || '.' || n_name || '.customer_' || cast(c_custkey as varchar), 'retry.delay', '9'
+          from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey where c_custkey % 7 = 0
+"""
+
+
+@query(
+    "nested_settings",
+    oracle=f"""
+with f as ({_NESTED_SQL}), o as ({_OBJECTS_SQL}),
+met as (
+  select catalog_name, schema_name, table_name, f.level, f.rank, path, value
+  from o join f on f.object in ('*', catalog_name, catalog_name || '.' || schema_name, catalog_name || '.' || schema_name || '.' || table_name)
+)
+select catalog_name, schema_name, table_name, path, value, level from met a
+where not exists (
+  select 1 from met b
+  where a.catalog_name = b.catalog_name and a.schema_name = b.schema_name and a.table_name = b.table_name and b.rank > a.rank
+    and (a.path = b.path or starts_with(a.path, b.path || '.') or starts_with(b.path, a.path || '.'))
+)
+""",
+)
+def nested_settings(spark: SparkSession, sf: str) -> DataFrame:
+    """JSON settings of four levels merged by path for every customer."""
+    apply_defaults(spark)
+    r, n, c = load(spark, sf, "region"), load(spark, sf, "nation"), load(spark, sf, "customer")
+    rn = n.join(r, n.n_regionkey == r.r_regionkey)
+    crn = c.join(rn, c.c_nationkey == rn.n_nationkey)
+    cname = F.concat(F.lit("customer_"), F.col("c_custkey").cast("string"))
+    schema, table = F.concat_ws(".", "r_name", "n_name"), F.concat_ws(".", "r_name", "n_name", cname)
+
+    def at(df: DataFrame, level: str, name, value) -> DataFrame:
+        return df.select(F.lit(level).alias("level"), name.alias("object"), value.alias("value"))
+
+    settings = (
+        at(spark.range(1), "group", F.lit("*"), F.lit('{"copy": {"mode": "full", "options": {"parallel": 4, "include": ["a", "b"]}}, "retry": {"max": 3, "delay": 5}, "off": {}}'))
+        .unionByName(at(r.where("r_regionkey % 2 = 0"), "catalog", F.col("r_name"), F.concat(F.lit('{"copy": {"options": {"parallel": '), (F.col("r_regionkey") + 8).cast("string"), F.lit('}}, "retry": {"max": null}}'))))
+        .unionByName(at(rn.where("n_nationkey % 3 = 0"), "schema", schema, F.lit('{"copy": {"options": {"include": ["c"]}}, "retry": 7}')))
+        .unionByName(at(crn.where("c_custkey % 5 = 0"), "table", table, F.lit('{"copy": {"options": "none"}}')))
+        .unionByName(at(crn.where("c_custkey % 7 = 0"), "table", table, F.lit('{"retry": {"delay": 9}}')))
+    )
+    objects = crn.select(F.col("r_name").alias("catalog_name"), F.col("n_name").alias("schema_name"), cname.alias("table_name"))
+    return N.effective_nested(settings, objects).withColumn("path", F.array_join("path", "."))
+
+
 # ----------------------------------------------------------------- C2
 _TEMPLATE = "{{catalog_name}}_copy.{{schema_name}}.{{table_name}} <- {{source_name}}"
 

@@ -65,3 +65,37 @@ def test_event_results_fixture(spark):
     r = X.event_results(spark, SF001)
     assert r.count() == 1000
     assert {x["status"] for x in r.select("status").distinct().collect()} == {"success", "failed", "skipped"}
+
+
+def test_nested_settings_merge_by_path(spark):
+    import json
+
+    from tablesync.operators.nested_settings import effective_nested, setting_leaves
+
+    def merge(far, near):
+        out = dict(far)
+        for k, v in near.items():
+            if v is not None:
+                out[k] = merge(out[k] if isinstance(out.get(k), dict) else {}, v) if isinstance(v, dict) and v else (out.get(k, {}) if v == {} else v)
+        return out
+
+    def flat(tree, path=()):
+        return {p: v for k, x in tree.items() for p, v in (flat(x, (*path, k)) if isinstance(x, dict) else {(*path, k): x}).items()}
+
+    docs = {
+        ("group", "*"): {"a": {"b": {"c": 1, "d": [1, {"x": 2}]}, "e": "t"}, "p": {"q": {"r": 1}}, "k.l": 1.5},
+        ("catalog", "c"): {"a": {"b": 5}, "p": {"q": {"s": 2}}, "z": None},
+        ("schema", "c.s"): {"a": {"b": {"f": True}, "e": None}, "p": {"q": [3]}},
+        ("table", "c.s.t"): {"p": {"q": {"u": 4}}, "n": "new"},
+    }
+    settings = spark.createDataFrame([(*k, json.dumps(v)) for k, v in docs.items()] + [("schema", "c.other", None)], "level string, object string, value string")
+    objects = spark.createDataFrame([("c", "s", "t"), ("c", "s", "u"), ("c", "other", "t"), ("d", "s", "t")], "catalog_name string, schema_name string, table_name string")
+    got = {}
+    for r in effective_nested(settings, objects).collect():
+        got.setdefault(tuple(r)[:3], {})[tuple(r["path"])] = json.loads(r["value"])
+    for c, s, t in [tuple(o) for o in objects.collect()]:
+        tree = {}
+        for at in (("group", "*"), ("catalog", c), ("schema", f"{c}.{s}"), ("table", f"{c}.{s}.{t}")):
+            tree = merge(tree, docs.get(at, {}))
+        assert got[c, s, t] == flat(tree), (c, s, t)
+    assert setting_leaves(settings.limit(0)).count() == 0 == effective_nested(settings.limit(0), objects).count()
