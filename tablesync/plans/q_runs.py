@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from tablesync import oracle as O
 from tablesync.operators import bookkeeping as A
 from tablesync.operators import nested_settings as N
+from tablesync.operators import run_sketches as S
 from tablesync.operators import settings as C
 from tablesync.plans.registry import query
 from tablesync.session import apply_defaults, work_dir
 from tablesync.sources import fixtures as X
+from tablesync.sources import storage
 from tablesync.sources.tables import load
 
 _RESULTS_SQL = """
@@ -114,6 +116,31 @@ def status_rollup(spark: SparkSession, sf: str) -> DataFrame:
     return A.rollup_status(X.event_results(spark, sf), ["catalog_name", "operation_type"], rollup=True)
 
 
+# ----------------------------------------------------------------- A2 / A3 from sketches
+@query(
+    "runs_from_sketches",
+    oracle=f"""
+select operation_type, count(*) as total, count(*) filter (where status = 'success') as successful,
+       count(*) filter (where status = 'failed') as failed, count(*) filter (where status = 'skipped') as skipped,
+       count(distinct catalog_name) as catalogs, count(distinct catalog_name || '.' || schema_name) as schemas,
+       round(count(*) filter (where status = 'success') * 100.0 / count(*), 6) as success_rate, true as objects_close, true as median_close
+from ({_RESULTS_SQL}) group by operation_type
+""",
+)
+def runs_from_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    """All runs summed up by operation type from what each run stored, beside
+    whether the estimates are as close to the exact figures as they promise."""
+    apply_defaults(spark)
+    audit, by = A.audit_rows(X.event_results(spark, sf)), ["operation_type"]
+    counts, durations = storage.held(S.sketch_counts(audit), "run-counts"), storage.held(S.sketch_durations(audit), "run-durations")
+    found = S.summarize(counts, by).join(S.duration_quantiles(durations, by, {"median": 0.5}), by)
+    name = F.concat_ws(".", "catalog_name", "schema_name", "object_name")
+    exact = audit.groupBy(*by).agg(F.countDistinct(name).alias("exact_objects"), F.percentile("duration_seconds", 0.5).alias("exact_median"))
+    close = lambda a, b, share: F.abs(F.col(a) - F.col(b)) <= share * F.col(b)
+    out = found.join(exact, by).withColumns({"objects_close": close("objects", "exact_objects", 0.03), "median_close": close("median", "exact_median", 0.02)})
+    return out.drop("objects", "median", "exact_objects", "exact_median")
+
+
 # ----------------------------------------------------------------- C1
 _SETTINGS_SQL = """
 select 'group' as level, '*' as object, 'max_attempts' as key, '3' as value

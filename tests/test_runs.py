@@ -99,3 +99,32 @@ def test_nested_settings_merge_by_path(spark):
             tree = merge(tree, docs.get(at, {}))
         assert got[c, s, t] == flat(tree), (c, s, t)
     assert setting_leaves(settings.limit(0)).count() == 0 == effective_nested(settings.limit(0), objects).count()
+
+
+def test_summaries_from_sketches_of_runs(spark):
+    import random
+
+    from tablesync.operators import run_sketches as S
+
+    r = random.Random(4)
+    rows = [(f"run_{i % 7}", f"op{i % 2}", f"c{i % 3}", f"s{r.randrange(5)}" if i % 11 else None, f"t{r.randrange(9000)}" if i % 11 else None, r.choice(["success", "failed", "skipped"]), r.lognormvariate(1, 2) if i % 13 else None) for i in range(40000)]
+    audit = spark.createDataFrame(rows, "run_id string, operation_type string, catalog_name string, schema_name string, object_name string, status string, duration_seconds double")
+    counts, durations = S.sketch_counts(audit), S.sketch_durations(audit)
+    assert counts.count() == 14
+    total = S.summarize(counts, []).first()
+    assert (total["total"], total["catalogs"], total["schemas"]) == (40000, 3, len({(x[2], x[3]) for x in rows if x[3]}))
+    exact = len({x[2:5] for x in rows if x[4]})
+    assert abs(total["objects"] - exact) <= 0.03 * exact
+    assert total["failed"] == sum(x[5] == "failed" for x in rows)
+    # the order of merges, merges of merges, and a run added twice change no distinct count
+    cols = ["catalogs", "schemas", "objects"]
+    halves = [counts.where(f"run_id {op} 'run_3'") for op in ("<", ">=")]
+    for a, b in (halves, halves[::-1]):
+        merged = S.merge_counts(a, ["operation_type"]).unionByName(S.merge_counts(b, ["operation_type"])).unionByName(S.merge_counts(b, ["operation_type"]))
+        assert [S.summarize(merged, []).first()[c] for c in cols] == [total[c] for c in cols]
+    values = sorted(x[6] for x in rows if x[6] is not None)
+    got = S.duration_quantiles(durations, [], {"low": 0.05, "mid": 0.5, "high": 0.99}).first()
+    for name, q in (("low", 0.05), ("mid", 0.5), ("high", 0.99)):
+        at = values[int(q * len(values))]
+        assert abs(got[name] - at) <= 0.02 * at
+    assert S.summarize(counts.limit(0), ["operation_type"]).count() == 0
