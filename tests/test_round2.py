@@ -172,9 +172,9 @@ def test_a_replayed_batch_counts_with_its_last_outcome(spark):
     path = work_dir(spark, "log") + "/l"
     when = dt.datetime(2024, 1, 1)
     for status, at in (("error", when), ("success", when + dt.timedelta(seconds=1))):
-        row = dict(run_id="r", volume="v", source_path="p", target_path="q", ingestion_time=at, length=1, file_modification_time=when, status=status, error_msg=None, batch_id="0")
+        row = dict(run_id="r", volume="v", source_path="p", target_path="q", ingestion_time=at, length=1, file_modification_time=when, status=status, error_msg=None, batch_id="0", crc32=None if status == "error" else 7)
         spark.createDataFrame([tuple(row[c] for c in FC.LOG_COLUMNS)], FC.LOG_SCHEMA).write.mode("append").parquet(path)
-    assert rows(FC.read_log(spark, path), "status") == [("success",)]
+    assert rows(FC.read_log(spark, path), "status", "crc32") == [("success", 7)]
 
 
 def test_verdict_per_pair(spark):
