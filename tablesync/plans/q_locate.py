@@ -24,8 +24,8 @@ def recon_missing_by_sketch(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ----------------------------------------------------------------- T2 / R3 by a digest tree
-#: Rows of a leaf in these queries: the test tables get trees of several levels.
-_LEAF_ROWS = 512
+#: Rows of a leaf in these queries: the test tables get trees of one to two levels (tests use deeper ones).
+_LEAF_ROWS = 4096
 
 
 @query("sync_first_run", oracle="select * from orders")
