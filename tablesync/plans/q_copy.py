@@ -15,6 +15,7 @@ from tablesync.session import apply_defaults, work_dir
 from tablesync.sources import fixtures as X
 from tablesync.sources import storage
 from tablesync.sources.tables import column_facts, load
+from tablesync.streaming import change_stream as CS
 
 
 @query("copy_snapshot", oracle="select * from orders")
@@ -130,6 +131,27 @@ def apply_changes_nulls_dups(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ----------------------------------------------------------------- T6
+@query(
+    "sync_change_stream",
+    oracle="""
+select c_custkey, c_name, c_nationkey,
+       case when c_custkey % 10 = 0 then c_acctbal - 1 when c_custkey % 3 = 0 then c_acctbal + 1 else c_acctbal end as c_acctbal, c_mktsegment
+from customer where c_custkey % 5 <> 0 or c_custkey % 10 = 0
+""",
+)
+def sync_change_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """customer from its changes, taken in two files at a time in no order of
+    version, by a stream that is started, ended and started again."""
+    apply_defaults(spark)
+    root = work_dir(spark, "sync_change_stream")
+    changes = X.customer_changes(spark, sf)
+    part = F.pmod(F.xxhash64("c_custkey", "_version"), F.lit(6))
+    for half in (part < 3, part >= 3):
+        changes.where(half).repartition(3, part).write.mode("append").parquet(root + "/changes")
+        out = CS.sync_change_stream(spark, root + "/changes", changes.schema, ["c_custkey"], root + "/accepted", root + "/checkpoint", options={"maxFilesPerTrigger": "2"}, timeout_seconds=900)
+    return out
+
+
 @query(
     "sync_strategy",
     oracle=f"""

@@ -52,6 +52,25 @@ def orders_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.unionByName(added)
 
 
+# --------------------------------------------------------------------- versioned changes
+def customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer as changes: version 1 of all, balance +1 for keys divisible by 3,
+    deletes of those divisible by 5, of which those divisible by 10 come back with
+    balance -1; changes of keys divisible by 7 come twice."""
+    c = load(spark, sf_dir, "customer")
+    k, none = F.col("c_custkey"), F.lit(None).cast("double")
+    steps = [
+        (1, F.lit(True), F.col("c_acctbal"), False), (2, k % 3 == 0, F.col("c_acctbal") + 1, False),
+        (3, k % 5 == 0, none, True), (4, k % 10 == 0, F.col("c_acctbal") - 1, False),
+    ]
+    out = None
+    for version, which, balance, deleted in steps:
+        at = F.timestamp_seconds(F.lit(1_700_000_000 + 60 * version) + k % 3600)
+        one = c.where(which).withColumns({"c_acctbal": balance, "_version": F.lit(version).cast("long"), "_deleted": F.lit(deleted), "_changed_at": at})
+        out = one if out is None else out.unionByName(one)
+    return out.unionByName(out.where(k % 7 == 0))
+
+
 # --------------------------------------------------------------------- P5 duplicates
 def lineitem_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem plus a second copy of every line of orders divisible by 7."""
