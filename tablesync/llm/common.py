@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from tablesync.session import work_dir
 from tablesync.sources.tables import load
 
-__all__ = ["load", "work_dir", "materialise", "worker_cache", "free_worker", "text_pieces", "word_hashes", "mix", "shingle_hashes", "partitions_for"]
+__all__ = ["load", "work_dir", "materialise", "worker_cache", "free_worker", "text_pieces", "word_hashes", "run_hashes", "exact_values", "mix", "shingle_hashes", "partitions_for"]
 
 #: Bytes of text that a kernel works on at once; a longer document is one piece of its own.
 PIECE_BYTES = 1 << 21
@@ -88,6 +88,7 @@ def _tables() -> dict[str, np.ndarray]:
     lower[65:91] += 32
     word = ((code >= 48) & (code <= 57)) | ((code >= 65) & (code <= 90)) | ((code >= 97) & (code <= 122)) | (code >= 128)
     seed = b"".join(hashlib.blake2b(bytes([int(c)]), digest_size=8).digest() for c in lower)
+    exact = b"".join(hashlib.blake2b(bytes([int(c)]), digest_size=8).digest() for c in code)
     base = 0x9E3779B97F4A7C15
     powers = np.full(RUN_BYTES + 1, base, np.uint64)
     powers[0] = 1
@@ -95,7 +96,7 @@ def _tables() -> dict[str, np.ndarray]:
     inverse[0] = 1
     with np.errstate(over="ignore"):
         return {
-            "lower": lower, "word": word, "value": np.frombuffer(seed, np.uint64).copy(),
+            "lower": lower, "word": word, "value": np.frombuffer(seed, np.uint64).copy(), "exact": np.frombuffer(exact, np.uint64).copy(),
             "powers": np.cumprod(powers), "inverse": np.cumprod(inverse),
         }
 
@@ -125,6 +126,17 @@ def word_hashes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     after[:-1] = inside[1:]
     after[edge[1:]] = False
     end = np.flatnonzero(inside & ~after) + 1
+    return mix(run_hashes(data, start, end, t["value"])), start, end, np.searchsorted(start, off)
+
+
+def exact_values() -> np.ndarray:
+    """A value of each byte that tells capitals from small letters."""
+    return worker_cache("word tables", _tables)["exact"]
+
+
+def run_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """A hash (before :func:`mix`) of each run of bytes, from a value of each byte."""
+    t = worker_cache("word tables", _tables)
     out = np.empty(len(start), np.uint64)
     lo = 0
     with np.errstate(over="ignore"):
@@ -138,11 +150,11 @@ def word_hashes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
             else:  # one word longer than a run
                 powers, inverse = np.cumprod(np.concatenate([[1], np.full(m - 1, t["powers"][1], np.uint64)]).astype(np.uint64)), t["inverse"]
             sums = np.zeros(m + 1, np.uint64)
-            np.cumsum(t["value"][run] * powers, out=sums[1:])
+            np.cumsum(value[run] * powers, out=sums[1:])
             s, e = start[lo:hi] - a, end[lo:hi] - a
             out[lo:hi] = (sums[e] - sums[s]) * inverse[s] + (e - s).astype(np.uint64)
             lo = hi
-    return mix(out), start, end, np.searchsorted(start, off)
+    return out
 
 
 def shingle_hashes(words: np.ndarray, word_off: np.ndarray, k: int = 5) -> tuple[np.ndarray, np.ndarray]:

@@ -1,29 +1,40 @@
 """Operator 10: quality classifier by perplexity under a Kneser-Ney model.
 
-The model is an interpolated modified Kneser-Ney model of order 4 over UTF-8
-bytes, one for each language, counted over all trusted texts (labelled good
-and not toxic).  Bytes as tokens keep marks, case and digits, hold any
-language, and an n-gram is its own exact key.
+The model is an interpolated modified Kneser-Ney model of order 3 over words,
+marks, numbers and line ends in their own case, one for each language and fold,
+counted over all trusted texts (labelled good and not toxic).
 
-Training: tasks count 4-grams with map-side sums, a shuffle by n-gram adds
-them up; lower orders count distinct left neighbours; discounts come from the
-counts of counts of each language and order; a row of the model holds, for one
-n-gram, its discounted probability and, as a context, its back-off weight.
+Folds: a text's hash puts it in one of two folds.  The trusted texts of a fold
+train its model; every text, trusted or not, is scored by the model of the other
+fold.  So no text is scored by a model that saw it, and the quantiles of trusted
+texts are those of held-out texts.
+
+Training: tasks count trigrams, a shuffle adds them up; lower orders count
+distinct left neighbours; discounts come from the counts of counts of each model
+and order; a row of the model holds, for one n-gram, its discounted probability
+and, as a context, its back-off weight.  An n-gram's key is made of 64-bit hashes
+of its words, turned and combined, and of its model's.
 
 Scoring: documents are dealt into blocks of some MB; a block asks for the
 distinct n-grams it holds, the requests are joined with the sharded model, and
-what was found comes back to the block, which scores its documents byte by
-byte.  No task or driver ever holds the model.
+what was found comes back to the block, which scores its documents word by
+word.  No task or driver ever holds the model.
 
-Decision: a language's threshold is ``SLACK`` times the ``QUANTILE`` of the
-perplexities of its trusted texts.  A text goes if its perplexity is above the
-threshold by more than chance explains: its mean log loss less twice the
-standard error (which is large for short texts) must still be above.
+Decision, by two perplexities of a text: its own, and its own over the one that
+it has under the model's lowest order, which knows words and no order.  The
+second is high where neighbours never meet in trusted text, as in one word said
+again and again.  A language's limits are ``QUANTILE`` of what its trusted texts
+reach by both, plus ``SLACK``.  What is compared is the mean log loss less twice
+its standard error (which is large for short texts), so that a text goes only if
+chance does not explain it.
 
 Defined cases: null and empty texts have no perplexity and stay; a null
 language is a language of its own; texts of a language without trusted text
-have no threshold and stay; a document with labels that disagree isn't
-trusted; repeated rows give repeated results; other columns are ignored.
+have no threshold and stay; where only one fold of a language has trusted text,
+the other's texts are scored by that fold, and that fold's by no model, under
+which each word is as unlikely as an unseen one; a document with labels that
+disagree isn't trusted; repeated rows give repeated results; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -32,168 +43,205 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_worker, materialise, partitions_for, text_pieces
+from .common import exact_values, free_worker, materialise, mix, partitions_for, run_hashes, text_pieces, worker_cache
 
-ORDER = 4
-#: The slack is the least, by quarters, that kept over 99.5 % of held-out good texts in both halves of the labels of sf0.1.
-QUANTILE, SLACK = 0.99, 1.25
+ORDER = 3
+#: Of trusted texts of a language within each limit (so that both together cost 0.5 %), and
+#: the slack above it (in nats: a factor of 1.16 of perplexity).
+QUANTILE, SLACK = 0.9975, 0.15
+#: Chance of a word that no trusted text holds, beneath all orders.
+UNSEEN = 1e-6
 #: Trusted ids (16 bytes each) up to which they are broadcast; beyond, the join shuffles.
 TRUSTED_BROADCAST = 2_000_000
 #: Bytes of stored input that make a block.
 BLOCK_BYTES = 8 << 20
 #: Bytes of text whose n-grams are worked on at once.
-PIECE_BYTES = 1 << 19
-BEGIN, END = 0xFF, 0xFE  # bytes that UTF-8 never holds
-SYMBOLS = 257
-
-
-def _grams(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The 4-gram that ends in each byte of each row and in its end mark, and where rows start."""
-    n = np.diff(off)
-    rows = len(n)
-    padded = np.full(len(data) + ORDER * rows, BEGIN, np.uint32)
-    own = np.arange(len(data)) + np.repeat(np.arange(rows) * ORDER + ORDER - 1, n)
-    ends = off[1:] + np.arange(rows) * ORDER + ORDER - 1
-    padded[own] = data
+PIECE_BYTES = 1 << 20
+#: Hashes of what stands before and after a text.
+BEGIN, END = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC949C7DEFB1D4E2B)
+TURN = 21
+
+
+def _classes() -> np.ndarray:
+    """Of each byte: 1 letters (and all beyond ASCII), 2 digits, 3 line ends, 4 marks, 0 other white space."""
+    kind = np.full(256, 4, np.uint8)
+    kind[[9, 11, 12, 13, 32]] = 0
+    kind[10] = 3
+    kind[48:58] = 2
+    kind[65:91] = kind[97:123] = kind[128:] = 1
+    return kind
+
+
+def _words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the runs of one class of bytes, and where those of each row start."""
+    kind = worker_cache("byte classes", _classes)[data]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[off] = True
+    edge[1:-1] |= kind[1:] != kind[:-1]
+    bounds = np.flatnonzero(edge)
+    start, end = bounds[:-1], bounds[1:]
+    solid = kind[start] > 0
+    start, end = start[solid], end[solid]
+    return mix(run_hashes(data, start, end, exact_values())), np.searchsorted(start, off)
+
+
+def _trigrams(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The three words that end in each word of each row and in its end, and where rows start."""
+    words, word_off = _words(data, off)
+    rows = len(off) - 1
+    padded = np.full(len(words) + ORDER * rows, BEGIN, np.uint64)
+    own = np.arange(len(words)) + np.repeat(np.arange(rows) * ORDER + ORDER - 1, np.diff(word_off))
+    ends = word_off[1:] + np.arange(rows) * ORDER + ORDER - 1
+    padded[own] = words
     padded[ends] = END
     at = np.sort(np.concatenate([own, ends]))
-    gram = padded[at]
-    for i in range(1, ORDER):
-        gram = gram | (padded[at - i] << np.uint32(8 * i))
-    return gram, off[:-1] + np.arange(rows)
+    return np.stack([padded[at - 2], padded[at - 1], padded[at]]), word_off[:-1] + np.arange(rows)
+
+
+def _then(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The key of a context followed by a word."""
+    return ((context << np.uint64(TURN)) | (context >> np.uint64(64 - TURN))) ^ word
 
 
-def _suffix(gram: np.ndarray, n: int) -> np.ndarray:
-    return gram & np.int64((1 << 8 * n) - 1)
+def _then_column(context: Column, word: Column) -> Column:
+    return F.shiftleft(context, TURN).bitwiseOR(F.shiftrightunsigned(context, 64 - TURN)).bitwiseXOR(word)
 
 
-def _key(gram: np.ndarray, n: int) -> np.ndarray:
-    return np.int64(n << 32) | gram
+def _distinct(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct trigrams, which of them each one is, and how often they occur."""
+    _, first, which, n = np.unique(_then(_then(words[0], words[1]), words[2]), return_index=True, return_inverse=True, return_counts=True)
+    return words[:, first], which, n
 
 
-def _by_language(langs: pa.Array) -> Iterator[tuple[str, pa.Array]]:
-    found = langs.dictionary_encode()
-    for code, name in enumerate(found.dictionary.to_pylist()):
-        yield name, pa.array(np.flatnonzero(found.indices.to_numpy(zero_copy_only=False) == code))
+def _groups(col: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    values = col.to_numpy(zero_copy_only=False)
+    for one in np.unique(values):
+        yield int(one), pa.array(np.flatnonzero(values == one))
 
 
-def count_grams(texts: DataFrame) -> DataFrame:
-    """``lang``, ``gram``, ``n``: the 4-grams of all texts (columns ``lang``, ``text``)."""
+def count_trigrams(texts: DataFrame) -> DataFrame:
+    """``model``, ``w1``, ``w2``, ``w3``, ``n``: the trigrams of all texts (columns ``model``, ``text``)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         free_worker()
         for b in batches:
-            for lang, rows in _by_language(b.column(0)):
-                gram, n = np.zeros(0, np.uint32), np.zeros(0, np.int64)
-                for _, _, data, off in text_pieces(b.column(1).take(rows), PIECE_BYTES):
-                    g, c = np.unique(_grams(data, off)[0], return_counts=True)
-                    gram, inverse = np.unique(np.concatenate([gram, g]), return_inverse=True)
-                    n = np.bincount(inverse, np.concatenate([n, c])).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(gram), pa.string()), pa.array(gram.astype(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
+            for model, rows in _groups(b.column(0)):
+                for _, _, data, off in text_pieces(b.column(1).take(rows), 4 * PIECE_BYTES):
+                    words, _, n = _distinct(_trigrams(data, off)[0])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), model, np.int64)), *[pa.array(w.view(np.int64)) for w in words], pa.array(n.astype(np.int64))], names=["model", "w1", "w2", "w3", "n"])
 
-    found = texts.select("lang", "text").mapInArrow(work, "lang string, gram long, n long")
-    return found.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    found = texts.select("model", "text").mapInArrow(work, "model long, w1 long, w2 long, w3 long, n long")
+    return found.groupBy("model", "w1", "w2", "w3").agg(F.sum("n").alias("n"))
 
 
 def train(texts: DataFrame) -> DataFrame:
-    """The model: ``lang``, ``key`` (length and n-gram), ``alpha``, ``gamma``."""
-    level = materialise(count_grams(texts), "lm-counts")
-    levels = [level.withColumn("len", F.lit(ORDER))]
-    for n in range(ORDER - 1, 0, -1):
-        level = level.groupBy("lang", F.col("gram").bitwiseAND((1 << 8 * n) - 1).alias("gram")).agg(F.count("*").alias("n"))
-        levels.append(level.withColumn("len", F.lit(n)))
-    grams = levels[0]
-    for other in levels[1:]:
-        grams = grams.unionByName(other)
+    """The models: ``key`` (of n-gram and model), ``alpha``, ``gamma``."""
+    three = materialise(count_trigrams(texts), "lm-counts")
+    two = three.groupBy("model", "w2", "w3").agg(F.count("*").alias("n"))
+    one = two.groupBy("model", "w3").agg(F.count("*").alias("n"))
+    pair, none = _then_column(F.col("w1"), F.col("w2")), F.lit(0).cast("long")
+    levels = [
+        three.select("model", F.lit(3).alias("len"), pair.alias("context"), _then_column(pair, F.col("w3")).alias("gram"), "n"),
+        two.select("model", F.lit(2).alias("len"), F.col("w2").alias("context"), _then_column(F.col("w2"), F.col("w3")).alias("gram"), "n"),
+        one.select("model", F.lit(1).alias("len"), none.alias("context"), F.col("w3").alias("gram"), "n"),
+    ]
+    grams = materialise(levels[0].unionByName(levels[1]).unionByName(levels[2]), "lm-grams")
     counts = [F.sum(F.when(F.col("n") == i, 1).otherwise(0)).cast("double").alias(f"n{i}") for i in (1, 2, 3, 4)]
     y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
     # where counts of counts are missing (tiny corpora), 0.5, 1 and 1.5; 0.1 at least, so that every text has a chance
     cuts = [F.coalesce(F.greatest(F.lit(0.1), F.least(F.lit(float(i)), i - (i + 1) * y * F.col(f"n{i + 1}") / F.nullif(F.col(f"n{i}"), F.lit(0.0)))), F.lit(i / 2)) for i in (1, 2, 3)]
-    discounts = grams.groupBy("lang", "len").agg(*counts).select("lang", "len", *[c.alias(f"d{i}") for i, c in enumerate(cuts, 1)])
+    discounts = grams.groupBy("model", "len").agg(*counts).select("model", "len", *[c.alias(f"d{i}") for i, c in enumerate(cuts, 1)])
     cut = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-    # a row a language and order
-    cutted = grams.join(F.broadcast(discounts), ["lang", "len"]).withColumns({"cut": cut, "context": F.shiftright("gram", 8)})
-    contexts = cutted.groupBy("lang", "len", "context").agg(F.sum("n").alias("total"), F.sum("cut").alias("cut_off"))
-    alpha = cutted.join(contexts, ["lang", "len", "context"]).select("lang", (F.col("len") * F.lit(1 << 32) + F.col("gram")).alias("key"), ((F.col("n") - F.col("cut")) / F.col("total")).alias("alpha"), F.lit(None).cast("double").alias("gamma"))
-    gamma = contexts.select("lang", ((F.col("len") - 1) * F.lit(1 << 32) + F.col("context")).alias("key"), F.lit(None).cast("double").alias("alpha"), (F.col("cut_off") / F.col("total")).alias("gamma"))
-    model = alpha.unionByName(gamma).groupBy("lang", "key").agg(F.max("alpha").cast("float").alias("alpha"), F.max("gamma").cast("float").alias("gamma"))
+    # a row a model and order
+    cutted = grams.join(F.broadcast(discounts), ["model", "len"]).withColumn("cut", cut)
+    contexts = cutted.groupBy("model", "len", "context").agg(F.sum("n").alias("total"), F.sum("cut").alias("cut_off"))
+    share = ((F.col("n") - F.col("cut")) / F.col("total")).alias("alpha")
+    on = ["model", "len", "context"]
+    # all words of a model share the empty context: a row a model, broadcast
+    seen = cutted.filter("len > 1").join(contexts.filter("len > 1"), on).select("model", "gram", share)
+    seen = seen.unionByName(cutted.filter("len = 1").join(F.broadcast(contexts.filter("len = 1")), on).select("model", "gram", share))
+    key = lambda of: F.col(of).bitwiseXOR(F.col("model")).alias("key")
+    alpha = seen.select(key("gram"), "alpha", F.lit(None).cast("double").alias("gamma"))
+    gamma = contexts.select(key("context"), F.lit(None).cast("double").alias("alpha"), (F.col("cut_off") / F.col("total")).alias("gamma"))
+    model = alpha.unionByName(gamma).groupBy("key").agg(F.max("alpha").cast("float").alias("alpha"), F.max("gamma").cast("float").alias("gamma"))
     return materialise(model, "lm-model")
 
 
 def _requests(docs: DataFrame) -> DataFrame:
-    """``block``, ``lang``, ``key``: what the rows of each block need of the model."""
-    at = [docs.columns.index(c) for c in ("block", "lang", "text")]
+    """``block``, ``key``: what the rows of each block need of the models."""
+    at = [docs.columns.index(c) for c in ("block", "model", "text")]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         free_worker()
-        held: dict[tuple[int, str], np.ndarray] = {}
+        held: dict[int, list[np.ndarray]] = {}
         for b in batches:
-            block = b.column(at[0]).to_numpy(zero_copy_only=False)
-            for number in np.unique(block):
-                rows = pa.array(np.flatnonzero(block == number))
-                for lang, some in _by_language(b.column(at[1]).take(rows)):
-                    key = (int(number), lang)
+            for number, rows in _groups(b.column(at[0])):
+                parts = held.setdefault(number, [np.zeros(0, np.uint64)])
+                for model, some in _groups(b.column(at[1]).take(rows)):
                     for _, _, data, off in text_pieces(b.column(at[2]).take(rows.take(some)), PIECE_BYTES):
-                        held[key] = np.union1d(held.get(key, np.zeros(0, np.uint32)), _grams(data, off)[0])
+                        w1, w2, w3 = _distinct(_trigrams(data, off)[0])[0]
+                        pair = _then(w1, w2)
+                        keys = np.concatenate([_then(pair, w3), pair, _then(w2, w3), w2, w3, np.zeros(1, np.uint64)])
+                        parts.append(np.unique(keys ^ np.int64(model).astype(np.uint64)))
+                if sum(map(len, parts[1:])) > len(parts[0]) // 2:
+                    parts[:] = [np.unique(np.concatenate(parts))]
             yield from ()
-        for (number, lang), gram in held.items():
-            gram = gram.astype(np.int64)
-            parts = [_key(gram, ORDER)]
-            for n in range(ORDER - 1, -1, -1):  # shorter n-grams, and contexts of all
-                parts.append(np.unique(np.concatenate([_key(_suffix(gram, n), n), _key(_suffix(gram, n + 1) >> 8, n)])))
-            keys = np.concatenate(parts)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), number, np.int32)), pa.array([lang] * len(keys), pa.string()), pa.array(keys)], names=["block", "lang", "key"])
+        for number, parts in held.items():
+            keys = np.unique(np.concatenate(parts)).view(np.int64)
+            for lo in range(0, len(keys), 1 << 16):
+                some = keys[lo : lo + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), number, np.int32)), pa.array(some)], names=["block", "key"])
 
-    return docs.mapInArrow(work, "block int, lang string, key long")  # a block is in one task, so no row comes twice
+    return docs.mapInArrow(work, "block int, key long")  # a block is in one task, so no row comes twice
 
 
-def _score_block(docs: pa.Table, model: pa.Table) -> pa.Table:
+def _score_block(docs: pa.Table, found: pa.Table) -> pa.Table:
     free_worker()
-    n = docs.num_rows
-    mean, low = np.full(n, np.nan), np.full(n, np.nan)
-    langs = model.column("lang").combine_chunks() if model.num_rows else pa.array([], pa.string())
-    tables = dict(_by_language(langs))
-    for lang, rows in _by_language(docs.column("lang").combine_chunks()):
-        some = model.take(tables[lang]) if lang in tables else model.slice(0, 0)
-        order = np.argsort(some.column("key").to_numpy())
-        keys = some.column("key").to_numpy()[order]
-        values = {c: some.column(c).to_numpy()[order].astype(float) for c in ("alpha", "gamma")}
-
-        def look(column: str, wanted: np.ndarray, missing: float, keys=keys, values=values) -> np.ndarray:
-            if not len(keys):
-                return np.full(len(wanted), missing)
-            at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-            got = np.where(keys[at] == wanted, values[column][at], missing)
-            return np.where(np.isnan(got), missing, got)
-
-        rows = rows.to_numpy()
-        texts = docs.column("text").combine_chunks().take(pa.array(rows))
-        for lo, hi, data, off in text_pieces(texts, PIECE_BYTES):
-            gram, start = _grams(data, off)
-            kinds, which = np.unique(gram, return_inverse=True)
-            kinds = kinds.astype(np.int64)
-            p = np.full(len(kinds), 1 / SYMBOLS)
-            for k in range(1, ORDER + 1):
-                g = _suffix(kinds, k)
-                p = look("alpha", _key(g, k), 0.0) + look("gamma", _key(g >> 8, k - 1), 1.0) * p
-            loss = -np.log(p)[which]
-            count = np.diff(np.append(start, len(gram)))
-            total, square = np.add.reduceat(loss, start), np.add.reduceat(loss * loss, start)
-            m = total / count
-            error = np.sqrt(np.maximum(square / count - m * m, 0) / count)
+    keys = found.column("key").to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    keys = keys[order]
+    values = {c: found.column(c).to_numpy()[order] for c in ("alpha", "gamma")}
+
+    def look(column: str, wanted: np.ndarray, missing: float) -> np.ndarray:
+        if not len(keys):
+            return np.full(len(wanted), missing)
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        got = np.where(keys[at] == wanted, values[column][at].astype(float), missing)
+        return np.where(np.isnan(got), missing, got)
+
+    told = {c: np.full(docs.num_rows, np.nan) for c in ("loss", "least_loss", "excess", "least_excess")}
+    for model, some in _groups(docs.column("model").combine_chunks()):
+        rows, salt = some.to_numpy(), np.int64(model).astype(np.uint64)
+        for lo, hi, data, off in text_pieces(docs.column("text").combine_chunks().take(some), PIECE_BYTES):
+            words, start = _trigrams(data, off)
+            (w1, w2, w3), which, _ = _distinct(words)
+            pair = _then(w1, w2)
+            p = look("alpha", w3 ^ salt, 0.0) + look("gamma", np.full(1, salt), 1.0) * UNSEEN
+            alone = np.log(p)
+            p = look("alpha", _then(w2, w3) ^ salt, 0.0) + look("gamma", w2 ^ salt, 1.0) * p
+            p = look("alpha", _then(pair, w3) ^ salt, 0.0) + look("gamma", pair ^ salt, 1.0) * p
+            count = np.diff(np.append(start, words.shape[1]))
             filled = np.diff(off) > 0
-            mean[rows[lo:hi][filled]] = m[filled]
-            low[rows[lo:hi][filled]] = (m - 2 * error)[filled]
-    keep = docs.select(["doc_id", "th", "lang", "trusted"])
-    return keep.append_column("loss", pa.array(mean, from_pandas=True)).append_column("least_loss", pa.array(low, from_pandas=True))
+            for name, loss in (("loss", -np.log(p)), ("excess", alone - np.log(p))):
+                each = loss[which]
+                mean = np.add.reduceat(each, start) / count
+                error = np.sqrt(np.maximum(np.add.reduceat(each * each, start) / count - mean * mean, 0) / count)
+                told[name][rows[lo:hi][filled]] = mean[filled]
+                told[f"least_{name}"][rows[lo:hi][filled]] = (mean - 2 * error)[filled]
+    out = docs.select(["doc_id", "th", "lang", "trusted"])
+    for name, of in told.items():
+        out = out.append_column(name, pa.array(of, from_pandas=True))
+    return out
 
 
 def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """Per document: ``doc_id``, ``th`` (hash of its text), ``lang``,
-    ``perplexity``, ``threshold``, ``trusted`` and ``keep``."""
+    """Per document: ``doc_id``, ``th`` (hash of its text, whose lowest bit is its
+    fold), ``lang``, ``perplexity`` and ``threshold``, ``order_perplexity`` (over
+    that without order) and ``order_threshold``, ``trusted`` and ``keep``; ``worst``
+    and ``worst_order`` are what is compared with the thresholds."""
     kind = docs.schema[key].dataType.simpleString()
     said = F.col(text).cast("string")
     good = labels.groupBy(F.col("doc_id").cast(kind).alias("doc_id")).agg(F.min("quality").alias("q"), F.max(F.coalesce("toxic", F.lit(0))).alias("t"), F.count("quality").alias("n"), F.count("*").alias("all"))
@@ -202,18 +250,22 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         good = F.broadcast(good)
     held = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"), F.coalesce(said, F.lit("")).alias("text"), F.xxhash64(said).alias("th"))
     held = held.join(good, "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
-    model = train(held.filter("trusted and text != ''"))
+    fold = F.col("th").bitwiseAND(1)
+    models = train(held.filter("trusted and text != ''").select(F.xxhash64("lang", fold).alias("model"), "text"))
     blocks = partitions_for(docs, BLOCK_BYTES, 8)
-    dealt = held.withColumn("block", F.pmod(F.xxhash64("doc_id", "th"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
-    found = _requests(dealt).join(model, ["lang", "key"]).select("block", "lang", "key", "alpha", "gamma")
-    scored = dealt.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_score_block, f"doc_id {kind}, th long, lang string, trusted boolean, loss double, least_loss double")
+    dealt = held.withColumns({"model": F.xxhash64("lang", 1 - fold), "block": F.pmod(F.xxhash64("doc_id", "th"), F.lit(blocks)).cast("int")}).repartition(blocks, "block")
+    found = _requests(dealt).join(models, "key").select("block", "key", "alpha", "gamma")
+    losses = "loss double, least_loss double, excess double, least_excess double"
+    scored = dealt.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_score_block, f"doc_id {kind}, th long, lang string, trusted boolean, {losses}")
     scored = materialise(scored, "lm-scores")
-    # losses in thousandths: a bounded number of values for the exact quantile
-    limits = scored.filter("trusted").groupBy("lang").agg(F.percentile(F.round("loss", 3), QUANTILE).alias("limit")).withColumn("limit", F.col("limit") + F.log(F.lit(SLACK)))
+    # losses in thousandths: a bounded number of values for the exact quantiles
+    top = lambda of: (F.percentile(F.round(of, 3), QUANTILE) + SLACK)
+    limits = scored.filter("trusted").groupBy("lang").agg(top("least_loss").alias("limit"), top("least_excess").alias("order_limit"))
     out = scored.join(F.broadcast(limits), "lang", "left")  # a row a language
+    told = {"perplexity": "loss", "threshold": "limit", "worst": "least_loss", "order_perplexity": "excess", "order_threshold": "order_limit", "worst_order": "least_excess"}
     return out.select(
-        "doc_id", "th", "lang", F.exp("loss").alias("perplexity"), F.exp("limit").alias("threshold"), "trusted",
-        F.coalesce(F.col("least_loss") <= F.col("limit"), F.lit(True)).alias("keep"),
+        "doc_id", "th", "lang", "trusted", *[F.exp(of).alias(name) for name, of in told.items()],
+        F.coalesce((F.col("least_loss") <= F.col("limit")) & (F.col("least_excess") <= F.col("order_limit")), F.lit(True)).alias("keep"),
     )
 
 
@@ -226,4 +278,5 @@ def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
 
 def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The result of :func:`score` with rounded figures."""
-    return score(docs, labels).select("doc_id", "lang", F.round("perplexity", 3).alias("perplexity"), F.round("threshold", 3).alias("threshold"), "trusted", "keep")
+    figures = ("perplexity", "threshold", "order_perplexity", "order_threshold")
+    return score(docs, labels).select("doc_id", "lang", *[F.round(c, 3).alias(c) for c in figures], "trusted", "keep")

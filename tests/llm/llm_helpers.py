@@ -168,17 +168,21 @@ def windows_hit(rows, items, width=10):
 
 
 def mean_losses(rows, trusted):
-    """(loss, least loss) of each (lang, text) under a Kneser-Ney model of the trusted ones."""
+    """For each (group, text): mean loss, mean loss less two errors, and both of the
+    loss over that of the lowest order, under a Kneser-Ney trigram model of the
+    trusted texts of the group."""
     import math
 
+    token = re.compile(rb"[A-Za-z\x80-\xff]+|[0-9]+|\n+|[^ \t\n\r\f\vA-Za-z0-9\x80-\xff]+")
+    padded = lambda t: [None, None, *token.findall(t.encode()), 0]
     models = {}
-    for lang in {lang for lang, _ in rows}:
-        level = {4: Counter()}
+    for group in {group for group, _ in rows}:
+        level = {3: Counter()}
         for own, t in trusted:
-            if own == lang and t:
-                b = b"\xff" * 3 + t.encode() + b"\xfe"
-                level[4].update(b[i - 3 : i + 1] for i in range(3, len(b)))
-        for n in (3, 2, 1):
+            if own == group and t:
+                b = padded(t)
+                level[3].update(zip(b, b[1:], b[2:]))
+        for n in (2, 1):
             level[n] = Counter(g[1:] for g in level[n + 1])
         alpha, gamma = {}, {}
         for n, grams in level.items():
@@ -191,20 +195,24 @@ def mean_losses(rows, trusted):
                 off[g[:-1]] += cut[min(v, 3)]
             alpha.update({g: (v - cut[min(v, 3)]) / total[g[:-1]] for g, v in grams.items()})
             gamma.update({(n, h): off[h] / total[h] for h in total})
-        models[lang] = alpha, gamma
+        models[group] = alpha, gamma
     out = []
-    for lang, t in rows:
+    for group, t in rows:
         if not t:
-            out.append((None, None))
+            out.append((None,) * 4)
             continue
-        alpha, gamma = models[lang]
-        b, losses = b"\xff" * 3 + t.encode() + b"\xfe", []
-        for i in range(3, len(b)):
-            p = 1 / 257
-            for n in (1, 2, 3, 4):
-                g = b[i - n + 1 : i + 1]
-                p = alpha.get(g, 0) + gamma.get((n, g[:-1]), 1) * p
-            losses.append(-math.log(p))
-        m = sum(losses) / len(losses)
-        out.append((m, m - 2 * math.sqrt(max(0, sum(x * x for x in losses) / len(losses) - m * m) / len(losses))))
+        alpha, gamma = models[group]
+        b, losses, excesses = padded(t), [], []
+        for i in range(2, len(b)):
+            chances = [1e-6]
+            for n in (1, 2, 3):
+                g = tuple(b[i - n + 1 : i + 1])
+                chances.append(alpha.get(g, 0) + gamma.get((n, g[:-1]), 1) * chances[-1])
+            losses.append(-math.log(chances[3]))
+            excesses.append(math.log(chances[1] / chances[3]))
+        told = []
+        for some in (losses, excesses):
+            m = sum(some) / len(some)
+            told += [m, m - 2 * math.sqrt(max(0, sum(x * x for x in some) / len(some) - m * m) / len(some))]
+        out.append(tuple(told))
     return out

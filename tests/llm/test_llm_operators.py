@@ -462,21 +462,30 @@ def test_shards_run_no_python(docs):
 
 # ------------------------------------------------------------------ 10
 def test_quality_model(spark):
-    from tablesync.llm.quality import score
+    from tablesync.llm.quality import SLACK, score
 
     rows = documents()
     df = spark.read.parquet(f"{SF001}/documents.parquet")
     labels = spark.read.parquet(f"{SF001}/labels.parquet")
     lang = {r["doc_id"]: r["lang"] for r in df.select("doc_id", "lang").collect()}
     good = {r["doc_id"] for r in labels.collect() if r["quality"] == 1 and r["toxic"] == 0}
-    told = mean_losses([(lang[d], t) for d, t in rows], [(lang[d], t) for d, t in rows if d in good])
     got = {r["doc_id"]: r for r in score(df, labels).collect()}
-    assert len(got) == len(rows)
-    for (d, _), (loss, least) in zip(rows, told):
-        assert got[d]["perplexity"] == pytest.approx(math.exp(loss), rel=1e-4)
+    assert len(got) == len(rows) and {r["th"] & 1 for r in got.values()} == {0, 1}
+    # a text is scored by the model of the fold that it isn't in
+    told = mean_losses([((lang[d], 1 - (got[d]["th"] & 1)), t) for d, t in rows], [((lang[d], got[d]["th"] & 1), t) for d, t in rows if d in good])
+    for (d, _), (loss, least, excess, least_excess) in zip(rows, told):
+        assert got[d]["perplexity"] == pytest.approx(math.exp(loss), rel=1e-4) and got[d]["order_perplexity"] == pytest.approx(math.exp(excess), rel=1e-4)
+        assert got[d]["worst"] == pytest.approx(math.exp(least), rel=1e-3) and got[d]["worst_order"] == pytest.approx(math.exp(least_excess), rel=1e-3)
         assert got[d]["trusted"] == (d in good)
-        if got[d]["threshold"] is not None and abs(least - math.log(got[d]["threshold"])) > 1e-3:
-            assert got[d]["keep"] == (least <= math.log(got[d]["threshold"]))
+        if got[d]["threshold"] is not None:
+            assert got[d]["keep"] == (got[d]["worst"] <= got[d]["threshold"] and got[d]["worst_order"] <= got[d]["order_threshold"])
+    # limits: the quantile of what trusted texts of the language reach, and the slack
+    for one in set(lang.values()):
+        reached = sorted(least for (d, _), (_, least, _, _) in zip(rows, told) if d in good and lang[d] == one and least is not None)
+        limit = {r["threshold"] for r in got.values() if r["lang"] == one}
+        place = 0.9975 * (len(reached) - 1)
+        low, high = reached[int(place)], reached[min(int(place) + 1, len(reached) - 1)]
+        assert len(limit) == 1 and math.log(limit.pop()) == pytest.approx(low + (place - int(place)) * (high - low) + SLACK, abs=2e-3)
 
 
 def test_quality_keeps_good_and_rejects_most_bad_texts(spark):
@@ -493,7 +502,7 @@ def test_quality_keeps_good_and_rejects_most_bad_texts(spark):
 
 
 def test_quality_by_kind_of_bad_text(spark):
-    """Held out, each half of the labels in turn.  Most texts of one repeated word stay: see the README."""
+    """Held out, each half of the labels in turn; toxic texts are good ones here."""
     from tablesync.llm.quality import score
 
     df = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
@@ -506,7 +515,7 @@ def test_quality_by_kind_of_bad_text(spark):
             kind = "good" if r["quality"] else "repeated" if len(w) > 3 and len(set(w)) <= max(2, len(w) // 20) else "other"
             count[kind, r["keep"]] += 1
     rejected = {kind: count[kind, False] / (count[kind, False] + count[kind, True]) for kind in ("good", "repeated", "other")}
-    assert rejected["good"] < 0.005 and rejected["repeated"] > 0.15 and rejected["other"] > 0.87, dict(count)
+    assert rejected["good"] < 0.005 and rejected["repeated"] > 0.6 and rejected["other"] > 0.87, dict(count)
 
 
 def test_quality_edges(spark):
