@@ -11,8 +11,8 @@ texts are those of held-out texts.
 
 Training: tasks count trigrams, a shuffle adds them up; lower orders count
 distinct left neighbours; discounts come from the counts of counts of each model
-and order; a row of the model holds, for one n-gram, its discounted probability
-and, as a context, its back-off weight.  An n-gram's key is made of 64-bit hashes
+and order; a row of the model holds, for one n-gram, its discounted count and, as
+a context, its total and back-off weight.  An n-gram's key is made of 64-bit hashes
 of its words, turned and combined, and of its model's.
 
 Scoring: documents are dealt into blocks of some MB; a block asks for the
@@ -138,17 +138,18 @@ def count_trigrams(texts: DataFrame) -> DataFrame:
 
 
 def train(texts: DataFrame) -> DataFrame:
-    """The models: ``key`` (of n-gram and model), ``alpha``, ``gamma``."""
+    """The models: ``key`` (of n-gram and model), ``left`` (its count less the
+    discount), and of the n-gram as a context ``total`` and ``gamma``."""
     three = materialise(count_trigrams(texts), "lm-counts")
-    two = three.groupBy("model", "w2", "w3").agg(F.count("*").alias("n"))
+    two = materialise(three.groupBy("model", "w2", "w3").agg(F.count("*").alias("n")), "lm-pairs")
     one = two.groupBy("model", "w3").agg(F.count("*").alias("n"))
-    pair, none = _then_column(F.col("w1"), F.col("w2")), F.lit(0).cast("long")
+    pair, empty = _then_column(F.col("w1"), F.col("w2")), F.lit(0).cast("long")
     levels = [
         three.select("model", F.lit(3).alias("len"), pair.alias("context"), _then_column(pair, F.col("w3")).alias("gram"), "n"),
         two.select("model", F.lit(2).alias("len"), F.col("w2").alias("context"), _then_column(F.col("w2"), F.col("w3")).alias("gram"), "n"),
-        one.select("model", F.lit(1).alias("len"), none.alias("context"), F.col("w3").alias("gram"), "n"),
+        one.select("model", F.lit(1).alias("len"), empty.alias("context"), F.col("w3").alias("gram"), "n"),
     ]
-    grams = materialise(levels[0].unionByName(levels[1]).unionByName(levels[2]), "lm-grams")
+    grams = levels[0].unionByName(levels[1]).unionByName(levels[2])
     counts = [F.sum(F.when(F.col("n") == i, 1).otherwise(0)).cast("double").alias(f"n{i}") for i in (1, 2, 3, 4)]
     y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
     # where counts of counts are missing (tiny corpora), 0.5, 1 and 1.5; 0.1 at least, so that every text has a chance
@@ -157,17 +158,14 @@ def train(texts: DataFrame) -> DataFrame:
     cut = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
     # a row a model and order
     cutted = grams.join(F.broadcast(discounts), ["model", "len"]).withColumn("cut", cut)
-    contexts = cutted.groupBy("model", "len", "context").agg(F.sum("n").alias("total"), F.sum("cut").alias("cut_off"))
-    share = ((F.col("n") - F.col("cut")) / F.col("total")).alias("alpha")
-    on = ["model", "len", "context"]
-    # all words of a model share the empty context: a row a model, broadcast
-    seen = cutted.filter("len > 1").join(contexts.filter("len > 1"), on).select("model", "gram", share)
-    seen = seen.unionByName(cutted.filter("len = 1").join(F.broadcast(contexts.filter("len = 1")), on).select("model", "gram", share))
-    key = lambda of: F.col(of).bitwiseXOR(F.col("model")).alias("key")
-    alpha = seen.select(key("gram"), "alpha", F.lit(None).cast("double").alias("gamma"))
-    gamma = contexts.select(key("context"), F.lit(None).cast("double").alias("alpha"), (F.col("cut_off") / F.col("total")).alias("gamma"))
-    model = alpha.unionByName(gamma).groupBy("key").agg(F.max("alpha").cast("float").alias("alpha"), F.max("gamma").cast("float").alias("gamma"))
-    return materialise(model, "lm-model")
+    # a row for each n-gram and one for its context; blocks ask for both, so the two are never joined
+    key, none = lambda of: F.col(of).bitwiseXOR(F.col("model")), F.lit(None).cast("double")
+    parts = F.array(
+        F.struct(key("gram").alias("key"), (F.col("n") - F.col("cut")).alias("left"), none.alias("total"), none.alias("cut")),
+        F.struct(key("context").alias("key"), none.alias("left"), F.col("n").cast("double").alias("total"), F.col("cut").alias("cut")),
+    )
+    model = cutted.select(F.inline(parts)).groupBy("key").agg(F.max("left").alias("left"), F.sum("total").alias("total"), F.sum("cut").alias("cut"))
+    return materialise(model.select("key", F.col("left").cast("float").alias("left"), "total", (F.col("cut") / F.col("total")).cast("float").alias("gamma")), "lm-model")
 
 
 def _requests(docs: DataFrame) -> DataFrame:
@@ -203,7 +201,7 @@ def _score_block(docs: pa.Table, found: pa.Table) -> pa.Table:
     keys = found.column("key").to_numpy().view(np.uint64)
     order = np.argsort(keys)
     keys = keys[order]
-    values = {c: found.column(c).to_numpy()[order] for c in ("alpha", "gamma")}
+    values = {c: found.column(c).to_numpy()[order] for c in ("left", "total", "gamma")}
 
     def look(column: str, wanted: np.ndarray, missing: float) -> np.ndarray:
         if not len(keys):
@@ -212,6 +210,9 @@ def _score_block(docs: pa.Table, found: pa.Table) -> pa.Table:
         got = np.where(keys[at] == wanted, values[column][at].astype(float), missing)
         return np.where(np.isnan(got), missing, got)
 
+    def chance(gram: np.ndarray, context: np.ndarray, lower: np.ndarray | float) -> np.ndarray:
+        return look("left", gram, 0.0) / look("total", context, 1.0) + look("gamma", context, 1.0) * lower
+
     told = {c: np.full(docs.num_rows, np.nan) for c in ("loss", "least_loss", "excess", "least_excess")}
     for model, some in _groups(docs.column("model").combine_chunks()):
         rows, salt = some.to_numpy(), np.int64(model).astype(np.uint64)
@@ -219,10 +220,10 @@ def _score_block(docs: pa.Table, found: pa.Table) -> pa.Table:
             words, start = _trigrams(data, off)
             (w1, w2, w3), which, _ = _distinct(words)
             pair = _then(w1, w2)
-            p = look("alpha", w3 ^ salt, 0.0) + look("gamma", np.full(1, salt), 1.0) * UNSEEN
+            p = chance(w3 ^ salt, np.full(1, salt), UNSEEN)
             alone = np.log(p)
-            p = look("alpha", _then(w2, w3) ^ salt, 0.0) + look("gamma", w2 ^ salt, 1.0) * p
-            p = look("alpha", _then(pair, w3) ^ salt, 0.0) + look("gamma", pair ^ salt, 1.0) * p
+            p = chance(_then(w2, w3) ^ salt, w2 ^ salt, p)
+            p = chance(_then(pair, w3) ^ salt, pair ^ salt, p)
             count = np.diff(np.append(start, words.shape[1]))
             filled = np.diff(off) > 0
             for name, loss in (("loss", -np.log(p)), ("excess", alone - np.log(p))):
@@ -254,7 +255,7 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     models = train(held.filter("trusted and text != ''").select(F.xxhash64("lang", fold).alias("model"), "text"))
     blocks = partitions_for(docs, BLOCK_BYTES, 8)
     dealt = held.withColumns({"model": F.xxhash64("lang", 1 - fold), "block": F.pmod(F.xxhash64("doc_id", "th"), F.lit(blocks)).cast("int")}).repartition(blocks, "block")
-    found = _requests(dealt).join(models, "key").select("block", "key", "alpha", "gamma")
+    found = _requests(dealt).join(models, "key").select("block", "key", "left", "total", "gamma")
     losses = "loss double, least_loss double, excess double, least_excess double"
     scored = dealt.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_score_block, f"doc_id {kind}, th long, lang string, trusted boolean, {losses}")
     scored = materialise(scored, "lm-scores")

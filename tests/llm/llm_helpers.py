@@ -167,6 +167,49 @@ def windows_hit(rows, items, width=10):
     return out
 
 
+def mean_byte_losses(rows, trusted):
+    """(loss, least loss) of each (lang, text) under a Kneser-Ney model of the bytes of the trusted ones."""
+    import math
+
+    models = {}
+    for lang in {lang for lang, _ in rows}:
+        level = {4: Counter()}
+        for own, t in trusted:
+            if own == lang and t:
+                b = b"\xff" * 3 + t.encode() + b"\xfe"
+                level[4].update(b[i - 3 : i + 1] for i in range(3, len(b)))
+        for n in (3, 2, 1):
+            level[n] = Counter(g[1:] for g in level[n + 1])
+        alpha, gamma = {}, {}
+        for n, grams in level.items():
+            c = [0] + [sum(v == i for v in grams.values()) for i in (1, 2, 3, 4)]
+            y = c[1] / (c[1] + 2 * c[2]) if c[1] + 2 * c[2] else None
+            cut = [0.0] + [max(0.1, min(float(i), i - (i + 1) * y * c[i + 1] / c[i])) if c[i] and y is not None else i / 2 for i in (1, 2, 3)]
+            total, off = Counter(), Counter()
+            for g, v in grams.items():
+                total[g[:-1]] += v
+                off[g[:-1]] += cut[min(v, 3)]
+            alpha.update({g: (v - cut[min(v, 3)]) / total[g[:-1]] for g, v in grams.items()})
+            gamma.update({(n, h): off[h] / total[h] for h in total})
+        models[lang] = alpha, gamma
+    out = []
+    for lang, t in rows:
+        if not t:
+            out.append((None, None))
+            continue
+        alpha, gamma = models[lang]
+        b, losses = b"\xff" * 3 + t.encode() + b"\xfe", []
+        for i in range(3, len(b)):
+            p = 1 / 257
+            for n in (1, 2, 3, 4):
+                g = b[i - n + 1 : i + 1]
+                p = alpha.get(g, 0) + gamma.get((n, g[:-1]), 1) * p
+            losses.append(-math.log(p))
+        m = sum(losses) / len(losses)
+        out.append((m, m - 2 * math.sqrt(max(0, sum(x * x for x in losses) / len(losses) - m * m) / len(losses))))
+    return out
+
+
 def mean_losses(rows, trusted):
     """For each (group, text): mean loss, mean loss less two errors, and both of the
     loss over that of the lowest order, under a Kneser-Ney trigram model of the

@@ -6,24 +6,23 @@ from collections import defaultdict
 
 import pytest
 import sentencepiece
-from llm_helpers import SF001, cut_passages, documents, edge_docs, jaccard, mean_losses, windows_hit, words
+from llm_helpers import SF001, cut_passages, documents, edge_docs, jaccard, mean_byte_losses, windows_hit, words
 from pyspark.sql import functions as F
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
 
 def test_pipeline_equals_plain_stages(spark):
-    from tablesync.llm.quality import score
+    from tablesync.llm.quality_bytes import score
 
     df = spark.read.parquet(f"{SF001}/documents.parquet")
     labels = spark.read.parquet(f"{SF001}/labels.parquet")
     lang = {r["doc_id"]: r["lang"] for r in df.collect()}
     good = {r["doc_id"] for r in labels.collect() if r["quality"] == 1 and r["toxic"] == 0}
-    judged = {r["doc_id"]: r for r in score(df, labels).collect()}
+    limit = {r["lang"]: r["threshold"] for r in score(df, labels).select("lang", "threshold").distinct().collect()}
     rows = documents()
-    losses = mean_losses([((lang[d], 1 - (judged[d]["th"] & 1)), t) for d, t in rows], [((lang[d], judged[d]["th"] & 1), t) for d, t in rows if d in good])
-    within = lambda least, limit: least is None or limit is None or least <= math.log(limit)
-    rows = [r for r, (_, least, _, order) in zip(rows, losses) if within(least, judged[r[0]]["threshold"]) and within(order, judged[r[0]]["order_threshold"])]
+    losses = mean_byte_losses([(lang[d], t) for d, t in rows], [(lang[d], t) for d, t in rows if d in good])
+    rows = [r for r, (_, least) in zip(rows, losses) if least is None or limit[lang[r[0]]] is None or least <= math.log(limit[lang[r[0]]])]
     before = dict(rows)
     rows = [(d, t) for d, t in cut_passages(rows) if t or t == before[d]]
     rows = [r for r, (d, _, least, _) in zip(rows, jaccard(rows)) if d == least or not words(r[1])]
