@@ -4,7 +4,7 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written
 as Parquet and read again as the next stage's ``docs``.  All but the last
 return the columns of ``documents``.
 
-1. quality classifier: documents that it rejects go
+1. quality classifier, by its model over bytes: documents that it rejects go
 2. line dedup: repeated multi-line chunks, and repeated passages of two lines or
    more and over 50 words, are cut from texts; a document that loses its last line goes
 3. n-gram Jaccard join: of each class of near copies the document with the
@@ -34,7 +34,7 @@ from tablesync.llm.decontaminate import find_benchmark
 from tablesync.llm.jaccard import jaccard_classes
 from tablesync.llm.linededup import PASSAGE_WORDS, dedup_lines
 from tablesync.llm.pieces import with_pieces
-from tablesync.llm.quality import keep_good
+from tablesync.llm.quality_bytes import keep_good
 from tablesync.llm.queries import vocabulary
 
 #: No SQL: a perplexity model, rolling hashes and a tokenizer decide.
