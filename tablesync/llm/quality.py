@@ -131,6 +131,8 @@ def count_trigrams(texts: DataFrame) -> DataFrame:
             for model, rows in _groups(b.column(0)):
                 for _, _, data, off in text_pieces(b.column(1).take(rows), 4 * PIECE_BYTES):
                     words, _, n = _distinct(_trigrams(data, off)[0])
+                    order = np.lexsort(words[::-1])  # neighbours share words, which the shuffle's codec folds
+                    words, n = words[:, order], n[order]
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), model, np.int64)), *[pa.array(w.view(np.int64)) for w in words], pa.array(n.astype(np.int64))], names=["model", "w1", "w2", "w3", "n"])
 
     found = texts.select("model", "text").mapInArrow(work, "model long, w1 long, w2 long, w3 long, n long")
