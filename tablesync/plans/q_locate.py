@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync import oracle as O
-from tablesync.operators import cell_changes, digest_tree, keys, sketch_diff
+from tablesync.operators import cell_changes, digest_tree, keys, sequential, sketch_diff
 from tablesync.plans.registry import query
 from tablesync.session import apply_defaults, work_dir
 from tablesync.sources import fixtures as X
@@ -47,6 +47,32 @@ def recon_missing_by_tree(spark: SparkSession, sf: str) -> DataFrame:
     return digest_tree.missing_rows_by_tree(spark, root + "/source", root + "/target")
 
 
+# ----------------------------------------------------------------- R11 decided early
+_THRESHOLDS = (90.0, 98.0, 99.5)
+
+
+@query(
+    "recon_threshold_sequential",
+    oracle=f"""
+with n as (select count(*) as source_count from orders),
+m as (select count(*) as missing from ({O.missing_sql('select * from orders', O.ORDERS_TARGET, O.ORDERS_COLS)}) where issue_type = 'missing_in_target')
+select threshold, source_count, 100.0 * (source_count - missing) >= threshold * source_count as passed
+from n, m, (select unnest([{', '.join(f'cast({t} as double)' for t in _THRESHOLDS)}]) as threshold)
+""",
+)
+def recon_threshold_sequential(spark: SparkSession, sf: str) -> DataFrame:
+    """P3 under three thresholds: far below, near and above its rate of matches."""
+    apply_defaults(spark)
+    root = work_dir(spark, "recon_threshold_sequential")
+    digest_tree.sync_tree(spark, load(spark, sf, "orders"), root + "/source", ["o_orderkey"], _LEAF_ROWS // 8)
+    digest_tree.sync_tree(spark, X.orders_target(spark, sf), root + "/target", ["o_orderkey"], _LEAF_ROWS // 8)
+    out = None
+    for threshold in _THRESHOLDS:
+        one = sequential.sequential_threshold(spark, root + "/source", root + "/target", threshold, error=1e-6).select(F.lit(threshold).alias("threshold"), "source_count", "passed")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 # ----------------------------------------------------------------- T2 key discovery
 def _keys_sql(tables: dict[str, tuple[list[str], int]]) -> str:
     """Every set of columns counted, those kept that are keys and hold no smaller one."""
