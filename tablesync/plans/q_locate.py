@@ -64,8 +64,8 @@ def recon_threshold_sequential(spark: SparkSession, sf: str) -> DataFrame:
     """P3 under three thresholds: far below, near and above its rate of matches."""
     apply_defaults(spark)
     root = work_dir(spark, "recon_threshold_sequential")
-    digest_tree.sync_tree(spark, load(spark, sf, "orders"), root + "/source", ["o_orderkey"], _LEAF_ROWS // 8)
-    digest_tree.sync_tree(spark, X.orders_target(spark, sf), root + "/target", ["o_orderkey"], _LEAF_ROWS // 8)
+    digest_tree.sync_tree(spark, load(spark, sf, "orders"), root + "/source", ["o_orderkey"], _LEAF_ROWS // 2)
+    digest_tree.sync_tree(spark, X.orders_target(spark, sf), root + "/target", ["o_orderkey"], _LEAF_ROWS // 2)
     out = None
     for threshold in _THRESHOLDS:
         one = sequential.sequential_threshold(spark, root + "/source", root + "/target", threshold, error=1e-6).select(F.lit(threshold).alias("threshold"), "source_count", "passed")
