@@ -10,8 +10,13 @@ the distinct counts of a whole batch of sets by HyperLogLog, and a set whose
 estimate stays well below the number of rows is no key.  (A set also can't be
 one if the products of its parts' counts stay below that.)  What remains is
 confirmed over all rows: digests of the set's values are grouped, and any that
-occurs twice settles it.  A digest has 128 bits, so over n rows two different
-values are taken for one with a probability of about n^2 / 2^129.
+occurs twice settles it.  A first look groups only some digests: those of one
+``SLICES``th of their range, in which equal rows meet, and those of as many rows
+by chance, which finds values with many copies.  Nearly all sets that are no key
+end there; only the rest moves all its digests, once, and these have no value
+with more than some hundred copies, so nothing is folded before that shuffle and
+no task of it holds a table of all its rows.  A digest has 128 bits, so over n
+rows two different values are taken for one with a probability of about n^2 / 2^129.
 """
 
 from __future__ import annotations
@@ -30,6 +35,10 @@ BATCH = 24
 RSD, DEVIATIONS = 0.02, 6
 #: Sets that are confirmed by one job.
 TOGETHER = 8
+#: Of this many digests the first look takes one.
+SLICES = 64
+#: Digests that a task groups at once.
+TASK_DIGESTS = 1 << 20
 
 
 def _values(df: DataFrame, columns: Sequence[str]) -> list[Column]:
@@ -47,17 +56,45 @@ def distinct_estimates(df: DataFrame, sets: Sequence[Sequence[str]]) -> list[int
     return out
 
 
-def confirmed(df: DataFrame, sets: Sequence[Sequence[str]]) -> list[bool]:
-    """For each set of columns whether no two rows agree on it: the digests of
-    ``TOGETHER`` sets are grouped by one job, repeated rows folded before its shuffle."""
-    out: list[bool] = []
+def _digests(df: DataFrame, sets: Sequence[Sequence[str]]) -> DataFrame:
+    """``i, a, b``: the digest of each row's values of the set with number ``i``."""
+    digests = F.array(*[F.struct(F.lit(i).alias("i"), F.xxhash64(F.lit(1), *_values(df, s)).alias("a"), F.xxhash64(F.lit(2), *_values(df, s)).alias("b")) for i, s in enumerate(sets)])
+    return df.select(F.inline(digests))
+
+
+def _first_look(digests: DataFrame) -> DataFrame:
+    """The digests of a slice of their range, and some of the rest by chance."""
+    return digests.filter((F.pmod("a", F.lit(SLICES)) == 0) | (F.rand(7) < 1 / SLICES))
+
+
+def _brought_together(digests: DataFrame, n: int) -> DataFrame:
+    """All ``n`` digests, equal ones in one partition."""
+    usual = int(digests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return digests.repartition(max(usual, -(-n // TASK_DIGESTS)), "a")
+
+
+def _twice(digests: DataFrame) -> set[int]:
+    """Numbers of the sets with a digest that occurs twice."""
+    counted = digests.groupBy("i", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+    return {r["i"] for r in counted.filter("n > 1").select("i").distinct().collect()}  # a number a set
+
+
+def confirmed(df: DataFrame, sets: Sequence[Sequence[str]], rows: Optional[int] = None) -> list[bool]:
+    """For each set of columns whether no two rows agree on it, ``TOGETHER`` sets
+    by one job: a first look at some digests, then all digests of the sets that passed."""
+    passed: list[int] = []
     for lo in range(0, len(sets), TOGETHER):
         some = sets[lo : lo + TOGETHER]
-        digests = F.array(*[F.struct(F.lit(i).alias("i"), F.xxhash64(F.lit(1), *_values(df, s)).alias("a"), F.xxhash64(F.lit(2), *_values(df, s)).alias("b")) for i, s in enumerate(some)])
-        counted = df.select(F.explode(digests).alias("d")).groupBy("d.i", "d.a", "d.b").agg(F.count(F.lit(1)).alias("n"))
-        twice = {r["i"] for r in counted.filter("n > 1").select("i").distinct().collect()}  # a number a set
-        out += [i not in twice for i in range(len(some))]
-    return out
+        twice = _twice(_first_look(_digests(df, some)))
+        passed += [lo + i for i in range(len(some)) if i not in twice]
+    if passed and rows is None:
+        rows = df.count()
+    keys: set[int] = set()
+    for lo in range(0, len(passed), TOGETHER):
+        some = passed[lo : lo + TOGETHER]
+        twice = _twice(_brought_together(_digests(df, [sets[i] for i in some]), rows * len(some)))
+        keys |= {at for i, at in enumerate(some) if i not in twice}
+    return [i in keys for i in range(len(sets))]
 
 
 def minimal_keys(df: DataFrame, columns: Optional[Iterable[str]] = None, most: Optional[int] = None) -> list[tuple[str, ...]]:
@@ -71,8 +108,6 @@ def minimal_keys(df: DataFrame, columns: Optional[Iterable[str]] = None, most: O
     rows = df.count()
     if rows <= 1:
         return [()]
-    if not confirmed(df, [names])[0]:
-        return []  # whole rows repeat: no set can tell them apart
     found: list[tuple[str, ...]] = []
     # the most values a set can have, by the sketches of its parts
     above: dict[tuple[str, ...], float] = {}
@@ -81,6 +116,8 @@ def minimal_keys(df: DataFrame, columns: Optional[Iterable[str]] = None, most: O
         sets = [s for s in combinations(names, size) if not any(set(k) <= set(s) for k in found)]
         if not sets:
             break
+        if size == 2 and not found and not confirmed(df, [names], rows)[0]:
+            return []  # whole rows repeat: no set can tell them apart
         if size > 1:
             def bound(s: tuple[str, ...]) -> float:
                 return min((above.get(s[:i] + s[i + 1 :], float("inf")) * above.get((s[i],), float("inf")) for i in range(size)), default=float("inf"))
@@ -93,7 +130,7 @@ def minimal_keys(df: DataFrame, columns: Optional[Iterable[str]] = None, most: O
             above[s] = min(rows, n * slack)
             if n * slack >= rows:
                 likely.append(s)
-        found += [s for s, ok in zip(likely, confirmed(df, likely)) if ok]
+        found += [s for s, ok in zip(likely, confirmed(df, likely, rows)) if ok]
     return found
 
 

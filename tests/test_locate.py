@@ -172,6 +172,19 @@ def test_keys_with_nulls_maps_and_repeated_rows(spark):
     assert K.minimal_keys(df.limit(1)) == [()] == K.minimal_keys(df.limit(0))
 
 
+def test_keys_are_confirmed_without_folding_all_rows_first(spark):
+    df = spark.range(60000).select("id", (F.col("id") % 40000).alias("most"), F.when(F.col("id") % 9 > 0, F.col("id")).alias("some"), F.greatest("id", F.lit(1)).alias("near"))
+    sets = [["id"], ["most"], ["some"], ["near"], ["most", "some"]]
+    assert K.confirmed(df, sets) == [True, False, False, False, True]
+    # a first look at few digests settles the plain cases, one of them only by its copies
+    look = K._first_look(K._digests(df, sets))
+    assert look.count() < 5 * 60000 * 3 / K.SLICES and {1, 2} <= K._twice(look)
+    # what is left moves once, and is grouped behind the shuffle
+    plan = K._brought_together(K._digests(df, sets), 300000).groupBy("i", "a", "b").count()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Aggregate" not in plan[plan.index("Exchange") :]
+    assert K.confirmed(df.limit(0), [["id"]]) == [True] and K.confirmed(df, []) == []
+
+
 # ------------------------------------------------------------------ changed cells
 def cells(df, key):
     return sorted((r["source"][key], r["column_name"], r["source_value"], r["target_value"]) for r in df.collect())
