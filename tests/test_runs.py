@@ -101,6 +101,27 @@ def test_nested_settings_merge_by_path(spark):
     assert setting_leaves(settings.limit(0)).count() == 0 == effective_nested(settings.limit(0), objects).count()
 
 
+def test_setting_of_all_objects_meets_them_in_all_tasks(spark):
+    from tablesync.operators.nested_settings import effective_nested, met_leaves
+
+    names = {"group": F.lit("*"), "catalog": F.col("c"), "schema": F.concat_ws(".", "c", "s"), "table": F.concat_ws(".", "c", "s", "t")}
+    objects = spark.range(6000).select(F.lit("c").alias("c"), F.lit("s").alias("s"), F.col("id").cast("string").alias("t"))
+    leaves = spark.createDataFrame([("group", "*", ["a"], "1", 0), ("schema", "c.s", ["b", "x"], "2", 2), ("table", "c.s.7", ["b"], "3", 3)], "level string, object string, path array<string>, value string, rank int")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        met = met_leaves(leaves, objects, names, 8)
+        in_tasks = [r["count"] for r in met.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert sum(in_tasks) == 12001 and max(in_tasks) < 12001 / 2
+    # the same object twice is one; names that are null have no settings of their own level
+    settings = spark.createDataFrame([("group", "*", '{"a": 1}'), ("schema", "c.s", '{"b": {"x": 2}}'), ("table", "c.s.7", '{"b": 3}')], "level string, object string, value string")
+    some = objects.where("t < 9").unionByName(objects.where("t < 9")).unionByName(spark.sql("select 'c' as c, 's' as s, string(null) as t"))
+    got = sorted((r["t"] or "-", ".".join(r["path"]), r["value"]) for r in effective_nested(settings, some, ["c", "s", "t"]).collect())
+    assert got == sorted((t, *x) for t in [*map(str, range(9)), "-"] for x in [("a", "1"), ("b", "3") if t == "7" else ("b.x", "2")])
+
+
 def test_summaries_from_sketches_of_runs(spark):
     import random
 
