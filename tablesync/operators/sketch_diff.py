@@ -21,8 +21,14 @@ the size of the difference, not of the tables.
 4. The rows of these digests are fetched from both sides and compared by value
    as ever, so what is reported is what ``missing_rows`` reports.
 
-A task sends at most one row a cell.  Where the difference is so large that this
-would be more than the rows themselves, the plain comparison is used.
+A task sends at most one row a cell.  Both tasks and cells grow with tables whose
+difference does, so where all tasks together would send more than the rows have
+digests, the digests move instead, once, with nothing folded before: equal ones
+cancel where they meet, and only what is left becomes cells.  Where the difference
+is so large that the cells are more than the rows, the plain comparison is used.
+
+Rows are fetched by a join with the digests found, behind a filter of bits that is
+broadcast (``FILTER_BITS`` at most), so that few others are shuffled for it.
 """
 
 from __future__ import annotations
@@ -44,6 +50,12 @@ LOAD, LEAST_CELLS = 2.0, 192
 HASHES = 3
 #: Growth of a table that didn't peel.
 GROWTH = 4
+#: Size of a cell in digests, as the shuffle stores both.
+CELL_DIGESTS = 3
+#: Copies of one digest (as a part of all rows) beyond which copies are folded before digests move.
+HOT = 1 / 256
+#: Bits of the filter for each digest found, and at most (8 MB).
+BITS, FILTER_BITS = 16, 1 << 26
 _SUM = "decimal(28,0)"
 
 
@@ -95,6 +107,19 @@ def cells_of(digests: DataFrame, cells: int) -> DataFrame:
     return _nonzero(rows.groupBy("cell").agg(F.sum("n").alias("n"), total("a").alias("sa"), total("b").alias("sb"), total("c").alias("sc")))
 
 
+def cancelled(digests: DataFrame, cells: int, rows: int) -> DataFrame:
+    """``digests`` as they are where their tasks send fewer cells than ``rows`` digests
+    take; else those whose weights don't cancel, once each, after one shuffle of all."""
+    seen = digests.select(F.pmod("a", F.lit(BUCKETS)).alias("bucket"), F.spark_partition_id().alias("task")).groupBy("bucket").agg(F.count("*").alias("n"), F.max("task").alias("task"))
+    most, last = seen.agg(F.max("n"), F.max("task")).first()
+    tasks = (last or 0) + 1
+    if tasks * min(cells, HASHES * rows // tasks) * CELL_DIGESTS <= rows:
+        return digests
+    # with many copies of one digest tasks fold their own first
+    met = digests if most > rows * HOT else digests.repartition("a")
+    return met.groupBy("a", "b").agg(F.sum("n").alias("n")).filter("n <> 0")
+
+
 def _nonzero(cells: DataFrame) -> DataFrame:
     return cells.filter("n <> 0 or sa <> 0 or sb <> 0 or sc <> 0")
 
@@ -144,6 +169,21 @@ def peel(digests: DataFrame, cells: int) -> Peeled:
         cells *= GROWTH
 
 
+def _bits(keys: DataFrame, bits: int) -> DataFrame:
+    """``at``, ``bits``: the filter of the digests' ``a``, in pieces of 4 KB."""
+    place = F.pmod("a", F.lit(bits))
+    return keys.groupBy(F.bitmap_bucket_number(place).alias("at")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+
+
+def _maybe(rows: DataFrame, keys: DataFrame, bits: int) -> DataFrame:
+    """``rows`` whose digest ``_da`` may be among ``keys``."""
+    place = F.pmod("_da", F.lit(bits))
+    of = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.floor(of / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    some = rows.join(F.broadcast(_bits(keys, bits).toDF("_at", "_bits")), F.bitmap_bucket_number(place) == F.col("_at"))
+    return some.filter(F.getbit(byte, F.pmod(of, F.lit(8)).cast("int")) == 1).drop("_at", "_bits")
+
+
 def missing_rows_by_sketch(
     source: DataFrame,
     target: DataFrame,
@@ -168,11 +208,14 @@ def missing_rows_by_sketch(
         cells = max(LEAST_CELLS, int(LOAD * size * (1 + 4 * (2 / BUCKETS) ** 0.5)))
         if HASHES * cells > rows > LEAST_CELLS * HASHES:
             return missing_rows(s, t, exclude, with_evidence=with_evidence)
-    keys = peel(digests, cells).keys.select("a", "b")
+        digests = cancelled(digests, cells, rows)
+    keys, found = _counted(peel(digests, cells).keys.select("a", "b"), "sketch-found")
+    bits = min(FILTER_BITS, BITS * found + 1)
 
     def rows_of(df: DataFrame, names: list[str]) -> DataFrame:
+        # an inner join of distinct keys: a semi join would be moved below the filter
         a, b = row_digest(df, names)
-        return df.withColumns({"_da": a, "_db": b}).join(keys.toDF("_da", "_db"), ["_da", "_db"], "left_semi").drop("_da", "_db")
+        return _maybe(df.withColumns({"_da": a, "_db": b}), keys, bits).join(keys.toDF("_da", "_db"), ["_da", "_db"]).drop("_da", "_db")
 
     names = {c.lower(): c for c in t.columns}
     return missing_rows(rows_of(s, columns), rows_of(t, [names[c.lower()] for c in columns]), exclude, with_evidence=with_evidence)

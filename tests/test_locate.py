@@ -59,6 +59,29 @@ def test_sketch_traffic_follows_the_difference(spark):
     assert S.cells_of(S.signed_digests(s, t, s.columns), 300).count() <= 300
 
 
+def test_sketch_moves_digests_once_where_cells_would_be_more(spark):
+    base = spark.range(0, 40000, 1, 16)
+    s, t = base.select("id", (F.col("id") % 7).alias("v")), base.select("id", F.when(F.col("id") % 25 == 0, -1).otherwise(F.col("id") % 7).alias("v"))
+    digests = S.signed_digests(s, t, ["id", "v"])
+    size, n = S.difference_size(digests)
+    got = S.cancelled(digests, 2 * size, n)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert got.count() == 3200 and plan.count("Exchange") == 1 and "Aggregate" not in plan[plan.index("Exchange") :]
+    assert S.cancelled(digests, 192, n) is digests  # few cells: tasks send these
+    expected = rows(missing_rows(s, t))
+    assert len(expected) == 3200 and rows(S.missing_rows_by_sketch(s, t)) == expected
+    # many copies of one row are folded by the tasks that hold them
+    copies = s.unionByName(s.filter("id = 7").crossJoin(spark.range(3000).select()))
+    digests = S.signed_digests(copies, t, ["id", "v"])
+    assert {r["n"] for r in S.cancelled(digests, 2 * size, digests.count()).collect()} == {1, -1, 3000}
+    # rows are fetched behind a filter that lets few others pass
+    keys = S.signed_digests(s, t, ["id", "v"]).groupBy("a", "b").agg(F.sum("n").alias("n")).filter("n <> 0").select("a", "b")
+    a, b = S.row_digest(s, ["id", "v"])
+    held = s.withColumns({"_da": a, "_db": b})
+    some = S._maybe(held, keys, S.BITS * 3200 + 1)
+    assert some.filter("id % 25 = 0").count() == 1600 and some.count() < 1600 + 2 * 40000 / S.BITS
+
+
 # ------------------------------------------------------------------ digest trees
 def test_tree_sync_rewrites_differing_leaves_only(spark):
     d = work_dir(spark, "t") + "/orders"
