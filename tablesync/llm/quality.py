@@ -9,16 +9,22 @@ train its model; every text, trusted or not, is scored by the model of the other
 fold.  So no text is scored by a model that saw it, and the quantiles of trusted
 texts are those of held-out texts.
 
-Training: tasks count trigrams, a shuffle adds them up; lower orders count
-distinct left neighbours; discounts come from the counts of counts of each model
-and order; a row of the model holds, for one n-gram, its discounted count and, as
-a context, its total and back-off weight.  An n-gram's key is made of 64-bit hashes
-of its words, turned and combined, and of its model's.
-
-Scoring: documents are dealt into blocks of some MB; a block asks for the
-distinct n-grams it holds, the requests are joined with the sharded model, and
-what was found comes back to the block, which scores its documents word by
-word.  No task or driver ever holds the model.
+Counts and requests meet by key: a task folds the trigrams of its trusted texts, and
+for each block of texts the distinct n-grams that it asks for; a shuffle by parts of
+the key (the first two words for trigrams, the last two for pairs) brings both to
+one place, which adds up, looks up and answers with counts alone, in the order
+of the block's distinct keys, so that no model is written and no key comes back.
+Discounts come from the counts of counts of each model and order.  An n-gram's key is
+made of 64-bit hashes of its words, turned and combined.
+
+The key space is gone through in a few turns, and each one's shuffles leave the disks
+when its answers are written: each turn reads the texts again and moves its share.
+Lower orders count distinct left neighbours; words get their figures last, from those
+of their pairs.
+
+Scoring: the texts of a block are brought together, in a few deals, make their distinct
+keys again and read the answers beside them, word by word.  No task or driver
+ever holds the model.
 
 Decision, by two perplexities of a text: its own, and its own over the one that
 it has under the model's lowest order, which knows words and no order.  The
@@ -39,11 +45,14 @@ ignored.
 
 from __future__ import annotations
 
-from typing import Iterator
+import struct
+from functools import reduce
+from typing import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import exact_values, free_worker, materialise, mix, partitions_for, run_hashes, text_pieces, worker_cache
@@ -56,8 +65,10 @@ QUANTILE, SLACK = 0.9975, 0.15
 UNSEEN = 1e-6
 #: Trusted ids (16 bytes each) up to which they are broadcast; beyond, the join shuffles.
 TRUSTED_BROADCAST = 2_000_000
-#: Bytes of stored input that make a block.
-BLOCK_BYTES = 8 << 20
+#: Bytes of stored input up to which keys have one turn, the most turns, and the most deals of texts.
+TURN_BYTES, TURNS, DEALS = 16 << 20, 8, 4
+#: Bytes of stored input that make a part of the keys, and a block of texts.
+PART_BYTES, BLOCK_BYTES = 8 << 20, 16 << 20
 #: Bytes of text whose n-grams are worked on at once.
 PIECE_BYTES = 1 << 20
 #: Hashes of what stands before and after a text.
@@ -106,14 +117,10 @@ def _then(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return ((context << np.uint64(TURN)) | (context >> np.uint64(64 - TURN))) ^ word
 
 
-def _then_column(context: Column, word: Column) -> Column:
-    return F.shiftleft(context, TURN).bitwiseOR(F.shiftrightunsigned(context, 64 - TURN)).bitwiseXOR(word)
-
-
-def _distinct(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct trigrams, which of them each one is, and how often they occur."""
-    _, first, which, n = np.unique(_then(_then(words[0], words[1]), words[2]), return_index=True, return_inverse=True, return_counts=True)
-    return words[:, first], which, n
+def _distinct(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct trigrams, and which of them each one is."""
+    _, first, which = np.unique(_then(_then(words[0], words[1]), words[2]), return_index=True, return_inverse=True)
+    return words[:, first], which
 
 
 def _groups(col: pa.Array) -> Iterator[tuple[int, pa.Array]]:
@@ -122,122 +129,337 @@ def _groups(col: pa.Array) -> Iterator[tuple[int, pa.Array]]:
         yield int(one), pa.array(np.flatnonzero(values == one))
 
 
-def count_trigrams(texts: DataFrame) -> DataFrame:
-    """``model``, ``w1``, ``w2``, ``w3``, ``n``: the trigrams of all texts (columns ``model``, ``text``)."""
+def _part(key: np.ndarray, parts: int) -> np.ndarray:
+    """The part of each key; parts follow the order of keys."""
+    return ((key >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+
+
+# ------------------------------------------------------------------ packed rows
+def _starts(*cols: np.ndarray) -> np.ndarray:
+    """Which of the sorted rows differ from the one before."""
+    new = np.ones(len(cols[0]), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in cols])
+    return new
+
+
+def _fold(keys: list[np.ndarray], sums: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Distinct rows of ``keys`` in their order, with the sums of ``sums`` over equal ones."""
+    order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0])
+    keys = [k[order] for k in keys]
+    at = np.flatnonzero(_starts(*keys))
+    return [k[at] for k in keys], [np.add.reduceat(s[order], at) if len(at) else s for s in sums]
+
+
+def _sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(values.astype(np.int64), at) if len(at) else np.zeros(0, np.int64)
+
+
+def _spread(n: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """Of the counts of each run: their sum, and how many are 1, 2, and 3 or more."""
+    return [_sums(n, at), _sums(n == 1, at), _sums(n == 2, at), _sums(n > 2, at)]
+
+
+def _pack(x: np.ndarray) -> bytes:
+    """Whole numbers from 0 as planes of bytes, compressed."""
+    x = np.ascontiguousarray(x).astype("<u8")
+    width = max(1, (int(x.max()).bit_length() + 7) // 8) if len(x) else 1
+    planes = np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return struct.pack("<QB", len(x), width) + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack(b: bytes) -> np.ndarray:
+    n, width = struct.unpack_from("<QB", b)
+    out = np.zeros((n, 8), np.uint8)
+    if n:
+        out[:, :width] = np.frombuffer(pa.decompress(b[9:], n * width, codec="zstd"), np.uint8).reshape(width, n).T
+    return out.reshape(-1).view("<u8")
+
+
+def _pack_rows(keys: list[np.ndarray]) -> list[bytes]:
+    """Sorted distinct rows: of each column its values where they change, and how many follow on each of the column before."""
+    out, before = [], np.flatnonzero(_starts(keys[0]))
+    out.append(_pack(np.diff(keys[0][before], prepend=np.uint64(0))))
+    for i in range(1, len(keys)):
+        new = _starts(*keys[: i + 1])
+        out += [_pack(_sums(new, before)), _pack(keys[i][new])]
+        before = np.flatnonzero(new)
+    return out
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        free_worker()
-        for b in batches:
-            for model, rows in _groups(b.column(0)):
-                for _, _, data, off in text_pieces(b.column(1).take(rows), 4 * PIECE_BYTES):
-                    words, _, n = _distinct(_trigrams(data, off)[0])
-                    order = np.lexsort(words[::-1])  # neighbours share words, which the shuffle's codec folds
-                    words, n = words[:, order], n[order]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), model, np.int64)), *[pa.array(w.view(np.int64)) for w in words], pa.array(n.astype(np.int64))], names=["model", "w1", "w2", "w3", "n"])
-
-    found = texts.select("model", "text").mapInArrow(work, "model long, w1 long, w2 long, w3 long, n long")
-    return found.groupBy("model", "w1", "w2", "w3").agg(F.sum("n").alias("n"))
-
-
-def train(texts: DataFrame) -> DataFrame:
-    """The models: ``key`` (of n-gram and model), ``left`` (its count less the
-    discount), and of the n-gram as a context ``total`` and ``gamma``."""
-    three = materialise(count_trigrams(texts), "lm-counts")
-    two = materialise(three.groupBy("model", "w2", "w3").agg(F.count("*").alias("n")), "lm-pairs")
-    one = two.groupBy("model", "w3").agg(F.count("*").alias("n"))
-    pair, empty = _then_column(F.col("w1"), F.col("w2")), F.lit(0).cast("long")
-    levels = [
-        three.select("model", F.lit(3).alias("len"), pair.alias("context"), _then_column(pair, F.col("w3")).alias("gram"), "n"),
-        two.select("model", F.lit(2).alias("len"), F.col("w2").alias("context"), _then_column(F.col("w2"), F.col("w3")).alias("gram"), "n"),
-        one.select("model", F.lit(1).alias("len"), empty.alias("context"), F.col("w3").alias("gram"), "n"),
-    ]
-    grams = levels[0].unionByName(levels[1]).unionByName(levels[2])
-    counts = [F.sum(F.when(F.col("n") == i, 1).otherwise(0)).cast("double").alias(f"n{i}") for i in (1, 2, 3, 4)]
-    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
-    # where counts of counts are missing (tiny corpora), 0.5, 1 and 1.5; 0.1 at least, so that every text has a chance
-    cuts = [F.coalesce(F.greatest(F.lit(0.1), F.least(F.lit(float(i)), i - (i + 1) * y * F.col(f"n{i + 1}") / F.nullif(F.col(f"n{i}"), F.lit(0.0)))), F.lit(i / 2)) for i in (1, 2, 3)]
-    discounts = grams.groupBy("model", "len").agg(*counts).select("model", "len", *[c.alias(f"d{i}") for i, c in enumerate(cuts, 1)])
-    cut = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-    # a row a model and order
-    cutted = grams.join(F.broadcast(discounts), ["model", "len"]).withColumn("cut", cut)
-    # a row for each n-gram and one for its context; blocks ask for both, so the two are never joined
-    key, none = lambda of: F.col(of).bitwiseXOR(F.col("model")), F.lit(None).cast("double")
-    parts = F.array(
-        F.struct(key("gram").alias("key"), (F.col("n") - F.col("cut")).alias("left"), none.alias("total"), none.alias("cut")),
-        F.struct(key("context").alias("key"), none.alias("left"), F.col("n").cast("double").alias("total"), F.col("cut").alias("cut")),
-    )
-    model = cutted.select(F.inline(parts)).groupBy("key").agg(F.max("left").alias("left"), F.sum("total").alias("total"), F.sum("cut").alias("cut"))
-    return materialise(model.select("key", F.col("left").cast("float").alias("left"), "total", (F.col("cut") / F.col("total")).cast("float").alias("gamma")), "lm-model")
 
+def _unpack_rows(packed: list[bytes]) -> list[np.ndarray]:
+    keys = [np.cumsum(_unpack(packed[0]), dtype=np.uint64)]
+    for n, values in zip(packed[1::2], packed[2::2]):
+        keys = [*[np.repeat(k, _unpack(n).astype(np.int64)) for k in keys], _unpack(values)]
+    return keys
 
-def _requests(docs: DataFrame) -> DataFrame:
-    """``block``, ``key``: what the rows of each block need of the models."""
-    at = [docs.columns.index(c) for c in ("block", "model", "text")]
+
+def _find(held: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Where ``wanted`` stands in ``held`` (sorted), -1 where it doesn't."""
+    if not len(held):
+        return np.full(len(wanted), -1)
+    at = np.minimum(np.searchsorted(held, wanted), len(held) - 1)
+    return np.where(held[at] == wanted, at, -1)
+
+
+def _pairs_finder(held: list[np.ndarray]) -> Callable[[list[np.ndarray]], np.ndarray]:
+    """The same for rows of two columns, numbered once."""
+    first, second = held[0][_starts(held[0])], np.unique(held[1])
+    codes = _find(first, held[0]) * len(second) + _find(second, held[1])
+
+    def find(wanted: list[np.ndarray]) -> np.ndarray:
+        out, of = np.full(len(wanted[0]), -1), _find(first, wanted[0])
+        some = np.flatnonzero(of >= 0)
+        word = _find(second, wanted[1][some])
+        some, word = some[word >= 0], word[word >= 0]
+        out[some] = _find(codes, of[some] * len(second) + word)
+        return out
+
+    return find
+
+
+def _at(values: np.ndarray, found: np.ndarray) -> np.ndarray:
+    return np.where(found < 0, 0, values[found]) if len(values) else np.zeros(len(found), np.int64)
+
+
+# ------------------------------------------------------------------ counting and looking up
+#: What a row brings to a part: trigrams by context, what is asked of those; distinct trigrams
+#: by their last two words, what is asked of those; figures of words, what is asked of those.
+TRIGRAMS, ASK_TRIGRAMS, PAIRS, ASK_PAIRS, WORDS, ASK_WORDS, STATS = range(7)
+MOVED = "kind int, model long, block long, part int, x array<binary>, s array<long>"
+MOVED_ARROW = pa.schema([("kind", pa.int32()), ("model", pa.int64()), ("block", pa.int64()), ("part", pa.int32()), ("x", pa.list_(pa.binary())), ("s", pa.list_(pa.int64()))])
+
+
+def _slices(key: np.ndarray, parts: int) -> Iterator[tuple[int, slice]]:
+    part = _part(key, parts)
+    at = np.flatnonzero(_starts(part))
+    for lo, hi in zip(at, np.append(at[1:], len(part))):
+        yield int(part[lo]), slice(lo, hi)
+
+
+def _send(texts: DataFrame, turn: int, turns: int, parts: int) -> DataFrame:
+    """What all texts bring to the parts of one turn: trusted ones their n-grams, and each
+    block the distinct n-grams that it asks for; in the turn after the last, its words.
+    ``parts`` are those of a turn."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         free_worker()
-        held: dict[int, list[np.ndarray]] = {}
+        held: dict[tuple[int, int, int], list[tuple[list[np.ndarray], list[np.ndarray]]]] = {}
+
+        def joined(runs: list) -> tuple[list[np.ndarray], list[np.ndarray]]:
+            return _fold(*[[np.concatenate(c) for c in zip(*[r[i] for r in runs])] for i in (0, 1)]) if len(runs) > 1 else runs[0]
+
+        def keep(kind: int, model: int, block: int, keys: list[np.ndarray], counted: bool = False) -> None:
+            if len(keys[0]):
+                runs = held.setdefault((kind, model, block), [])
+                runs.append(_fold(keys, [np.ones(len(keys[0]), np.int64)] if counted else []))
+                if sum(len(r[0][0]) for r in runs[1:]) > len(runs[0][0][0]):
+                    runs[:] = [joined(runs)]
+
+        here = lambda key: _part(key, turns * parts) // np.uint64(parts) == turn
         for b in batches:
-            for number, rows in _groups(b.column(at[0])):
-                parts = held.setdefault(number, [np.zeros(0, np.uint64)])
-                for model, some in _groups(b.column(at[1]).take(rows)):
-                    for _, _, data, off in text_pieces(b.column(at[2]).take(rows.take(some)), PIECE_BYTES):
-                        w1, w2, w3 = _distinct(_trigrams(data, off)[0])[0]
-                        pair = _then(w1, w2)
-                        keys = np.concatenate([_then(pair, w3), pair, _then(w2, w3), w2, w3, np.zeros(1, np.uint64)])
-                        parts.append(np.unique(keys ^ np.int64(model).astype(np.uint64)))
-                if sum(map(len, parts[1:])) > len(parts[0]) // 2:
-                    parts[:] = [np.unique(np.concatenate(parts))]
+            for ask, rows in _groups(b.column("ask")):
+                for block, some in _groups(b.column("block").take(rows)):
+                    mine = rows.take(some)
+                    trusted = b.column("trusted").take(mine).to_numpy(zero_copy_only=False)
+                    train = b.column("train")[mine[0].as_py()].as_py()
+                    for lo, hi, data, off in text_pieces(b.column("text").take(mine), PIECE_BYTES):
+                        (w1, w2, w3), start = _trigrams(data, off)
+                        if turn == turns:
+                            keep(ASK_WORDS, ask, block, [np.concatenate([w2, w3])])
+                            continue
+                        told = np.repeat(trusted[lo:hi], np.diff(np.append(start, len(w1))))
+                        context, last = _then(w1, w2), _then(w2, w3)
+                        of = here(context)
+                        keep(ASK_TRIGRAMS, ask, block, [context[of], w3[of]])
+                        of &= told
+                        keep(TRIGRAMS, train, 0, [context[of], w3[of]], True)
+                        of = here(last)
+                        keep(ASK_PAIRS, ask, block, [last[of]])
+                        of &= told
+                        keep(PAIRS, train, 0, [w2[of], w3[of], w1[of]])
             yield from ()
-        for number, parts in held.items():
-            keys = np.unique(np.concatenate(parts)).view(np.int64)
-            for lo in range(0, len(keys), 1 << 16):
-                some = keys[lo : lo + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), number, np.int32)), pa.array(some)], names=["block", "key"])
-
-    return docs.mapInArrow(work, "block int, key long")  # a block is in one task, so no row comes twice
+        for (kind, model, block), runs in held.items():
+            keys, n = joined(runs)
+            spread = keys[0]
+            if kind == PAIRS:
+                order = np.argsort(_part(_then(keys[0], keys[1]), turns * parts), kind="stable")
+                keys = [k[order] for k in keys]
+                spread = _then(keys[0], keys[1])
+            out = []
+            for part, of in _slices(spread, parts if kind == ASK_WORDS else turns * parts):
+                x = _pack_rows([k[of] for k in keys]) + [_pack(c[of]) for c in n]
+                out.append({"kind": kind, "model": model, "block": block, "part": part, "x": x, "s": None})
+            yield pa.RecordBatch.from_pylist(out, schema=MOVED_ARROW)
+
+    return texts.select("ask", "train", "block", "trusted", "text").mapInArrow(work, MOVED)
+
+
+def _answer(parts: int) -> Callable[[pa.Table], pa.Table]:
+    """Of one part and model: the counts, what was asked of them (in the order of the
+    block's distinct keys), counts of counts and, of pairs, their words' figures."""
+
+    def work(t: pa.Table) -> pa.Table:
+        free_worker()
+        model, part = t.column("model")[0].as_py(), t.column("part")[0].as_py()
+        kinds, blocks = t.column("kind").to_numpy(), t.column("block").to_numpy()
+        out: list[dict] = []
+
+        def rows(kind: int, counted: int = 0) -> list[np.ndarray]:
+            got = []
+            for i in np.flatnonzero(kinds == kind):
+                x = t.column("x")[int(i)].as_py()
+                n = len(x) - counted
+                got.append([*_unpack_rows(x[:n]), *[_unpack(c).astype(np.int64) for c in x[n:]]])
+            return [np.concatenate(c) for c in zip(*got)]
+
+        def tell(kind: int, block: int, told: list[np.ndarray], to: int = part) -> None:
+            out.append({"kind": kind, "model": model, "block": block, "part": to, "x": [_pack(c) for c in told], "s": None})
+
+        def stats(order: int, n: np.ndarray) -> None:
+            out.append({"kind": STATS, "model": model, "block": 0, "part": part, "x": [], "s": [order, *[int((n == i).sum()) for i in (1, 2, 3, 4)], int((n > 2).sum()), int(n.sum())]})
+
+        def asked(kind: int) -> Iterator[tuple[int, list[np.ndarray]]]:
+            of = np.flatnonzero(kinds == kind)
+            for block in np.unique(blocks[of]):
+                got = [_unpack_rows(t.column("x")[int(i)].as_py()) for i in of[blocks[of] == block]]
+                yield int(block), _fold([np.concatenate(c) for c in zip(*got)], [])[0] if len(got) > 1 else got[0]
+
+        none = np.zeros(0, np.uint64)
+        (context, word), (n,) = _fold(got[:2], got[2:]) if (got := rows(TRIGRAMS, 1)) else ([none, none], [none.astype(np.int64)])
+        at = np.flatnonzero(_starts(context))
+        spread, contexts = _spread(n, at), context[at]
+        find = _pairs_finder([context, word])
+        if len(n):
+            stats(3, n)
+        for block, keys in asked(ASK_TRIGRAMS):
+            of = _find(contexts, keys[0][_starts(keys[0])])
+            tell(ASK_TRIGRAMS, block, [_at(n, find(keys)), *[_at(s, of) for s in spread]])
+
+        first, second, _ = _fold(got, [])[0] if (got := rows(PAIRS)) else [none] * 3
+        at = np.flatnonzero(_starts(first, second))
+        first, second, n = first[at], second[at], np.diff(np.append(at, len(first)))
+        if len(n):
+            stats(2, n)
+            at = np.flatnonzero(_starts(first))
+            words, uses = np.unique(second, return_counts=True)
+            every = np.union1d(first[at], words)
+            told = [_at(s, _find(first[at], every)) for s in _spread(n, at)] + [_at(uses, _find(words, every))]
+            for to, of in _slices(every, parts):
+                tell(WORDS, 0, [np.diff(every[of], prepend=np.uint64(0)), *[c[of] for c in told]], to)
+        last = _then(first, second)
+        order = np.argsort(last)
+        for block, (keys,) in asked(ASK_PAIRS):
+            tell(ASK_PAIRS, block, [_at(n[order], _find(last[order], keys))])
+
+        (words,), told = _fold(got[:1], got[1:]) if (got := rows(WORDS, 5)) else ([none], [none.astype(np.int64)] * 5)
+        if len(words):
+            stats(1, told[4][told[4] > 0])
+        for block, (keys,) in asked(ASK_WORDS):
+            of = _find(words, keys)
+            tell(ASK_WORDS, block, [_at(c, of) for c in told])
+        return pa.Table.from_pylist(out, schema=MOVED_ARROW)
+
+    return work
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """:func:`materialise`, after which the shuffles of this step leave the disks."""
+    conf, name_of = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name_of, "false")
+    conf.set(name_of, "true")
+    try:
+        return materialise(df, name)
+    finally:
+        conf.set(name_of, before)
+
+
+def _cuts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
+    """The discounts of counts 1, 2 and 3 or more, from counts of counts (whole where these
+    are missing, as in tiny corpora); 0.1 at least, so that every text has a chance."""
+    n, y = [n1, n2, n3, n4], n1 / (n1 + 2 * n2) if n1 + 2 * n2 else None
+    return [max(0.1, min(float(i), i - (i + 1) * y * n[i] / n[i - 1])) if y is not None and n[i - 1] else float(i) for i in (1, 2, 3)]
 
 
 def _score_block(docs: pa.Table, found: pa.Table) -> pa.Table:
     free_worker()
-    keys = found.column("key").to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    keys = keys[order]
-    values = {c: found.column(c).to_numpy()[order] for c in ("left", "total", "gamma")}
-
-    def look(column: str, wanted: np.ndarray, missing: float) -> np.ndarray:
-        if not len(keys):
-            return np.full(len(wanted), missing)
-        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-        got = np.where(keys[at] == wanted, values[column][at].astype(float), missing)
-        return np.where(np.isnan(got), missing, got)
-
-    def chance(gram: np.ndarray, context: np.ndarray, lower: np.ndarray | float) -> np.ndarray:
-        return look("left", gram, 0.0) / look("total", context, 1.0) + look("gamma", context, 1.0) * lower
-
-    told = {c: np.full(docs.num_rows, np.nan) for c in ("loss", "least_loss", "excess", "least_excess")}
-    for model, some in _groups(docs.column("model").combine_chunks()):
-        rows, salt = some.to_numpy(), np.int64(model).astype(np.uint64)
-        for lo, hi, data, off in text_pieces(docs.column("text").combine_chunks().take(some), PIECE_BYTES):
-            words, start = _trigrams(data, off)
-            (w1, w2, w3), which, _ = _distinct(words)
-            pair = _then(w1, w2)
-            p = chance(w3 ^ salt, np.full(1, salt), UNSEEN)
-            alone = np.log(p)
-            p = chance(_then(w2, w3) ^ salt, w2 ^ salt, p)
-            p = chance(_then(pair, w3) ^ salt, pair ^ salt, p)
-            count = np.diff(np.append(start, words.shape[1]))
-            filled = np.diff(off) > 0
-            for name, loss in (("loss", -np.log(p)), ("excess", alone - np.log(p))):
-                each = loss[which]
-                mean = np.add.reduceat(each, start) / count
-                error = np.sqrt(np.maximum(np.add.reduceat(each * each, start) / count - mean * mean, 0) / count)
-                told[name][rows[lo:hi][filled]] = mean[filled]
-                told[f"least_{name}"][rows[lo:hi][filled]] = (mean - 2 * error)[filled]
-    out = docs.select(["doc_id", "th", "lang", "trusted"])
-    for name, of in told.items():
-        out = out.append_column(name, pa.array(of, from_pandas=True))
-    return out
+    pieces = []
+    for lo, hi, data, off in text_pieces(docs.column("text").combine_chunks(), PIECE_BYTES):
+        words, start = _trigrams(data, off)
+        pieces.append((lo, hi, np.diff(off) > 0, start, *_distinct(words)))
+    w1, w2, w3 = np.concatenate([p[4] for p in pieces], axis=1)
+    trigrams, _ = _fold([_then(w1, w2), w3], [])
+    contexts, pairs, words = trigrams[0][_starts(trigrams[0])], np.unique(_then(w2, w3)), np.unique(np.concatenate([w2, w3]))
+    kinds = found.column("kind").to_numpy()
+    order = np.argsort(found.column("part").to_numpy(), kind="stable")
+
+    def told(kind: int) -> list[np.ndarray]:
+        got = [[_unpack(c).astype(np.int64) for c in found.column("x")[int(i)].as_py()] for i in order if kinds[i] == kind]
+        return [np.concatenate(c) for c in zip(*got)]
+
+    find = _pairs_finder(trigrams)
+    n3, *spread3 = told(ASK_TRIGRAMS)
+    (n2,) = told(ASK_PAIRS)
+    *spread2, n1 = told(ASK_WORDS)
+    stats = {s[0]: s[1:] for s in docs.column("stats")[0].as_py() or []}
+
+    def chance(level: int, n: np.ndarray, spread: list[np.ndarray], lower: np.ndarray | float) -> np.ndarray:
+        cuts = np.array([0, *_cuts(*stats.get(level, [0] * 6)[:4])])
+        total = np.maximum(spread[0], 1)
+        left = (n - cuts[np.minimum(n, 3)]).astype(np.float32)
+        gamma = np.where(spread[0] > 0, (spread[1] * cuts[1] + spread[2] * cuts[2] + spread[3] * cuts[3]) / total, 1).astype(np.float32)
+        return left.astype(float) / total + gamma.astype(float) * lower
+
+    m1, m2, _, _, more, total = stats.get(1, [0] * 6)
+    out = {c: np.full(docs.num_rows, np.nan) for c in ("loss", "least_loss", "excess", "least_excess")}
+    for lo, hi, filled, start, (w1, w2, w3), which in pieces:
+        p = chance(1, n1[_find(words, w3)], [np.full(1, x) for x in (total, m1, m2, more)], UNSEEN)
+        alone = np.log(p)
+        of = _find(words, w2)
+        p = chance(2, n2[_find(pairs, _then(w2, w3))], [s[of] for s in spread2], p)
+        context = _then(w1, w2)
+        of = _find(contexts, context)
+        p = chance(3, n3[find([context, w3])], [s[of] for s in spread3], p)
+        count = np.diff(np.append(start, len(which)))
+        for name, loss in (("loss", -np.log(p)), ("excess", alone - np.log(p))):
+            each = loss[which]
+            mean = np.add.reduceat(each, start) / count
+            error = np.sqrt(np.maximum(np.add.reduceat(each * each, start) / count - mean * mean, 0) / count)
+            out[name][lo:hi][filled] = mean[filled]
+            out[f"least_{name}"][lo:hi][filled] = (mean - 2 * error)[filled]
+    scored = docs.select(["doc_id", "th", "lang", "trusted"])
+    for name, of in out.items():
+        scored = scored.append_column(name, pa.array(of, from_pandas=True))
+    return scored
+
+
+def _files(docs: DataFrame) -> DataFrame:
+    """``docs`` with the hash of the file that holds a row, where Spark knows it: texts of a
+    file share a block, so a task's requests fold.  Any other dealing is as right."""
+    try:
+        return docs.select("*", F.xxhash64("_metadata.file_path").alias("stored in"))
+    except AnalysisException:
+        return docs.withColumn("stored in", F.lit(0).cast("long"))
+
+
+def _losses(held: DataFrame, kind: str, turns: int, parts: int) -> DataFrame:
+    """The losses of all texts; ``parts`` are those of a turn."""
+    texts = held.withColumn("trusted", F.col("trusted") & (F.col("text") != ""))
+    answer = lambda moved: moved.groupBy("part", "model").applyInArrow(_answer(parts), MOVED)
+    answers = [_kept(answer(_send(texts, i, turns, parts)), "lm-answers") for i in range(turns)]
+    figures = reduce(DataFrame.unionByName, [a.filter(F.col("kind") == WORDS) for a in answers])
+    answers.append(_kept(answer(_send(texts, turns, turns, parts).unionByName(figures)), "lm-answers"))
+    found = reduce(DataFrame.unionByName, answers)
+    one = F.col("s")
+    stats = found.filter(F.col("kind") == STATS).groupBy("model", one[0].alias("len")).agg(*[F.sum(one[i]).alias(f"s{i}") for i in range(1, 7)])
+    stats = stats.groupBy("model").agg(F.collect_list(F.array("len", *[f"s{i}" for i in range(1, 7)])).alias("stats"))
+    dealt = held.select("doc_id", "th", "lang", "trusted", "text", "block", F.col("ask").alias("model")).join(F.broadcast(stats), "model", "left")  # a row a model
+    losses = "loss double, least_loss double, excess double, least_excess double"
+    found, scored, deals = found.filter(F.col("kind").isin(ASK_TRIGRAMS, ASK_PAIRS, ASK_WORDS)), [], min(turns, DEALS)
+    for i in range(deals):
+        mine = F.pmod("block", F.lit(deals)) == i
+        pairs = dealt.filter(mine).groupBy("model", "block").cogroup(found.filter(mine).groupBy("model", "block"))
+        scored.append(_kept(pairs.applyInArrow(_score_block, f"doc_id {kind}, th long, lang string, trusted boolean, {losses}"), "lm-scores"))
+    return reduce(DataFrame.unionByName, scored)
 
 
 def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
@@ -251,16 +473,14 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     good = good.filter("q = 1 and t = 0 and n = all and doc_id is not null").select("doc_id", F.lit(True).alias("trusted"))
     if good.count() <= TRUSTED_BROADCAST:
         good = F.broadcast(good)
-    held = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"), F.coalesce(said, F.lit("")).alias("text"), F.xxhash64(said).alias("th"))
+    turns = min(TURNS, partitions_for(docs, TURN_BYTES, 1))
+    parts = max(4, -(-partitions_for(docs, PART_BYTES, 1) // turns))
+    blocks = partitions_for(docs, BLOCK_BYTES * max(1, len(docs.inputFiles())), 1)
+    held = _files(docs).select(F.col(key).alias("doc_id"), F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"), F.coalesce(said, F.lit("")).alias("text"), F.xxhash64(said).alias("th"), "stored in")
     held = held.join(good, "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
-    fold = F.col("th").bitwiseAND(1)
-    models = train(held.filter("trusted and text != ''").select(F.xxhash64("lang", fold).alias("model"), "text"))
-    blocks = partitions_for(docs, BLOCK_BYTES, 8)
-    dealt = held.withColumns({"model": F.xxhash64("lang", 1 - fold), "block": F.pmod(F.xxhash64("doc_id", "th"), F.lit(blocks)).cast("int")}).repartition(blocks, "block")
-    found = _requests(dealt).join(models, "key").select("block", "key", "left", "total", "gamma")
-    losses = "loss double, least_loss double, excess double, least_excess double"
-    scored = dealt.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_score_block, f"doc_id {kind}, th long, lang string, trusted boolean, {losses}")
-    scored = materialise(scored, "lm-scores")
+    fold, deal = F.col("th").bitwiseAND(1), F.pmod(F.xxhash64("doc_id", "th"), F.lit(blocks))
+    held = held.withColumns({"train": F.xxhash64("lang", fold), "ask": F.xxhash64("lang", 1 - fold), "block": F.xxhash64("stored in", deal)})
+    scored = _losses(held, kind, turns, parts)
     # losses in thousandths: a bounded number of values for the exact quantiles
     top = lambda of: (F.percentile(F.round(of, 3), QUANTILE) + SLACK)
     limits = scored.filter("trusted").groupBy("lang").agg(top("least_loss").alias("limit"), top("least_excess").alias("order_limit"))

@@ -518,6 +518,27 @@ def test_quality_by_kind_of_bad_text(spark):
     assert rejected["good"] < 0.005 and rejected["repeated"] > 0.6 and rejected["other"] > 0.87, dict(count)
 
 
+def test_quality_leaves_little_on_disk_in_any_number_of_turns(spark, monkeypatch):
+    """Models and requests are not kept: what stays is less than the input, and turns change nothing."""
+    import os
+
+    from tablesync.llm import quality
+    from tablesync.session import checkpoint_root
+
+    def kept() -> int:
+        top = checkpoint_root(spark).removeprefix("file:")
+        return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(top) for f in names if "/lm-" in d)
+
+    sf = "/root/testdata/sf0.01"
+    df, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    before = kept()
+    one = sorted(map(tuple, quality.quality_report(df, labels).collect()))
+    assert kept() - before < 1.5 * os.path.getsize(f"{sf}/documents.parquet")
+    monkeypatch.setattr(quality, "TURN_BYTES", 500_000)
+    monkeypatch.setattr(quality, "BLOCK_BYTES", 300_000)
+    assert sorted(map(tuple, quality.quality_report(df, labels).collect())) == one
+
+
 def test_quality_edges(spark):
     from tablesync.llm.quality import keep_good, score
 
