@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import sys
 from typing import Callable, Iterator
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame
 from tablesync.session import work_dir
 from tablesync.sources.tables import load
 
-__all__ = ["load", "work_dir", "materialise", "worker_cache", "free_worker", "text_pieces", "word_hashes", "run_hashes", "exact_values", "mix", "shingle_hashes", "partitions_for"]
+__all__ = ["load", "work_dir", "materialise", "worker_cache", "free_worker", "give_back", "text_pieces", "word_hashes", "run_hashes", "exact_values", "mix", "shingle_hashes", "partitions_for"]
 
 #: Bytes of text that a kernel works on at once; a longer document is one piece of its own.
 PIECE_BYTES = 1 << 21
@@ -53,6 +54,16 @@ def free_worker() -> None:
     held = sys.__dict__.setdefault("_tablesync_llm", {})
     for name in [n for n in held if n.startswith(("pieces ", "unigram ", "words "))]:
         del held[name]
+    give_back()
+
+
+def give_back() -> None:
+    """Memory that this Python worker has freed goes back to the system (where the C
+    library can do that): workers of earlier steps live on beside the next one's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 # ------------------------------------------------------------------ Arrow

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import worker_cache
+from .common import give_back, worker_cache
 
 #: Units kept by a Python worker; the table starts anew beyond it (results don't depend on it).
 CACHE_UNITS = 200_000
@@ -59,6 +59,7 @@ class PieceModel:
                 self.automaton.add_word(p, len(p))
         self.automaton.make_automaton()
         self.beside: dict[tuple[str, str], bool] = {}
+        self.same = {p: p for p in self.id_of}  # one string of each piece for all the tables
         self.shorter: dict[str, str] = {}
         #: piece or character, unit, word: (its ids after commas, bytes they decode to); of the last two, the younger and the older half
         self.one: dict[str, tuple[str, bytes]] = {}
@@ -81,9 +82,10 @@ class PieceModel:
         return parts
 
     def _fits(self, left: str, right: str) -> bool:
-        if len(self.beside) > CACHE_UNITS:
+        if len(self.beside) > CACHE_UNITS // 2:
             self.beside.clear()
-        ok = self.beside[left, right] = self._merge(left + right) == [left, right]
+        same = self.same.get
+        ok = self.beside[same(left, left), same(right, right)] = self._merge(left + right) == [left, right]
         return ok
 
     def _shorter(self, piece: str) -> str:
@@ -132,38 +134,42 @@ class PieceModel:
     def _one(self, piece: str) -> tuple[str, bytes]:
         i = self.id_of.get(piece)
         ids = [i] if i is not None else [self.byte_id[b] for b in piece.encode()]
-        made = ("".join([f",{i}" for i in ids]), piece.replace(SPACE, " ").encode())
+        made = ("".join([f",{i}" for i in ids]), (piece if i is None else piece.replace(SPACE, " ")).encode())
         if len(self.one) > CACHE_UNITS:
             self.one.clear()
         self.one[piece] = made
         return made
 
-    def _unit(self, unit: str) -> tuple[str, bytes]:
+    def _split(self, unit: str) -> tuple[str, bytes]:
         """The ids of a unit after commas, and the bytes they decode to."""
-        made = self.units.get(unit) or self.units_before.get(unit)
-        if made is None:
-            one, make = self.one, self._one
-            got = [one.get(p) or make(p) for p in self.split(unit)]
-            made = ("".join([g[0] for g in got]), b"".join([g[1] for g in got]))
+        one, make = self.one, self._one
+        got = [one.get(p) or make(p) for p in self.split(unit)]
+        return "".join([g[0] for g in got]), b"".join([g[1] for g in got])
+
+    def _unit(self, unit: str) -> tuple[str, bytes]:
+        """The same, from the table of units or into it."""
+        made = self.units.get(unit) or self.units_before.get(unit) or self._split(unit)
         if len(unit) <= 64:
-            if len(self.units) > CACHE_UNITS // 2:
+            if len(self.units) > CACHE_UNITS // 8:
                 self.units, self.units_before = {}, self.units
             self.units[unit] = made
         return made
 
-    def _run(self, run: str) -> tuple[str, bytes]:
-        """The same of any text, unit by unit."""
+    def _run(self, run: str, whole: bool = True) -> tuple[str, bytes]:
+        """The same of any text, unit by unit; a run that is one unit enters the table only if ``whole``."""
         inner, lo, got = self.inner, 0, []
         for i in range(1, len(run)):
             if run[i - 1 : i + 1] not in inner:
                 got.append(self._unit(run[lo:i]))
                 lo = i
+        if not (lo or whole):
+            return self._split(run)
         got.append(self._unit(run[lo:]))
         return got[0] if len(got) == 1 else ("".join([g[0] for g in got]), b"".join([g[1] for g in got]))
 
     def _word(self, word: str) -> tuple[str, bytes]:
         """The same of a word after one space."""
-        made = self.words_before.get(word) or self._run(SPACE + word)
+        made = self.words_before.get(word) or self._run(SPACE + word, False)  # words have a table of their own
         if len(word) <= 64:
             if len(self.words) > CACHE_UNITS // 2:
                 self.words, self.words_before = {}, self.words
@@ -190,12 +196,15 @@ class PieceModel:
         """The text of ids; control ids give nothing, and bytes that are no UTF-8 each become U+FFFD."""
         return _text(self._raw([i for i in ids if i in self.byte_of or i in self.piece_of]))
 
+    def both(self, text: str) -> tuple[str, str]:
+        """The ids, each after a comma, and the text that they decode to."""
+        parts = self._parts(text)
+        return "".join([p[0] for p in parts]), _text(b"".join([p[1] for p in parts]))
+
     def digest(self, text: str) -> tuple[int, str, str]:
         """Number of ids, sha256 of the ids joined by commas, sha256 of the decoded text."""
-        parts = self._parts(text)
-        ids = "".join([p[0] for p in parts])
-        raw = b"".join([p[1] for p in parts])
-        return ids.count(","), hashlib.sha256(ids[1:].encode()).hexdigest(), hashlib.sha256(_text(raw).encode()).hexdigest()
+        ids, decoded = self.both(text)
+        return ids.count(","), hashlib.sha256(ids[1:].encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
 
 
 def _text(raw: bytes) -> str:
@@ -219,6 +228,7 @@ def model_bytes(df: DataFrame, path: str):
 def _worker(proto) -> PieceModel:
     gc.set_threshold(200_000, 20, 100)  # the tables hold a million objects, none in cycles
     raw = proto.value
+    give_back()
     return worker_cache("pieces " + hashlib.sha256(raw).hexdigest(), lambda: PieceModel(raw))
 
 
@@ -281,11 +291,10 @@ def with_pieces(docs: DataFrame, model_path: str, text: str = "text") -> DataFra
         for b in batches:
             for lo in range(0, b.num_rows, 512):
                 part = b.slice(lo, 512)
-                ids = [m.encode(t or "") for t in part.column(at).to_pylist()]
-                decoded = pa.array([m.decode(x) for x in ids], pa.string())
-                off = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                flat = np.fromiter((i for x in ids for i in x), np.int32, int(off[-1]))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(off, flat), pa.array(np.diff(off).astype(np.int64)), decoded], names=[*part.schema.names, "ids", "n_tokens", "decoded"])
+                ids, decoded = zip(*[m.both(t or "") for t in part.column(at).to_pylist()])
+                off = np.concatenate([[0], np.cumsum([x.count(",") for x in ids])]).astype(np.int32)
+                flat = np.fromstring("".join(ids)[1:], np.int32, sep=",") if off[-1] else np.zeros(0, np.int32)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(off, flat), pa.array(np.diff(off).astype(np.int64)), pa.array(decoded, pa.string())], names=[*part.schema.names, "ids", "n_tokens", "decoded"])
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields] + ["ids array<int>", "n_tokens long", "decoded string"])
     return docs.mapInArrow(work, schema)

@@ -250,6 +250,30 @@ def test_piece_operators(spark):
     assert round_trip(empty(spark), PIECES).count() == 0
 
 
+def test_piece_tables_stay_small(monkeypatch):
+    from tablesync.llm import pieces
+
+    raw, m, texts = piece_texts()
+    monkeypatch.setattr(pieces, "CACHE_UNITS", 800)
+    r = random.Random(6)
+    texts = texts[:300] + ["".join(r.choice("aeioulnrst#1(") for _ in range(r.randint(2, 12))) + " z" for _ in range(4000)]
+    for t in texts:
+        ids, decoded = m.both(t or "")
+        coded = m.encode(t or "")
+        assert ids == "".join(f",{i}" for i in coded) and decoded == m.decode(coded), t
+    assert len(m.units) <= 101 and len(m.units_before) <= 101 and len(m.words) <= 401 and len(m.words_before) <= 401
+    assert len(m.beside) <= 401 and len({id(p) for pair in m.beside for p in pair}) <= len({p for pair in m.beside for p in pair}) + 100
+
+
+def test_pieces_of_a_column_equal_encode_and_decode(spark):
+    from tablesync.llm.pieces import decode, encode, with_pieces
+
+    coded = encode(edge_docs(spark), PIECES)
+    whole = with_pieces(edge_docs(spark), PIECES)
+    same(whole.select("doc_id", "ids", "n_tokens"), [(r["doc_id"], r["ids"], len(r["ids"])) for r in coded.collect()])
+    same(whole.select("doc_id", "decoded"), [tuple(r) for r in decode(coded, PIECES).collect()])
+
+
 # ------------------------------------------------------------------ 5
 def test_line_dedup(spark, docs):
     from tablesync.llm.linededup import dedup_lines, line_report
