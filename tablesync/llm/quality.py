@@ -71,6 +71,8 @@ TURN_BYTES, TURNS, DEALS = 16 << 20, 8, 4
 PART_BYTES, BLOCK_BYTES = 8 << 20, 16 << 20
 #: Bytes of text whose n-grams are worked on at once.
 PIECE_BYTES = 1 << 20
+#: Rows that wait until they are folded.
+FOLD_ROWS = 1 << 19
 #: Hashes of what stands before and after a text.
 BEGIN, END = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC949C7DEFB1D4E2B)
 TURN = 21
@@ -99,17 +101,25 @@ def _words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return mix(run_hashes(data, start, end, exact_values())), np.searchsorted(start, off)
 
 
-def _trigrams(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The three words that end in each word of each row and in its end, and where rows start."""
+def _padded(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words between marks of each row's begin and end, where words and ends stand in them, and where rows start."""
     words, word_off = _words(data, off)
     rows = len(off) - 1
     padded = np.full(len(words) + ORDER * rows, BEGIN, np.uint64)
-    own = np.arange(len(words)) + np.repeat(np.arange(rows) * ORDER + ORDER - 1, np.diff(word_off))
-    ends = word_off[1:] + np.arange(rows) * ORDER + ORDER - 1
-    padded[own] = words
-    padded[ends] = END
-    at = np.sort(np.concatenate([own, ends]))
-    return np.stack([padded[at - 2], padded[at - 1], padded[at]]), word_off[:-1] + np.arange(rows)
+    at = np.arange(len(words) + rows) + np.repeat(np.arange(1, rows + 1) * (ORDER - 1), np.diff(word_off) + 1)
+    start = word_off[:-1] + np.arange(rows)
+    ends = np.append(start[1:], len(at)) - 1
+    own = np.ones(len(at), bool)
+    own[ends] = False
+    padded[at[own]] = words
+    padded[at[ends]] = END
+    return padded, at, start
+
+
+def _trigrams(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The three words that end in each word of each row and in its end, and where rows start."""
+    padded, at, start = _padded(data, off)
+    return padded[at - 2], padded[at - 1], padded[at], start
 
 
 def _then(context: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -117,12 +127,6 @@ def _then(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return ((context << np.uint64(TURN)) | (context >> np.uint64(64 - TURN))) ^ word
 
 
-def _distinct(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct trigrams, and which of them each one is."""
-    _, first, which = np.unique(_then(_then(words[0], words[1]), words[2]), return_index=True, return_inverse=True)
-    return words[:, first], which
-
-
 def _groups(col: pa.Array) -> Iterator[tuple[int, pa.Array]]:
     values = col.to_numpy(zero_copy_only=False)
     for one in np.unique(values):
@@ -142,12 +146,43 @@ def _starts(*cols: np.ndarray) -> np.ndarray:
     return new
 
 
+def _order(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The order of rows by ``keys``, and which of the ordered rows differ from the one before.
+    Only rows that agree so far are ordered by the next key, by their run and its upper bits at once."""
+    order = np.argsort(keys[0])
+    new = _starts(keys[0][order])
+    for key in keys[1:]:
+        alone = new.copy()
+        alone[:-1] &= new[1:]
+        at = np.flatnonzero(~alone)
+        run, value = np.cumsum(new[at], dtype=np.uint64), key[order[at]]
+        if not len(at):
+            break
+        if int(run[-1]) < 1 << 24:
+            by = np.argsort(run << np.uint64(40) | value >> np.uint64(24))
+        if int(run[-1]) >= 1 << 24 or np.any((run[by][1:] == run[by][:-1]) & (value[by][1:] < value[by][:-1])):
+            by = np.lexsort((value, run))
+        order[at] = order[at][by]
+        new[at[1:]] |= value[by][1:] != value[by][:-1]
+    return order, new
+
+
+def _ranks(order: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """Of each row, which of the distinct ones it is."""
+    out = np.empty(len(order), np.int32 if len(order) < 1 << 31 else np.int64)
+    out[order] = np.cumsum(new) - 1
+    return out
+
+
 def _fold(keys: list[np.ndarray], sums: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Distinct rows of ``keys`` in their order, with the sums of ``sums`` over equal ones."""
-    order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0])
-    keys = [k[order] for k in keys]
-    at = np.flatnonzero(_starts(*keys))
-    return [k[at] for k in keys], [np.add.reduceat(s[order], at) if len(at) else s for s in sums]
+    if len(keys) == 1 and not sums:
+        only = np.sort(keys[0])
+        return [only[_starts(only)]], []
+    order, new = _order(keys)
+    at = np.flatnonzero(new)
+    first = order[at]
+    return [k[first] for k in keys], [np.add.reduceat(s[order], at) if len(at) else s for s in sums]
 
 
 def _sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -202,16 +237,29 @@ def _find(held: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 
 
 def _pairs_finder(held: list[np.ndarray]) -> Callable[[list[np.ndarray]], np.ndarray]:
-    """The same for rows of two columns, numbered once."""
-    first, second = held[0][_starts(held[0])], np.unique(held[1])
-    codes = _find(first, held[0]) * len(second) + _find(second, held[1])
+    """The same for rows of two columns: looked up by the number of the first and the upper bits of the second."""
+    new = _starts(held[0])
+    first = held[0][new]
+    join = lambda of, second: of.astype(np.uint64) << np.uint64(40) | second >> np.uint64(24)
+    codes = join(np.cumsum(new) - 1, held[1])
+    if len(first) >= 1 << 24 or np.any(codes[1:] == codes[:-1]):  # upper bits don't tell: all words are numbered
+        numbers = np.unique(held[1])
+        codes = _find(first, held[0]) * len(numbers) + _find(numbers, held[1])
+    else:
+        numbers = None
 
     def find(wanted: list[np.ndarray]) -> np.ndarray:
         out, of = np.full(len(wanted[0]), -1), _find(first, wanted[0])
         some = np.flatnonzero(of >= 0)
-        word = _find(second, wanted[1][some])
+        if numbers is None:
+            at = _find(codes, join(of[some], wanted[1][some]))
+            right = np.flatnonzero(at >= 0)
+            right = right[held[1][at[right]] == wanted[1][some[right]]]
+            out[some[right]] = at[right]
+            return out
+        word = _find(numbers, wanted[1][some])
         some, word = some[word >= 0], word[word >= 0]
-        out[some] = _find(codes, of[some] * len(second) + word)
+        out[some] = _find(codes, of[some] * len(numbers) + word)
         return out
 
     return find
@@ -246,13 +294,13 @@ def _send(texts: DataFrame, turn: int, turns: int, parts: int) -> DataFrame:
         held: dict[tuple[int, int, int], list[tuple[list[np.ndarray], list[np.ndarray]]]] = {}
 
         def joined(runs: list) -> tuple[list[np.ndarray], list[np.ndarray]]:
-            return _fold(*[[np.concatenate(c) for c in zip(*[r[i] for r in runs])] for i in (0, 1)]) if len(runs) > 1 else runs[0]
+            return _fold(*[[np.concatenate(c) for c in zip(*[r[i] for r in runs])] for i in (0, 1)])
 
         def keep(kind: int, model: int, block: int, keys: list[np.ndarray], counted: bool = False) -> None:
             if len(keys[0]):
                 runs = held.setdefault((kind, model, block), [])
-                runs.append(_fold(keys, [np.ones(len(keys[0]), np.int64)] if counted else []))
-                if sum(len(r[0][0]) for r in runs[1:]) > len(runs[0][0][0]):
+                runs.append((keys, [np.ones(len(keys[0]), np.int64)] if counted else []))
+                if sum(len(r[0][0]) for r in runs[1:]) > max(FOLD_ROWS, len(runs[0][0][0])):
                     runs[:] = [joined(runs)]
 
         here = lambda key: _part(key, turns * parts) // np.uint64(parts) == turn
@@ -263,7 +311,7 @@ def _send(texts: DataFrame, turn: int, turns: int, parts: int) -> DataFrame:
                     trusted = b.column("trusted").take(mine).to_numpy(zero_copy_only=False)
                     train = b.column("train")[mine[0].as_py()].as_py()
                     for lo, hi, data, off in text_pieces(b.column("text").take(mine), PIECE_BYTES):
-                        (w1, w2, w3), start = _trigrams(data, off)
+                        w1, w2, w3, start = _trigrams(data, off)
                         if turn == turns:
                             keep(ASK_WORDS, ask, block, [np.concatenate([w2, w3])])
                             continue
@@ -282,7 +330,8 @@ def _send(texts: DataFrame, turn: int, turns: int, parts: int) -> DataFrame:
             keys, n = joined(runs)
             spread = keys[0]
             if kind == PAIRS:
-                order = np.argsort(_part(_then(keys[0], keys[1]), turns * parts), kind="stable")
+                part = _part(_then(keys[0], keys[1]), turns * parts)
+                order = np.argsort(part.astype(np.uint16) if turns * parts <= 1 << 16 else part, kind="stable")
                 keys = [k[order] for k in keys]
                 spread = _then(keys[0], keys[1])
             out = []
@@ -382,46 +431,59 @@ def _cuts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
 
 def _score_block(docs: pa.Table, found: pa.Table) -> pa.Table:
     free_worker()
-    pieces = []
+    pieces, said, stand, tokens, length = [], [], [], 0, 0
     for lo, hi, data, off in text_pieces(docs.column("text").combine_chunks(), PIECE_BYTES):
-        words, start = _trigrams(data, off)
-        pieces.append((lo, hi, np.diff(off) > 0, start, *_distinct(words)))
-    w1, w2, w3 = np.concatenate([p[4] for p in pieces], axis=1)
-    trigrams, _ = _fold([_then(w1, w2), w3], [])
-    contexts, pairs, words = trigrams[0][_starts(trigrams[0])], np.unique(_then(w2, w3)), np.unique(np.concatenate([w2, w3]))
+        padded, at, start = _padded(data, off)
+        pieces.append((lo, hi, np.diff(off) > 0, start, slice(tokens, tokens + len(at))))
+        said.append(padded)
+        stand.append(at + length)
+        tokens, length = tokens + len(at), length + len(padded)
+    padded, at = np.concatenate(said), np.concatenate(stand)
+    del said, stand
+    # of each word its number among the block's distinct ones, and so of pairs, contexts and trigrams
+    word = _ranks(*_order([padded]))
+    of1, of2 = word[at], word[at - 1]
+    w2, w3 = padded[at - 1], padded[at]
+    pair, context = _ranks(*_order([_then(w2, w3)])), _then(padded[at - 2], w2)
+    del padded, at, word, w2
+    order, new = _order([context, w3])
+    trigram, before = _ranks(order, new), _ranks(order, _starts(context[order]))
+    del order, new, context, w3
     kinds = found.column("kind").to_numpy()
-    order = np.argsort(found.column("part").to_numpy(), kind="stable")
+    by_part = np.argsort(found.column("part").to_numpy(), kind="stable")
 
     def told(kind: int) -> list[np.ndarray]:
-        got = [[_unpack(c).astype(np.int64) for c in found.column("x")[int(i)].as_py()] for i in order if kinds[i] == kind]
+        got = [[_unpack(c).astype(np.int64) for c in found.column("x")[int(i)].as_py()] for i in by_part if kinds[i] == kind]
         return [np.concatenate(c) for c in zip(*got)]
 
-    find = _pairs_finder(trigrams)
-    n3, *spread3 = told(ASK_TRIGRAMS)
-    (n2,) = told(ASK_PAIRS)
-    *spread2, n1 = told(ASK_WORDS)
     stats = {s[0]: s[1:] for s in docs.column("stats")[0].as_py() or []}
 
-    def chance(level: int, n: np.ndarray, spread: list[np.ndarray], lower: np.ndarray | float) -> np.ndarray:
-        cuts = np.array([0, *_cuts(*stats.get(level, [0] * 6)[:4])])
+    def level(order: int, n: np.ndarray, spread: list) -> list[np.ndarray]:
+        """What is left of each count, and of each context its sum and the share of the lower order."""
+        cuts = np.array([0, *_cuts(*stats.get(order, [0] * 6)[:4])])
         total = np.maximum(spread[0], 1)
-        left = (n - cuts[np.minimum(n, 3)]).astype(np.float32)
         gamma = np.where(spread[0] > 0, (spread[1] * cuts[1] + spread[2] * cuts[2] + spread[3] * cuts[3]) / total, 1).astype(np.float32)
-        return left.astype(float) / total + gamma.astype(float) * lower
+        return [(n - cuts[np.minimum(n, 3)]).astype(np.float32), total, gamma]
 
     m1, m2, _, _, more, total = stats.get(1, [0] * 6)
+    *spread2, n1 = told(ASK_WORDS)
+    left, total1, gamma = level(1, n1, [np.full(1, x) for x in (total, m1, m2, more)])
+    p1 = left.astype(float) / total1 + gamma.astype(float) * UNSEEN
+    left2, total2, gamma2 = level(2, *told(ASK_PAIRS), spread2)
+    n3, *spread3 = told(ASK_TRIGRAMS)
+    left3, total3, gamma3 = level(3, n3, spread3)
+    del n1, spread2, n3, spread3
     out = {c: np.full(docs.num_rows, np.nan) for c in ("loss", "least_loss", "excess", "least_excess")}
-    for lo, hi, filled, start, (w1, w2, w3), which in pieces:
-        p = chance(1, n1[_find(words, w3)], [np.full(1, x) for x in (total, m1, m2, more)], UNSEEN)
+    for lo, hi, filled, start, mine in pieces:
+        p = p1[of1[mine]]
         alone = np.log(p)
-        of = _find(words, w2)
-        p = chance(2, n2[_find(pairs, _then(w2, w3))], [s[of] for s in spread2], p)
-        context = _then(w1, w2)
-        of = _find(contexts, context)
-        p = chance(3, n3[find([context, w3])], [s[of] for s in spread3], p)
-        count = np.diff(np.append(start, len(which)))
-        for name, loss in (("loss", -np.log(p)), ("excess", alone - np.log(p))):
-            each = loss[which]
+        i = of2[mine]
+        p = left2[pair[mine]].astype(float) / total2[i] + gamma2[i].astype(float) * p
+        i = before[mine]
+        p = left3[trigram[mine]].astype(float) / total3[i] + gamma3[i].astype(float) * p
+        count = np.diff(np.append(start, len(p)))
+        p = np.log(p)
+        for name, each in (("loss", -p), ("excess", alone - p)):
             mean = np.add.reduceat(each, start) / count
             error = np.sqrt(np.maximum(np.add.reduceat(each * each, start) / count - mean * mean, 0) / count)
             out[name][lo:hi][filled] = mean[filled]

@@ -5,7 +5,7 @@ import math
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -563,6 +563,67 @@ def test_quality_leaves_little_on_disk_in_any_number_of_turns(spark, monkeypatch
     assert sorted(map(tuple, quality.quality_report(df, labels).collect())) == one
 
 
+def random_keys(n, distinct, columns, low=False):
+    r = np.random.default_rng(n + distinct + columns)
+    some = [r.integers(0, 1 << 64, distinct, dtype=np.uint64) for _ in range(columns)]
+    return [c[r.integers(0, distinct, n)] & np.uint64(0xFFFF if low else (1 << 64) - 1) for c in some]
+
+
+def test_quality_folds_equal_plain_ones():
+    from tablesync.llm.quality import _fold, _pairs_finder
+
+    for n, distinct in ((0, 1), (1, 1), (2, 1), (900, 6), (3000, 700), (3000, 90_000)):
+        for columns in (1, 2, 3):
+            for low in (False, True):  # keys that differ in their lowest bits only are told apart as well
+                keys = random_keys(n, distinct, columns, low)
+                n_of = Counter(zip(*[k.tolist() for k in keys]))
+                got, (sums,) = _fold(keys, [np.ones(n, np.int64)])
+                assert list(zip(*[k.tolist() for k in got])) == sorted(n_of) and sums.tolist() == [n_of[k] for k in sorted(n_of)]
+                assert all((a == b).all() for a, b in zip(got, _fold(keys, [])[0]))
+                if columns == 2 and n:
+                    wanted = [np.concatenate([a, b]) for a, b in zip(keys, random_keys(50, 50, 2, low))]
+                    place = {k: i for i, k in enumerate(sorted(n_of))}
+                    assert _pairs_finder(got)(wanted).tolist() == [place.get(k, -1) for k in zip(*[k.tolist() for k in wanted])]
+
+
+def test_quality_fold_takes_less_than_a_plain_sort():
+    import time
+
+    from tablesync.llm.quality import _fold
+
+    def seconds(f):
+        began = time.process_time()
+        f()
+        return time.process_time() - began
+
+    keys = random_keys(600_000, 400_000, 2)
+    assert min(seconds(lambda: _fold(keys, [])) for _ in range(3)) < min(seconds(lambda: np.lexsort(keys[::-1])) for _ in range(3))
+
+
+def test_quality_looks_up_no_word_in_a_block(monkeypatch):
+    """A block reads its answers by number: nothing is searched for."""
+    import pyarrow as pa
+
+    from tablesync.llm import quality
+    from tablesync.llm.common import string_bytes
+
+    texts = ["a b c a b c", "", "a b\nd", "c c c"]
+    docs = pa.table({"doc_id": [1, 2, 3, 4], "th": [1, 2, 3, 4], "lang": ["en"] * 4, "trusted": [True] * 4, "text": texts, "stats": pa.array([[[i, 4, 3, 2, 1, 1, 12] for i in (1, 2, 3)]] * 4, pa.list_(pa.list_(pa.int64())))})
+    w1, w2, w3, _ = quality._trigrams(*string_bytes(docs.column("text")))
+    n3, n2, n1 = len(quality._fold([quality._then(w1, w2), w3], [])[0][0]), len(np.unique(quality._then(w2, w3))), len(np.unique(np.concatenate([w2, w3])))
+    contexts = len(np.unique(quality._then(w1, w2)))
+    told = {quality.ASK_TRIGRAMS: [np.arange(n3) % 4, *[np.full(contexts, x) for x in (9, 2, 2, 1)]], quality.ASK_PAIRS: [np.arange(n2) % 3], quality.ASK_WORDS: [*[np.full(n1, x) for x in (9, 2, 2, 1)], np.arange(n1) % 3]}
+    found = pa.Table.from_pylist([{"kind": k, "model": 0, "block": 0, "part": 0, "x": [quality._pack(c) for c in x], "s": None} for k, x in told.items()], schema=quality.MOVED_ARROW)
+
+    def refuse(*_):
+        raise AssertionError("a word was searched for")
+
+    monkeypatch.setattr(quality, "_find", refuse)
+    monkeypatch.setattr(quality, "_pairs_finder", refuse)
+    scored = quality._score_block(docs, found).to_pylist()
+    assert [r["loss"] is None for r in scored] == [False, True, False, False] and all(r["loss"] > 0 for r in scored if r["loss"])
+
+
 def test_quality_edges(spark):
     from tablesync.llm.quality import keep_good, score
 
