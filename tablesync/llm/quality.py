@@ -66,16 +66,18 @@ UNSEEN = 1e-6
 #: Trusted ids (16 bytes each) up to which they are broadcast; beyond, the join shuffles.
 TRUSTED_BROADCAST = 2_000_000
 #: Bytes of stored input up to which keys have one turn, the most turns, and the most deals of texts.
-TURN_BYTES, TURNS, DEALS = 16 << 20, 8, 4
+TURN_BYTES, TURNS, DEALS = 16 << 20, 7, 2
 #: Bytes of stored input that make a part of the keys, and a block of texts.
 PART_BYTES, BLOCK_BYTES = 8 << 20, 16 << 20
 #: Bytes of text whose n-grams are worked on at once.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 #: Rows that wait until they are folded.
 FOLD_ROWS = 1 << 19
 #: Hashes of what stands before and after a text.
 BEGIN, END = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC949C7DEFB1D4E2B)
 TURN = 21
+#: What is kept of the hash of a word beside a key that tells the two others (planes of zeros take no room).
+UPPER = np.uint64(0xFFFFFFFFFFFF0000)
 
 
 def _classes() -> np.ndarray:
@@ -88,17 +90,34 @@ def _classes() -> np.ndarray:
     return kind
 
 
+def _run_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of runs of bytes, eight bytes at a time (of runs beyond 64 bytes all at once)."""
+    length = end - start
+    wide = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", wide.data, strides=(1,))
+    masks = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+    with np.errstate(over="ignore"):
+        out = mix((eight[start] & masks[np.minimum(length, 8)]) + length.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        some, at = np.flatnonzero((length > 8) & (length <= 64)), 8
+        while len(some):
+            out[some] = mix(out[some] + (eight[start[some] + at] & masks[np.minimum(length[some] - at, 8)]) * np.uint64(0xD6E8FEB86659FD93))
+            at += 8
+            some = some[length[some] > at]
+        some = np.flatnonzero(length > 64)
+        if len(some):
+            out[some] = mix(run_hashes(data, start[some], end[some], exact_values()))
+    return out
+
+
 def _words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the runs of one class of bytes, and where those of each row start."""
-    kind = worker_cache("byte classes", _classes)[data]
+    kind = np.take(worker_cache("byte classes", _classes), data)
     edge = np.zeros(len(data) + 1, bool)
     edge[off] = True
     edge[1:-1] |= kind[1:] != kind[:-1]
-    bounds = np.flatnonzero(edge)
-    start, end = bounds[:-1], bounds[1:]
-    solid = kind[start] > 0
-    start, end = start[solid], end[solid]
-    return mix(run_hashes(data, start, end, exact_values())), np.searchsorted(start, off)
+    solid = kind > 0
+    start, end = np.flatnonzero(edge[:-1] & solid), np.flatnonzero(edge[1:] & solid) + 1
+    return _run_hashes(data, start, end), np.searchsorted(start, off)
 
 
 def _padded(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -303,7 +322,8 @@ def _send(texts: DataFrame, turn: int, turns: int, parts: int) -> DataFrame:
                 if sum(len(r[0][0]) for r in runs[1:]) > max(FOLD_ROWS, len(runs[0][0][0])):
                     runs[:] = [joined(runs)]
 
-        here = lambda key: _part(key, turns * parts) // np.uint64(parts) == turn
+        # the keys of the parts of this turn
+        least, most = -(-(turn << 32) // turns) << 32, (-(-(turn + 1 << 32) // turns) << 32) - 1
         for b in batches:
             for ask, rows in _groups(b.column("ask")):
                 for block, some in _groups(b.column("block").take(rows)):
@@ -311,20 +331,23 @@ def _send(texts: DataFrame, turn: int, turns: int, parts: int) -> DataFrame:
                     trusted = b.column("trusted").take(mine).to_numpy(zero_copy_only=False)
                     train = b.column("train")[mine[0].as_py()].as_py()
                     for lo, hi, data, off in text_pieces(b.column("text").take(mine), PIECE_BYTES):
-                        w1, w2, w3, start = _trigrams(data, off)
+                        padded, at, start = _padded(data, off)
                         if turn == turns:
-                            keep(ASK_WORDS, ask, block, [np.concatenate([w2, w3])])
+                            keep(ASK_WORDS, ask, block, [padded])
                             continue
-                        told = np.repeat(trusted[lo:hi], np.diff(np.append(start, len(w1))))
-                        context, last = _then(w1, w2), _then(w2, w3)
-                        of = here(context)
-                        keep(ASK_TRIGRAMS, ask, block, [context[of], w3[of]])
-                        of &= told
-                        keep(TRIGRAMS, train, 0, [context[of], w3[of]], True)
-                        of = here(last)
-                        keep(ASK_PAIRS, ask, block, [last[of]])
-                        of &= told
-                        keep(PAIRS, train, 0, [w2[of], w3[of], w1[of]])
+                        told = np.repeat(trusted[lo:hi], np.diff(np.append(start, len(at))))
+                        pairs = _then(padded[:-1], padded[1:])
+                        here = (pairs >= np.uint64(least)) & (pairs <= np.uint64(most))
+                        of = here[at - 2]
+                        last, told_of = at[of], told[of]
+                        keys = [pairs[last - 2], padded[last] & UPPER]
+                        keep(ASK_TRIGRAMS, ask, block, keys)
+                        keep(TRIGRAMS, train, 0, [k[told_of] for k in keys], True)
+                        of = here[at - 1]
+                        last, told_of = at[of], told[of]
+                        keep(ASK_PAIRS, ask, block, [pairs[last - 1]])
+                        last = last[told_of]
+                        keep(PAIRS, train, 0, [padded[last - 1], padded[last], padded[last - 2] & UPPER], True)
             yield from ()
         for (kind, model, block), runs in held.items():
             keys, n = joined(runs)
@@ -446,7 +469,7 @@ def _score_block(docs: pa.Table, found: pa.Table) -> pa.Table:
     w2, w3 = padded[at - 1], padded[at]
     pair, context = _ranks(*_order([_then(w2, w3)])), _then(padded[at - 2], w2)
     del padded, at, word, w2
-    order, new = _order([context, w3])
+    order, new = _order([context, w3 & UPPER])
     trigram, before = _ranks(order, new), _ranks(order, _starts(context[order]))
     del order, new, context, w3
     kinds = found.column("kind").to_numpy()
