@@ -13,9 +13,11 @@ Counts and requests meet by key: a task folds the trigrams of its trusted texts,
 for each block of texts the distinct n-grams that it asks for; a shuffle by parts of
 the key (the first two words for trigrams, the last two for pairs) brings both to
 one place, which adds up, looks up and answers with counts alone, in the order
-of the block's distinct keys, so that no model is written and no key comes back.
+of the block's distinct keys, so that no model is written and no key comes back
+(a block numbers its n-grams in that order and reads the answers by number).
 Discounts come from the counts of counts of each model and order.  An n-gram's key is
-made of 64-bit hashes of its words, turned and combined.
+made of 64-bit hashes of its words, turned and combined; beside the key of two words
+the third one of a trigram stands by the upper 48 bits of its hash.
 
 The key space is gone through in a few turns, and each one's shuffles leave the disks
 when its answers are written: each turn reads the texts again and moves its share.

@@ -624,6 +624,25 @@ def test_quality_looks_up_no_word_in_a_block(monkeypatch):
     assert [r["loss"] is None for r in scored] == [False, True, False, False] and all(r["loss"] > 0 for r in scored if r["loss"])
 
 
+def test_quality_words_of_all_lengths():
+    """Hashes tell words apart, wherever they stand and however long they are."""
+    from tablesync.llm.quality import _words
+
+    r = random.Random(8)
+    said = ["".join(r.choice("abé") for _ in range(n)) for n in range(1, 140)] + ["a" * n for n in range(1, 140)] + ["\0", "\0\0", "7", "\n", "é" * 70_000]
+    rows = [" ".join(r.sample(said, 40)) for _ in range(60)] + ["", " ", "\t \r"] + said
+    off = np.cumsum([0] + [len(t.encode()) for t in rows])
+    hashes, start = _words(np.frombuffer("".join(rows).encode(), np.uint8), off)
+    by_word, by_hash = defaultdict(set), defaultdict(set)
+    for t, lo, hi in zip(rows, start, start[1:]):
+        found = re.findall("[a-zé]+|[0-9]+|\n+|\0+", t)
+        assert len(found) == hi - lo
+        for w, h in zip(found, hashes[lo:hi].tolist()):
+            by_word[w].add(h)
+            by_hash[h].add(w)
+    assert len(by_word) == len(set(said)) and all(len(x) == 1 for x in [*by_word.values(), *by_hash.values()])
+
+
 def test_quality_edges(spark):
     from tablesync.llm.quality import keep_good, score
 
