@@ -36,11 +36,13 @@ SPACE = "▁"
 class PieceModel:
     """Vocabulary of a merge-type SentencePiece model with byte fallback."""
 
-    def __init__(self, proto: bytes):
+    def __init__(self, proto: bytes, small: bool = False):
         import ahocorasick
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_proto=proto)
+        #: smaller tables of units and neighbours, for more time: beside workers of other steps
+        self.small = small
         self.id_of: dict[str, int] = {}
         self.score: dict[str, float] = {}
         self.byte_id = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
@@ -82,7 +84,7 @@ class PieceModel:
         return parts
 
     def _fits(self, left: str, right: str) -> bool:
-        if len(self.beside) > CACHE_UNITS // 2:
+        if len(self.beside) > CACHE_UNITS // (2 if self.small else 1):
             self.beside.clear()
         same = self.same.get
         ok = self.beside[same(left, left), same(right, right)] = self._merge(left + right) == [left, right]
@@ -150,7 +152,7 @@ class PieceModel:
         """The same, from the table of units or into it."""
         made = self.units.get(unit) or self.units_before.get(unit) or self._split(unit)
         if len(unit) <= 64:
-            if len(self.units) > CACHE_UNITS // 8:
+            if len(self.units) > CACHE_UNITS // (8 if self.small else 2):
                 self.units, self.units_before = {}, self.units
             self.units[unit] = made
         return made
@@ -225,11 +227,11 @@ def model_bytes(df: DataFrame, path: str):
     return df.sparkSession.sparkContext.broadcast(proto)
 
 
-def _worker(proto) -> PieceModel:
+def _worker(proto, small: bool = False) -> PieceModel:
     gc.set_threshold(200_000, 20, 100)  # the tables hold a million objects, none in cycles
     raw = proto.value
     give_back()
-    return worker_cache("pieces " + hashlib.sha256(raw).hexdigest(), lambda: PieceModel(raw))
+    return worker_cache(f"pieces {small} " + hashlib.sha256(raw).hexdigest(), lambda: PieceModel(raw, small))
 
 
 def encode(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -287,7 +289,7 @@ def with_pieces(docs: DataFrame, model_path: str, text: str = "text") -> DataFra
     at = docs.columns.index(text)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = _worker(proto)
+        m = _worker(proto, small=True)
         for b in batches:
             for lo in range(0, b.num_rows, 512):
                 part = b.slice(lo, 512)

@@ -253,7 +253,8 @@ def test_piece_operators(spark):
 def test_piece_tables_stay_small(monkeypatch):
     from tablesync.llm import pieces
 
-    raw, m, texts = piece_texts()
+    raw, _, texts = piece_texts()
+    m = pieces.PieceModel(raw, small=True)
     monkeypatch.setattr(pieces, "CACHE_UNITS", 800)
     r = random.Random(6)
     texts = texts[:300] + ["".join(r.choice("aeioulnrst#1(") for _ in range(r.randint(2, 12))) + " z" for _ in range(4000)]
