@@ -20,7 +20,9 @@ made of 64-bit hashes of its words, turned and combined; beside the key of two w
 the third one of a trigram stands by the upper 48 bits of its hash.
 
 The key space is gone through in a few turns, and each one's shuffles leave the disks
-when its answers are written: each turn reads the texts again and moves its share.
+when its answers are written: each turn reads the texts again and moves its share
+(later ones less, as answers stay).  A pair of words is asked for as the context of
+what follows it, and by itself only where the text ends.
 Lower orders count distinct left neighbours; words get their figures last, from those
 of their pairs.
 
@@ -68,7 +70,10 @@ UNSEEN = 1e-6
 #: Trusted ids (16 bytes each) up to which they are broadcast; beyond, the join shuffles.
 TRUSTED_BROADCAST = 2_000_000
 #: Bytes of stored input up to which keys have one turn, the most turns, and the most deals of texts.
-TURN_BYTES, TURNS, DEALS = 16 << 20, 7, 2
+TURN_BYTES, TURNS, DEALS = 16 << 20, 5, 2
+#: Of two turns, the share of parts that the later one takes of the earlier one's: answers stay on the disks
+#: beside the next turn's shuffles (0.6 and 4.6 times the stored input, all turns together).
+LATER = 0.88
 #: Bytes of stored input that make a part of the keys, and a block of texts.
 PART_BYTES, BLOCK_BYTES = 8 << 20, 16 << 20
 #: Bytes of text whose n-grams are worked on at once.
@@ -97,14 +102,16 @@ def _run_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     length = end - start
     wide = np.concatenate([data, np.zeros(8, np.uint8)])
     eight = np.ndarray(len(data) + 1, "<u8", wide.data, strides=(1,))
-    masks = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+    first = lambda n: np.uint64((1 << 64) - 1) >> (64 - 8 * np.minimum(n, 8)).view(np.uint64)  # noqa: E731  a mask of n bytes, of eight at most
     with np.errstate(over="ignore"):
-        out = mix((eight[start] & masks[np.minimum(length, 8)]) + length.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        some, at = np.flatnonzero((length > 8) & (length <= 64)), 8
+        out = mix((eight[start] & first(length)) + length.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        some = np.flatnonzero((length > 8) & (length <= 64))
+        begin, left = start[some], length[some]
         while len(some):
-            out[some] = mix(out[some] + (eight[start[some] + at] & masks[np.minimum(length[some] - at, 8)]) * np.uint64(0xD6E8FEB86659FD93))
-            at += 8
-            some = some[length[some] > at]
+            begin, left = begin + 8, left - 8
+            out[some] = mix(out[some] + (eight[begin] & first(left)) * np.uint64(0xD6E8FEB86659FD93))
+            more = np.flatnonzero(left > 8)
+            some, begin, left = some[more], begin[more], left[more]
         some = np.flatnonzero(length > 64)
         if len(some):
             out[some] = mix(run_hashes(data, start[some], end[some], exact_values()))
@@ -113,12 +120,13 @@ def _run_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
 
 def _words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the runs of one class of bytes, and where those of each row start."""
-    kind = np.take(worker_cache("byte classes", _classes), data)
-    edge = np.zeros(len(data) + 1, bool)
+    kind = np.frombuffer(data.tobytes().translate(worker_cache("byte classes", lambda: _classes().tobytes())), np.uint8)
+    edge = np.ones(len(data) + 1, bool)
+    np.not_equal(kind[1:], kind[:-1], out=edge[1:-1])
     edge[off] = True
-    edge[1:-1] |= kind[1:] != kind[:-1]
-    solid = kind > 0
-    start, end = np.flatnonzero(edge[:-1] & solid), np.flatnonzero(edge[1:] & solid) + 1
+    at = np.flatnonzero(edge)
+    solid = np.flatnonzero(kind[at[:-1]])
+    start, end = at[solid], at[solid + 1]
     return _run_hashes(data, start, end), np.searchsorted(start, off)
 
 
@@ -127,14 +135,16 @@ def _padded(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     words, word_off = _words(data, off)
     rows = len(off) - 1
     padded = np.full(len(words) + ORDER * rows, BEGIN, np.uint64)
-    at = np.arange(len(words) + rows) + np.repeat(np.arange(1, rows + 1) * (ORDER - 1), np.diff(word_off) + 1)
-    start = word_off[:-1] + np.arange(rows)
-    ends = np.append(start[1:], len(at)) - 1
-    own = np.ones(len(at), bool)
-    own[ends] = False
-    padded[at[own]] = words
-    padded[at[ends]] = END
-    return padded, at, start
+    token = np.ones(len(padded), bool)
+    begins = word_off[:-1] + ORDER * np.arange(rows)
+    for i in range(ORDER - 1):
+        token[begins + i] = False
+    ends = word_off[1:] + ORDER * np.arange(rows) + ORDER - 1
+    at = np.flatnonzero(token)
+    token[ends] = False
+    padded[token] = words
+    padded[ends] = END
+    return padded, at, word_off[:-1] + np.arange(rows)
 
 
 def _trigrams(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -148,6 +158,10 @@ def _then(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return ((context << np.uint64(TURN)) | (context >> np.uint64(64 - TURN))) ^ word
 
 
+#: The context of a text's first word, which is no pair that ends in a word.
+NOWHERE = _then(BEGIN, BEGIN)
+
+
 def _groups(col: pa.Array) -> Iterator[tuple[int, pa.Array]]:
     values = col.to_numpy(zero_copy_only=False)
     for one in np.unique(values):
@@ -167,10 +181,27 @@ def _starts(*cols: np.ndarray) -> np.ndarray:
     return new
 
 
+def _argsort(key: np.ndarray) -> np.ndarray:
+    """The order of keys (equal ones as they stand): one plain sort of the upper bits of each key
+    beside its place; then those whose upper bits don't tell are ordered among themselves."""
+    bits = np.uint64(len(key).bit_length())
+    packed = np.sort(key >> bits << bits | np.arange(len(key), dtype=np.uint64))
+    order = (packed & ((np.uint64(1) << bits) - np.uint64(1))).view(np.int64)
+    got = key[order]
+    wrong = np.flatnonzero(got[1:] < got[:-1])
+    if len(wrong):
+        run = np.cumsum(_starts(packed >> bits))
+        mixed = np.zeros(run[-1] + 1, bool)
+        mixed[run[wrong]] = True
+        some = np.flatnonzero(mixed[run])
+        order[some] = order[some][np.argsort(got[some], kind="stable")]
+    return order
+
+
 def _order(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """The order of rows by ``keys``, and which of the ordered rows differ from the one before.
     Only rows that agree so far are ordered by the next key, by their run and its upper bits at once."""
-    order = np.argsort(keys[0])
+    order = _argsort(keys[0])
     new = _starts(keys[0][order])
     for key in keys[1:]:
         alone = new.copy()
@@ -179,22 +210,35 @@ def _order(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         run, value = np.cumsum(new[at], dtype=np.uint64), key[order[at]]
         if not len(at):
             break
-        if int(run[-1]) < 1 << 24:
-            by = np.argsort(run << np.uint64(40) | value >> np.uint64(24))
-        if int(run[-1]) >= 1 << 24 or np.any((run[by][1:] == run[by][:-1]) & (value[by][1:] < value[by][:-1])):
+        bits = np.uint64(int(run[-1]).bit_length())
+        by = _argsort(run << np.uint64(64) - bits | value >> bits)
+        if np.any((run[by][1:] == run[by][:-1]) & (value[by][1:] < value[by][:-1])):
             by = np.lexsort((value, run))
         order[at] = order[at][by]
         new[at[1:]] |= value[by][1:] != value[by][:-1]
     return order, new
 
 
-def _ranks(order: np.ndarray, new: np.ndarray) -> np.ndarray:
-    """Of each row, which of the distinct ones it is."""
-    out = np.empty(len(order), np.int32 if len(order) < 1 << 31 else np.int64)
-    out[order] = np.cumsum(new) - 1
+def _ranks(order: np.ndarray, new: np.ndarray, counted: np.ndarray | None = None) -> np.ndarray:
+    """Of each row, which of the distinct ones it is (of those with a row that is ``counted``)."""
+    kind = np.int32 if len(order) < 1 << 31 else np.int64
+    number = np.cumsum(new, dtype=kind) - kind(1)
+    if counted is not None and len(order):
+        number = (np.cumsum(np.logical_or.reduceat(counted[order], np.flatnonzero(new)), dtype=kind) - kind(1))[number]
+    out = np.empty(len(order), kind)
+    out[order] = number
     return out
 
 
+def _numbers(values: np.ndarray) -> np.ndarray:
+    """Of each of some values that are often the same, which of the distinct ones it is, in their order."""
+    found = pa.array(values).dictionary_encode()
+    distinct = found.dictionary.to_numpy()
+    rank = np.empty(len(distinct), np.int32)
+    rank[np.argsort(distinct)] = np.arange(len(distinct))
+    return rank[found.indices.to_numpy()]
+
+
 def _fold(keys: list[np.ndarray], sums: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Distinct rows of ``keys`` in their order, with the sums of ``sums`` over equal ones."""
     if len(keys) == 1 and not sums:
@@ -305,10 +349,16 @@ def _slices(key: np.ndarray, parts: int) -> Iterator[tuple[int, slice]]:
         yield int(part[lo]), slice(lo, hi)
 
 
-def _send(texts: DataFrame, turn: int, turns: int, parts: int) -> DataFrame:
-    """What all texts bring to the parts of one turn: trusted ones their n-grams, and each
-    block the distinct n-grams that it asks for; in the turn after the last, its words.
-    ``parts`` are those of a turn."""
+def _cut(turns: int, parts: int) -> list[int]:
+    """The first part of each turn, and the end of the last: each has one at least, later ones have fewer."""
+    upto = np.cumsum(LATER ** np.arange(turns))
+    return [0, *(int(x) for x in np.arange(1, turns + 1) + np.round((parts - turns) * upto / upto[-1]))]
+
+
+def _send(texts: DataFrame, first: int, end: int, parts: int, wordparts: int) -> DataFrame:
+    """What all texts bring to one turn, the parts from ``first`` to before ``end`` of ``parts``: trusted
+    ones their n-grams, and each block the distinct n-grams that it asks for; in a turn
+    without parts, its words."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         free_worker()
@@ -324,8 +374,9 @@ def _send(texts: DataFrame, turn: int, turns: int, parts: int) -> DataFrame:
                 if sum(len(r[0][0]) for r in runs[1:]) > max(FOLD_ROWS, len(runs[0][0][0])):
                     runs[:] = [joined(runs)]
 
-        # the keys of the parts of this turn
-        least, most = -(-(turn << 32) // turns) << 32, (-(-(turn + 1 << 32) // turns) << 32) - 1
+        # the least key of this turn, and how far it goes
+        least, most = (-(-(part << 32) // parts) << 32 for part in (first, end))
+        least, most = np.uint64(least % (1 << 64)), np.uint64(max(0, most - least - 1))
         for b in batches:
             for ask, rows in _groups(b.column("ask")):
                 for block, some in _groups(b.column("block").take(rows)):
@@ -334,33 +385,35 @@ def _send(texts: DataFrame, turn: int, turns: int, parts: int) -> DataFrame:
                     train = b.column("train")[mine[0].as_py()].as_py()
                     for lo, hi, data, off in text_pieces(b.column("text").take(mine), PIECE_BYTES):
                         padded, at, start = _padded(data, off)
-                        if turn == turns:
+                        if first == end:
                             keep(ASK_WORDS, ask, block, [padded])
                             continue
-                        told = np.repeat(trusted[lo:hi], np.diff(np.append(start, len(at))))
+                        stands = np.diff(np.append(start, len(at)))  # words and end of each row
+                        word = np.zeros(len(padded) + 1, bool)
+                        word[at] = True
+                        told = np.append(np.repeat(trusted[lo:hi], stands + ORDER - 1), False) & word
                         pairs = _then(padded[:-1], padded[1:])
-                        here = (pairs >= np.uint64(least)) & (pairs <= np.uint64(most))
-                        of = here[at - 2]
-                        last, told_of = at[of], told[of]
-                        keys = [pairs[last - 2], padded[last] & UPPER]
+                        here = np.flatnonzero(pairs - least <= most)
+                        context = here[word[here + 2]]
+                        keys, told_of = [pairs[context], padded[context + 2] & UPPER], told[context + 2]
                         keep(ASK_TRIGRAMS, ask, block, keys)
                         keep(TRIGRAMS, train, 0, [k[told_of] for k in keys], True)
-                        of = here[at - 1]
-                        last, told_of = at[of], told[of]
-                        keep(ASK_PAIRS, ask, block, [pairs[last - 1]])
-                        last = last[told_of]
-                        keep(PAIRS, train, 0, [padded[last - 1], padded[last], padded[last - 2] & UPPER], True)
+                        pair = here[told[here + 1]]
+                        keep(PAIRS, train, 0, [padded[pair], padded[pair + 1], padded[pair - 1] & UPPER])
+                        # a pair of words is a context that is asked for already, unless the text ends there
+                        last = pairs[at[np.cumsum(stands) - 1] - 1]
+                        keep(ASK_PAIRS, ask, block, [last[last - least <= most]])
             yield from ()
         for (kind, model, block), runs in held.items():
             keys, n = joined(runs)
             spread = keys[0]
             if kind == PAIRS:
-                part = _part(_then(keys[0], keys[1]), turns * parts)
-                order = np.argsort(part.astype(np.uint16) if turns * parts <= 1 << 16 else part, kind="stable")
+                part = _part(_then(keys[0], keys[1]), parts)
+                order = np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
                 keys = [k[order] for k in keys]
                 spread = _then(keys[0], keys[1])
             out = []
-            for part, of in _slices(spread, parts if kind == ASK_WORDS else turns * parts):
+            for part, of in _slices(spread, wordparts if kind == ASK_WORDS else parts):
                 x = _pack_rows([k[of] for k in keys]) + [_pack(c[of]) for c in n]
                 out.append({"kind": kind, "model": model, "block": block, "part": part, "x": x, "s": None})
             yield pa.RecordBatch.from_pylist(out, schema=MOVED_ARROW)
@@ -368,7 +421,7 @@ def _send(texts: DataFrame, turn: int, turns: int, parts: int) -> DataFrame:
     return texts.select("ask", "train", "block", "trusted", "text").mapInArrow(work, MOVED)
 
 
-def _answer(parts: int) -> Callable[[pa.Table], pa.Table]:
+def _answer(wordparts: int) -> Callable[[pa.Table], pa.Table]:
     """Of one part and model: the counts, what was asked of them (in the order of the
     block's distinct keys), counts of counts and, of pairs, their words' figures."""
 
@@ -405,8 +458,10 @@ def _answer(parts: int) -> Callable[[pa.Table], pa.Table]:
         find = _pairs_finder([context, word])
         if len(n):
             stats(3, n)
+        wanted: dict[int, np.ndarray] = {}
         for block, keys in asked(ASK_TRIGRAMS):
-            of = _find(contexts, keys[0][_starts(keys[0])])
+            wanted[block] = asks = keys[0][_starts(keys[0])]
+            of = _find(contexts, asks)
             tell(ASK_TRIGRAMS, block, [_at(n, find(keys)), *[_at(s, of) for s in spread]])
 
         first, second, _ = _fold(got, [])[0] if (got := rows(PAIRS)) else [none] * 3
@@ -416,14 +471,17 @@ def _answer(parts: int) -> Callable[[pa.Table], pa.Table]:
             stats(2, n)
             at = np.flatnonzero(_starts(first))
             words, uses = np.unique(second, return_counts=True)
-            every = np.union1d(first[at], words)
+            ((every,), _) = _fold([np.concatenate([first[at], words])], [])
             told = [_at(s, _find(first[at], every)) for s in _spread(n, at)] + [_at(uses, _find(words, every))]
-            for to, of in _slices(every, parts):
+            for to, of in _slices(every, wordparts):
                 tell(WORDS, 0, [np.diff(every[of], prepend=np.uint64(0)), *[c[of] for c in told]], to)
         last = _then(first, second)
-        order = np.argsort(last)
+        order = _argsort(last)
+        last, n = last[order], n[order]
         for block, (keys,) in asked(ASK_PAIRS):
-            tell(ASK_PAIRS, block, [_at(n[order], _find(last[order], keys))])
+            ((wanted[block],), _) = _fold([np.concatenate([wanted.get(block, none), keys])], [])
+        for block, keys in wanted.items():
+            tell(ASK_PAIRS, block, [_at(n, _find(last, keys[keys != NOWHERE]))])
 
         (words,), told = _fold(got[:1], got[1:]) if (got := rows(WORDS, 5)) else ([none], [none.astype(np.int64)] * 5)
         if len(words):
@@ -463,17 +521,29 @@ def _score_block(docs: pa.Table, found: pa.Table) -> pa.Table:
         said.append(padded)
         stand.append(at + length)
         tokens, length = tokens + len(at), length + len(padded)
+    said.append(np.full(1, BEGIN))
     padded, at = np.concatenate(said), np.concatenate(stand)
     del said, stand
-    # of each word its number among the block's distinct ones, and so of pairs, contexts and trigrams
-    word = _ranks(*_order([padded]))
+    # of each word its number among the block's distinct ones, and so of trigrams, and of pairs as pairs and as contexts
+    word = _numbers(padded)
     of1, of2 = word[at], word[at - 1]
-    w2, w3 = padded[at - 1], padded[at]
-    pair, context = _ranks(*_order([_then(w2, w3)])), _then(padded[at - 2], w2)
-    del padded, at, word, w2
-    order, new = _order([context, w3 & UPPER])
-    trigram, before = _ranks(order, new), _ranks(order, _starts(context[order]))
-    del order, new, context, w3
+    del word
+    # rows are the pairs of words, beside the word that follows: none does (real is false) where the text ends
+    place = np.zeros(len(padded), np.int32 if len(padded) < 1 << 31 else np.int64)
+    place[at - 2] = place[at - 1] = 1
+    rows = np.flatnonzero(place)
+    place[rows] = np.arange(len(rows))
+    first, second = place[at - 2], place[at - 1]
+    real = np.zeros(len(rows), bool)
+    real[first] = True
+    pairs = _then(padded[rows], padded[rows + 1])
+    del place
+    order, new = _order([pairs, padded[rows + 2] & UPPER])
+    del padded, at, rows
+    ordered = pairs[order]
+    trigram, start_of = _ranks(order, new, real)[first], _starts(ordered)
+    before, pair = _ranks(order, start_of, real)[first], _ranks(order, start_of, pairs != NOWHERE)[second]
+    del order, new, ordered, start_of, pairs, real, first, second
     kinds = found.column("kind").to_numpy()
     by_part = np.argsort(found.column("part").to_numpy(), kind="stable")
 
@@ -494,14 +564,15 @@ def _score_block(docs: pa.Table, found: pa.Table) -> pa.Table:
     *spread2, n1 = told(ASK_WORDS)
     left, total1, gamma = level(1, n1, [np.full(1, x) for x in (total, m1, m2, more)])
     p1 = left.astype(float) / total1 + gamma.astype(float) * UNSEEN
+    log1 = np.log(p1)
     left2, total2, gamma2 = level(2, *told(ASK_PAIRS), spread2)
     n3, *spread3 = told(ASK_TRIGRAMS)
     left3, total3, gamma3 = level(3, n3, spread3)
     del n1, spread2, n3, spread3
     out = {c: np.full(docs.num_rows, np.nan) for c in ("loss", "least_loss", "excess", "least_excess")}
     for lo, hi, filled, start, mine in pieces:
-        p = p1[of1[mine]]
-        alone = np.log(p)
+        i = of1[mine]
+        p, alone = p1[i], log1[i]
         i = of2[mine]
         p = left2[pair[mine]].astype(float) / total2[i] + gamma2[i].astype(float) * p
         i = before[mine]
@@ -529,12 +600,13 @@ def _files(docs: DataFrame) -> DataFrame:
 
 
 def _losses(held: DataFrame, kind: str, turns: int, parts: int) -> DataFrame:
-    """The losses of all texts; ``parts`` are those of a turn."""
+    """The losses of all texts; ``parts`` are those of all turns."""
     texts = held.withColumn("trusted", F.col("trusted") & (F.col("text") != ""))
-    answer = lambda moved: moved.groupBy("part", "model").applyInArrow(_answer(parts), MOVED)
-    answers = [_kept(answer(_send(texts, i, turns, parts)), "lm-answers") for i in range(turns)]
+    cuts, wordparts = _cut(turns, parts), -(-parts // turns)
+    answer = lambda moved: moved.groupBy("part", "model").applyInArrow(_answer(wordparts), MOVED)
+    answers = [_kept(answer(_send(texts, lo, hi, parts, wordparts)), "lm-answers") for lo, hi in zip(cuts, cuts[1:])]
     figures = reduce(DataFrame.unionByName, [a.filter(F.col("kind") == WORDS) for a in answers])
-    answers.append(_kept(answer(_send(texts, turns, turns, parts).unionByName(figures)), "lm-answers"))
+    answers.append(_kept(answer(_send(texts, parts, parts, parts, wordparts).unionByName(figures)), "lm-answers"))
     found = reduce(DataFrame.unionByName, answers)
     one = F.col("s")
     stats = found.filter(F.col("kind") == STATS).groupBy("model", one[0].alias("len")).agg(*[F.sum(one[i]).alias(f"s{i}") for i in range(1, 7)])
@@ -561,7 +633,7 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     if good.count() <= TRUSTED_BROADCAST:
         good = F.broadcast(good)
     turns = min(TURNS, partitions_for(docs, TURN_BYTES, 1))
-    parts = max(4, -(-partitions_for(docs, PART_BYTES, 1) // turns))
+    parts = max(4 * turns, partitions_for(docs, PART_BYTES, 1))
     blocks = partitions_for(docs, BLOCK_BYTES * max(1, len(docs.inputFiles())), 1)
     held = _files(docs).select(F.col(key).alias("doc_id"), F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"), F.coalesce(said, F.lit("")).alias("text"), F.xxhash64(said).alias("th"), "stored in")
     held = held.join(good, "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))

@@ -625,6 +625,66 @@ def test_quality_looks_up_no_word_in_a_block(monkeypatch):
     assert [r["loss"] is None for r in scored] == [False, True, False, False] and all(r["loss"] > 0 for r in scored if r["loss"])
 
 
+def test_quality_asks_for_no_pair_twice():
+    """Pairs of words are asked for as contexts of trigrams, alone only where a text ends; turns share all parts."""
+    import pyarrow as pa
+
+    from tablesync.llm import quality
+    from tablesync.llm.common import string_bytes
+
+    class Texts:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, work, _):
+            return work
+
+    r = random.Random(5)
+    texts = [" ".join(r.choice(["a", "b", "c7", "d,", "\n", "Élan"]) for _ in range(r.randrange(40))) for _ in range(90)] + ["", "a", "\n"]
+    trusted = [r.random() < 0.4 for _ in texts]
+    batch = pa.RecordBatch.from_pydict({"ask": [1] * len(texts), "train": [2] * len(texts), "block": [3] * len(texts), "trusted": trusted, "text": texts})
+    w1, w2, w3, start = quality._trigrams(*string_bytes(batch.column("text")))
+    told = np.repeat(trusted, np.diff(np.append(start, len(w3))))
+
+    def rows(*cols):
+        return Counter(zip(*[c.tolist() for c in cols]))
+
+    for turns in (1, 2, 5):
+        got = defaultdict(Counter)
+        cuts = quality._cut(turns, 20)
+        for lo, hi in zip(cuts, cuts[1:]):
+            for b in quality._send(Texts(), lo, hi, 20, 4)(iter([batch])):
+                for row in b.to_pylist():
+                    assert lo <= row["part"] < hi
+                    n = len(row["x"]) - (row["kind"] == quality.TRIGRAMS)
+                    keys = quality._unpack_rows(row["x"][:n])
+                    times = quality._unpack(row["x"][-1]).tolist() if row["kind"] == quality.TRIGRAMS else [1] * len(keys[0])
+                    for key, k in zip(zip(*[c.tolist() for c in keys]), times):
+                        got[row["kind"]][key] += k
+        asked = rows(quality._then(w1, w2), w3 & quality.UPPER)
+        assert got[quality.ASK_TRIGRAMS] == Counter(asked.keys())
+        assert got[quality.TRIGRAMS] == rows(quality._then(w1, w2)[told], (w3 & quality.UPPER)[told])
+        assert got[quality.PAIRS] == Counter(rows(w2[told], w3[told], (w1 & quality.UPPER)[told]).keys())
+        ends = np.append(start[1:], len(w3)) - 1
+        assert got[quality.ASK_PAIRS] == Counter(rows(quality._then(w2, w3)[ends]).keys())
+        contexts = {k for k, _ in asked} - {int(quality.NOWHERE)}
+        assert contexts | {k for k, in got[quality.ASK_PAIRS]} == set(quality._then(w2, w3).tolist())
+
+
+def test_quality_orders_as_plain_sorts_do_and_turns_take_all_parts():
+    from tablesync.llm.quality import _argsort, _cut
+
+    for n, distinct in ((0, 1), (1, 1), (900, 6), (3000, 90_000)):
+        for low in (False, True):
+            (key,) = random_keys(n, distinct, 1, low)
+            assert (_argsort(key) == np.argsort(key, kind="stable")).all()
+    for turns, parts in ((1, 1), (1, 4), (5, 5), (5, 20), (5, 61), (5, 3000)):
+        cuts = _cut(turns, parts)
+        took = np.diff(cuts)
+        assert len(took) == turns and cuts[0] == 0 and cuts[-1] == parts and took.min() >= 1
+        assert turns == parts or turns == 1 or took[0] > took[-1]
+
+
 def test_quality_words_of_all_lengths():
     """Hashes tell words apart, wherever they stand and however long they are."""
     from tablesync.llm.quality import _words
