@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import hashlib
+import mmap
 import sys
 from typing import Callable, Iterator
 
@@ -48,13 +49,25 @@ def worker_cache(name: str, make: Callable[[], object]) -> object:
     return held[name]
 
 
-def free_worker() -> None:
+def free_worker(spare: int = 0) -> None:
     """Drop what earlier tasks of other operators keep in this Python worker:
-    word tables of tokenizers are large, and workers live on."""
+    word tables of tokenizers are large, and workers live on.  A worker that holds no more
+    than ``spare`` bytes keeps what it has freed for its next task."""
     held = sys.__dict__.setdefault("_tablesync_llm", {})
-    for name in [n for n in held if n.startswith(("pieces ", "unigram ", "words "))]:
+    names = [n for n in held if n.startswith(("pieces ", "unigram ", "words "))]
+    for name in names:
         del held[name]
-    give_back()
+    if names or not spare or _resident() > spare:
+        give_back()
+
+
+def _resident() -> float:
+    """Bytes of memory that this worker holds; without end where the system doesn't tell."""
+    try:
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * mmap.PAGESIZE
+    except OSError:
+        return float("inf")
 
 
 def give_back() -> None:

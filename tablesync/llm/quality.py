@@ -78,6 +78,8 @@ LATER = 0.88
 PART_BYTES, BLOCK_BYTES = 8 << 20, 16 << 20
 #: Bytes of text whose n-grams are worked on at once.
 PIECE_BYTES = 1 << 18
+#: Bytes that a Python worker may hold from one group of rows to the next: to give memory back and take it again costs time.
+SPARE = 320 << 20
 #: Rows that wait until they are folded.
 FOLD_ROWS = 1 << 19
 #: Hashes of what stands before and after a text.
@@ -361,7 +363,7 @@ def _send(texts: DataFrame, first: int, end: int, parts: int, wordparts: int) ->
     without parts, its words."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        free_worker()
+        free_worker(SPARE)
         held: dict[tuple[int, int, int], list[tuple[list[np.ndarray], list[np.ndarray]]]] = {}
 
         def joined(runs: list) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -426,7 +428,7 @@ def _answer(wordparts: int) -> Callable[[pa.Table], pa.Table]:
     block's distinct keys), counts of counts and, of pairs, their words' figures."""
 
     def work(t: pa.Table) -> pa.Table:
-        free_worker()
+        free_worker(SPARE)
         model, part = t.column("model")[0].as_py(), t.column("part")[0].as_py()
         kinds, blocks = t.column("kind").to_numpy(), t.column("block").to_numpy()
         out: list[dict] = []
@@ -513,7 +515,7 @@ def _cuts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
 
 
 def _score_block(docs: pa.Table, found: pa.Table) -> pa.Table:
-    free_worker()
+    free_worker(SPARE)
     pieces, said, stand, tokens, length = [], [], [], 0, 0
     for lo, hi, data, off in text_pieces(docs.column("text").combine_chunks(), PIECE_BYTES):
         padded, at, start = _padded(data, off)

@@ -685,6 +685,22 @@ def test_quality_orders_as_plain_sorts_do_and_turns_take_all_parts():
         assert turns == parts or turns == 1 or took[0] > took[-1]
 
 
+def test_quality_keeps_freed_memory_up_to_a_limit(monkeypatch):
+    """A small worker keeps freed memory for its next task; a large one, or one that held tables of others, gives it back."""
+    from tablesync.llm import common
+
+    gave = []
+    monkeypatch.setattr(common, "give_back", lambda: gave.append(1))
+    monkeypatch.setattr(common, "_resident", lambda: 200)
+    common.free_worker(300)
+    assert not gave
+    common.worker_cache("words of another", dict)
+    common.free_worker(300)
+    common.free_worker(100)
+    common.free_worker()
+    assert len(gave) == 3
+
+
 def test_quality_words_of_all_lengths():
     """Hashes tell words apart, wherever they stand and however long they are."""
     from tablesync.llm.quality import _words
